@@ -1,0 +1,185 @@
+"""Table with numbered versions on plain Parquet, for snapshot reads beside a live writer.
+
+Every commit writes its rows to a directory of its own, ``data/version=N``, and then adds one
+row to the commit log. Rows of a commit are invisible until its log row exists, and a committed
+directory is never touched again. A commit either adds to the rows before it (append) or starts
+the table anew (replace); its log row names the first directory still in use, so one log row
+tells exactly which directories make up a version.
+
+One writer per table at a time, any number of readers. Where Delta is installed use
+``DeltaTableStore`` instead, which has the same methods.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import datetime, timezone
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("version", T.LongType()),
+        T.StructField("first_version", T.LongType()),
+        T.StructField("operation", T.StringType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("committed_at", T.TimestampType()),
+    ]
+)
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = schema
+        self._data = f"{self.path}/data"
+        self._log = f"{self.path}/log"
+
+    def create(self) -> VersionedTable:
+        """Lay down the (empty) commit log, unless the table is there already."""
+        self.spark.createDataFrame([], LOG_SCHEMA).coalesce(1).write.mode("ignore").json(self._log)
+        return self
+
+    # -- writing ---------------------------------------------------------------------------
+
+    def append(self, df: DataFrame, writer: str | None = None, batch_id: int | None = None) -> int:
+        """Add rows as a new version and return its number."""
+        return self._commit(df, "append", writer, batch_id)
+
+    def replace(self, df: DataFrame, writer: str | None = None, batch_id: int | None = None) -> int:
+        """Make ``df`` the whole table, as a new version. ``df`` may read the table itself."""
+        return self._commit(df, "replace", writer, batch_id)
+
+    def batch_writer(self, writer: str) -> Callable[[DataFrame, int], None]:
+        """Function for ``foreachBatch``: each micro-batch becomes one version, once.
+
+        ``writer`` names the stream across restarts, as its checkpoint path does. A stream with
+        a fresh checkpoint counts its batches from 0 again and so needs another name.
+        """
+
+        def write(df: DataFrame, batch_id: int) -> None:
+            self.append(df, writer, batch_id)
+
+        return write
+
+    def _commit(
+        self, df: DataFrame, operation: str, writer: str | None, batch_id: int | None
+    ) -> int:
+        if writer is not None and batch_id is not None:
+            done = self.committed_as(writer, batch_id)
+            if done is not None:
+                return done
+        last = self._last()
+        version = 0 if last is None else last["version"] + 1
+        replaced = operation == "replace" or last is None
+        first = version if replaced else last["first_version"]
+        aligned = df.select([F.col(f.name).cast(f.dataType) for f in self.schema.fields])
+        # Overwrite clears what a failed attempt at this version may have left.
+        aligned.write.mode("overwrite").parquet(f"{self._data}/version={version}")
+        entry = (version, first, operation, writer, batch_id, datetime.now(timezone.utc))
+        (
+            self.spark.createDataFrame([entry], LOG_SCHEMA)
+            .coalesce(1)
+            .write.mode("append")
+            .json(self._log)
+        )
+        return version
+
+    # -- reading ---------------------------------------------------------------------------
+
+    def history(self) -> DataFrame:
+        """One row per version, oldest first in ``version``."""
+        return self.spark.read.schema(LOG_SCHEMA).json(self._log)
+
+    def latest_version(self) -> int | None:
+        last = self._last()
+        return None if last is None else last["version"]
+
+    def committed_as(self, writer: str, batch_id: int) -> int | None:
+        """Version a stream's micro-batch was committed as, if it was."""
+        return (
+            self.history()
+            .where((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
+            .agg(F.max("version").alias("version"))
+            .first()["version"]
+        )
+
+    def snapshot(self, version: int | None = None) -> DataFrame:
+        """Rows of one version, the newest by default. Later commits do not change it."""
+        entry = self._last(version)
+        if entry is None:
+            if version is not None:
+                raise ValueError(f"no version {version} in {self.path}")
+            return self.spark.createDataFrame([], self.schema)
+        return self._versions(entry["first_version"], entry["version"]).drop("version")
+
+    def added_rows(self, after: int, until: int | None = None) -> DataFrame:
+        """Rows of the commits after one version, up to another."""
+        until = self.latest_version() if until is None else until
+        return self._versions(after + 1, until).drop("version")
+
+    def growth(self) -> DataFrame:
+        """Row count of every version, from the committed directories' counts."""
+        log = self.history().select("version", "first_version", "operation")
+        last = self.latest_version()
+        written = self._versions(0, -1 if last is None else last)
+        counts = written.groupBy("version").agg(F.count("*").alias("written"))
+        # One row per commit from here on.
+        since_replace = (
+            Window.partitionBy("first_version")
+            .orderBy("version")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+        return (
+            log.join(counts, "version", "left")
+            .withColumn("written", F.coalesce("written", F.lit(0)))
+            .select(
+                "version",
+                "operation",
+                F.col("written").alias("rows_written"),
+                F.sum("written").over(since_replace).alias("rows_total"),
+            )
+        )
+
+    def _versions(self, first: int, last: int) -> DataFrame:
+        with_version = T.StructType(
+            [*self.schema.fields, T.StructField("version", T.LongType())]
+        )
+        if last < first:
+            return self.spark.createDataFrame([], with_version)
+        # A filter on the directory column: Spark prunes the other versions before the scan.
+        return (
+            self.spark.read.schema(with_version)
+            .parquet(self._data)
+            .where(F.col("version").between(first, last))
+        )
+
+    def _last(self, version: int | None = None):
+        log = self.history()
+        if version is not None:
+            log = log.where(F.col("version") == version)
+        return log.select(
+            F.max("version").alias("version"),
+            F.max_by("first_version", "version").alias("first_version"),
+        ).where(F.col("version").isNotNull()).first()
+
+    # -- layout ----------------------------------------------------------------------------
+
+    def compact(self, cluster_by: list[str], files: int) -> int:
+        """Rewrite the newest version as about ``files`` sorted files.
+
+        The row's hash closes the sort key, so that rows sharing one clustering value, however
+        many, still spread over several files.
+        """
+        current = self.snapshot()
+        return self.replace(cluster(current, cluster_by, files))
+
+
+def cluster(df: DataFrame, cluster_by: list[str], files: int) -> DataFrame:
+    """Range-partition and sort by columns; a hot value is split over neighbouring ranges."""
+    keys = [F.col(c) for c in cluster_by]
+    return df.repartitionByRange(files, *keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
