@@ -252,15 +252,19 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 _VALID_NAMES = "[''add_to_cart'', ''page_view'', ''purchase'', ''remove_from_cart'', ''search'']"
 _VIOLATIONS = f"""
 violations AS (
-    SELECT p, o, unnest(list_filter([
-        CASE WHEN fault = 1 THEN 'unparseable JSON' END,
-        CASE fault WHEN 2 THEN 'missing required field ''user_id'''
-                   WHEN 3 THEN 'field ''price'' has type NoneType, expected one of [''int'', ''float'']'
-                   WHEN 4 THEN 'field ''price'' has type str, expected one of [''int'', ''float'']' END,
-        CASE WHEN fault <> 1 AND event_type = 'error'
-             THEN 'field ''event_type'' has invalid value ''error'', expected one of {_VALID_NAMES}' END
-    ], x -> x IS NOT NULL)) AS violation
-    FROM sent
+    SELECT p, o, 'unparseable JSON' AS violation FROM sent WHERE fault = 1
+    UNION ALL
+    SELECT p, o, 'missing required field ''user_id''' FROM sent WHERE fault = 2
+    UNION ALL
+    SELECT p, o, 'field ''price'' has type NoneType, expected one of [''int'', ''float'']'
+    FROM sent WHERE fault = 3
+    UNION ALL
+    SELECT p, o, 'field ''price'' has type str, expected one of [''int'', ''float'']'
+    FROM sent WHERE fault = 4
+    UNION ALL
+    SELECT p, o,
+           'field ''event_type'' has invalid value ''error'', expected one of {_VALID_NAMES}'
+    FROM sent WHERE fault <> 1 AND event_type = 'error'
 )"""
 _SPLIT = """
     SELECT CAST(count(*) FILTER (WHERE fault = 0 AND event_type <> 'error') AS BIGINT) AS sent,
@@ -358,16 +362,13 @@ def silver_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
     ), edge AS (
         SELECT (max(epoch_us(event_time)) // 1000 - 600000) * 1000 AS us FROM seen
     ), newest AS (
-        SELECT max(event_time) AS t FROM
-            (SELECT event_time FROM seen
-             UNION ALL
-             SELECT event_time FROM faulty_silver, edge WHERE epoch_us(event_time) > us)
+        SELECT max(epoch_us(event_time)) AS us FROM faulty_silver
     )
     SELECT event_id, event_time, CAST(1 AS BIGINT) AS copies,
-           (epoch_us(t) - epoch_us(event_time)) // 1000000 AS behind_s
-    FROM faulty_silver, edge, newest
+           ((SELECT us FROM newest) - epoch_us(event_time)) // 1000000 AS behind_s
+    FROM faulty_silver
     WHERE n % 3 = 2 AND event_id NOT IN (SELECT event_id FROM seen)
-      AND epoch_us(event_time) <= us"""
+      AND epoch_us(event_time) <= (SELECT us FROM edge)"""
 )
 def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One broker partition lags: its records come after the others are through, and silver
@@ -440,12 +441,6 @@ def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_rollup(session_metrics(clean_silver(spark, sf_dir)))
 
 
-_STATE = """
-    SELECT session_id, min(event_time) AS first_event, max(event_time) AS last_event,
-           count(*) AS events, page_views, cart_adds, purchases, round(revenue, 2) AS revenue
-    FROM"""
-
-
 @query(
     f"""WITH {_FEED}, state AS (
         SELECT session_id, min(event_time) AS first_event, max(event_time) AS last_event,
