@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -55,20 +56,27 @@ def known_type(column: str = "event_type") -> Column:
     return F.col(column).isin(*EVENT_TYPES)
 
 
+# Type names as the messages spell them, by the head of Spark's description of a JSON value.
+_KIND_NAMES = {
+    "STRING": "str",
+    "BIGINT": "int",
+    "DECIMAL": "float",
+    "DOUBLE": "float",
+    "BOOLEAN": "bool",
+    "VOID": "NoneType",
+    "ARRAY": "list",
+    "OBJECT": "dict",
+}
+
+
 def _value_kind(value: Column) -> Column:
-    """Name of a JSON value's type as the messages spell it; null when the key is absent."""
-    described = F.schema_of_variant(value)
+    """Type name of a JSON value; null when the key is absent."""
     # Integers beyond 64 bits are held as decimals without fraction digits.
-    big_int = described.rlike(r"^DECIMAL\((19|2\d|3\d),0\)$")
-    return (
-        F.when(described == "STRING", "str")
-        .when((described == "BIGINT") | big_int, "int")
-        .when(described.startswith("DECIMAL") | (described == "DOUBLE"), "float")
-        .when(described == "BOOLEAN", "bool")
-        .when(described == "VOID", "NoneType")
-        .when(described.startswith("ARRAY"), "list")
-        .when(described.startswith("OBJECT"), "dict")
+    described = F.regexp_replace(
+        F.schema_of_variant(value), r"^DECIMAL\((19|2\d|3\d),0\)$", "BIGINT"
     )
+    names = F.create_map(*[F.lit(word) for pair in _KIND_NAMES.items() for word in pair])
+    return F.try_element_at(names, F.regexp_extract(described, "^[A-Z]+", 0))
 
 
 def _quoted(text: Column) -> Column:
@@ -90,73 +98,120 @@ def _listed_names(names: list[str]) -> str:
     return "[" + ", ".join(f"'{name}'" for name in names) + "]"
 
 
-def check_contract(df: DataFrame, json_column: str = "raw_value") -> DataFrame:
-    """Add ``violations array<string>``: every breach of the contract, empty when there is none.
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once. A filter on the result is pushed below the
+    projection and takes the whole expression with it; a plain reference would then repeat the
+    value's work at every use."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    Order: per-field breaches in contract order, the event type's value, unknown keys. The
-    document is parsed once; later steps work on the parsed value.
-    """
-    # Each step's columns are used more than once downstream, so Catalyst keeps the steps
-    # apart instead of inlining the parse into every use.
-    parsed = df.withColumns(
-        {
-            "_doc": F.try_parse_json(json_column),
-            "_keys": F.json_object_keys(json_column),
-        }
-    )
-    kinds = parsed.withColumn("_object", F.startswith(F.schema_of_variant("_doc"), F.lit("OBJECT")))
-    kinds = kinds.withColumns(
-        {
-            f"_kind_{name}": _value_kind(F.try_variant_get("_doc", f"$.{name}", "variant"))
-            for name in EVENT_FIELDS
-        }
-    ).withColumn("_type_text", F.try_variant_get("_doc", "$.event_type", "string"))
-
-    found: list[Column] = []
-    for name, dtype in EVENT_FIELDS.items():
-        kind = F.col(f"_kind_{name}")
-        accepted = _ACCEPTED[dtype]
-        found.append(
-            F.when(kind.isNull(), f"missing required field '{name}'").when(
-                ~kind.isin(*accepted),
-                F.concat(
-                    F.lit(f"field '{name}' has type "),
-                    kind,
-                    F.lit(f", expected one of {_listed_names(accepted)}"),
-                ),
-            )
+
+def _field_violation(field: Column, members: Column) -> Column:
+    """Breach of one field's entry in the contract; null when the field is sound."""
+
+    def of_kind(kind: Column) -> Column:
+        wrong = F.concat(
+            F.lit("field '"), field["name"], F.lit("' has type "), kind,
+            F.lit(", expected one of "), _listed(field["accepted"]),
+        )
+        missing = F.concat(F.lit("missing required field '"), field["name"], F.lit("'"))
+        return F.when(kind.isNull(), missing).when(
+            ~F.array_contains(field["accepted"], kind), wrong
         )
 
-    kind = F.col("_kind_event_type")
-    shown = (
-        F.when(kind == "str", _quoted(F.col("_type_text")))
-        .when(kind == "bool", F.initcap("_type_text"))
-        .when(kind == "NoneType", "None")
-        .otherwise(F.col("_type_text"))
-    )
-    found.append(
-        F.when(
-            (kind != "str") | ~F.col("_type_text").isin(*EVENT_TYPES),
+    return _let(_value_kind(F.try_element_at(members, field["name"])), of_kind)
+
+
+def _type_violation(value: Column) -> Column:
+    """Breach of the accepted event types; null when the field is absent."""
+
+    def of_kind(kind: Column) -> Column:
+        text = F.try_variant_get(value, "$", "string")
+        shown = (
+            F.when(kind == "str", _quoted(text))
+            .when(kind == "bool", F.initcap(text))
+            .when(kind == "NoneType", "None")
+            .otherwise(F.to_json(value))
+        )
+        return F.when(
+            (kind != "str") | ~text.isin(*EVENT_TYPES),
             F.concat(
                 F.lit("field 'event_type' has invalid value "),
-                F.coalesce(shown, F.lit("?")),
+                shown,
                 F.lit(f", expected one of {_listed_names(sorted(EVENT_TYPES))}"),
             ),
         )
-    )
 
-    known = F.array(*[F.lit(name) for name in FIELDS])
-    extras = F.array_sort(F.array_except("_keys", known))
-    found.append(
-        F.when(F.size(extras) > 0, F.concat(F.lit("unexpected extra field(s): "), _listed(extras)))
+    return _let(_value_kind(value), of_kind)
+
+
+def _extras_violation(keys: Column) -> Column:
+    extras = F.array_sort(F.array_except(keys, F.array(*[F.lit(name) for name in FIELDS])))
+    return F.when(
+        F.size(extras) > 0, F.concat(F.lit("unexpected extra field(s): "), _listed(extras))
     )
 
-    violations = (
-        F.when(F.col("_doc").isNull(), F.array(F.lit("unparseable JSON")))
-        .when(~F.col("_object"), F.array(F.lit("not a JSON object")))
-        .otherwise(F.array_compact(F.array(*found)))
+
+def _object_violations(members: Column) -> Column:
+    fields = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"),
+                F.array(*[F.lit(word) for word in _ACCEPTED[dtype]]).alias("accepted"),
+            )
+            for name, dtype in EVENT_FIELDS.items()
+        ]
+    )
+    per_field = F.transform(fields, lambda field: _field_violation(field, members))
+    overall = F.array(
+        _type_violation(F.try_element_at(members, F.lit("event_type"))),
+        _extras_violation(F.map_keys(members)),
     )
-    return kinds.select(*df.columns, violations.alias("violations"))
+    return F.array_compact(F.concat(per_field, overall))
+
+
+def _sound_shape() -> str:
+    """Pattern of a sound event as ``schema_of_variant`` describes it: members by name."""
+    shapes = {T.StringType(): "STRING", T.DoubleType(): r"(BIGINT|DOUBLE|DECIMAL\(\d+,\d+\))"}
+    members = [f"{name}: {shapes[EVENT_FIELDS[name]]}" for name in sorted(EVENT_FIELDS)]
+    return f"^OBJECT<{', '.join(members)}>$"
+
+
+def violations(json_text: str) -> Column:
+    """Every breach of the contract in a JSON text, empty when there is none.
+
+    Order: per-field breaches in contract order, the event type's value, unknown keys.
+    """
+
+    def of_members(members: Column) -> Column:
+        return F.when(members.isNull(), F.array(F.lit("not a JSON object"))).otherwise(
+            _object_violations(members)
+        )
+
+    def of_document(document: Column) -> Column:
+        # Sound events, nearly all of them, are settled by one look at the document's shape.
+        sound = F.schema_of_variant(document).rlike(_sound_shape()) & F.try_variant_get(
+            document, "$.event_type", "string"
+        ).isin(*EVENT_TYPES)
+        members = F.try_variant_get(document, "$", "map<string,variant>")
+        return (
+            F.when(sound, F.array().cast("array<string>"))
+            .when(document.isNull(), F.array(F.lit("unparseable JSON")))
+            .otherwise(_let(members, of_members))
+        )
+
+    return _let(F.try_parse_json(json_text), of_document)
+
+
+def check_contract(df: DataFrame, json_column: str = "raw_value") -> DataFrame:
+    """Add ``violations array<string>`` to rows with a JSON text."""
+    return df.withColumn("violations", violations(json_column))
+
+
+def violation_rows(checked: DataFrame, *keep: str) -> DataFrame:
+    """One row per violation."""
+    # A plain explode would add a filter on the array below the check and so run it twice.
+    rows = checked.select(*keep, F.explode_outer("violations").alias("violation"))
+    return rows.where(F.col("violation").isNotNull())
 
 
 def violation_text(column: str = "violations") -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionloom.functions.contract import FIELDS, check_contract, event_schema
+from sessionloom.functions.contract import FIELDS, check_contract, event_schema, violation_rows
 from sessionloom.functions.scalar import utc_wall_clock
 from sessionloom.operators.bronze import decode_records
 from sessionloom.operators.enrich import enrich
@@ -279,8 +279,7 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_FEED}, {_VIOLATIONS} SELECT p AS partition, o AS \"offset\", violation FROM violations")
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = check_contract(_raw(spark, sf_dir))
-    return checked.select("partition", "offset", F.explode("violations").alias("violation"))
+    return violation_rows(check_contract(_raw(spark, sf_dir)), "partition", "offset")
 
 
 @query(f"WITH {_FEED} {_SPLIT}")
