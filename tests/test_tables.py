@@ -1,0 +1,163 @@
+import os
+import threading
+
+import pytest
+from helpers import at, plan, rows
+from pyspark.sql import functions as F
+
+from sessionloom.session import conf_overrides, scratch_dir
+from sessionloom.sources.tables import GOLD_SCHEMA, read_table, register_table, replace_table
+from sessionloom.sources.versioned import VersionedTable, cluster
+from sessionloom.plans.sql import FUNNEL, HOURLY_REVENUE, run_sql
+
+
+def gold(spark, *sessions):
+    made = [(s, at(0), at(300), 1, 0, 0, 0.0) for s in sessions]
+    return spark.createDataFrame(made, GOLD_SCHEMA)
+
+
+@pytest.fixture
+def table(spark, base):
+    return VersionedTable(spark, f"{base}/gold", GOLD_SCHEMA).create()
+
+
+def names(df):
+    return [r[0] for r in df.select("session_id").orderBy("session_id").collect()]
+
+
+def test_round_trip(spark, base):
+    df = spark.createDataFrame([(1, "hello table")], "id long, message string")
+    replace_table(df, f"{base}/t")
+    replace_table(df, f"{base}/t")
+    assert [tuple(r) for r in read_table(spark, f"{base}/t").collect()] == [(1, "hello table")]
+
+
+def test_empty_table(table):
+    assert table.latest_version() is None
+    assert table.snapshot().count() == 0
+    assert table.growth().count() == 0
+    with pytest.raises(ValueError):
+        table.snapshot(0)
+
+
+def test_versions_stay_as_they_were(spark, table):
+    assert table.append(gold(spark, "a")) == 0
+    pinned = table.snapshot(0)
+    assert table.append(gold(spark, "b", "c")) == 1
+    assert table.replace(gold(spark, "z")) == 2
+    assert table.append(gold(spark, "y")) == 3
+    assert names(pinned) == names(table.snapshot(0)) == ["a"]
+    assert names(table.snapshot(1)) == ["a", "b", "c"]
+    assert names(table.snapshot(2)) == ["z"]
+    assert names(table.snapshot()) == ["y", "z"]
+    assert names(table.added_rows(0, 1)) == ["b", "c"]
+    assert rows(table.growth().select("version", "rows_written", "rows_total")) == [
+        (0, 1, 1), (1, 2, 3), (2, 1, 1), (3, 1, 2)
+    ]
+    assert table.snapshot().schema == GOLD_SCHEMA
+
+
+def test_replace_may_read_the_table(spark, table):
+    table.append(gold(spark, "a", "b"))
+    table.replace(table.snapshot().where("session_id = 'b'"))
+    assert names(table.snapshot()) == ["b"]
+
+
+def test_a_batch_is_committed_once(spark, table):
+    write = table.batch_writer("stream-1")
+    write(gold(spark, "a"), 0)
+    write(gold(spark, "a"), 0)
+    table.batch_writer("stream-2")(gold(spark, "b"), 0)
+    assert names(table.snapshot()) == ["a", "b"]
+    assert table.committed_as("stream-1", 0) == 0
+    assert table.committed_as("stream-1", 1) is None
+
+
+def test_uncommitted_rows_are_invisible(spark, table, base):
+    table.append(gold(spark, "a"))
+    # What a writer leaves that died before its commit.
+    gold(spark, "lost").write.parquet(f"{base}/gold/data/version=1")
+    assert names(table.snapshot()) == ["a"]
+    assert table.growth().count() == 1
+    table.append(gold(spark, "b"))
+    assert names(table.snapshot()) == ["a", "b"]
+
+
+def test_old_versions_are_not_scanned(spark, table):
+    for name in "abc":
+        table.replace(gold(spark, name))
+    text = plan(table.snapshot())
+    assert "PartitionFilters: [isnotnull(version" in text
+    assert "Exchange" not in text
+
+
+def test_reading_beside_a_writer(spark, table):
+    """Each version has one row count, however often it is read while commits go on."""
+    table.append(gold(spark, "s0"))
+
+    def write():
+        for i in range(1, 6):
+            table.append(gold(spark, *[f"s{i}-{j}" for j in range(i)]))
+
+    writer = threading.Thread(target=write)
+    writer.start()
+    seen = []
+    while writer.is_alive():
+        version = table.latest_version()
+        seen.append((version, table.snapshot(version).count()))
+    writer.join()
+    totals = {v: t for v, t in rows(table.growth().select("version", "rows_total"))}
+    assert seen and all(totals[v] == n for v, n in seen)
+    assert list(totals.values()) == sorted(totals.values())
+
+
+def test_compaction_keeps_rows_and_sorts(spark, table, base):
+    for i in range(6):
+        table.append(gold(spark, f"s{i}", f"t{9 - i}"))
+    before = rows(table.snapshot())
+    version = table.compact(["session_id"], files=2)
+    assert rows(table.snapshot()) == before
+    assert rows(table.snapshot(version - 1)) == before
+    written = os.listdir(f"{base}/gold/data/version={version}")
+    assert len([f for f in written if f.endswith(".parquet")]) <= 2
+    parts = table.snapshot().select(F.input_file_name().alias("file"), "session_id")
+    spans = sorted(
+        (r["low"], r["high"])
+        for r in parts.groupBy("file").agg(
+            F.min("session_id").alias("low"), F.max("session_id").alias("high")
+        ).collect()
+    )
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_hot_value_is_split_over_files(spark):
+    hot = spark.range(9_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
+    )
+    sizes = (
+        cluster(hot, ["k"], 9)
+        .groupBy(F.spark_partition_id().alias("part"))
+        .count()
+        .agg(F.max("count"), F.sum("count"))
+        .first()
+    )
+    assert sizes[1] == 9_000
+    assert sizes[0] < 2_000
+
+
+def test_registered_table_in_sql(spark, base):
+    replace_table(gold(spark, "a", "b"), f"{base}/gold")
+    register_table(spark, "gold_t", f"{base}/gold")
+    register_table(spark, "gold_t", f"{base}/gold")
+    by_name = run_sql(spark, FUNNEL, gold="gold_t").first()
+    assert by_name["viewed_sessions"] == 2 and by_name["view_to_cart_rate"] == 0.0
+    by_frame = run_sql(spark, HOURLY_REVENUE, gold=gold(spark, "a")).collect()
+    assert [(r["revenue"], r["purchases"]) for r in by_frame] == [(0.0, 0)]
+    spark.sql("DROP TABLE gold_t")
+
+
+def test_scratch_lies_in_the_shared_folder(spark, base):
+    with conf_overrides(spark, {"spark.checkpoint.dir": f"{base}/shared/"}):
+        one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert one.startswith(f"{base}/shared/x-") and one != two
+    assert spark.conf.get("spark.checkpoint.dir", None) is None
