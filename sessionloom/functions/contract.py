@@ -99,9 +99,7 @@ def _listed_names(names: list[str]) -> str:
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once. A filter on the result is pushed below the
-    projection and takes the whole expression with it; a plain reference would then repeat the
-    value's work at every use."""
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
@@ -204,14 +202,13 @@ def violations(json_text: str) -> Column:
 
 def check_contract(df: DataFrame, json_column: str = "raw_value") -> DataFrame:
     """Add ``violations array<string>`` to rows with a JSON text."""
-    return df.withColumn("violations", violations(json_column))
+    # Through a generator, so that a later filter on the violations does not repeat the check.
+    return df.select("*", F.explode_outer(F.array(violations(json_column))).alias("violations"))
 
 
 def violation_rows(checked: DataFrame, *keep: str) -> DataFrame:
     """One row per violation."""
-    # A plain explode would add a filter on the array below the check and so run it twice.
-    rows = checked.select(*keep, F.explode_outer("violations").alias("violation"))
-    return rows.where(F.col("violation").isNotNull())
+    return checked.select(*keep, F.explode("violations").alias("violation"))
 
 
 def violation_text(column: str = "violations") -> Column:

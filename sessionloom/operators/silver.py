@@ -28,7 +28,7 @@ def dedupe(
     """One row per ``event_id``, the one that arrived first.
 
     On a stream, rows at or behind the watermark (``delay`` behind the newest event time) are
-    dropped. Modes: ``global`` remembers every id for good; ``within_watermark`` forgets an id
+    dropped; Spark needs ``event_time`` among the columns used later for that. Modes: ``global`` remembers every id for good; ``within_watermark`` forgets an id
     once the watermark has passed it, so state stays bounded but a copy that comes later than
     that is kept.
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +31,13 @@ LOG_SCHEMA = T.StructType(
 )
 
 
+def _newest() -> list[Column]:
+    return [
+        F.max("version").alias("version"),
+        F.max_by("first_version", "version").alias("first_version"),
+    ]
+
+
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
         self.spark = spark
@@ -69,11 +76,9 @@ class VersionedTable:
     def _commit(
         self, df: DataFrame, operation: str, writer: str | None, batch_id: int | None
     ) -> int:
-        if writer is not None and batch_id is not None:
-            done = self.committed_as(writer, batch_id)
-            if done is not None:
-                return done
-        last = self._last()
+        last, done = self._last_and_done(writer, batch_id)
+        if done is not None:
+            return done
         version = 0 if last is None else last["version"] + 1
         replaced = operation == "replace" or last is None
         first = version if replaced else last["first_version"]
@@ -101,12 +106,7 @@ class VersionedTable:
 
     def committed_as(self, writer: str, batch_id: int) -> int | None:
         """Version a stream's micro-batch was committed as, if it was."""
-        return (
-            self.history()
-            .where((F.col("writer") == writer) & (F.col("batch_id") == batch_id))
-            .agg(F.max("version").alias("version"))
-            .first()["version"]
-        )
+        return self._last_and_done(writer, batch_id)[1]
 
     def snapshot(self, version: int | None = None) -> DataFrame:
         """Rows of one version, the newest by default. Later commits do not change it."""
@@ -158,14 +158,19 @@ class VersionedTable:
             .where(F.col("version").between(first, last))
         )
 
-    def _last(self, version: int | None = None):
+    def _last(self, version: int | None = None) -> Row | None:
         log = self.history()
         if version is not None:
             log = log.where(F.col("version") == version)
-        return log.select(
-            F.max("version").alias("version"),
-            F.max_by("first_version", "version").alias("first_version"),
-        ).where(F.col("version").isNotNull()).first()
+        found = log.agg(*_newest()).first()
+        return None if found["version"] is None else found
+
+    def _last_and_done(self, writer: str | None, batch_id: int | None) -> tuple[Row | None, int | None]:
+        """The newest commit, and the version a writer's batch already has; one pass."""
+        same = (F.col("writer") == F.lit(writer)) & (F.col("batch_id") == F.lit(batch_id))
+        done = F.max(F.when(same, F.col("version"))).alias("done")
+        found = self.history().agg(*_newest(), done).first()
+        return (None if found["version"] is None else found), found["done"]
 
     # -- layout ----------------------------------------------------------------------------
 

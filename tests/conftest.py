@@ -11,7 +11,7 @@ from sessionloom.session import DEFAULTS
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    builder = SparkSession.builder.master("local[8]").appName("tests")
+    builder = SparkSession.builder.master("local[4]").appName("tests")
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
     session = (

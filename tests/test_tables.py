@@ -1,11 +1,12 @@
 import os
 import threading
+from types import SimpleNamespace
 
 import pytest
 from helpers import at, plan, rows
 from pyspark.sql import functions as F
 
-from sessionloom.session import conf_overrides, scratch_dir
+from sessionloom.session import scratch_dir
 from sessionloom.sources.tables import GOLD_SCHEMA, read_table, register_table, replace_table
 from sessionloom.sources.versioned import VersionedTable, cluster
 from sessionloom.plans.sql import FUNNEL, HOURLY_REVENUE, run_sql
@@ -156,8 +157,15 @@ def test_registered_table_in_sql(spark, base):
     spark.sql("DROP TABLE gold_t")
 
 
-def test_scratch_lies_in_the_shared_folder(spark, base):
-    with conf_overrides(spark, {"spark.checkpoint.dir": f"{base}/shared/"}):
-        one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert one.startswith(f"{base}/shared/x-") and one != two
-    assert spark.conf.get("spark.checkpoint.dir", None) is None
+def session_with(master, **settings):
+    conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_scratch_lies_in_the_shared_folder():
+    cluster_session = session_with("yarn", **{"spark.checkpoint.dir": "hdfs://c/shared/"})
+    one, two = scratch_dir(cluster_session, "x"), scratch_dir(cluster_session, "x")
+    assert one.startswith("hdfs://c/shared/x-") and one != two
+    with pytest.raises(ValueError):
+        scratch_dir(session_with("yarn"), "x")
+    assert os.path.isdir(scratch_dir(session_with("local[2]"), "x"))
