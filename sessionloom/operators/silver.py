@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from sessionloom.functions.contract import FIELDS, all_present, known_type
 from sessionloom.functions.scalar import epoch_to_timestamp, event_clock
 
-ARRIVAL_ORDER = ("kafka_timestamp", "kafka_partition", "kafka_offset")
+LOG_PLACE = ("kafka_partition", "kafka_offset")
+ARRIVAL_ORDER = ("kafka_timestamp", *LOG_PLACE)
 
 
 def clean(bronze: DataFrame) -> DataFrame:
@@ -23,18 +24,20 @@ def dedupe(
     events: DataFrame,
     mode: str = "global",
     delay: str = "10 minutes",
-    copy_salts: int = 0,
+    copy_salts: int = 8,
 ) -> DataFrame:
     """One row per ``event_id``, the one that arrived first.
 
     On a stream, rows at or behind the watermark (``delay`` behind the newest event time) are
-    dropped; Spark needs ``event_time`` among the columns used later for that. Modes: ``global`` remembers every id for good; ``within_watermark`` forgets an id
-    once the watermark has passed it, so state stays bounded but a copy that comes later than
-    that is kept.
+    dropped; Spark needs ``event_time`` among the columns used later for that. Modes: ``global``
+    remembers every id for good; ``within_watermark`` forgets an id once the watermark has
+    passed it, so state stays bounded but a copy that comes later than that is kept.
 
-    ``copy_salts``: the copies of one id all go to one task. If a single id can make up much of
-    a micro-batch, a first pass keyed by (id, salt) spreads its copies over that many tasks and
-    lets at most one through from each. Costs a second shuffle of the stream.
+    ``copy_salts``: a stream sends all copies of an id to one task, which a much repeated id
+    would flood. A first pass keyed by (id, salt) spreads its copies over that many tasks and
+    lets one through from each; its state goes with the watermark. It is a second shuffle: pass
+    0 for a source without hot ids. The salt is the record's place in the log, so sources
+    without one go unsalted.
     """
     if mode not in ("global", "within_watermark"):
         raise ValueError(f"unknown dedupe mode {mode!r}")
@@ -42,14 +45,10 @@ def dedupe(
         return _first_arrivals(events)
 
     timed = events.withColumn("event_time", event_clock()).withWatermark("event_time", delay)
-    if copy_salts > 1:
+    if copy_salts > 1 and set(LOG_PLACE) <= set(events.columns):
         # The event time in the key lets the watermark evict this pass's state.
-        salt = F.pmod(F.hash("kafka_partition", "kafka_offset"), F.lit(copy_salts))
-        timed = (
-            timed.withColumn("_salt", salt)
-            .dropDuplicates(["event_id", "event_time", "_salt"])
-            .drop("_salt")
-        )
+        salted = timed.withColumn("_salt", F.pmod(F.hash(*LOG_PLACE), F.lit(copy_salts)))
+        timed = salted.dropDuplicates(["event_id", "event_time", "_salt"]).drop("_salt")
     if mode == "global":
         return timed.dropDuplicates(["event_id"])
     return timed.dropDuplicatesWithinWatermark(["event_id"])

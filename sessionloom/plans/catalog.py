@@ -81,6 +81,13 @@ def presented(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a table of their own, for a layer that is read more than once."""
+    path = f"{scratch_dir(df.sparkSession, name)}/table"
+    replace_table(df, path)
+    return read_table(df.sparkSession, path, df.schema)
+
+
 # -- The feed in SQL -----------------------------------------------------------------------
 
 _FEED = """
@@ -329,10 +336,10 @@ def silver_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_SILVER)
-def silver_stream_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The salted dedupe, for feeds in which one id may have very many copies."""
-    run = streamed(spark, sf_dir, "silver_stream_salted").into_bronze()
-    return presented(run.into_silver(dedupe={"copy_salts": 8}).silver())
+def silver_stream_unsalted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dedupe in a single pass, for feeds without much repeated ids."""
+    run = streamed(spark, sf_dir, "silver_stream_unsalted").into_bronze()
+    return presented(run.into_silver(dedupe={"copy_salts": 0}).silver())
 
 
 @query(_SILVER)
@@ -351,7 +358,7 @@ def silver_stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     GROUP BY layer"""
 )
 def silver_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = bronze_batch(spark, sf_dir)
+    bronze = stored(bronze_batch(spark, sf_dir), "silver_sanity")
     return silver_audit(bronze, to_silver(bronze))
 
 
@@ -674,7 +681,7 @@ def compacted_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold after it was rewritten as few, sorted files."""
     gold = VersionedTable(spark, f"{scratch_dir(spark, 'compacted')}/gold", GOLD_SCHEMA).create()
     gold.append(session_metrics(clean_silver(spark, sf_dir)))
-    gold.compact(["session_id", "window_start"], files=4)
+    gold.compact(["session_id", "window_start"])
     return presented(gold.snapshot())
 
 
@@ -683,8 +690,8 @@ def compacted_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
            count(DISTINCT session_id) AS sessions FROM clean_silver"""
 )
 def gold_against_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = clean_silver(spark, sf_dir)
-    gold = session_metrics(silver)
+    silver = stored(clean_silver(spark, sf_dir), "gold_against_events")
+    gold = stored(session_metrics(silver), "gold_against_events")
     differing = gold_reconcile(silver, gold).agg(F.count("*").alias("differing_sessions"))
     sessions = gold.agg(F.count_distinct("session_id").alias("sessions"))
     return differing.select("differing_sessions", sessions.scalar().alias("sessions"))

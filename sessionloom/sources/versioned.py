@@ -174,17 +174,26 @@ class VersionedTable:
 
     # -- layout ----------------------------------------------------------------------------
 
-    def compact(self, cluster_by: list[str], files: int) -> int:
-        """Rewrite the newest version as about ``files`` sorted files.
-
-        The row's hash closes the sort key, so that rows sharing one clustering value, however
-        many, still spread over several files.
-        """
+    def compact(
+        self, cluster_by: list[str], files: int | None = None, file_bytes: int = 256 * 1024 * 1024
+    ) -> int:
+        """Rewrite the newest version as sorted files of about ``file_bytes`` each, or as about
+        ``files`` files."""
         current = self.snapshot()
+        if files is None:
+            files = max(1, -(-_stored_bytes(current) // file_bytes))
         return self.replace(cluster(current, cluster_by, files))
 
 
+def _stored_bytes(table: DataFrame) -> int:
+    """Size of the files a table is read from; reads no column."""
+    per_file = table.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path")
+    sizes = per_file.agg(F.max("file_size").alias("bytes"))
+    return sizes.agg(F.sum("bytes")).first()[0] or 0
+
+
 def cluster(df: DataFrame, cluster_by: list[str], files: int) -> DataFrame:
-    """Range-partition and sort by columns; a hot value is split over neighbouring ranges."""
+    """Range-partition and sort by columns. The row's hash closes the range key, so that rows
+    sharing one value, however many, still spread over several files."""
     keys = [F.col(c) for c in cluster_by]
     return df.repartitionByRange(files, *keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
