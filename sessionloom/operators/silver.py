@@ -46,9 +46,8 @@ def dedupe(
 
     timed = events.withColumn("event_time", event_clock()).withWatermark("event_time", delay)
     if copy_salts > 1 and set(LOG_PLACE) <= set(events.columns):
-        # The event time in the key lets the watermark evict this pass's state.
         salted = timed.withColumn("_salt", F.pmod(F.hash(*LOG_PLACE), F.lit(copy_salts)))
-        timed = salted.dropDuplicates(["event_id", "event_time", "_salt"]).drop("_salt")
+        timed = salted.dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
     if mode == "global":
         return timed.dropDuplicates(["event_id"])
     return timed.dropDuplicatesWithinWatermark(["event_id"])

@@ -12,32 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionloom.functions.contract import FIELDS, check_contract, event_schema, violation_rows
+from sessionloom.functions.contract import (
+    FIELDS,
+    check_contract,
+    event_schema,
+    violation_rows,
+)
 from sessionloom.functions.scalar import utc_wall_clock
-from sessionloom.operators.bronze import decode_records
+from sessionloom.operators import funnel as funnels
+from sessionloom.operators import quality, reports
 from sessionloom.operators.enrich import enrich
-from sessionloom.operators.funnel import funnel, session_rollup
-from sessionloom.operators.gold import METRICS, activity_windows, session_metrics
-from sessionloom.operators.quality import (
-    compare_tables,
-    gold_reconcile,
-    layer_counts,
-    lost_events,
-    offset_audit,
-    row_differences,
-    silver_audit,
-)
-from sessionloom.operators.reports import (
-    duration_histogram,
-    duration_quantiles,
-    hourly_revenue,
-    session_durations,
-    top_products,
-)
+from sessionloom.operators.gold import activity_windows, session_metrics
 from sessionloom.operators.silver import clean, to_silver
 from sessionloom.plans import sql
-from sessionloom.plans.feed import faulty_records, product_catalog, source_events
-from sessionloom.plans.runs import Run, bronze_batch, clean_silver, streamed, two_halves
+from sessionloom.plans.feed import clean_records, faulty_records, product_catalog, source_events
+from sessionloom.plans.runs import (
+    Run,
+    bronze_batch,
+    clean_silver,
+    first_half,
+    streamed,
+    two_halves,
+)
 from sessionloom.session import scratch_dir
 from sessionloom.sources.broker import BROKER_SCHEMA
 from sessionloom.sources.tables import (
@@ -215,7 +211,7 @@ def replay_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     again = Run(spark, "replay_diff")
     again.records = run.records
     again.into_bronze()
-    return compare_tables(run.bronze(), again.bronze())
+    return quality.compare_tables(run.bronze(), again.bronze())
 
 
 @query(
@@ -226,10 +222,10 @@ def replay_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
            count(*) - count(DISTINCT kafka_offset) AS repeated
     FROM decoded GROUP BY kafka_partition"""
 )
-def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def offset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of a bronze table that was written with a restart in between."""
-    run, rest = two_halves(spark, sf_dir, "offsets")
-    return offset_audit(run.into_bronze().land(rest).into_bronze().bronze())
+    run, rest = two_halves(spark, sf_dir, "offset_audit")
+    return quality.offset_audit(run.into_bronze().land(rest).into_bronze().bronze())
 
 
 @query(
@@ -239,9 +235,6 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract gains a field mid-stream. Records of the second half carry it; the bronze
     query is restarted on its checkpoint with the longer schema, and older rows read as null."""
-    from sessionloom.plans.feed import clean_records
-    from sessionloom.plans.runs import first_half
-
     source = source_events(spark, sf_dir)
     early = first_half(source, F.col("timestamp"))
     records = clean_records(source)
@@ -357,9 +350,9 @@ def silver_stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
           UNION ALL SELECT 'silver', {_EVENT_COLUMNS} FROM faulty_silver)
     GROUP BY layer"""
 )
-def silver_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = stored(bronze_batch(spark, sf_dir), "silver_sanity")
-    return silver_audit(bronze, to_silver(bronze))
+def silver_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = stored(bronze_batch(spark, sf_dir), "silver_audit")
+    return quality.silver_audit(bronze, to_silver(bronze))
 
 
 # The lagging partition comes when the watermark stands 10 minutes behind the newest event of
@@ -378,13 +371,13 @@ def silver_sanity(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE n % 3 = 2 AND event_id NOT IN (SELECT event_id FROM seen)
       AND epoch_us(event_time) <= (SELECT us FROM edge)"""
 )
-def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lost_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One broker partition lags: its records come after the others are through, and silver
     refuses what is behind its watermark. All of those must show up as lost."""
     records = faulty_records(source_events(spark, sf_dir))
-    run = Run(spark, "late_events").land(records.where("partition <> 2")).into_bronze()
+    run = Run(spark, "lost_events").land(records.where("partition <> 2")).into_bronze()
     run.into_silver().land(records.where("partition = 2")).into_bronze().into_silver()
-    return presented(lost_events(run.bronze(), run.silver()))
+    return presented(quality.lost_events(run.bronze(), run.silver()))
 
 
 # -- Session metrics -----------------------------------------------------------------------
@@ -445,8 +438,8 @@ def session_windows_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
            CAST(sum(purchases) AS BIGINT) AS purchases
     FROM gold GROUP BY session_id"""
 )
-def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return session_rollup(session_metrics(clean_silver(spark, sf_dir)))
+def session_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funnels.session_rollup(session_metrics(clean_silver(spark, sf_dir)))
 
 
 @query(
@@ -470,8 +463,8 @@ def session_state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"{_CLEAN_GOLD}{_funnel_sql('gold')}")
-def funnel_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return funnel(session_metrics(clean_silver(spark, sf_dir))).drop("gold_version")
+def funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funnels.funnel(session_metrics(clean_silver(spark, sf_dir))).drop("gold_version")
 
 
 @query(f"{_CLEAN_GOLD}{_funnel_sql('gold')}")
@@ -499,7 +492,7 @@ _EARLY_GOLD = f"""{_FAULTY_GOLD}, early_gold AS (SELECT * FROM gold WHERE {_CLOS
 def funnel_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Funnel of a pinned version, read after later versions were committed."""
     gold, pinned = _two_versions(spark, sf_dir, "funnel_snapshot")
-    return funnel(gold.snapshot(pinned), pinned).drop("gold_version")
+    return funnels.funnel(gold.snapshot(pinned), pinned).drop("gold_version")
 
 
 @query(
@@ -512,7 +505,7 @@ def funnel_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later version has all rows of an earlier one, and more."""
     gold, pinned = _two_versions(spark, sf_dir, "snapshot_growth")
-    return compare_tables(gold.snapshot(pinned), gold.snapshot())
+    return quality.compare_tables(gold.snapshot(pinned), gold.snapshot())
 
 
 @query(
@@ -523,7 +516,7 @@ def snapshot_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the newest version has that an earlier one had not."""
     gold, pinned = _two_versions(spark, sf_dir, "version_diff")
-    return presented(row_differences(gold.snapshot(), gold.snapshot(pinned)))
+    return presented(quality.row_differences(gold.snapshot(), gold.snapshot(pinned)))
 
 
 @query(
@@ -580,12 +573,12 @@ _HOURLY = """
 
 
 @query(f"{_CLEAN_GOLD}{_HOURLY}")
-def revenue_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return presented(hourly_revenue(session_metrics(clean_silver(spark, sf_dir))))
+def hourly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(reports.hourly_revenue(session_metrics(clean_silver(spark, sf_dir))))
 
 
 @query(f"{_CLEAN_GOLD}{_HOURLY}")
-def revenue_by_hour_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hourly_revenue_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     gold = session_metrics(clean_silver(spark, sf_dir))
     return presented(sql.run_sql(spark, sql.HOURLY_REVENUE, gold=gold))
 
@@ -597,12 +590,12 @@ _TOP = f"""WITH {_FEED}
 
 
 @query(_TOP)
-def best_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return presented(top_products(clean_silver(spark, sf_dir)))
+def top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(reports.top_products(clean_silver(spark, sf_dir)))
 
 
 @query(_TOP)
-def best_products_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+def top_products_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(sql.run_sql(spark, sql.TOP_PRODUCTS, silver=clean_silver(spark, sf_dir)))
 
 
@@ -618,13 +611,13 @@ _HISTOGRAM = """
 
 
 @query(f"WITH {_FEED}{_DURATIONS.format(silver='clean_silver')} SELECT * FROM durations")
-def durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return presented(session_durations(clean_silver(spark, sf_dir)))
+def session_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return presented(reports.session_durations(clean_silver(spark, sf_dir)))
 
 
 @query(f"WITH {_FEED}{_DURATIONS.format(silver='clean_silver')}{_HISTOGRAM}")
-def durations_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duration_histogram(clean_silver(spark, sf_dir))
+def duration_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.duration_histogram(clean_silver(spark, sf_dir))
 
 
 @query(
@@ -634,8 +627,8 @@ def durations_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
            quantile_cont(duration_s, 0.99) AS p99
     FROM durations"""
 )
-def durations_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duration_quantiles(clean_silver(spark, sf_dir))
+def duration_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.duration_quantiles(clean_silver(spark, sf_dir))
 
 
 @query(f"WITH {_FEED}{_DURATIONS.format(silver='faulty_silver')}{_HISTOGRAM}")
@@ -650,11 +643,11 @@ def scheduled_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark,
             stream_table(spark, run.layout.table("silver"), SILVER_SCHEMA).select("event_id"),
             run.silver,
-            {"durations": duration_histogram},
+            {"durations": reports.duration_histogram},
             run.layout,
             **run.run,
         ).awaitTermination()
-    schema = duration_histogram(run.silver()).schema
+    schema = reports.duration_histogram(run.silver()).schema
     return VersionedTable(spark, run.layout.table("report_durations"), schema).snapshot()
 
 
@@ -673,7 +666,7 @@ def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = clean_silver(spark, sf_dir)
     replace_table(silver.limit(0), path)
     replace_table(silver, path)
-    return compare_tables(silver, read_table(spark, path, SILVER_SCHEMA))
+    return quality.compare_tables(silver, read_table(spark, path, SILVER_SCHEMA))
 
 
 @query(f"{_CLEAN_GOLD} SELECT {_GOLD_COLUMNS} FROM gold")
@@ -689,10 +682,10 @@ def compacted_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH {_FEED} SELECT CAST(0 AS BIGINT) AS differing_sessions,
            count(DISTINCT session_id) AS sessions FROM clean_silver"""
 )
-def gold_against_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = stored(clean_silver(spark, sf_dir), "gold_against_events")
-    gold = stored(session_metrics(silver), "gold_against_events")
-    differing = gold_reconcile(silver, gold).agg(F.count("*").alias("differing_sessions"))
+def gold_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = stored(clean_silver(spark, sf_dir), "gold_reconcile")
+    gold = stored(session_metrics(silver), "gold_reconcile")
+    differing = quality.gold_reconcile(silver, gold).agg(F.count("*").alias("differing_sessions"))
     sessions = gold.agg(F.count_distinct("session_id").alias("sessions"))
     return differing.select("differing_sessions", sessions.scalar().alias("sessions"))
 
@@ -714,11 +707,7 @@ def gold_against_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                    CAST(counted AS BIGINT), CAST(countable - counted AS BIGINT)]) AS rows
     FROM totals"""
 )
-def layers_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every layer streamed, then reconciled end to end."""
-    run = streamed(spark, sf_dir, "layers_account").into_bronze().into_silver().into_gold()
-    return layer_counts(run.bronze(), run.silver(), run.gold().snapshot())
-
-
-QUERIES["funnel"] = QUERIES.pop("funnel_batch")
-ORACLES["funnel"] = ORACLES.pop("funnel_batch")
+    run = streamed(spark, sf_dir, "layer_counts").into_bronze().into_silver().into_gold()
+    return quality.layer_counts(run.bronze(), run.silver(), run.gold().snapshot())

@@ -34,10 +34,11 @@ def clean_feed(source: DataFrame) -> DataFrame:
         mapped = F.when(F.col("event_type") == kind, name).otherwise(mapped)
     instant = utc_instant(F.col("ts"))
     user = F.concat(F.lit("user_"), F.col("user_id"))
+    day = F.replace(F.to_date("ts").cast("string"), F.lit("-"), F.lit(""))
     return source.select(
         F.col("event_id").cast("string").alias("event_id"),
         user.alias("user_id"),
-        F.concat_ws("-", user, F.date_format("ts", "yyyyMMdd")).alias("session_id"),
+        F.concat_ws("-", user, day).alias("session_id"),
         mapped.alias("event_type"),
         F.concat(F.lit("prod_"), F.get_json_object("props", "$.k")).alias("product_id"),
         F.col("value").alias("price"),
