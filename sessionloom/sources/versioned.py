@@ -13,7 +13,6 @@ One writer per table at a time, any number of readers. Where Delta is installed
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,7 +47,7 @@ class VersionedTable:
 
     def create(self) -> VersionedTable:
         """Lay down the (empty) commit log, unless the table is there already."""
-        self.spark.createDataFrame([], LOG_SCHEMA).coalesce(1).write.mode("ignore").json(self._log)
+        self._log_entries(0, {}).write.mode("ignore").json(self._log)
         return self
 
     # -- writing ---------------------------------------------------------------------------
@@ -85,15 +84,24 @@ class VersionedTable:
         aligned = df.select([F.col(f.name).cast(f.dataType) for f in self.schema.fields])
         # Overwrite clears what a failed attempt at this version may have left.
         aligned.write.mode("overwrite").parquet(f"{self._data}/version={version}")
-        entry = (version, first, operation, writer, batch_id, datetime.now(timezone.utc))
-        (
-            self.spark.createDataFrame([entry], LOG_SCHEMA)
-            .coalesce(1)
-            .write.mode("append")
-            .json(self._log)
-        )
+        entry = {
+            "version": version,
+            "first_version": first,
+            "operation": operation,
+            "writer": writer,
+            "batch_id": batch_id,
+        }
+        self._log_entries(1, entry).write.mode("append").json(self._log)
         return version
 
+    def _log_entries(self, count: int, values: dict) -> DataFrame:
+        """Log rows in one partition, so that a commit is one file."""
+        columns = [
+            F.lit(values.get(f.name)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields[:-1]
+        ]
+        now = F.current_timestamp().alias("committed_at")
+        return self.spark.range(0, count, 1, 1).select(*columns, now)
+
     # -- reading ---------------------------------------------------------------------------
 
     def history(self) -> DataFrame:
@@ -151,12 +159,9 @@ class VersionedTable:
         )
         if last < first:
             return self.spark.createDataFrame([], with_version)
-        # A filter on the directory column: Spark prunes the other versions before the scan.
-        return (
-            self.spark.read.schema(with_version)
-            .parquet(self._data)
-            .where(F.col("version").between(first, last))
-        )
+        # Named one by one: older versions, and a commit under way, are not even listed.
+        paths = [f"{self._data}/version={n}" for n in range(first, last + 1)]
+        return self.spark.read.schema(with_version).option("basePath", self._data).parquet(*paths)
 
     def _last(self, version: int | None = None) -> Row | None:
         log = self.history()
