@@ -9,7 +9,18 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# What a stateful query is started under.
+STATE_DEFAULTS = {
+    # Keyed state (one entry per event id) outgrows the heap; keep it in RocksDB.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Counting state rows costs a lookup per write; progress then reports none.
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    # Session windows: merge a partition's own sessions before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
 
 # Left to the caller on purpose: master, memory, spark.sql.shuffle.partitions.
 DEFAULTS = {
@@ -17,11 +28,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
-    # Keyed state (one entry per event id) outgrows the heap; keep it in RocksDB.
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # Session windows: merge a partition's own sessions before the shuffle.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    **STATE_DEFAULTS,
 }
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sessionloom.operators.bronze import decode_records
 from sessionloom.operators.gold import session_metrics
 from sessionloom.operators.silver import to_silver
-from sessionloom.session import ROCKSDB, conf_overrides
+from sessionloom.session import STATE_DEFAULTS, conf_overrides
 from sessionloom.sources.tables import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, Layout, stream_table
 from sessionloom.sources.versioned import VersionedTable
 
@@ -19,13 +19,12 @@ from sessionloom.sources.versioned import VersionedTable
 ONCE = {"availableNow": True}
 
 
-def state_settings(spark: SparkSession, partitions: int | None) -> dict[str, str]:
+def state_settings(partitions: int | None) -> dict[str, str]:
     """Settings a stateful query is started under. Its number of state partitions is fixed by
     its first run; later runs keep it whatever is passed."""
-    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if partitions:
-        settings["spark.sql.shuffle.partitions"] = str(partitions)
-    return settings
+        return {**STATE_DEFAULTS, "spark.sql.shuffle.partitions": str(partitions)}
+    return STATE_DEFAULTS
 
 
 def start(
@@ -48,7 +47,7 @@ def start(
         writer = writer.queryName(name)
     if trigger:
         writer = writer.trigger(**trigger)
-    with conf_overrides(rows.sparkSession, state_settings(rows.sparkSession, state_partitions)):
+    with conf_overrides(rows.sparkSession, state_settings(state_partitions)):
         if each_batch is not None:
             return writer.foreachBatch(each_batch).start()
         return writer.format(fmt).start(path)
