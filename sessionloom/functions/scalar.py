@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -40,6 +40,12 @@ def utc_instant(wall_clock: Column) -> Column:
     return F.concat(wall_clock.cast("string"), F.lit("Z")).cast("timestamp")
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """Same rows, with the columns' expressions evaluated here. Filters further up are not
+    pushed below, where each condition would evaluate its column's expression anew."""
+    return df.select(F.inline_outer(F.array(F.struct(*df.columns))))
+
+
 def micros(interval: str) -> int:
     """Microseconds in a day-time interval text such as "30 minutes"."""
     units = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}

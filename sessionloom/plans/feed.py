@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sessionloom.functions.scalar import timestamp_to_epoch, utc_instant
+from sessionloom.functions.scalar import computed_once, timestamp_to_epoch, utc_instant
 from sessionloom.sources.broker import BROKER_SCHEMA, encode_events
 
 # Source event type -> event type of the feed; "error" stays, as an invalid type.
@@ -35,7 +35,7 @@ def clean_feed(source: DataFrame) -> DataFrame:
     instant = utc_instant(F.col("ts"))
     user = F.concat(F.lit("user_"), F.col("user_id"))
     day = F.replace(F.to_date("ts").cast("string"), F.lit("-"), F.lit(""))
-    return source.select(
+    events = source.select(
         F.col("event_id").cast("string").alias("event_id"),
         user.alias("user_id"),
         F.concat_ws("-", user, day).alias("session_id"),
@@ -48,6 +48,7 @@ def clean_feed(source: DataFrame) -> DataFrame:
         F.expr("event_id div 3").alias("kafka_offset"),
         instant.alias("kafka_timestamp"),
     )
+    return computed_once(events)
 
 
 def clean_records(source: DataFrame) -> DataFrame:
