@@ -29,7 +29,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--interval", help='time between batches, such as "1 minute"')
     parser.add_argument("--once", action="store_true", help="take in what is there, then end")
     parser.add_argument("--state-partitions", type=int)
-    return parser.parse_args(argv)
+    parser.add_argument("--max-per-trigger", type=int, help="offsets, or files, per batch")
+    args = parser.parse_args(argv)
+    if args.job == "bronze" and not (args.records or args.topic):
+        parser.error("bronze reads --records or --topic")
+    if args.job == "publish" and not args.input:
+        parser.error("publish reads --input")
+    return args
 
 
 def _run(args: argparse.Namespace) -> dict:
@@ -44,18 +50,24 @@ def _run(args: argparse.Namespace) -> dict:
 
 def bronze(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.records:
-        records = stream_record_files(spark, args.records)
+        records = stream_record_files(spark, args.records, args.max_per_trigger)
     else:
-        records = stream_kafka(spark, args.servers, args.topic)
+        records = stream_kafka(
+            spark, args.servers, args.topic, max_offsets_per_trigger=args.max_per_trigger
+        )
     start_bronze(records, Layout(args.base), **_run(args)).awaitTermination()
 
 
 def silver(spark: SparkSession, args: argparse.Namespace) -> None:
-    start_silver(spark, Layout(args.base), **_run(args)).awaitTermination()
+    start_silver(
+        spark, Layout(args.base), max_files_per_trigger=args.max_per_trigger, **_run(args)
+    ).awaitTermination()
 
 
 def gold(spark: SparkSession, args: argparse.Namespace) -> None:
-    start_gold(spark, Layout(args.base), **_run(args)).awaitTermination()
+    start_gold(
+        spark, Layout(args.base), max_files_per_trigger=args.max_per_trigger, **_run(args)
+    ).awaitTermination()
 
 
 def funnel_report(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -21,6 +21,14 @@ EVENT_FIELDS: dict[str, T.DataType] = {
 }
 EVENT_TYPES = ("page_view", "add_to_cart", "remove_from_cart", "purchase", "search")
 
+# Texts of the violations.
+MISSING_FIELD = "missing required field '%s'"
+WRONG_TYPE = "field '%s' has type %s, expected one of %s"
+INVALID_EVENT_TYPE = "field 'event_type' has invalid value %s, expected one of %s"
+EXTRA_FIELDS = "unexpected extra field(s): %s"
+NOT_JSON = "unparseable JSON"
+NOT_AN_OBJECT = "not a JSON object"
+
 FIELDS = list(EVENT_FIELDS)
 
 # Type names a value may have, by column type, in the order the message lists them.
@@ -107,12 +115,8 @@ def _field_violation(field: Column, members: Column) -> Column:
     """Breach of one field's entry in the contract; null when the field is sound."""
 
     def of_kind(kind: Column) -> Column:
-        wrong = F.concat(
-            F.lit("field '"), field["name"], F.lit("' has type "), kind,
-            F.lit(", expected one of "), _listed(field["accepted"]),
-        )
-        missing = F.concat(F.lit("missing required field '"), field["name"], F.lit("'"))
-        return F.when(kind.isNull(), missing).when(
+        wrong = F.format_string(WRONG_TYPE, field["name"], kind, _listed(field["accepted"]))
+        return F.when(kind.isNull(), F.format_string(MISSING_FIELD, field["name"])).when(
             ~F.array_contains(field["accepted"], kind), wrong
         )
 
@@ -130,13 +134,10 @@ def _type_violation(value: Column) -> Column:
             .when(kind == "NoneType", "None")
             .otherwise(F.to_json(value))
         )
+        accepted = F.lit(_listed_names(sorted(EVENT_TYPES)))
         return F.when(
             (kind != "str") | ~text.isin(*EVENT_TYPES),
-            F.concat(
-                F.lit("field 'event_type' has invalid value "),
-                shown,
-                F.lit(f", expected one of {_listed_names(sorted(EVENT_TYPES))}"),
-            ),
+            F.format_string(INVALID_EVENT_TYPE, shown, accepted),
         )
 
     return _let(_value_kind(value), of_kind)
@@ -144,9 +145,7 @@ def _type_violation(value: Column) -> Column:
 
 def _extras_violation(keys: Column) -> Column:
     extras = F.array_sort(F.array_except(keys, F.array(*[F.lit(name) for name in FIELDS])))
-    return F.when(
-        F.size(extras) > 0, F.concat(F.lit("unexpected extra field(s): "), _listed(extras))
-    )
+    return F.when(F.size(extras) > 0, F.format_string(EXTRA_FIELDS, _listed(extras)))
 
 
 def _object_violations(members: Column) -> Column:
@@ -181,7 +180,7 @@ def violations(json_text: str) -> Column:
     """
 
     def of_members(members: Column) -> Column:
-        return F.when(members.isNull(), F.array(F.lit("not a JSON object"))).otherwise(
+        return F.when(members.isNull(), F.array(F.lit(NOT_AN_OBJECT))).otherwise(
             _object_violations(members)
         )
 
@@ -193,7 +192,7 @@ def violations(json_text: str) -> Column:
         members = F.try_variant_get(document, "$", "map<string,variant>")
         return (
             F.when(sound, F.array().cast("array<string>"))
-            .when(document.isNull(), F.array(F.lit("unparseable JSON")))
+            .when(document.isNull(), F.array(F.lit(NOT_JSON)))
             .otherwise(_let(members, of_members))
         )
 

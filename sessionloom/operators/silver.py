@@ -37,7 +37,8 @@ def dedupe(
     would flood. A first pass keyed by (id, salt) spreads its copies over that many tasks and
     lets one through from each; its state goes with the watermark. It is a second shuffle: pass
     0 for a source without hot ids. The salt is the record's place in the log, so sources
-    without one go unsalted.
+    without one go unsalted. Salted or not is part of a checkpoint's state: to change it, start
+    a fresh checkpoint.
     """
     if mode not in ("global", "within_watermark"):
         raise ValueError(f"unknown dedupe mode {mode!r}")
