@@ -130,11 +130,12 @@ class VersionedTable:
         until = self.latest_version() if until is None else until
         return self._versions(after + 1, until).drop("version")
 
-    def growth(self) -> DataFrame:
-        """Row count of every version, from the committed directories' counts."""
+    def growth(self, since: int = 0) -> DataFrame:
+        """Row count of every version from ``since`` on, from the counts of its directories."""
         log = self.history().select("version", "first_version", "operation")
+        first = since if since == 0 else self._last(since)["first_version"]
         last = self.latest_version()
-        written = self._versions(0, -1 if last is None else last)
+        written = self._versions(first, -1 if last is None else last)
         counts = written.groupBy("version").agg(F.count("*").alias("written"))
         # One row per commit from here on.
         since_replace = (
@@ -143,7 +144,8 @@ class VersionedTable:
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         return (
-            log.join(counts, "version", "left")
+            log.where(F.col("version") >= first)
+            .join(counts, "version", "left")
             .withColumn("written", F.coalesce("written", F.lit(0)))
             .select(
                 "version",
@@ -151,6 +153,7 @@ class VersionedTable:
                 F.col("written").alias("rows_written"),
                 F.sum("written").over(since_replace).alias("rows_total"),
             )
+            .where(F.col("version") >= since)
         )
 
     def _versions(self, first: int, last: int) -> DataFrame:
@@ -190,6 +193,22 @@ class VersionedTable:
         return self.replace(cluster(current, cluster_by, files))
 
 
+    def expire(self, keep_from: int) -> None:
+        """Delete the directories that no version from ``keep_from`` on is made of. Versions
+        before it may then no longer be readable; their log rows stay."""
+        entry = self._last(keep_from)
+        if entry is None:
+            raise ValueError(f"no version {keep_from} in {self.path}")
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self._data)
+        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for status in files.listStatus(root):
+            directory = status.getPath()
+            number = directory.getName().removeprefix("version=")
+            if number.isdigit() and int(number) < entry["first_version"]:
+                files.delete(directory, True)
+
+
 def _stored_bytes(table: DataFrame) -> int:
     """Size of the files a table is read from; reads no column."""
     per_file = table.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path")

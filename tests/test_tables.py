@@ -132,6 +132,24 @@ def test_compaction_keeps_rows_and_sorts(spark, table, base):
     assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_expiry_keeps_what_later_versions_need(spark, table, base):
+    for name in "ab":
+        table.append(gold(spark, name))
+    table.compact(["session_id"], files=1)
+    table.append(gold(spark, "c"))
+    table.expire(1)
+    assert names(table.snapshot(1)) == ["a", "b"]
+    table.expire(3)
+    assert names(table.snapshot()) == ["a", "b", "c"]
+    assert sorted(os.listdir(f"{base}/gold/data")) == ["version=2", "version=3"]
+    assert table.history().count() == 4
+    assert rows(table.growth(since=3).select("version", "rows_total")) == [(3, 3)]
+    table.append(gold(spark, "d"))
+    assert names(table.snapshot()) == ["a", "b", "c", "d"]
+    with pytest.raises(ValueError):
+        table.expire(99)
+
+
 def test_hot_value_is_split_over_files(spark):
     hot = spark.range(9_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
