@@ -48,11 +48,19 @@ class Layout:
 
 
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    fmt: str = "parquet",
+    merge_schema: bool = False,
 ) -> DataFrame:
+    """Whole table. ``merge_schema``: without a schema given, take the columns of all files, not
+    of one; older rows read as null. That opens every file, so pass the schema where known."""
     reader = spark.read.format(fmt)
-    if schema is not None and fmt != "delta":
+    if fmt != "delta" and schema is not None:
         reader = reader.schema(schema)
+    elif fmt == "parquet" and merge_schema:
+        reader = reader.option("mergeSchema", "true")
     return reader.load(path)
 
 

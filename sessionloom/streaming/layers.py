@@ -36,17 +36,21 @@ def start(
     trigger: Mapping | None = None,
     state_partitions: int | None = None,
     name: str | None = None,
+    merge_schema: bool = False,
 ) -> StreamingQuery:
     """Start a query that appends to a table directory or hands each batch to a function.
 
     ``trigger`` is passed to ``writeStream.trigger``; without one, batches follow each other
-    until the query is stopped.
+    until the query is stopped. ``merge_schema`` lets a Delta table take on new columns; Parquet
+    directories need no leave for that.
     """
     writer = rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if trigger:
         writer = writer.trigger(**trigger)
+    if merge_schema:
+        writer = writer.option("mergeSchema", "true")
     with conf_overrides(rows.sparkSession, state_settings(state_partitions)):
         if each_batch is not None:
             return writer.foreachBatch(each_batch).start()

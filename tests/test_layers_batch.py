@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from sessionloom.operators.bronze import decode_records
 from sessionloom.operators.enrich import enrich, text_bytes
 from sessionloom.operators.funnel import funnel, session_rollup
-from sessionloom.operators.gold import activity_windows, metric_aggregates, session_metrics
+from sessionloom.operators.gold import (
+    _slot_totals,
+    activity_windows,
+    metric_aggregates,
+    session_metrics,
+)
 from sessionloom.operators.reports import (
     duration_histogram,
     duration_quantiles,
@@ -148,6 +153,31 @@ def test_session_windows_equal_the_built_in(spark, events):
     assert rows(ours) == rows(theirs)
 
 
+def test_hot_user_is_totalled_before_it_is_ordered(spark):
+    """However many events a user has, the ordering step gets a row per slot of the gap."""
+    hot = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("user_id"),
+        F.lit("page_view").alias("event_type"),
+        F.lit(1.0).alias("price"),
+        F.timestamp_seconds(F.lit(T0) + F.col("id") * 0.1).alias("event_time"),
+    )
+    windows = activity_windows(hot, gap="30 minutes")
+    got = windows.where("user_id = 'hot'").collect()
+    assert [(r["events"], r["window_end"]) for r in got] == [(20_000, naive(5999.7 + 1800))]
+    slots = _slot_totals(hot, "30 minutes", "user_id").where("user_id = 'hot'")
+    assert slots.count() == 4
+    text = plan(windows)
+    below_order = text[text.index("Sort [user_id") :]
+    assert below_order.count("Exchange") == 2
+    assert "partial_count" in below_order[below_order.rindex("Exchange") :]
+
+
+def test_hot_session_is_combined_before_the_shuffle(spark):
+    text = plan(session_metrics(silver(spark, silver_row(0))))
+    assert text.count("Exchange") == 1
+    assert "partial_sum" in text[text.index("Exchange") :]
+
+
 def gold(spark, *counts):
     made = [(s, at(300 * i), at(300 * i + 300), v, c, p, 0.0) for i, (s, v, c, p) in enumerate(counts)]
     return spark.createDataFrame(made, GOLD_SCHEMA)

@@ -285,6 +285,8 @@ def test_contract_grows_mid_stream(spark, base):
     ).awaitTermination()
     table = read_table(spark, layout.table("bronze"), grown)
     assert rows(table.select("event_id", "channel")) == [("a", None), ("b", "app")]
+    merged = read_table(spark, layout.table("bronze"), merge_schema=True)
+    assert rows(merged.select("event_id", "channel")) == [("a", None), ("b", "app")]
     # The next layer, still on the old schema, is not disturbed.
     start_silver(spark, layout, trigger=ONCE, state_partitions=2).awaitTermination()
     assert read_table(spark, layout.table("silver"), SILVER_SCHEMA).count() == 2
