@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from sessionloom.plans import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -40,3 +41,8 @@ def test_query(spark, sql, name):
 def test_entry(spark):
     got = entry_points.entry(spark).collect()
     assert len(got) == 1 and got[0]["viewed_sessions"] > 0
+
+
+def test_entry_points_hold_the_catalogue():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql())
