@@ -14,6 +14,7 @@ from sessionloom.llm import (
     packing,
     secrets,
     sharding,
+    substring_dedup,
 )
 from sessionloom.llm.common import ship, table
 
@@ -143,6 +144,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
 def _shipping(query: Callable[[SparkSession, str], DataFrame]):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,6 +165,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_decontaminate,
         op6_sharding,
         op7_secrets,
+        op9_substring_dedup,
     )
 }
 
