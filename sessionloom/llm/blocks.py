@@ -25,7 +25,9 @@ BLOCK_BYTES = 4 << 20
 BLOCKS = "block bigint, payload binary"
 MESSAGES = "bucket bigint, block bigint, payload binary"
 
+# Stands for a null id: larger than all others.
 NO_ID = (1 << 63) - 1
+OWN = -1
 
 
 def blocks_of(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -96,13 +98,16 @@ def sent_on(
     answers: DataFrame,
     send: Callable[[tuple, dict[int, object]], list[tuple[int, object]]],
 ) -> DataFrame:
-    """Messages of each block that has got answers: ``send(columns, {bucket: value})``."""
+    """Messages of each block that has got answers: ``send(columns, {bucket: value})``. A
+    message to bucket OWN is the block's note to itself."""
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for payload in left["payload"]:
             got = _answers(right)
-            out += [(b, key[0].as_py(), v) for b, v in send(unpacked(payload.as_py()), got)]
+            block = key[0].as_py()
+            for bucket, value in send(unpacked(payload.as_py()), got):
+                out.append((bucket if bucket != OWN else OWN - block, block, value))
         return message_rows(out)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, MESSAGES)
@@ -110,7 +115,7 @@ def sent_on(
 
 def _answers(rows: pa.Table) -> dict[int, object]:
     return {
-        b: unpacked(p.as_py())
+        max(b, OWN): unpacked(p.as_py())
         for b, p in zip(rows["bucket"].to_pylist(), rows["payload"], strict=True)
     }
 
@@ -118,8 +123,8 @@ def _answers(rows: pa.Table) -> dict[int, object]:
 def answered(
     messages: DataFrame, answer: Callable[[int, list[object]], list[object]]
 ) -> DataFrame:
-    """One answer per message: ``answer(bucket, values of all its messages)``. What a block
-    sends to a negative bucket comes back to it as it is."""
+    """One answer per message, or None: ``answer(bucket, values of all its messages)``. Notes
+    come back to their blocks as they are."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         bucket, senders = key[0].as_py(), rows["block"].to_pylist()
@@ -129,7 +134,6 @@ def answered(
         kept = [(bucket, s, v) for s, v in zip(senders, values, strict=True) if v is not None]
         return message_rows(kept)
 
-    # A block's messages to itself go by its own number.
     return messages.groupBy("bucket").applyInArrow(run, MESSAGES)
 
 

@@ -12,6 +12,7 @@ from sessionloom.llm import (
     decontaminate,
     line_dedup,
     packing,
+    passage_dedup,
     secrets,
     sharding,
     substring_dedup,
@@ -62,6 +63,10 @@ FROM documents d LEFT JOIN g USING (doc_id)
 """
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
@@ -161,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _shipping(query)
     for query in (
         op1_line_dedup,
+        op2_suffix_dedup,
         op3_packing,
         op5_decontaminate,
         op6_sharding,
