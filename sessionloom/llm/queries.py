@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sessionloom.llm import (
     decontaminate,
     line_dedup,
+    near_dedup,
     packing,
     passage_dedup,
     secrets,
@@ -71,6 +72,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -168,6 +173,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_line_dedup,
         op2_suffix_dedup,
         op3_packing,
+        op4_near_dedup,
         op5_decontaminate,
         op6_sharding,
         op7_secrets,
