@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sessionloom.llm import (
     decontaminate,
     line_dedup,
+    lm_scoring,
     near_dedup,
     packing,
     passage_dedup,
@@ -154,6 +155,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(table(spark, sf_dir, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
@@ -177,6 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_decontaminate,
         op6_sharding,
         op7_secrets,
+        op8_lm_scoring,
         op9_substring_dedup,
     )
 }
