@@ -15,6 +15,7 @@ from sessionloom.llm import (
     near_dedup,
     packing,
     passage_dedup,
+    quality_rules,
     secrets,
     sharding,
     substring_dedup,
@@ -163,6 +164,21 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        F.array_join("broken", ",").alias("broken"),
+    )
+
+
 def _shipping(query: Callable[[SparkSession, str], DataFrame]):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +200,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_secrets,
         op8_lm_scoring,
         op9_substring_dedup,
+        op10_quality_rules,
     )
 }
 
