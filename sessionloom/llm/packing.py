@@ -14,8 +14,9 @@ length go by id, then place; repeated rows are packed each; an empty table gives
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -37,7 +38,7 @@ PIECES = (
 )
 PACKED = PIECES.replace(", ids array<int>", ", sequence_id bigint, offset bigint, ids array<int>")
 
-_tokenizers: dict[str, tuple] = {}
+_tokenizers: dict[str, WordTokenizer] = {}
 
 
 class Capacities:
@@ -90,30 +91,111 @@ def best_fit(lengths: list[int], size: int) -> list[tuple[int, int]]:
     return places
 
 
-def _load(path: str) -> tuple:
-    if path not in _tokenizers:
+# Parts that the tokenizer takes one by one from a lower-cased word of plain letters (fixed by
+# its file; other words go through the tokenizer whole).
+_PLAIN = re.compile(r"[\x00-\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_PARTS = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+"
+)
+
+
+class _Words(dict):
+    """Number of each word seen; new ones wait in ``fresh`` for their ids."""
+
+    def __init__(self) -> None:
+        self.fresh: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
+
+class WordTokenizer:
+    """Ids of texts. White space only parts tokens, so each distinct word between white space
+    is encoded once and remembered, its parts too."""
+
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.letters: dict[str, str] = {}
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        self.forget()
+
+    def forget(self) -> None:
+        self.words = _Words()
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.ids = np.zeros(1 << 16, np.int32)
+        self.stops = np.zeros(1 << 14, np.int64)
+
+    def _new_part(self, part: str) -> tuple[int, ...]:
+        letters = self.letters
+        for letter in part:
+            if letter not in letters:
+                # The model's spelling of the bytes of a character.
+                found = self.tokenizer.pre_tokenizer.pre_tokenize_str(letter)
+                letters[letter] = "".join(spelled for spelled, _ in found)
+        spelled = "".join([letters[letter] for letter in part])
+        ids = self.parts[part] = tuple([t.id for t in self.tokenizer.model.tokenize(spelled)])
+        return ids
+
+    def _encode(self, word: str) -> Sequence[int]:
+        special = self.special.search(word)
+        if special or not (word.isascii() or _PLAIN.fullmatch(word)):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        known = self.parts
+        parts = _PARTS.findall(word.lower())
+        if len(parts) == 1:
+            return known.get(parts[0]) or self._new_part(parts[0])
+        return [i for part in parts for i in known.get(part) or self._new_part(part)]
+
+    def _learn(self) -> None:
+        fresh, done = self.words.fresh, len(self.words) - len(self.words.fresh)
+        self.words.fresh = []
+        found = [self._encode(w.decode("utf-8", "replace")) for w in fresh]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        at = int(self.stops[done])
+        stops = at + np.cumsum(sizes)
+        self.stops = _grown(self.stops, len(self.words) + 1)
+        self.stops[done + 1 : len(self.words) + 1] = stops
+        end = int(stops[-1]) if len(stops) else at
+        self.ids = _grown(self.ids, end)
+        self.ids[at:end] = np.fromiter(chain.from_iterable(found), np.int32, end - at)
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.words) > CACHED_WORDS:
+            self.forget()
+        # Splitting bytes cuts at ASCII white space alone.
+        split = [text.encode("utf-8", "surrogatepass").split() for text in texts]
+        number = self.words.__getitem__
+        total = sum(map(len, split))
+        numbers = np.fromiter(map(number, chain.from_iterable(split)), np.int64, total)
+        if self.words.fresh:
+            self._learn()
+        start = self.stops[numbers]
+        size = self.stops[numbers + 1] - start
+        stop = np.cumsum(size)
+        ids = self.ids[np.repeat(start - (stop - size), size) + np.arange(int(size.sum()))]
+        words = np.cumsum([len(w) for w in split])
+        ends = np.concatenate(([0], stop))[words]
+        return np.split(ids, ends[:-1])
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    if size <= len(array):
+        return array
+    out = np.zeros(max(size, 2 * len(array)), array.dtype)
+    out[: len(array)] = array
+    return out
 
 
 def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
-    """Ids of each text. White space only parts tokens, so each distinct word between white
-    space is encoded once and remembered."""
-    tokenizer, known = _load(path)
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    # Splitting bytes cuts at ASCII white space alone.
-    split = [text.encode("utf-8", "surrogatepass").split() for text in texts]
-    new = list({w for words in split for w in words if w not in known})
-    for i in range(0, len(new), 10_000):
-        part = [w.decode("utf-8", "replace") for w in new[i : i + 10_000]]
-        found = tokenizer.encode_batch(part, add_special_tokens=False)
-        known.update(zip(new[i : i + 10_000], (tuple(f.ids) for f in found), strict=True))
-    get = known.__getitem__
-    return [np.fromiter(chain.from_iterable(map(get, words)), np.int32) for words in split]
+    if path not in _tokenizers:
+        _tokenizers[path] = WordTokenizer(path)
+    return _tokenizers[path](texts)
 
 
 def cut(docs: DataFrame, tokenizer_path: str, doc_id: str, text: str, size: int, with_ids: bool) -> DataFrame:
