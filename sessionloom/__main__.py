@@ -89,8 +89,8 @@ def round_trip(spark: SparkSession, args: argparse.Namespace) -> None:
     replace_table(row, path, args.format)
     counts = compare_tables(row, read_table(spark, path, row.schema, args.format)).first()
     if counts["only_left"] or counts["only_right"]:
-        raise SystemExit(f"round trip through {path} failed: {counts.asDict()}")
-    print(f"OK: round-tripped {counts['rows_right']} row(s) through {path}")
+        raise SystemExit(f"{path} does not hold what was written to it: {counts.asDict()}")
+    print(f"{path}: wrote {counts['rows_left']}, read back {counts['rows_right']}, all equal")
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -101,7 +101,7 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     counts = {r["accepted"]: r["count"] for r in written.groupBy("accepted").count().collect()}
     if args.topic:
         publish_kafka(written.where("accepted").select("key", "value"), args.servers, args.topic)
-    print(f"sent={counts.get(True, 0)} rejected={counts.get(False, 0)}")
+    print(f"{counts.get(True, 0)} accepted, {counts.get(False, 0)} in quarantine ({out})")
 
 
 JOBS = {

@@ -37,7 +37,14 @@ def utc_wall_clock(instant: Column) -> Column:
 
 def utc_instant(wall_clock: Column) -> Column:
     """UTC ``timestamp_ntz`` as an instant, whatever the session's time zone."""
-    return F.concat(wall_clock.cast("string"), F.lit("Z")).cast("timestamp")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, wall_clock))
+
+
+def utc_date(instant: Column) -> Column:
+    """UTC date of an instant, whatever the session's time zone."""
+    days = F.floor(F.unix_micros(instant) / F.lit(86_400_000_000))
+    return F.date_from_unix_date(days.cast("int"))
 
 
 def computed_once(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,18 +21,32 @@ def enrich(
     catalog: DataFrame,
     on: str = "product_id",
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = 16,
 ) -> DataFrame:
-    """Left join of events to a catalogue with one row per ``on``; unmatched events keep nulls.
+    """Left join of a batch of events to a catalogue with one row per ``on``; unmatched events
+    keep nulls.
 
     The catalogue is measured first. Up to ``broadcast_bytes`` it is broadcast and the events
-    do not move. Beyond that it is copied once per salt and joined on (key, salt), so that the
-    events of one hot product spread over ``salts`` tasks.
+    do not move. Beyond that both sides are shuffled by key and the events of a key that turns
+    out hot are split over several tasks at run time (adaptive skew join), each with that key's
+    one catalogue row; other keys travel once.
     """
+    if events.isStreaming:
+        raise ValueError("measure the catalogue per batch: see enrich_batches")
     if text_bytes(catalog) <= broadcast_bytes:
         return events.join(F.broadcast(catalog), on, "left")
-    # The other columns decide the salt: the same event gets the same one when a task is rerun.
-    others = [c for c in events.columns if c != on]
-    salted = events.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
-    copies = catalog.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies.hint("shuffle_merge"), [on, "_salt"], "left").drop("_salt")
+    return events.join(catalog.hint("shuffle_merge"), on, "left")
+
+
+def enrich_batches(
+    catalog: Callable[[], DataFrame],
+    write: Callable[[DataFrame, int], None],
+    on: str = "product_id",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> Callable[[DataFrame, int], None]:
+    """Function for ``foreachBatch``: joins each micro-batch to the catalogue as it is then,
+    measured anew, and hands the result to ``write``."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write(enrich(batch, catalog(), on, broadcast_bytes), batch_id)
+
+    return run

@@ -16,7 +16,7 @@ from sessionloom.sources.broker import BROKER_SCHEMA, encode_events
 TYPE_MAP = {
     "view": "page_view",
     "click": "add_to_cart",
-    "signup": "search",
+    "signup": "search",  # every other one: remove_from_cart
     "purchase": "purchase",
     "error": "error",
 }
@@ -39,8 +39,14 @@ def clean_feed(source: DataFrame) -> DataFrame:
         F.col("event_id").cast("string").alias("event_id"),
         user.alias("user_id"),
         F.concat_ws("-", user, day).alias("session_id"),
-        mapped.alias("event_type"),
-        F.concat(F.lit("prod_"), F.get_json_object("props", "$.k")).alias("product_id"),
+        F.when((mapped == "search") & (F.col("event_id") % 2 == 0), "remove_from_cart")
+        .otherwise(mapped)
+        .alias("event_type"),
+        F.concat(
+            # Every 19th event names a product that no catalogue has.
+            F.when(F.col("event_id") % 19 == 5, "gone_").otherwise("prod_"),
+            F.get_json_object("props", "$.k"),
+        ).alias("product_id"),
         F.col("value").alias("price"),
         timestamp_to_epoch(instant).alias("timestamp"),
         F.col("event_id").alias("seq"),
@@ -75,6 +81,7 @@ def _broken(full: Column, number: Column) -> Column:
         .when(number % 47 == 1, F.regexp_replace(full, '"user_id":"[^"]*",', ""))
         .when(number % 43 == 2, with_price("null"))
         .when(number % 41 == 3, with_price('"abc"'))
+        .when(number % 37 == 4, F.regexp_replace(full, r"\}$", ',"referrer":"mail"}'))
         .otherwise(full)
     )
 

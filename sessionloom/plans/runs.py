@@ -6,6 +6,7 @@ Each run works in a fresh scratch directory and returns its layout.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,10 @@ from sessionloom.operators.silver import to_silver
 from sessionloom.plans.feed import clean_feed, faulty_records, source_events
 from sessionloom.session import scratch_dir
 from sessionloom.sources.broker import stream_record_files
-from sessionloom.sources.tables import BRONZE_SCHEMA, SILVER_SCHEMA, Layout, read_table
-from sessionloom.sources.versioned import VersionedTable
+from sessionloom.sources.batches import BatchTable
+from sessionloom.sources.tables import BRONZE_SCHEMA, SILVER_SCHEMA, Layout, read_layer
 from sessionloom.streaming.layers import ONCE, gold_table, start_bronze, start_gold, start_silver
-from sessionloom.streaming.sessions import SessionState, start_session_state
+from sessionloom.streaming.sessions import MergedSessionState, SessionState, start_session_state
 
 
 def bronze_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,27 +60,28 @@ class Run:
         start_gold(self.spark, self.layout, **self.run).awaitTermination()
         return self
 
-    def into_sessions(self, **options) -> SessionState:
+    def into_sessions(self, **options) -> SessionState | MergedSessionState:
         state, query = start_session_state(self.spark, self.layout, **self.run, **options)
         query.awaitTermination()
         return state
 
     def bronze(self) -> DataFrame:
-        return read_table(self.spark, self.layout.table("bronze"), BRONZE_SCHEMA)
+        return read_layer(self.spark, self.layout, "bronze", BRONZE_SCHEMA)
 
-    def silver(self) -> DataFrame:
-        return read_table(self.spark, self.layout.table("silver"), SILVER_SCHEMA)
+    def silver(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+        return read_layer(self.spark, self.layout, "silver", SILVER_SCHEMA, since, until)
 
-    def gold(self) -> VersionedTable:
+    def gold(self) -> BatchTable:
         return gold_table(self.spark, self.layout)
 
 
 def first_half(source: DataFrame, column: Column) -> Column:
-    """True for instants in the first half of the time the source covers."""
+    """True for instants in the first half of the time the source covers, and for none: every
+    row is in one half."""
     span = F.unix_micros(utc_instant(F.col("ts")))
     ends = source.agg(F.min(span).alias("first"), F.max(span).alias("last")).first()
     middle = ((ends["first"] or 0) + (ends["last"] or 0)) // 2
-    return F.unix_micros(column) <= middle
+    return F.coalesce(F.unix_micros(column) <= middle, F.lit(True))
 
 
 def streamed(spark: SparkSession, sf_dir: str, name: str) -> Run:

@@ -39,12 +39,13 @@ TOP_PRODUCTS = """
     WHERE event_type = 'purchase'
     GROUP BY product_id
     ORDER BY revenue DESC, product_id
-    LIMIT 10
+    LIMIT {n}
 """
 
 
-def run_sql(spark: SparkSession, text: str, **tables: DataFrame | str) -> DataFrame:
-    """Run one of the texts above. A table is given as a DataFrame or as a registered name."""
+def run_sql(spark: SparkSession, text: str, **tables: DataFrame | str | int) -> DataFrame:
+    """Run one of the texts above. A table is given as a DataFrame or as a registered name, a
+    limit as a number."""
     frames = {k: v for k, v in tables.items() if isinstance(v, DataFrame)}
-    names = {k: v if isinstance(v, str) else "{" + k + "}" for k, v in tables.items()}
+    names = {k: "{" + k + "}" if isinstance(v, DataFrame) else v for k, v in tables.items()}
     return spark.sql(text.format(**names), **frames)

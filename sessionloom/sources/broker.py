@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 from sessionloom.functions.contract import FIELDS
 
+# Age beyond which a file stream may skip files and forget their names: a century.
+MAX_FILE_AGE = "36500d"
+
 BROKER_SCHEMA = T.StructType(
     [
         T.StructField("key", T.BinaryType()),
@@ -43,19 +46,23 @@ def stream_kafka(
 
 
 def stream_record_files(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
-    """Directory of Parquet records as a stream, oldest file first."""
-    reader = spark.readStream.schema(BROKER_SCHEMA)
+    """Directory of Parquet records as a stream, oldest file first.
+
+    ``max_file_age``: files older than that beside the newest one taken are skipped for good.
+    Wide by default, so that restored or back-filled files count; the query remembers the names
+    of files no older than that.
+    """
+    reader = spark.readStream.schema(BROKER_SCHEMA).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)
 
 
-def read_record_files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BROKER_SCHEMA).parquet(path)
-
-
 def encode_events(events: DataFrame, **others: Column) -> DataFrame:
     """Events to (key, value): session id bytes and the whole event as JSON bytes. Null fields
     are written as null, not left out. ``others`` are further columns of the records."""

@@ -1,11 +1,11 @@
-"""Versioned table on Delta, with the methods of ``VersionedTable``.
+"""Versioned table on Delta, read like a ``BatchTable``.
 
 Needs the Delta package on the session's classpath (``build_session(packages=[...])``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,13 +43,23 @@ class DeltaTableStore:
         out.save(self.path)
         return self.latest_version()
 
-    def merge(self, updates: DataFrame, keys: list[str]) -> None:
-        """Upsert: rows with a known key replace the old one, the others are added."""
+    def merge(
+        self,
+        updates: DataFrame,
+        keys: list[str],
+        changes: Mapping[str, str] | None = None,
+        only_if: str | None = None,
+    ) -> None:
+        """Upsert by key: unknown rows are added; known ones are replaced, or changed by
+        ``changes`` (column -> SQL over ``t``, the row there, and ``u``, the update), where
+        ``only_if`` holds."""
         updates.createOrReplaceTempView("_upsert_updates")
         on = " AND ".join(f"t.{k} = u.{k}" for k in keys)
+        guard = f" AND {only_if}" if only_if else ""
+        update = ", ".join(f"t.{c} = {sql}" for c, sql in changes.items()) if changes else "*"
         updates.sparkSession.sql(
             f"MERGE INTO delta.`{self.path}` t USING _upsert_updates u ON {on} "
-            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+            f"WHEN MATCHED{guard} THEN UPDATE SET {update} WHEN NOT MATCHED THEN INSERT *"
         )
 
     def history(self) -> DataFrame:

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionloom.functions.contract import event_schema
+from sessionloom.functions.scalar import utc_date
+from sessionloom.sources.batches import DATE, cluster, in_range, stored_bytes
+from sessionloom.sources.broker import MAX_FILE_AGE
 
 BRONZE_SCHEMA = T.StructType(
     [
@@ -32,6 +39,8 @@ GOLD_SCHEMA = T.StructType(
         T.StructField("revenue", T.DoubleType()),
     ]
 )
+# The instant whose UTC date partitions a layer.
+CLOCKS = {"bronze": "kafka_timestamp", "silver": "event_time", "gold": "window_start"}
 
 
 @dataclass(frozen=True)
@@ -46,6 +55,18 @@ class Layout:
     def checkpoint(self, layer: str) -> str:
         return f"{self.base}/checkpoints/{layer}"
 
+    def compacted(self, layer: str) -> str:
+        return f"{self.base}/compacted/{layer}"
+
+
+def dated(rows: DataFrame, clock: str) -> DataFrame:
+    """Rows with the partition date of their clock; null where they have no time."""
+    return rows.withColumn(DATE, utc_date(F.col(clock)))
+
+
+def with_date(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(DATE, T.DateType())])
+
 
 def read_table(
     spark: SparkSession,
@@ -64,18 +85,88 @@ def read_table(
     return reader.load(path)
 
 
+def read_layer(
+    spark: SparkSession,
+    layout: Layout,
+    layer: str,
+    schema: T.StructType,
+    since: datetime | None = None,
+    until: datetime | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Bronze or silver, whole or with ``since <= clock < until``; other dates are not read.
+    Dates of silver that were compacted are read from their compacted files."""
+    rows = read_table(spark, layout.table(layer), with_date(schema), fmt)
+    if fmt == "parquet" and layer == "silver":
+        done = compacted_until(spark, layout)
+        if done is not None:
+            rest = rows.where((F.col(DATE) > F.lit(done)) | F.col(DATE).isNull())
+            rows = _compacted(spark, layout).unionByName(rest)
+    return in_range(rows, CLOCKS[layer], since, until).select(schema.fieldNames())
+
+
+def _compacted(spark: SparkSession, layout: Layout) -> DataFrame:
+    stored = with_date(SILVER_SCHEMA)
+    path = layout.compacted("silver")
+    empty = spark.createDataFrame([], stored)
+    empty.write.mode("ignore").partitionBy(DATE).parquet(path)
+    return read_table(spark, path, stored)
+
+
+def compacted_until(spark: SparkSession, layout: Layout) -> date | None:
+    """Last date of silver that was compacted."""
+    return _compacted(spark, layout).agg(F.max(DATE)).first()[0]
+
+
+def compact_silver(
+    spark: SparkSession,
+    layout: Layout,
+    cluster_by: tuple[str, ...] = ("session_id", "event_time"),
+    file_bytes: int = 256 * 1024 * 1024,
+    delay_days: int = 1,
+) -> int:
+    """Rewrite the closed dates of silver as sorted files of about ``file_bytes``, beside the
+    stream that writes it; returns how many dates.
+
+    Silver takes no rows behind its watermark, so a date is closed once the newest row is
+    ``delay_days`` whole days past it (give more than the watermark's delay). A date is written
+    once; the stream's own files are not touched, so neither it nor its readers notice.
+    """
+    done = compacted_until(spark, layout)
+    rows = read_table(spark, layout.table("silver"), with_date(SILVER_SCHEMA))
+    closed = F.date_sub(utc_date(F.max("event_time")), delay_days + 1).alias("closed")
+    last = rows.agg(closed).first()["closed"]
+    if last is None:
+        return 0
+    rows = rows.where(F.col(DATE) <= F.lit(last))
+    if done is not None:
+        rows = rows.where(F.col(DATE) > F.lit(done))
+    dates = rows.select(DATE).distinct().count()
+    if dates:
+        files = max(dates, -(-stored_bytes(rows) // file_bytes))
+        (
+            cluster(rows, [DATE, *cluster_by], files)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DATE)
+            .parquet(layout.compacted("silver"))
+        )
+    return dates
+
+
 def stream_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     """Table another query appends to, as a stream of its new rows. Only files that query has
-    committed are seen."""
+    committed are seen. ``max_file_age``: as for record files."""
     reader = spark.readStream.format(fmt)
     if fmt != "delta":
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
@@ -86,6 +177,21 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
-    """Make a table directory queryable by name. The data stays where it is."""
+    """Make a table directory queryable by name, its partitions included. The data stays where
+    it is. For layers and snapshots use ``registered``."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source=fmt)
+    if any(column.isPartition for column in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+
+
+@contextmanager
+def registered(spark: SparkSession, **tables: DataFrame) -> Iterator[None]:
+    """Tables as temporary views for SQL, a pinned snapshot among them, dropped at the end."""
+    for name, rows in tables.items():
+        rows.createOrReplaceTempView(name)
+    try:
+        yield
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)

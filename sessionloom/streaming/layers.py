@@ -12,8 +12,17 @@ from sessionloom.operators.bronze import decode_records
 from sessionloom.operators.gold import session_metrics
 from sessionloom.operators.silver import to_silver
 from sessionloom.session import STATE_DEFAULTS, conf_overrides
-from sessionloom.sources.tables import BRONZE_SCHEMA, GOLD_SCHEMA, SILVER_SCHEMA, Layout, stream_table
-from sessionloom.sources.versioned import VersionedTable
+from sessionloom.sources.batches import DATE, BatchTable
+from sessionloom.sources.tables import (
+    BRONZE_SCHEMA,
+    CLOCKS,
+    GOLD_SCHEMA,
+    SILVER_SCHEMA,
+    Layout,
+    dated,
+    stream_table,
+    with_date,
+)
 
 # Trigger of a run that takes in what is there and ends.
 ONCE = {"availableNow": True}
@@ -37,6 +46,7 @@ def start(
     state_partitions: int | None = None,
     name: str | None = None,
     merge_schema: bool = False,
+    partition_by: str | None = None,
 ) -> StreamingQuery:
     """Start a query that appends to a table directory or hands each batch to a function.
 
@@ -51,6 +61,8 @@ def start(
         writer = writer.trigger(**trigger)
     if merge_schema:
         writer = writer.option("mergeSchema", "true")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     with conf_overrides(rows.sparkSession, state_settings(state_partitions)):
         if each_batch is not None:
             return writer.foreachBatch(each_batch).start()
@@ -65,7 +77,11 @@ def start_bronze(
 ) -> StreamingQuery:
     """Broker records into bronze. ``records`` is a Kafka or record-file stream."""
     return start(
-        decode_records(records, schema), layout.checkpoint("bronze"), layout.table("bronze"), **run
+        dated(decode_records(records, schema), CLOCKS["bronze"]),
+        layout.checkpoint("bronze"),
+        layout.table("bronze"),
+        partition_by=DATE,
+        **run,
     )
 
 
@@ -77,19 +93,37 @@ def start_silver(
     **run,
 ) -> StreamingQuery:
     """Bronze into silver; ``dedupe`` holds options of ``operators.silver.dedupe``."""
-    bronze = stream_table(
-        spark, layout.table("bronze"), BRONZE_SCHEMA, run.get("fmt", "parquet"), max_files_per_trigger
-    )
+    fmt = run.get("fmt", "parquet")
+    bronze = stream_layer(spark, layout, "bronze", BRONZE_SCHEMA, fmt, max_files_per_trigger)
+    with conf_overrides(spark, state_settings(run.get("state_partitions"))):
+        silver = to_silver(bronze, **(dedupe or {}))
     return start(
-        to_silver(bronze, **(dedupe or {})),
+        dated(silver, CLOCKS["silver"]),
         layout.checkpoint("silver"),
         layout.table("silver"),
+        partition_by=DATE,
         **run,
     )
 
 
-def gold_table(spark: SparkSession, layout: Layout) -> VersionedTable:
-    return VersionedTable(spark, layout.table("gold"), GOLD_SCHEMA)
+def stream_layer(
+    spark: SparkSession,
+    layout: Layout,
+    layer: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Bronze or silver as a stream of its new rows."""
+    stored = with_date(schema)
+    rows = stream_table(spark, layout.table(layer), stored, fmt, max_files_per_trigger)
+    return rows.select(schema.fieldNames())
+
+
+def gold_table(spark: SparkSession, layout: Layout) -> BatchTable:
+    return BatchTable(
+        spark, layout.table("gold"), GOLD_SCHEMA, layout.checkpoint("gold"), CLOCKS["gold"]
+    )
 
 
 def start_gold(
@@ -100,16 +134,16 @@ def start_gold(
     max_files_per_trigger: int | None = None,
     **run,
 ) -> StreamingQuery:
-    """Silver into gold. Gold is versioned, so that a batch reader can pin what it reads; with
-    ``fmt="delta"`` the table itself has versions."""
+    """Silver into gold. Gold keeps its batches apart, so that a reader can pin what it reads;
+    with ``fmt="delta"`` the table itself has versions."""
     fmt = run.get("fmt", "parquet")
-    silver = stream_table(spark, layout.table("silver"), SILVER_SCHEMA, fmt, max_files_per_trigger)
+    silver = stream_layer(spark, layout, "silver", SILVER_SCHEMA, fmt, max_files_per_trigger)
     metrics = session_metrics(silver, window, delay)
     checkpoint = layout.checkpoint("gold")
     if fmt == "delta":
         return start(metrics, checkpoint, layout.table("gold"), **run)
     table = gold_table(spark, layout).create()
-    return start(metrics, checkpoint, each_batch=table.batch_writer(checkpoint), **run)
+    return start(metrics, checkpoint, each_batch=table.write, **run)
 
 
 def run_all(spark: SparkSession, records: DataFrame, layout: Layout, **run) -> None:

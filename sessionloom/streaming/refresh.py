@@ -1,42 +1,101 @@
-"""Reports rerun whenever a table moves on."""
+"""Reports kept current by a stream, from the new rows of each batch alone."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sessionloom.operators.reports import (
+    duration_buckets,
+    purchase_totals,
+    session_durations,
+    session_spans,
+    top_of,
+)
+from sessionloom.sources.batches import FOLD_EVERY, BatchTable
 from sessionloom.sources.tables import Layout
-from sessionloom.sources.versioned import VersionedTable
 from sessionloom.streaming.layers import start
 
-Report = Callable[[DataFrame], DataFrame]
+Step = Callable[[DataFrame], DataFrame]
 
 
-def refresh_reports(
-    spark: SparkSession, source: Callable[[], DataFrame], reports: Mapping[str, Report], layout: Layout
-) -> None:
-    """Run each report over the source as it is now and make it the report table's content."""
-    for name, report in reports.items():
-        result = report(source())
-        table = VersionedTable(spark, layout.table(f"report_{name}"), result.schema).create()
-        table.replace(result)
+@dataclass(frozen=True)
+class Report:
+    """``partial``: what one batch of source rows adds; ``summed``: partial rows of several
+    batches folded, by key; ``shown``: the report, made from folded rows."""
+
+    partial: Step
+    summed: Step
+    shown: Step
+
+
+def _spans_folded(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("session_id").agg(
+        F.min("first_event").alias("first_event"),
+        F.max("last_event").alias("last_event"),
+        F.sum("events").alias("events"),
+    )
+
+
+def _purchases_folded(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("product_id").agg(
+        F.sum("revenue").alias("revenue"), F.sum("purchases").alias("purchases")
+    )
+
+
+# Reports over silver that can be kept this way.
+DURATIONS = Report(session_spans, _spans_folded, lambda rows: duration_buckets(session_durations(rows)))
+TOP_PRODUCTS = Report(purchase_totals, _purchases_folded, top_of)
+
+
+class ReportTable:
+    """Partial rows of a report by batch, and the report they make."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        layout: Layout,
+        name: str,
+        report: Report,
+        schema: T.StructType,
+        fold_every: int = FOLD_EVERY,
+    ):
+        self.report = report
+        self.table = BatchTable(
+            spark,
+            layout.table(f"report_{name}"),
+            schema,
+            layout.checkpoint(f"report_{name}"),
+            summed=report.summed,
+            fold_every=fold_every,
+        )
+        self.table.create()
+
+    def refresh(self, batch: DataFrame, batch_id: int) -> None:
+        """Take in the rows of one batch. A retry replaces what it wrote."""
+        self.table.write(self.report.partial(batch), batch_id)
+
+    def shown(self, version: int | None = None) -> DataFrame:
+        return self.report.shown(self.report.summed(self.table.snapshot(version)))
 
 
 def start_refresh(
     spark: SparkSession,
     changes: DataFrame,
-    source: Callable[[], DataFrame],
-    reports: Mapping[str, Report],
+    name: str,
+    report: Report,
     layout: Layout,
+    fold_every: int = FOLD_EVERY,
     **run,
-) -> StreamingQuery:
-    """Refresh the reports after each micro-batch of ``changes``, a stream of the rows that make
-    a refresh worthwhile. ``trigger={"processingTime": "1 minute"}`` sets the interval."""
-    return start(
-        changes,
-        layout.checkpoint("refresh"),
-        each_batch=lambda _batch, _id: refresh_reports(spark, source, reports, layout),
-        **run,
-    )
+) -> tuple[ReportTable, StreamingQuery]:
+    """Keep a report over a stream of rows. ``trigger={"processingTime": "1 minute"}`` sets the
+    interval."""
+    schema = report.partial(spark.createDataFrame([], changes.schema)).schema
+    table = ReportTable(spark, layout, name, report, schema, fold_every)
+    checkpoint = layout.checkpoint(f"report_{name}")
+    return table, start(changes, checkpoint, each_batch=table.refresh, **run)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,9 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sessionloom.operators.funnel import funnel_of_sessions
 from sessionloom.operators.gold import COUNTED, METRICS, metric_aggregates
-from sessionloom.sources.tables import SILVER_SCHEMA, Layout, stream_table
-from sessionloom.sources.versioned import VersionedTable, cluster
-from sessionloom.streaming.layers import start
+from sessionloom.sources.batches import FOLD_EVERY, BatchTable
+from sessionloom.sources.delta import DeltaTableStore
+from sessionloom.sources.tables import SILVER_SCHEMA, Layout
+from sessionloom.streaming.layers import start, stream_layer
 
 STATE_SCHEMA = T.StructType(
     [
@@ -23,77 +26,110 @@ STATE_SCHEMA = T.StructType(
         T.StructField("revenue", T.DoubleType()),
     ]
 )
+# On Delta a row also holds the batch that changed it last, so that a retried one is skipped.
+MERGED_SCHEMA = T.StructType([*STATE_SCHEMA.fields, T.StructField("last_batch", T.LongType())])
+
+
+def session_changes(silver_batch: DataFrame) -> DataFrame:
+    """One row per session a batch of events touches."""
+    return silver_batch.groupBy("session_id").agg(
+        F.min("event_time").alias("first_event"),
+        F.max("event_time").alias("last_event"),
+        F.count("*").alias("events"),
+        *metric_aggregates(),
+    )
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    """Rows of one session folded into one."""
+    return rows.groupBy("session_id").agg(
+        F.min("first_event").alias("first_event"),
+        F.max("last_event").alias("last_event"),
+        *[F.sum(name).alias(name) for name in ["events", *METRICS]],
+    )
 
 
 class SessionState:
-    """Upserted session table.
+    """Upserted session table on plain Parquet.
 
-    A batch is reduced to one row per session it touches and appended as a version; the current
-    row of a session is the sum of its rows since the last full rewrite. So a batch costs what
-    it changes, not the size of the table. Every ``rewrite_every`` batches the sums are written
-    out, which keeps the rows per session few.
+    A batch writes one row per session it touches, as its own partition, and nothing else: it
+    costs what it changes, whatever the table's size, and a retry replaces it. The current row
+    of a session is the sum of its rows. Compaction sums whole blocks of batches once each; no
+    row is rewritten twice.
     """
 
     def __init__(
-        self, spark: SparkSession, path: str, rewrite_every: int = 50, rewrite_files: int = 0
+        self,
+        spark: SparkSession,
+        path: str,
+        checkpoint: str | None = None,
+        fold_every: int = FOLD_EVERY,
     ):
-        self.table = VersionedTable(spark, path, STATE_SCHEMA)
-        self.rewrite_every = rewrite_every
-        self.rewrite_files = rewrite_files
-
-    def upsert(self, silver_batch: DataFrame, writer: str, batch_id: int) -> None:
-        """Fold a batch of events in, once, however often it is retried."""
-        changes = silver_batch.groupBy("session_id").agg(
-            F.min("event_time").alias("first_event"),
-            F.max("event_time").alias("last_event"),
-            F.count("*").alias("events"),
-            *metric_aggregates(),
+        self.table = BatchTable(
+            spark, path, STATE_SCHEMA, checkpoint, summed=summed, fold_every=fold_every
         )
-        if self.table.committed_as(writer, batch_id) is not None:
-            return
-        if (batch_id + 1) % self.rewrite_every:
-            self.table.append(changes, writer, batch_id)
-            return
-        merged = _summed(self.table.snapshot().unionByName(changes))
-        if self.rewrite_files:
-            merged = cluster(merged, ["session_id"], self.rewrite_files)
-        self.table.replace(merged, writer, batch_id)
+        self.table.create()
+
+    def upsert(self, silver_batch: DataFrame, batch_id: int) -> None:
+        self.table.write(session_changes(silver_batch), batch_id)
+
+    def compact(self) -> int:
+        return self.table.compact(["session_id"])
 
     def current(self, version: int | None = None) -> DataFrame:
-        return _summed(self.table.snapshot(version))
+        return summed(self.table.snapshot(version))
 
     def funnel(self, version: int | None = None) -> DataFrame:
-        """The funnel as of a version, straight from the session rows."""
+        """The funnel as of a batch, straight from the session rows."""
         version = self.table.latest_version() if version is None else version
         return funnel_of_sessions(self.current(version), version)
 
 
-def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("session_id").agg(
-        F.min("first_event").alias("first_event"),
-        F.max("last_event").alias("last_event"),
-        *[F.sum(name).alias(name) for name in ["events", *METRICS]],
-    )
+class MergedSessionState:
+    """The same table on Delta, where MERGE changes the touched rows in place."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.table = DeltaTableStore(spark, path, MERGED_SCHEMA)
+        self.table.create()
+
+    def upsert(self, silver_batch: DataFrame, batch_id: int) -> None:
+        changes = session_changes(silver_batch).withColumn("last_batch", F.lit(batch_id).cast("long"))
+        sums = {name: f"t.{name} + u.{name}" for name in ["events", *METRICS]}
+        self.table.merge(
+            changes,
+            ["session_id"],
+            {
+                "first_event": "least(t.first_event, u.first_event)",
+                "last_event": "greatest(t.last_event, u.last_event)",
+                **sums,
+                "last_batch": "u.last_batch",
+            },
+            only_if="t.last_batch < u.last_batch",
+        )
+
+    def current(self, version: int | None = None) -> DataFrame:
+        return self.table.snapshot(version).drop("last_batch")
+
+    def funnel(self, version: int | None = None) -> DataFrame:
+        version = self.table.latest_version() if version is None else version
+        return funnel_of_sessions(self.current(version), version)
 
 
 def start_session_state(
     spark: SparkSession,
     layout: Layout,
-    rewrite_every: int = 50,
+    fold_every: int = FOLD_EVERY,
     max_files_per_trigger: int | None = None,
     **run,
-) -> tuple[SessionState, StreamingQuery]:
+) -> tuple[SessionState | MergedSessionState, StreamingQuery]:
     """Silver into the session table. The table is the state: the query itself keeps none."""
-    state = SessionState(spark, layout.table("sessions"), rewrite_every)
-    state.table.create()
     checkpoint = layout.checkpoint("sessions")
-    silver = stream_table(
-        spark, layout.table("silver"), SILVER_SCHEMA, max_files_per_trigger=max_files_per_trigger
-    )
-    query = start(
-        silver,
-        checkpoint,
-        each_batch=lambda batch, batch_id: state.upsert(batch, checkpoint, batch_id),
-        **run,
-    )
-    return state, query
+    fmt = run.get("fmt", "parquet")
+    state: SessionState | MergedSessionState
+    if fmt == "delta":
+        state = MergedSessionState(spark, layout.table("sessions"))
+    else:
+        state = SessionState(spark, layout.table("sessions"), checkpoint, fold_every)
+    silver = stream_layer(spark, layout, "silver", SILVER_SCHEMA, fmt, max_files_per_trigger)
+    upsert: Callable[[DataFrame, int], None] = state.upsert
+    return state, start(silver, checkpoint, each_batch=upsert, **run)

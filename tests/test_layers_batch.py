@@ -1,4 +1,5 @@
 import math
+from random import Random
 
 import pytest
 from helpers import T0, at, event, naive, plan, record, records, rows, silver, silver_row
@@ -20,6 +21,7 @@ from sessionloom.operators.reports import (
     duration_quantiles,
     hourly_revenue,
     session_durations,
+    session_spans,
     top_products,
 )
 from sessionloom.operators.silver import clean, dedupe, to_silver
@@ -223,7 +225,7 @@ def test_reports(spark):
         (naive(0), 5.0, 1),
         (naive(3600), 2.5, 1),
     ]
-    assert rows(session_durations(layer).select("session_id", "events", "duration_s")) == [
+    assert rows(session_durations(session_spans(layer)).select("session_id", "events", "duration_s")) == [
         ("s1", 2, 61),
         ("s2", 1, 0),
         ("s3", 2, 400),
@@ -259,16 +261,40 @@ def test_enrich_both_ways(spark):
     assert text_bytes(catalog.limit(0)) == 0
 
 
-def test_hot_product_is_spread(spark):
-    hot = spark.range(20_000).select(
-        F.col("id").cast("string").alias("event_id"), F.lit("prod_1").alias("product_id")
+def test_hot_product_is_spread(spark, base):
+    """The events of the hot product are split over several tasks, those of others are not."""
+    hot = spark.range(0, 60_000, 1, 8).select(
+        F.uuid().alias("event_id"),
+        F.when(F.col("id") % 3 > 0, "prod_1").otherwise(F.concat(F.lit("prod_"), "id")).alias("product_id"),
     )
     catalog = spark.createDataFrame([("prod_1", "Lamp")], "product_id string, name string")
-    joined = enrich(hot, catalog, broadcast_bytes=0, salts=16)
-    assert joined.count() == 20_000
-    salted = hot.select(F.pmod(F.xxhash64("event_id"), F.lit(16)).alias("salt"))
-    largest = salted.groupBy("salt").count().agg(F.max("count")).first()[0]
-    assert largest < 20_000 / 16 * 1.3
+    sizes = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    with conf_overrides(spark, sizes):
+        enrich(hot, catalog, broadcast_bytes=0).write.parquet(f"{base}/joined")
+    lamps = spark.read.parquet(f"{base}/joined").where("name = 'Lamp'")
+    per_task = [r["count"] for r in lamps.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_task) == 40_000 and max(per_task) < 20_000
+
+
+def test_quantiles_meet_a_plain_sort(spark):
+    random = Random(3)
+    seconds = [random.choice([random.randint(0, 50), random.randint(0, 400_000)]) for _ in range(60)]
+    layer = silver(
+        spark, *[silver_row(t, f"s{i}") for i, s in enumerate(seconds) for t in (0, s)]
+    )
+    at = (0.0, 0.25, 0.5, 0.9, 1.0)
+    found = duration_quantiles(layer, at).first()
+    ordered = sorted(seconds)
+    for q in at:
+        rank = q * (len(ordered) - 1)
+        low, high = ordered[math.floor(rank)], ordered[math.ceil(rank)]
+        assert found[f"p{q * 100:g}"] == pytest.approx(low + (high - low) * (rank % 1))
+    empty = duration_quantiles(layer.limit(0)).first()
+    assert empty["sessions"] is None or empty["sessions"] == 0
 
 
 def test_infinite_price_survives(spark):

@@ -1,4 +1,8 @@
+import os
 import random
+import shutil
+import time
+from datetime import datetime
 
 import pytest
 from helpers import (
@@ -6,6 +10,7 @@ from helpers import (
     collect_batches,
     event,
     land,
+    plan,
     record,
     rows,
     silver,
@@ -19,14 +24,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionloom.functions.contract import event_schema
-from sessionloom.operators.enrich import enrich
+from sessionloom.operators.enrich import enrich, enrich_batches
 from sessionloom.operators.funnel import funnel
 from sessionloom.operators.gold import activity_windows, session_metrics
-from sessionloom.operators.quality import compare_tables, lost_events
-from sessionloom.operators.reports import duration_histogram
+from sessionloom.operators.quality import compare_tables, layer_counts, lost_events
 from sessionloom.operators.silver import dedupe, to_silver
+from sessionloom.plans.runs import first_half
+from sessionloom.sources.batches import BatchTable
 from sessionloom.sources.broker import BROKER_SCHEMA, stream_record_files
-from sessionloom.sources.tables import BRONZE_SCHEMA, SILVER_SCHEMA, Layout, read_table, stream_table
+from sessionloom.sources.tables import (
+    BRONZE_SCHEMA,
+    SILVER_SCHEMA,
+    Layout,
+    dated,
+    read_layer,
+    read_table,
+    stream_table,
+)
 from sessionloom.streaming.layers import (
     ONCE,
     gold_table,
@@ -36,7 +50,8 @@ from sessionloom.streaming.layers import (
     start_gold,
     start_silver,
 )
-from sessionloom.streaming.refresh import start_refresh
+from sessionloom.streaming.publish import read_published, start_publish
+from sessionloom.streaming.refresh import DURATIONS, TOP_PRODUCTS, start_refresh
 from sessionloom.streaming.sessions import start_session_state
 
 # (id, seconds after T0), one micro-batch per list.
@@ -85,6 +100,10 @@ def test_unsalted_dedupe_keeps_the_same(spark, base):
     assert dedupe_run(spark, base, copy_salts=0) == ["a", "b", "c3", "n", "z"]
 
 
+def test_salted_dedupe_keeps_the_same(spark, base):
+    assert dedupe_run(spark, base, copy_salts=8) == ["a", "b", "c3", "n", "z"]
+
+
 def test_salted_dedupe_of_a_hot_id(spark, base):
     hot = spark.range(3_000).select(
         F.when(F.col("id") % 3 == 0, F.col("id").cast("string")).otherwise("hot").alias("event_id"),
@@ -94,7 +113,8 @@ def test_salted_dedupe_of_a_hot_id(spark, base):
     )
     land(hot, f"{base}/in")
     stream = stream_of(spark, f"{base}/in", hot.schema)
-    kept = collect_batches(dedupe(stream).select("event_id"), f"{base}/c")
+    salted = dedupe(stream, copy_salts=None).select("event_id")
+    kept = collect_batches(salted, f"{base}/c")
     assert len(kept[0]) == len({i for (i,) in kept[0]}) == 1_001
 
 
@@ -152,11 +172,11 @@ def test_restart_neither_loses_nor_repeats(spark, base):
     land(sends(spark, [("c", 9000, 0, 1), ("a", 9001, 0, 2)]), f"{base}/in")
     run_all(spark, stream_records(spark, f"{base}/in"), layout, state_partitions=2)
 
-    bronze = read_table(spark, layout.table("bronze"), BRONZE_SCHEMA)
+    bronze = read_layer(spark, layout, "bronze", BRONZE_SCHEMA)
     assert rows(bronze.select("event_id", "kafka_offset")) == [
         ("a", 0), ("a", 2), ("b", 0), ("c", 1)
     ]
-    layer = read_table(spark, layout.table("silver"), SILVER_SCHEMA)
+    layer = read_layer(spark, layout, "silver", SILVER_SCHEMA)
     assert rows(layer.select("event_id")) == [("a",), ("b",), ("c",)]
     gold = gold_table(spark, layout)
     assert rows(gold.snapshot().select("session_id", "page_views")) == [("s1", 2)]
@@ -171,7 +191,7 @@ def test_replay_from_the_earliest_record(spark, base):
             stream_record_files(spark, f"{base}/in"), Layout(f"{base}/{name}"), trigger=ONCE
         ).awaitTermination()
     tables = [
-        read_table(spark, Layout(f"{base}/{n}").table("bronze"), BRONZE_SCHEMA)
+        read_layer(spark, Layout(f"{base}/{n}"), "bronze", BRONZE_SCHEMA)
         for n in ("one", "two")
     ]
     assert rows(compare_tables(*tables)) == [(3, 3, 0, 0)]
@@ -188,8 +208,8 @@ def test_late_copies_show_up_as_lost(spark, base):
         land(sends(spark, batch), f"{base}/in")
         start_bronze(stream_records(spark, f"{base}/in"), layout, **run).awaitTermination()
         start_silver(spark, layout, **run).awaitTermination()
-    bronze = read_table(spark, layout.table("bronze"), BRONZE_SCHEMA)
-    layer = read_table(spark, layout.table("silver"), SILVER_SCHEMA)
+    bronze = read_layer(spark, layout, "bronze", BRONZE_SCHEMA)
+    layer = read_layer(spark, layout, "silver", SILVER_SCHEMA)
     lost = lost_events(bronze, layer).select("event_id", "copies", "behind_s")
     assert rows(lost) == [("b", 2, 4900)]
 
@@ -197,28 +217,26 @@ def test_late_copies_show_up_as_lost(spark, base):
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.integers(0, 10_000), st.integers(1, 4))
 def test_stream_equals_batch_however_it_is_split(spark, tmp_path_factory, seed, files):
-    """In event-time order, up to the windows still open."""
+    """In event-time order, copies of an id in any batch, up to the windows still open."""
     base = str(tmp_path_factory.mktemp("split"))
     pick = random.Random(seed)
     kinds = ["page_view", "add_to_cart", "remove_from_cart", "purchase", "search"]
-    seconds = sorted(pick.randint(0, 4000) for _ in range(60))
-    made = [
-        record(
-            event(s, event_id=f"e{pick.randint(0, 40)}", session_id=f"s{i % 3}",
-                  event_type=pick.choice(kinds)), 0, i, s,
-        )
-        for i, s in enumerate(seconds)
-    ]
-    # Copies of an id must agree, or which one survives would depend on the split.
-    first = {}
-    made = [m for m in made if first.setdefault(m[1][:20].hex(), m) is m]
+    # Copies of an id are equal but for their place in the log, which silver does not keep.
+    events = [
+        event(s, event_id=f"e{i}", session_id=f"s{i % 3}", event_type=pick.choice(kinds))
+        for i, s in enumerate(sorted(pick.randint(0, 500) for _ in range(40)))
+    ]
+    arrivals = events + [pick.choice(events) for _ in range(20)]
+    # Within the watermark's delay of each other, so that none is late.
+    pick.shuffle(arrivals)
+    made = [record(e, 0, i, i) for i, e in enumerate(arrivals)]
     size = -(-len(made) // files)
     for i in range(0, len(made), size):
         land(spark.createDataFrame(made[i : i + size], BROKER_SCHEMA), f"{base}/in")
     run_all(spark, stream_records(spark, f"{base}/in"), Layout(base), state_partitions=2)
 
-    layer = read_table(spark, Layout(base).table("silver"), SILVER_SCHEMA)
-    bronze = read_table(spark, Layout(base).table("bronze"), BRONZE_SCHEMA)
+    layer = read_layer(spark, Layout(base), "silver", SILVER_SCHEMA)
+    bronze = read_layer(spark, Layout(base), "bronze", BRONZE_SCHEMA)
     assert rows(layer) == rows(to_silver(bronze))
     closed = session_metrics(layer).where(
         F.col("window_end") <= F.timestamp_seconds(F.lit(T0 + max(
@@ -227,24 +245,29 @@ def test_stream_equals_batch_however_it_is_split(spark, tmp_path_factory, seed,
     assert rows(gold_table(spark, Layout(base)).snapshot()) == rows(closed)
 
 
+def land_silver(df, layout):
+    part = dated(df.coalesce(1), "event_time")
+    part.write.mode("append").partitionBy("event_date").parquet(layout.table("silver"))
+
+
 def test_session_state_is_kept_once(spark, base):
     layout = Layout(base)
-    silver_path = layout.table("silver")
     for i, session in enumerate(["s1", "s2", "s1", "s1", "s3"]):
-        land(silver(spark, silver_row(i * 60, session, "purchase", 2.0, f"e{i}")), silver_path)
-    run = {"trigger": ONCE, "rewrite_every": 2, "max_files_per_trigger": 1}
+        land_silver(silver(spark, silver_row(i * 60, session, "purchase", 2.0, f"e{i}")), layout)
+    run = {"trigger": ONCE, "fold_every": 2, "max_files_per_trigger": 1}
     state, query = start_session_state(spark, layout, **run)
     query.awaitTermination()
     expected = [("s1", 3, 3, 6.0), ("s2", 1, 1, 2.0), ("s3", 1, 1, 2.0)]
     shown = ("session_id", "events", "purchases", "revenue")
     assert rows(state.current().select(*shown)) == expected
-    assert rows(state.table.history().select("version", "operation")) == [
-        (0, "append"), (1, "replace"), (2, "append"), (3, "replace"), (4, "append")
-    ]
+    # A batch wrote the sessions it touched and nothing else.
+    assert rows(state.table.growth()) == [(i, 1) for i in range(5)]
+    assert state.compact() == 2
+    assert rows(state.current().select(*shown)) == expected
 
     # A batch handed over again, as after a crash before its checkpoint, changes nothing.
     again = silver(spark, silver_row(240, "s3", "purchase", 2.0, "e4"))
-    state.upsert(again, layout.checkpoint("sessions"), 4)
+    state.upsert(again, 4)
     assert rows(state.current().select(*shown)) == expected
     assert state.funnel().first()["purchased_sessions"] == 3
     assert state.funnel(0).first()["purchased_sessions"] == 1
@@ -252,23 +275,111 @@ def test_session_state_is_kept_once(spark, base):
 
 def test_reports_refresh(spark, base):
     layout = Layout(base)
-    path = layout.table("silver")
-
-    def refresh():
-        start_refresh(
-            spark,
-            stream_table(spark, path, SILVER_SCHEMA),
-            lambda: read_table(spark, path, SILVER_SCHEMA),
-            {"durations": duration_histogram},
-            layout,
-            trigger=ONCE,
-        ).awaitTermination()
-        return rows(spark.read.parquet(f"{layout.table('report_durations')}/data"))
 
-    land(silver(spark, silver_row(0)), path)
-    assert refresh() == [(0, 1, 0)]
-    land(silver(spark, silver_row(700)), path)
-    assert refresh() == [(0, 1, 0), (600, 1, 1)]
+    def refresh(name, report):
+        changes = stream_table(spark, layout.table("silver"), dated(silver(spark), "event_time").schema)
+        table, query = start_refresh(
+            spark, changes.drop("event_date"), name, report, layout, fold_every=1, trigger=ONCE
+        )
+        query.awaitTermination()
+        table.table.compact(table.table.schema.fieldNames()[:1])
+        # Rows the last batch was read from.
+        read = [p["numInputRows"] for p in query.recentProgress]
+        return rows(table.shown()), sum(read)
+
+    land_silver(silver(spark, silver_row(0, kind="purchase")), layout)
+    assert refresh("durations", DURATIONS) == ([(0, 1)], 1)
+    assert refresh("top", TOP_PRODUCTS) == ([("prod_1", 1.0, 1)], 1)
+    land_silver(silver(spark, silver_row(700, kind="purchase", id="e2")), layout)
+    assert refresh("durations", DURATIONS) == ([(600, 1)], 1)
+    assert refresh("top", TOP_PRODUCTS) == ([("prod_1", 2.0, 2)], 1)
+
+
+def test_published_once_over_a_restart(spark, base):
+    layout = Layout(base)
+
+    def run():
+        raw = stream_record_files(spark, f"{base}/in").select(
+            F.col("value").cast("string").alias("raw_value")
+        )
+        query = start_publish(raw, layout, trigger=ONCE)
+        query.awaitTermination()
+        return query.recentProgress
+
+    land(sends(spark, [("a", 0, 0, 0)]), f"{base}/in")
+    land(spark.createDataFrame([record("broken", 0, 1)], BROKER_SCHEMA), f"{base}/in")
+    counts = [p["observedMetrics"]["contract"] for p in run()]
+    assert [(c["sent"], c["rejected"]) for c in counts] == [(1, 1)]
+    land(sends(spark, [("b", 1, 0, 2)]), f"{base}/in")
+    run()
+    run()
+    found = read_published(spark, layout).select(
+        "accepted", F.col("value").cast("string").contains("event_id"), "reason", "batch_id"
+    )
+    assert rows(found) == [
+        (False, False, "unparseable JSON", 0), (True, True, "", 0), (True, True, "", 1)
+    ]
+
+
+def test_old_files_are_taken_in(spark, base):
+    """A back-filled file may be far older than those already taken."""
+    layout = Layout(base)
+    land(sends(spark, [("a", 0, 0, 0)]), f"{base}/in")
+    start_bronze(stream_records(spark, f"{base}/in"), layout, trigger=ONCE).awaitTermination()
+    land(sends(spark, [("b", 1, 0, 1)]), f"{base}/late")
+    (name,) = [n for n in os.listdir(f"{base}/late") if n.endswith(".parquet")]
+    shutil.copy(f"{base}/late/{name}", f"{base}/in/{name}")
+    long_ago = time.time() - 10 * 86_400
+    os.utime(f"{base}/in/{name}", (long_ago, long_ago))
+    start_bronze(stream_records(spark, f"{base}/in"), layout, trigger=ONCE).awaitTermination()
+    bronze = read_layer(spark, layout, "bronze", BRONZE_SCHEMA)
+    assert rows(bronze.select("event_id")) == [("a",), ("b",)]
+
+
+def test_rows_without_a_time_are_in_a_half(spark):
+    source = spark.createDataFrame(
+        [(datetime(2024, 1, 1),), (datetime(2024, 1, 3),), (None,)], "ts timestamp_ntz"
+    )
+    early = first_half(source, F.col("ts").cast("timestamp"))
+    assert source.where(early).count() + source.where(~early).count() == 3
+
+
+def test_layers_live_together(spark, base):
+    """All three layers run at once while records arrive, a reader beside them."""
+    layout = Layout(base)
+    run = {"trigger": {"processingTime": "200 milliseconds"}, "state_partitions": 2}
+    land(sends(spark, [("a", 0, 0, 0)]), f"{base}/in")
+    queries = [start_bronze(stream_records(spark, f"{base}/in"), layout, **run)]
+    queries[0].processAllAvailable()
+    queries.append(start_silver(spark, layout, **run))
+    queries[1].processAllAvailable()
+    queries.append(start_gold(spark, layout, **run))
+    seen = []
+    gold = gold_table(spark, layout)
+    try:
+        for i in range(1, 4):
+            # In order of time; the copy of an id in each arrival, and one row far behind.
+            arrival = [(f"e{i}", i * 1000, 0, 2 * i), (f"e{i}", i * 1000, 1, i)]
+            land(sends(spark, arrival + ([("old", 1, 0, 99)] if i == 3 else [])), f"{base}/in")
+            for query in queries:
+                query.processAllAvailable()
+            version = gold.latest_version()
+            rows_then = gold.snapshot(version).count()
+            seen.append((version, rows_then, funnel(gold.snapshot(version)).first()["viewed_sessions"]))
+        for query in queries:
+            query.processAllAvailable()
+    finally:
+        for query in reversed(queries):
+            query.stop()
+    for version, count, viewed in seen:
+        assert gold.snapshot(version).count() == count
+        assert funnel(gold.snapshot(version)).first()["viewed_sessions"] == viewed
+    bronze = read_layer(spark, layout, "bronze", BRONZE_SCHEMA)
+    layer = read_layer(spark, layout, "silver", SILVER_SCHEMA)
+    account = dict(rows(layer_counts(bronze, layer, gold.snapshot())))
+    assert account["1_bronze"] == 8 and account["4_repeated"] == 3
+    assert account["5_late"] == 1 and account["6_silver"] == 4
+    assert account["7_counted_in_gold"] == 3 and account["8_in_open_windows"] == 1
 
 
 def test_contract_grows_mid_stream(spark, base):
@@ -283,22 +394,43 @@ def test_contract_grows_mid_stream(spark, base):
     start_bronze(
         stream_records(spark, f"{base}/in"), layout, schema=grown, trigger=ONCE
     ).awaitTermination()
-    table = read_table(spark, layout.table("bronze"), grown)
+    table = read_layer(spark, layout, "bronze", grown)
     assert rows(table.select("event_id", "channel")) == [("a", None), ("b", "app")]
     merged = read_table(spark, layout.table("bronze"), merge_schema=True)
     assert rows(merged.select("event_id", "channel")) == [("a", None), ("b", "app")]
     # The next layer, still on the old schema, is not disturbed.
     start_silver(spark, layout, trigger=ONCE, state_partitions=2).awaitTermination()
-    assert read_table(spark, layout.table("silver"), SILVER_SCHEMA).count() == 2
+    assert read_layer(spark, layout, "silver", SILVER_SCHEMA).count() == 2
 
 
-def test_stream_enrichment(spark, base):
-    catalog = spark.createDataFrame([("prod_1", "Lamp")], "product_id string, name string")
-    land(silver(spark, silver_row(0)), f"{base}/in")
-    for i, limit in enumerate((10_000, 0)):
+def test_stream_enrichment_measures_every_batch(spark, base):
+    """A catalogue that has grown beyond the limit is no longer broadcast."""
+    sizes, plans = [1, 1000], []
+
+    def catalog():
+        size = sizes.pop(0)
+        return spark.range(size).select(
+            F.concat(F.lit("prod_"), F.col("id") + 1).alias("product_id"),
+            F.lit("Lamp").alias("name"),
+        )
+
+    table = BatchTable(
+        spark, f"{base}/out", T.StructType.fromDDL("event_id string, name string"), f"{base}/c"
+    ).create()
+
+    def write(joined, batch_id):
+        plans.append(plan(joined))
+        table.write(joined, batch_id)
+
+    each = enrich_batches(catalog, write, broadcast_bytes=2000)
+    for i in range(2):
+        land(silver(spark, silver_row(i, id=f"e{i}")), f"{base}/in")
         stream = stream_of(spark, f"{base}/in", SILVER_SCHEMA)
-        joined = enrich(stream, catalog, broadcast_bytes=limit).select("event_id", "name")
-        assert collect_batches(joined, f"{base}/c{i}") == [[("e1", "Lamp")]]
+        start(stream, f"{base}/c", each_batch=each, trigger=ONCE).awaitTermination()
+    assert rows(table.snapshot()) == [("e0", "Lamp"), ("e1", "Lamp")]
+    assert "BroadcastHashJoin" in plans[0] and "BroadcastHashJoin" not in plans[1]
+    with pytest.raises(ValueError):
+        enrich(stream_of(spark, f"{base}/in", SILVER_SCHEMA), silver(spark))
 
 
 def test_runs_until_stopped(spark, base):
@@ -314,7 +446,7 @@ def test_runs_until_stopped(spark, base):
         assert query.isActive
     finally:
         query.stop()
-    assert read_table(spark, layout.table("bronze"), BRONZE_SCHEMA).count() == 2
+    assert read_layer(spark, layout, "bronze", BRONZE_SCHEMA).count() == 2
 
 
 def test_settings_are_put_back(spark, base):

@@ -3,23 +3,51 @@ import threading
 from types import SimpleNamespace
 
 import pytest
-from helpers import at, plan, rows
+from helpers import T0, at, plan, rows, silver, silver_row
 from pyspark.sql import functions as F
 
+from sessionloom.operators.funnel import funnel
+from sessionloom.operators.reports import (
+    duration_histogram,
+    duration_quantiles,
+    hourly_revenue,
+    session_durations,
+    session_spans,
+    top_products,
+)
+from sessionloom.plans.sql import FUNNEL, HOURLY_REVENUE, TOP_PRODUCTS, run_sql
 from sessionloom.session import scratch_dir
-from sessionloom.sources.tables import GOLD_SCHEMA, read_table, register_table, replace_table
-from sessionloom.sources.versioned import VersionedTable, cluster
-from sessionloom.plans.sql import FUNNEL, HOURLY_REVENUE, run_sql
+from sessionloom.sources.batches import BatchTable, cluster
+from sessionloom.sources.tables import (
+    GOLD_SCHEMA,
+    SILVER_SCHEMA,
+    Layout,
+    compact_silver,
+    dated,
+    read_layer,
+    read_table,
+    register_table,
+    registered,
+    replace_table,
+)
+
+
+def gold(spark, *sessions, seconds=0):
+    made = [(s, at(seconds), at(seconds + 300), 1, 0, 0, 0.0) for s in sessions]
+    return spark.createDataFrame(made, GOLD_SCHEMA)
 
 
-def gold(spark, *sessions):
-    made = [(s, at(0), at(300), 1, 0, 0, 0.0) for s in sessions]
-    return spark.createDataFrame(made, GOLD_SCHEMA)
+def gold_batches(spark, base, **options):
+    return BatchTable(spark, f"{base}/gold", GOLD_SCHEMA, clock="window_start", **options).create()
 
 
 @pytest.fixture
 def table(spark, base):
-    return VersionedTable(spark, f"{base}/gold", GOLD_SCHEMA).create()
+    return gold_batches(spark, base, fold_every=2)
+
+
+def files_read(df):
+    return {r[0] for r in df.select(F.input_file_name()).distinct().collect()}
 
 
 def names(df):
@@ -37,69 +65,63 @@ def test_empty_table(table):
     assert table.latest_version() is None
     assert table.snapshot().count() == 0
     assert table.growth().count() == 0
+    assert table.compact(["session_id"]) == 0
     with pytest.raises(ValueError):
         table.snapshot(0)
 
 
-def test_versions_stay_as_they_were(spark, table):
-    assert table.append(gold(spark, "a")) == 0
+def test_batches_stay_as_they_were(spark, table):
+    table.write(gold(spark, "a"), 0)
     pinned = table.snapshot(0)
-    assert table.append(gold(spark, "b", "c")) == 1
-    assert table.replace(gold(spark, "z")) == 2
-    assert table.append(gold(spark, "y")) == 3
+    table.write(gold(spark, "b", "c"), 1)
+    table.write(gold(spark).limit(0), 2)
+    table.write(gold(spark, "d"), 3)
     assert names(pinned) == names(table.snapshot(0)) == ["a"]
-    assert names(table.snapshot(1)) == ["a", "b", "c"]
-    assert names(table.snapshot(2)) == ["z"]
-    assert names(table.snapshot()) == ["y", "z"]
+    assert names(table.snapshot(1)) == names(table.snapshot(2)) == ["a", "b", "c"]
+    assert names(table.snapshot()) == ["a", "b", "c", "d"]
     assert names(table.added_rows(0, 1)) == ["b", "c"]
-    assert rows(table.growth().select("version", "rows_written", "rows_total")) == [
-        (0, 1, 1), (1, 2, 3), (2, 1, 1), (3, 1, 2)
-    ]
+    assert rows(table.growth()) == [(0, 1), (1, 2), (3, 1)]
     assert table.snapshot().schema == GOLD_SCHEMA
+    with pytest.raises(ValueError):
+        table.snapshot(4)
 
 
-def test_replace_may_read_the_table(spark, table):
-    table.append(gold(spark, "a", "b"))
-    table.replace(table.snapshot().where("session_id = 'b'"))
-    assert names(table.snapshot()) == ["b"]
-
-
-def test_a_batch_is_committed_once(spark, table):
-    write = table.batch_writer("stream-1")
-    write(gold(spark, "a"), 0)
-    write(gold(spark, "a"), 0)
-    table.batch_writer("stream-2")(gold(spark, "b"), 0)
-    assert names(table.snapshot()) == ["a", "b"]
-    assert table.committed_as("stream-1", 0) == 0
-    assert table.committed_as("stream-1", 1) is None
+def test_a_retried_batch_replaces_itself(spark, table):
+    table.write(gold(spark, "a"), 0)
+    table.write(gold(spark, "b", "c"), 1)
+    table.write(gold(spark, "b", "c"), 1)
+    assert names(table.snapshot()) == ["a", "b", "c"]
 
 
-def test_uncommitted_rows_are_invisible(spark, table, base):
-    table.append(gold(spark, "a"))
-    # What a writer leaves that died before its commit.
-    gold(spark, "lost").write.parquet(f"{base}/gold/data/version=1")
-    assert names(table.snapshot()) == ["a"]
-    assert table.growth().count() == 1
-    table.append(gold(spark, "b"))
-    assert names(table.snapshot()) == ["a", "b"]
+def test_a_pinned_read_opens_no_later_batch(spark, base):
+    table = gold_batches(spark, base)
+    for i, name in enumerate("abc"):
+        table.write(gold(spark, name), i)
+    pinned = table.snapshot(1)
+    assert "PartitionFilters: [" in plan(pinned) and "batch_id" in plan(pinned)
+    assert {f.split("batch_id=")[1][0] for f in files_read(pinned)} == {"0", "1"}
+    assert "Exchange" not in plan(pinned)
 
 
-def test_old_versions_are_not_read(spark, table):
-    for name in "abc":
-        table.replace(gold(spark, name))
-    table.append(gold(spark, "d"))
-    files = {f.rsplit("/", 2)[1] for f in table.snapshot().inputFiles()}
-    assert files == {"version=2", "version=3"}
-    assert "Exchange" not in plan(table.snapshot())
+def test_gold_of_a_time_range_reads_its_dates(spark, base):
+    table = gold_batches(spark, base)
+    day = 86_400
+    for i in range(4):
+        table.write(gold(spark, f"s{i}", seconds=i * day), i)
+    some = table.snapshot(since=at(day), until=at(3 * day))
+    assert names(some) == ["s1", "s2"]
+    for report in (hourly_revenue(some), funnel(some)):
+        assert "event_date" in plan(report).split("PartitionFilters")[1].split("]")[0]
+    assert funnel(some).first()["viewed_sessions"] == 2
 
 
 def test_reading_beside_a_writer(spark, table):
-    """Each version has one row count, however often it is read while commits go on."""
-    table.append(gold(spark, "s0"))
+    """Each batch has one row count, however often it is read while others are written."""
+    table.write(gold(spark, "s0"), 0)
 
     def write():
         for i in range(1, 6):
-            table.append(gold(spark, *[f"s{i}-{j}" for j in range(i)]))
+            table.write(gold(spark, *[f"s{i}-{j}" for j in range(i)]), i)
 
     writer = threading.Thread(target=write)
     writer.start()
@@ -108,46 +130,47 @@ def test_reading_beside_a_writer(spark, table):
         version = table.latest_version()
         seen.append((version, table.snapshot(version).count()))
     writer.join()
-    totals = {v: t for v, t in rows(table.growth().select("version", "rows_total"))}
-    assert seen and all(totals[v] == n for v, n in seen)
-    assert list(totals.values()) == sorted(totals.values())
+    assert seen and all(n == 1 + v * (v + 1) // 2 for v, n in seen)
 
 
 def test_compaction_keeps_rows_and_sorts(spark, table, base):
-    for i in range(6):
-        table.append(gold(spark, f"s{i}", f"t{9 - i}"))
-    before = rows(table.snapshot())
-    version = table.compact(["session_id"], files=2)
-    assert rows(table.snapshot()) == before
-    assert rows(table.snapshot(version - 1)) == before
-    written = os.listdir(f"{base}/gold/data/version={version}")
-    assert len([f for f in written if f.endswith(".parquet")]) <= 2
-    parts = table.snapshot().select(F.input_file_name().alias("file"), "session_id")
-    spans = sorted(
-        (r["low"], r["high"])
-        for r in parts.groupBy("file").agg(
-            F.min("session_id").alias("low"), F.max("session_id").alias("high")
-        ).collect()
-    )
-    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
-
-
-def test_expiry_keeps_what_later_versions_need(spark, table, base):
-    for name in "ab":
-        table.append(gold(spark, name))
-    table.compact(["session_id"], files=1)
-    table.append(gold(spark, "c"))
-    table.expire(1)
-    assert names(table.snapshot(1)) == ["a", "b"]
-    table.expire(3)
-    assert names(table.snapshot()) == ["a", "b", "c"]
-    assert sorted(os.listdir(f"{base}/gold/data")) == ["version=2", "version=3"]
-    assert table.history().count() == 4
-    assert rows(table.growth(since=3).select("version", "rows_total")) == [(3, 3)]
-    table.append(gold(spark, "d"))
-    assert names(table.snapshot()) == ["a", "b", "c", "d"]
-    with pytest.raises(ValueError):
-        table.expire(99)
+    for i in range(5):
+        table.write(gold(spark, f"s{i}", f"t{9 - i}"), i)
+    before = {v: rows(table.snapshot(v)) for v in range(5)}
+    assert table.compact(["session_id"]) == 2
+    assert table.compact(["session_id"]) == 0
+    assert {v: rows(table.snapshot(v)) for v in range(5)} == before
+    blocks = [d for d in os.listdir(f"{base}/gold/folded") if d.startswith("block=")]
+    assert sorted(blocks) == ["block=0", "block=1"]
+    folded = [f for f in files_read(table.snapshot()) if "/folded/" in f]
+    assert len(folded) == 2
+
+
+def test_compaction_while_the_stream_goes_on(spark, table):
+    """Whichever comes first, every committed row stays, once."""
+    for i in range(2):
+        table.write(gold(spark, f"a{i}"), i)
+    # A batch commits after compaction has looked what there is to fold.
+    newest = table.latest_version
+    table.latest_version = lambda: (table.write(gold(spark, "b"), 2), 1)[1]
+    table.compact(["session_id"])
+    table.latest_version = newest
+    assert names(table.snapshot()) == ["a0", "a1", "b"]
+    # A batch commits while compaction writes, and another compaction folds the same block.
+    table.write(gold(spark, "c"), 3)
+    inner = table._replace
+
+    def replace(part_rows, part, number, path):
+        if part == "block":
+            table._replace = inner
+            table.write(gold(spark, "d"), 4)
+            table.compact(["session_id"])
+        inner(part_rows, part, number, path)
+
+    table._replace = replace
+    table.compact(["session_id"])
+    assert names(table.snapshot()) == ["a0", "a1", "b", "c", "d"]
+    assert names(table.snapshot(3)) == ["a0", "a1", "b", "c"]
 
 
 def test_hot_value_is_split_over_files(spark):
@@ -176,6 +199,94 @@ def test_registered_table_in_sql(spark, base):
     spark.sql("DROP TABLE gold_t")
 
 
+def test_registered_partitions_are_found(spark, base):
+    table = gold_batches(spark, base)
+    table.write(gold(spark, "a"), 0)
+    table.write(gold(spark, "b"), 1)
+    register_table(spark, "gold_parts", f"{base}/gold/batches")
+    assert spark.sql("SELECT count(*) FROM gold_parts").first()[0] == 2
+    spark.sql("DROP TABLE gold_parts")
+
+
+def test_views_of_pinned_snapshots_are_dropped(spark, table):
+    table.write(gold(spark, "a"), 0)
+    table.write(gold(spark, "b"), 1)
+    with registered(spark, pinned_gold=table.snapshot(0)):
+        found = run_sql(spark, FUNNEL, gold="pinned_gold")
+        assert found.first()["viewed_sessions"] == 1
+    assert not spark.catalog.tableExists("pinned_gold")
+    assert found.first()["viewed_sessions"] == 1
+
+
+def test_limit_of_the_sql_report(spark):
+    made = [silver_row(i, kind="purchase", price=i, id=f"e{i}") for i in range(5)]
+    events = silver(spark, *made).withColumn("product_id", F.col("event_id"))
+    assert run_sql(spark, TOP_PRODUCTS, silver=events, n=2).count() == 2
+
+
+# Silver by date ----------------------------------------------------------------------------
+
+DAY = 86_400
+
+
+def land_silver(spark, layout, *seconds):
+    made = [silver_row(s, f"s{s}", "purchase", 2.0, f"e{s}") for s in seconds]
+    part = dated(silver(spark, *made), "event_time")
+    part.write.mode("append").partitionBy("event_date").parquet(layout.table("silver"))
+
+
+def read(spark, layout, *bounds):
+    return read_layer(spark, layout, "silver", SILVER_SCHEMA, *bounds)
+
+
+def test_a_range_of_silver_reads_its_dates(spark, base):
+    layout = Layout(base)
+    land_silver(spark, layout, 0, DAY - 1, DAY, 2 * DAY, None)
+    assert read(spark, layout).count() == 5
+    some = read(spark, layout, at(10), at(2 * DAY))
+    assert sorted(r["timestamp"] - T0 for r in some.collect()) == [DAY - 1, DAY]
+    reports = {
+        "top": top_products(some),
+        "durations": session_durations(session_spans(some)),
+        "histogram": duration_histogram(some),
+        "quantiles": duration_quantiles(some),
+    }
+    for report in reports.values():
+        report.collect()
+        for scan in plan(report).split("PartitionFilters: ")[1:]:
+            assert "event_date" in scan.split("]")[0]
+    # One exchange by key, besides the final one of the ordered report.
+    assert plan(reports["durations"]).split("== Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    assert plan(reports["top"]).split("== Initial Plan")[0].count("Exchange hashpartitioning") == 1
+
+
+def test_session_time_zone_does_not_move_dates(spark, base):
+    layout = Layout(base)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        land_silver(spark, layout, 0, DAY - 1, -1)
+        dates = read_table(spark, layout.table("silver")).select("event_date").distinct()
+        assert sorted(str(r[0]) for r in dates.collect()) == ["2023-12-31", "2024-01-01"]
+        assert read(spark, layout, at(0), at(DAY)).count() == 2
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_silver_compaction_leaves_open_dates(spark, base):
+    layout = Layout(base)
+    land_silver(spark, layout, 0, 10, DAY, 2 * DAY, None)
+    assert compact_silver(spark, layout) == 1
+    before = rows(read(spark, layout))
+    assert len(before) == 5
+    land_silver(spark, layout, 3 * DAY, 4 * DAY)
+    assert compact_silver(spark, layout) == 2
+    assert compact_silver(spark, layout) == 0
+    assert len(rows(read(spark, layout))) == 7 and set(before) <= set(rows(read(spark, layout)))
+    old = read(spark, layout, at(0), at(DAY))
+    assert {"/compacted/" in f for f in files_read(old)} == {True}
+
+
 def session_with(master, **settings):
     conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
