@@ -78,6 +78,30 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + {near_dedup.SHINGLE - 1}), ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - {near_dedup.SHINGLE - 1}, 1) + 1)) AS i
+        FROM w WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id), p AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), l AS (
+  SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= {near_dedup.PERCENT} * (na.n + nb.n - c)
+), r(a, b) AS (
+  SELECT doc_id, doc_id FROM n UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+), c AS (SELECT a AS doc_id, min(b) AS least_id FROM r GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+  coalesce(least_id, d.doc_id) AS component_id, coalesce(least_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -94,10 +118,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP5_SQL = f"""
 WITH w AS (
-  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  SELECT doc_id, regexp_extract_all({_LOWERED},
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents
 ), b AS (
-  SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  SELECT DISTINCT item_id, regexp_extract_all({_LOWERED},
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark
 ), q AS (
   SELECT item_id, list_slice(ws, s, s + {decontaminate.WINDOW - 1}) AS win
@@ -164,6 +188,29 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
 
+OP9_SQL = f"""
+WITH w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS ws FROM documents
+), v AS (
+  SELECT doc_id, i, array_to_string(list_slice(ws, i, i + {substring_dedup.WINDOW - 1}), ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {substring_dedup.WINDOW - 1} + 1)) AS i
+        FROM w WHERE len(ws) >= {substring_dedup.WINDOW})
+), m AS (SELECT win, min(doc_id) AS first_id FROM v GROUP BY win), h AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {substring_dedup.WINDOW})) AS i
+  FROM v JOIN m USING (win) WHERE first_id < doc_id
+), t AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w
+), k AS (
+  SELECT t.doc_id, count(h.i) AS n_removed,
+    string_agg(word, ' ' ORDER BY t.i) FILTER (WHERE h.i IS NULL) AS kept
+  FROM t LEFT JOIN h ON h.doc_id = t.doc_id AND h.i = t.i GROUP BY t.doc_id
+)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+  CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select(
@@ -206,5 +253,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": OP1_SQL,
+    "op4_near_dedup": OP4_SQL,
     "op5_decontaminate": OP5_SQL,
+    "op9_substring_dedup": OP9_SQL,
 }
