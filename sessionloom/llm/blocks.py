@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import packed, unpacked
+from sessionloom.llm.common import packed, release, releasing, unpacked
 
 BLOCK_BYTES = 4 << 20
 BLOCKS = "block bigint, payload binary"
@@ -51,7 +51,7 @@ def blocks_of(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK_
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
-    return rows.mapInArrow(run, BLOCKS)
+    return rows.mapInArrow(releasing(run), BLOCKS)
 
 
 def _block(number: int, held: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
@@ -90,7 +90,7 @@ def sent(blocks: DataFrame, send: Callable[[tuple], list[tuple[int, object]]]) -
                 out = [(b, block, value) for b, value in send(unpacked(payload.as_py()))]
                 yield from message_rows(out).to_batches()
 
-    return blocks.mapInArrow(run, MESSAGES)
+    return blocks.mapInArrow(releasing(run), MESSAGES)
 
 
 def sent_on(
@@ -108,6 +108,7 @@ def sent_on(
             block = key[0].as_py()
             for bucket, value in send(unpacked(payload.as_py()), got):
                 out.append((bucket if bucket != OWN else OWN - block, block, value))
+        release()
         return message_rows(out)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, MESSAGES)
@@ -132,6 +133,7 @@ def answered(
             return rows.select(["bucket", "block", "payload"])
         values = answer(bucket, [unpacked(p.as_py()) for p in rows["payload"]])
         kept = [(bucket, s, v) for s, v in zip(senders, values, strict=True) if v is not None]
+        release()
         return message_rows(kept)
 
     return messages.groupBy("bucket").applyInArrow(run, MESSAGES)
@@ -147,6 +149,8 @@ def finished(
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         got = _answers(right)
-        return pa.concat_tables([finish(unpacked(p.as_py()), got) for p in left["payload"]])
+        found = pa.concat_tables([finish(unpacked(p.as_py()), got) for p in left["payload"]])
+        release()
+        return found
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +52,32 @@ def unpacked(data: bytes) -> object:
     return pickle.loads(zstandard.ZstdDecompressor().decompress(data))
 
 
+def release() -> None:
+    """Hand memory that a task has freed back to the system: Python workers wait between tasks,
+    and what they hold on to is missing elsewhere on the executor."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """Function for ``mapInArrow`` that gives memory back when it is through."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):
+    # Other C libraries have no such call.
+    _trim = None
+
 _shipped: set[str] = set()
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from sessionloom.llm.blocks import answered, blocks_of, finished, sent, shuffled
-from sessionloom.llm.common import packed, text_bytes, unpacked
+from sessionloom.llm.common import packed, releasing, text_bytes, unpacked
 from sessionloom.llm.textscan import (
     Words,
     covered,
@@ -38,9 +38,9 @@ from sessionloom.llm.textscan import (
 )
 
 WINDOW = 13
-RUN = 4
+RUN = 3
 # Text of a bucket aimed at; the number of buckets follows from the size of the corpus.
-BUCKET_BYTES = 6 << 20
+BUCKET_BYTES = 12 << 20
 # Counters of the frequency table; a counter above HOT times the mean marks its runs as hot.
 CELLS = 1 << 16
 HOT = 8
@@ -181,19 +181,30 @@ def _answer(window: int):
     """Per message the slots whose window is also in a smaller document than the sender's."""
 
     def answer(_: int, messages: list) -> list:
-        data = np.frombuffer(b"\n".join(text for _, text in messages) + b"\n", np.uint8)
-        ends = np.flatnonzero((data == 32) | (data == 10))
-        starts = np.concatenate(([0], ends[:-1] + 1))
-        last = data[ends] == 10
-        piece = np.cumsum(last) - last
-        at = np.flatnonzero(piece[: len(piece) - window + 1] == piece[window - 1 :])
-        piece = piece[at]
         owner = np.concatenate([np.frombuffer(d, "<i8") for d, _ in messages])
+        sizes = np.cumsum([0] + [len(d) // 8 for d, _ in messages])
+        body, pieces, starts, ends, hashes = [], [], [], [], []
+        offset = 0
+        for first, some in gathered(text for _, text in messages):
+            # Only places and hashes of windows are kept of each run of messages.
+            data = np.frombuffer(b"\n".join(some) + b"\n", np.uint8)
+            stop = np.flatnonzero((data == 32) | (data == 10))
+            start = np.concatenate(([0], stop[:-1] + 1))
+            last = data[stop] == 10
+            piece = np.cumsum(last) - last
+            at = np.flatnonzero(piece[: len(piece) - window + 1] == piece[window - 1 :])
+            a, b = start[at], stop[at + window - 1]
+            hashes.append(range_hash(prefix_hash(data), a, b))
+            pieces.append(piece[at] + sizes[first])
+            starts.append(a + offset)
+            ends.append(b + offset)
+            body.append(data)
+            offset += len(data)
+        piece = np.concatenate(pieces)
         doc = owner[piece]
-        a, b = starts[at], ends[at + window - 1]
-        least = least_of_equal(data, a, b - a, range_hash(prefix_hash(data), a, b), doc)
+        a, b = np.concatenate(starts), np.concatenate(ends)
+        least = least_of_equal(np.concatenate(body), a, b - a, np.concatenate(hashes), doc)
         told = np.flatnonzero(least < doc)
-        sizes = np.cumsum([0] + [len(d) // 8 for d, _ in messages])
         base = np.searchsorted(piece, sizes)
         cuts = np.searchsorted(told, base)
         out: list = []
@@ -274,7 +285,7 @@ def hot_cells(blocks: DataFrame, window: int, run: int) -> np.ndarray:
         return pa.table({"slice": [key[0].as_py()], "counts": pa.array([packed(total)], pa.binary())})
 
     schema = "slice bigint, counts binary"
-    rows = blocks.mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).collect()
+    rows = blocks.mapInArrow(releasing(count), schema).groupBy("slice").applyInArrow(add, schema).collect()
     total = np.zeros((SLICES, CELLS // SLICES), np.int64)
     for row in rows:
         total[row["slice"]] = unpacked(bytes(row["counts"]))
