@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
     session = (
         builder.config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .config("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
