@@ -9,11 +9,13 @@
 3. Bands. Documents that agree in all coordinates of a band share a bucket. With 44 bands of 8
    a pair at similarity 0.85 shares none with probability 9e-7, less above.
 4. Links. Each bucket's members are compared with its smallest on their full sets, and
-   components are taken. Members of one bucket that still lie in different components are
-   then all compared with each other; pairs inside a component cannot change anything.
+   components are taken. Buckets whose members still lie in different components are then
+   settled in tiles: all members of such buckets are compared across components, exactly.
+   Pairs inside a component cannot change anything.
 
-Buckets have no cap. Copies never meet pair by pair: classes take equal sets first, and in a
-bucket of near copies all but the members left over go through its smallest member.
+Buckets have no cap. Copies never meet pair by pair: classes take equal sets first, and near
+copies mostly go through the smallest member of a bucket. What is left over is compared in
+tiles of bounded size, whose number grows with the square of what is left over of one cluster.
 
 Defined results: null, empty and blank texts have no shingles and are linked with nothing, as
 are rows with a null id; a text of fewer words than a shingle is one shingle; rows that share
@@ -30,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import stored
+from sessionloom.llm.common import release, releasing, stored
 from sessionloom.llm.components import components
 from sessionloom.llm.textscan import Words, gathered, mixed, prefix_hash, range_hash
 
@@ -39,6 +41,9 @@ BANDS = 44
 ROWS = 8
 # Similarity in percent from which documents are linked.
 PERCENT = 85
+# Members and compressed text of a tile, two of which are compared by one task.
+TILE_TEXTS = 1024
+TILE_BYTES = 4 << 20
 
 _EMPTY = np.uint64((1 << 64) - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -167,7 +172,97 @@ def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     right = texts.select(F.col("id").alias("b"), F.col("body").alias("body_b"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
     checked = joined.select("a", "b", "body_a", "body_b")
-    return checked.mapInArrow(_similar(shingle, percent), "a bigint, b bigint").distinct()
+    return checked.mapInArrow(releasing(_similar(shingle, percent)), "a bigint, b bigint").distinct()
+
+
+def _settled(rest: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs of components with linked members that share a bucket.
+
+    ``rest``: (key, id, component, first) of unsettled buckets. Buckets that share members form
+    a cluster, whose members travel once, not once per bucket. A cluster is cut into tiles of
+    bounded text; a task gets two tiles, compares their sets exactly, and returns no more pairs
+    than join the components it found linked, so rows stay in proportion to members.
+    """
+    clusters = components(rest.select(F.col("first").alias("a"), F.col("id").alias("b")))
+    member = rest.select("id", "component").distinct().join(clusters.withColumnRenamed("component", "cluster"), "id")
+    bodies = member.join(texts, "id").select("cluster", "id", "component", "body")
+    sizes = bodies.groupBy("cluster").agg(
+        F.greatest(
+            F.ceil(F.count("*") / F.lit(TILE_TEXTS)),
+            F.ceil(F.sum(F.octet_length("body")) / F.lit(TILE_BYTES)),
+        ).alias("tiles")
+    )
+    tiled = bodies.join(sizes, "cluster").withColumn("tile", F.expr("pmod(xxhash64(id), tiles)"))
+    tasks = tiled.withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)"))).select(
+        "cluster",
+        F.least("tile", "other").alias("low"),
+        F.greatest("tile", "other").alias("high"),
+        "tile",
+        "id",
+        "component",
+        "body",
+    )
+    return tasks.groupBy("cluster", "low", "high").applyInArrow(
+        _compare_tiles(shingle, percent), "a bigint, b bigint"
+    )
+
+
+def _compare_tiles(shingle: int, percent: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        low, high = key[1].as_py(), key[2].as_py()
+        open_text = zstandard.ZstdDecompressor().decompress
+        owners, hashes = [], []
+        for at, some in gathered(open_text(b.as_py()) for b in rows["body"]):
+            owner, found = shingles(some, shingle)
+            owners.append(owner + at)
+            hashes.append(found)
+        owner, found = np.concatenate(owners), np.concatenate(hashes)
+        n = np.bincount(owner, minlength=rows.num_rows)
+        tile = rows["tile"].to_numpy()
+        left = np.flatnonzero(tile == low)
+        right = np.flatnonzero(tile == high)
+        place = np.zeros(rows.num_rows, np.int64)
+        place[right] = np.arange(len(right))
+        place_left = np.zeros(rows.num_rows, np.int64)
+        place_left[left] = np.arange(len(left))
+        common = np.zeros((len(left), len(right)), np.int32)
+        order = np.argsort(found, kind="stable")
+        owner, found = owner[order], found[order]
+        cuts = np.flatnonzero(found[1:] != found[:-1]) + 1
+        begins, ends = np.append(0, cuts), np.append(cuts, len(found))
+        several = ends - begins > 1
+        for a, b in zip(begins[several].tolist(), ends[several].tolist(), strict=True):
+            who = owner[a:b]
+            x, y = who[tile[who] == low], who[tile[who] == high]
+            if len(x) and len(y):
+                common[np.ix_(place_left[x], place[y])] += 1
+        total = n[left][:, None] + n[right][None, :] - common
+        part = rows["component"].to_numpy()
+        linked = (100 * common.astype(np.int64) >= percent * total) & (common > 0)
+        linked &= part[left][:, None] != part[right][None, :]
+        release()
+        return _forest(part, left, right, np.argwhere(linked))
+
+    return run
+
+
+def _forest(part: np.ndarray, left: np.ndarray, right: np.ndarray, pairs: np.ndarray) -> pa.Table:
+    """Pairs of components that are linked, no more than it takes to join them."""
+    top: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while top.get(x, x) != x:
+            x = top[x]
+        return x
+
+    a, b = [], []
+    for i, j in pairs.tolist():
+        x, y = root(int(part[left[i]])), root(int(part[right[j]]))
+        if x != y:
+            top[max(x, y)] = min(x, y)
+            a.append(int(part[left[i]]))
+            b.append(int(part[right[j]]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def near_duplicates(
@@ -183,7 +278,7 @@ def near_duplicates(
     plain = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
-    sketched = stored(plain.mapInArrow(_sketch(shingle, bands, rows), SKETCH), "sketches")
+    sketched = stored(plain.mapInArrow(releasing(_sketch(shingle, bands, rows)), SKETCH), "sketches")
     whole_set = ["n_shingles", "set_a", "set_b"]
     some = sketched.where("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy(*whole_set).agg(
@@ -229,36 +324,19 @@ def near_duplicates(
     found = components(links)
     # What shares a bucket and is not yet connected is compared in full.
     placed = members.join(found, "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component")
+        "key", "id", F.coalesce("component", "id").alias("component")
     )
     unsettled = (
         placed.groupBy("key")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(F.min("id").alias("first"), F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low <> high")
-        .select("key")
-    )
-    rest = stored(placed.join(unsettled, "key", "left_semi"), "unsettled")
-    x = rest.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    y = rest.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    second = (
-        x.join(y, "key")
-        .where(f"a < b and c_a <> c_b and {sizes}")
-        .select("a", "b")
-        .distinct()
-        .join(first, ["a", "b"], "left_anti")
+        .select("key", "first")
     )
-    more = stored(_verified(second, texts, shingle, percent), "more_links")
+    rest = stored(placed.join(unsettled, "key"), "unsettled")
+    more = stored(_settled(rest, texts, shingle, percent), "more_links")
+    # Components of components: what the first links have joined is settled.
     if not more.isEmpty():
-        # Components of components: the graph of the first round is already settled.
-        label = found.select("id", "component")
-        ends = more
-        for end in ("a", "b"):
-            ends = (
-                ends.join(label.withColumnRenamed("id", end), end, "left")
-                .withColumn(end, F.coalesce("component", end))
-                .drop("component")
-            )
-        merged = components(ends.select("a", "b"))
+        merged = components(more)
         found = stored(
             found.select("id", "component")
             .join(merged.select(F.col("id").alias("component"), F.col("component").alias("top")), "component", "left")
