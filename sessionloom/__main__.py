@@ -3,17 +3,41 @@
 from __future__ import annotations
 
 import argparse
+from datetime import datetime, timezone
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sessionloom.operators import quality, reports
+from sessionloom.operators.enrich import enrich, enrich_batches
 from sessionloom.operators.funnel import funnel
-from sessionloom.operators.quality import compare_tables
+from sessionloom.operators.gold import activity_windows
 from sessionloom.session import build_session
+from sessionloom.sources.batches import BatchTable
 from sessionloom.sources.broker import publish_kafka, stream_kafka, stream_record_files
 from sessionloom.sources.delta import DeltaTableStore
-from sessionloom.sources.tables import GOLD_SCHEMA, Layout, read_table, replace_table
-from sessionloom.streaming.layers import ONCE, gold_table, start_bronze, start_gold, start_silver
-from sessionloom.streaming.publish import publish_checked
+from sessionloom.sources.tables import (
+    BRONZE_SCHEMA,
+    GOLD_SCHEMA,
+    SILVER_SCHEMA,
+    Layout,
+    compact_silver,
+    read_layer,
+    read_table,
+    replace_table,
+)
+from sessionloom.streaming.layers import (
+    ONCE,
+    gold_table,
+    start,
+    start_bronze,
+    start_gold,
+    start_silver,
+    stream_layer,
+)
+from sessionloom.streaming.publish import publish_checked, start_publish
+from sessionloom.streaming.refresh import DURATIONS, TOP_PRODUCTS, start_refresh
+from sessionloom.streaming.sessions import start_session_state
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -26,6 +50,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--servers", default="localhost:9092")
     parser.add_argument("--topic")
     parser.add_argument("--input", help="JSON lines to publish")
+    parser.add_argument("--catalog", help="product table (Parquet) to enrich events with")
+    parser.add_argument("--report", choices=sorted(REPORTS))
+    parser.add_argument("--since", type=_instant, help="UTC, such as 2024-01-31T12:00")
+    parser.add_argument("--until", type=_instant, help="UTC, not included")
     parser.add_argument("--interval", help='time between batches, such as "1 minute"')
     parser.add_argument("--once", action="store_true", help="take in what is there, then end")
     parser.add_argument("--state-partitions", type=int)
@@ -33,11 +61,19 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.job == "bronze" and not (args.records or args.topic):
         parser.error("bronze reads --records or --topic")
-    if args.job == "publish" and not args.input:
-        parser.error("publish reads --input")
+    if args.job == "publish" and not (args.input or args.records):
+        parser.error("publish reads --input, or --records as a stream")
+    if args.job == "enrich" and not args.catalog:
+        parser.error("enrich reads --catalog")
+    if args.job == "report" and not args.report:
+        parser.error("report needs --report")
     return args
 
 
+def _instant(text: str) -> datetime:
+    return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
+
+
 def _run(args: argparse.Namespace) -> dict:
     trigger = ONCE if args.once else {"processingTime": args.interval} if args.interval else None
     return {
@@ -87,14 +123,21 @@ def round_trip(spark: SparkSession, args: argparse.Namespace) -> None:
     path = f"{args.base}/round_trip"
     row = spark.createDataFrame([(1, "hello table")], "id long, message string")
     replace_table(row, path, args.format)
-    counts = compare_tables(row, read_table(spark, path, row.schema, args.format)).first()
+    counts = quality.compare_tables(row, read_table(spark, path, row.schema, args.format)).first()
     if counts["only_left"] or counts["only_right"]:
         raise SystemExit(f"{path} does not hold what was written to it: {counts.asDict()}")
     print(f"{path}: wrote {counts['rows_left']}, read back {counts['rows_right']}, all equal")
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Check JSON lines against the contract; the good ones go to the topic, if one is named."""
+    """Check JSON events against the contract; the good ones go to the topic, if one is named.
+    Lines of a file in one go, or record files as a stream."""
+    if args.records:
+        records = stream_record_files(spark, args.records, args.max_per_trigger)
+        raw = records.select(F.col("value").cast("string").alias("raw_value"))
+        layout, run = Layout(args.base), _run(args)
+        start_publish(raw, layout, args.servers, args.topic, **run).awaitTermination()
+        return
     out = f"{args.base}/published"
     publish_checked(spark.read.text(args.input).withColumnRenamed("value", "raw_value"), out)
     written = spark.read.schema("key binary, value binary, accepted boolean").parquet(out)
@@ -104,6 +147,96 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     print(f"{counts.get(True, 0)} accepted, {counts.get(False, 0)} in quarantine ({out})")
 
 
+def sessions(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Keep the session table."""
+    _, query = start_session_state(
+        spark, Layout(args.base), max_files_per_trigger=args.max_per_trigger, **_run(args)
+    )
+    query.awaitTermination()
+
+
+def refresh(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Keep the reports that can be kept from new rows alone."""
+    layout = Layout(args.base)
+    run = {key: value for key, value in _run(args).items() if key != "name"}
+    queries = []
+    for name, report in {"durations": DURATIONS, "top_products": TOP_PRODUCTS}.items():
+        silver_rows = stream_layer(
+            spark, layout, "silver", SILVER_SCHEMA, args.format, args.max_per_trigger
+        )
+        queries.append(start_refresh(spark, silver_rows, name, report, layout, **run)[1])
+    for query in queries:
+        query.awaitTermination()
+
+
+def enriched(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Join silver to a product table, batch by batch."""
+    layout = Layout(args.base)
+
+    def catalog() -> DataFrame:
+        return spark.read.parquet(args.catalog)
+
+    rows = enrich(spark.createDataFrame([], SILVER_SCHEMA), catalog())
+    checkpoint = layout.checkpoint("enriched")
+    table = BatchTable(spark, layout.table("enriched"), rows.schema, checkpoint).create()
+    silver_rows = stream_layer(
+        spark, layout, "silver", SILVER_SCHEMA, args.format, args.max_per_trigger
+    )
+    each = enrich_batches(catalog, table.write)
+    start(silver_rows, checkpoint, each_batch=each, **_run(args)).awaitTermination()
+
+
+# Report name -> layer it reads, and how it is made.
+REPORTS = {
+    "hourly-revenue": ("gold", reports.hourly_revenue),
+    "top-products": ("silver", reports.top_products),
+    "durations": ("silver", lambda rows: reports.session_durations(reports.session_spans(rows))),
+    "duration-histogram": ("silver", reports.duration_histogram),
+    "duration-quantiles": ("silver", reports.duration_quantiles),
+    "activity-windows": ("silver", activity_windows),
+}
+
+
+def report(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Make a report of a time range and store it as a table."""
+    layout = Layout(args.base)
+    layer, make = REPORTS[args.report]
+    if layer == "gold":
+        rows = gold_table(spark, layout).create().snapshot(None, args.since, args.until)
+    else:
+        rows = read_layer(
+            spark, layout, layer, SILVER_SCHEMA, args.since, args.until, args.format
+        )
+    path = layout.table(f"made/{args.report}")
+    replace_table(make(rows), path)
+    print(f"{path}: {read_table(spark, path).count()} row(s)")
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Rewrite what is closed: dates of silver, blocks of gold batches."""
+    layout = Layout(args.base)
+    dates = compact_silver(spark, layout)
+    blocks = gold_table(spark, layout).create().compact(["session_id", "window_start"])
+    print(f"{dates} date(s) of silver, {blocks} block(s) of gold")
+
+
+def audit(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Reconcile the layers, one ``key=value`` line per step; the full audits become tables."""
+    layout = Layout(args.base)
+    raw = read_layer(spark, layout, "bronze", BRONZE_SCHEMA, fmt=args.format)
+    clean = read_layer(spark, layout, "silver", SILVER_SCHEMA, fmt=args.format)
+    metrics = gold_table(spark, layout).create().snapshot()
+    audits = {
+        "offsets": quality.offset_audit(raw),
+        "missing": quality.silver_audit(raw, clean),
+        "lost": quality.lost_events(raw, clean),
+    }
+    for name, rows in audits.items():
+        replace_table(rows, layout.table(f"audit/{name}"))
+    for step in quality.layer_counts(raw, clean, metrics).collect():
+        print(f"{step['step']}={step['rows']}")
+
+
 JOBS = {
     "bronze": bronze,
     "silver": silver,
@@ -111,6 +244,12 @@ JOBS = {
     "funnel": funnel_report,
     "round-trip": round_trip,
     "publish": publish,
+    "sessions": sessions,
+    "refresh": refresh,
+    "enrich": enriched,
+    "report": report,
+    "compact": compact,
+    "audit": audit,
 }
 
 
