@@ -212,6 +212,15 @@ def bronze_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return presented(bronze_batch(spark, sf_dir).drop("raw_value"))
 
 
+@query(f"WITH {_FEED} SELECT {_EVENT_COLUMNS} FROM feed")
+def strict_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sound events through the contract's schema with all fields required."""
+    body = F.col("value").cast("string")
+    records = clean_records(source_events(spark, sf_dir))
+    parsed = records.select(F.inline(F.array(F.from_json(body, event_schema(strict=True)))))
+    return parsed.select(*FIELDS)
+
+
 @query(_DECODED)
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = streamed(spark, sf_dir, "bronze_stream").into_bronze()
