@@ -8,12 +8,17 @@ and all that is said per copy stays inside its block.
 
 Blocks are built inside a scan task, in its row order, and travel compressed through one
 shuffle that all steps of a query share. A lost one is built again from the same file range.
+Answers belong to the very documents they were asked for: every block notes a digest of its
+documents when it sends, and a block whose digest is not the one noted (its table was split
+anew in between) ends the job with an error instead of a wrong result.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -81,14 +86,34 @@ def message_rows(rows: list[tuple[int, int, object]]) -> pa.Table:
     )
 
 
+def _digest(columns: tuple) -> int:
+    ids = np.array(columns[0], np.int64).tobytes()
+    sizes = np.fromiter(map(len, columns[2]), np.int64, len(columns[2])).tobytes()
+    return zlib.crc32(sizes, zlib.crc32(ids))
+
+
+def _with_note(columns: tuple, out: list[tuple[int, object]], block: int) -> list:
+    """Messages of a block with its own number, and its note closed by the digest."""
+    note = next((value for bucket, value in out if bucket == OWN), None)
+    rows = [(bucket, block, value) for bucket, value in out if bucket != OWN]
+    return [*rows, (OWN - block, block, (_digest(columns), note))]
+
+
+def _checked(columns: tuple, got: dict[int, object]) -> dict[int, object]:
+    digest, note = got.get(OWN, (None, None))
+    if digest != _digest(columns):
+        raise ValueError("answers are for other documents: the table was split anew")
+    return {**got, OWN: note}
+
+
 def sent(blocks: DataFrame, send: Callable[[tuple], list[tuple[int, object]]]) -> DataFrame:
     """Messages of each block: ``send(columns of the block)`` gives (bucket, value) pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch["block"].to_pylist(), batch["payload"], strict=True):
-                out = [(b, block, value) for b, value in send(unpacked(payload.as_py()))]
-                yield from message_rows(out).to_batches()
+                columns = unpacked(payload.as_py())
+                yield from message_rows(_with_note(columns, send(columns), block)).to_batches()
 
     return blocks.mapInArrow(releasing(run), MESSAGES)
 
@@ -104,10 +129,9 @@ def sent_on(
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for payload in left["payload"]:
-            got = _answers(right)
-            block = key[0].as_py()
-            for bucket, value in send(unpacked(payload.as_py()), got):
-                out.append((bucket if bucket != OWN else OWN - block, block, value))
+            columns = unpacked(payload.as_py())
+            found = send(columns, _checked(columns, _answers(right)))
+            out += _with_note(columns, found, key[0].as_py())
         release()
         return message_rows(out)
 
@@ -149,8 +173,11 @@ def finished(
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         got = _answers(right)
-        found = pa.concat_tables([finish(unpacked(p.as_py()), got) for p in left["payload"]])
+        found = []
+        for payload in left["payload"]:
+            columns = unpacked(payload.as_py())
+            found.append(finish(columns, _checked(columns, got)))
         release()
-        return found
+        return pa.concat_tables(found)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)

@@ -34,6 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The same for rows of several MB, which columnar files are not made for: a checkpoint in
+    the shared folder."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoint"))
+    return df.checkpoint()
+
+
 def text_of(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

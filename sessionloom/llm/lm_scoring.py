@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionloom.llm.blocks import answered, blocks_of, finished, sent, shuffled
-from sessionloom.llm.common import packed, stored, text_bytes, unpacked
+from sessionloom.llm.common import checkpointed, packed, releasing, stored, text_bytes, unpacked
 from sessionloom.llm.textscan import Words, gathered, mixed, prefix_hash, range_hash
 
 HEADS = 15
@@ -88,7 +88,8 @@ class Tokens:
     def features(self) -> list[np.ndarray]:
         one, two, three = self.history(1), self.history(2), self.history(3)
         keys = [one, two ^ _PAIRS[0], one * _PAIRS[1] + two, one * _PAIRS[2] + three]
-        return [(mixed(k) % np.uint64(ROWS)).astype(np.int64) for k in keys]
+        # 16 bits sort fastest.
+        return [(mixed(k) % np.uint64(ROWS)).astype(np.uint16) for k in keys]
 
 
 def classes_of(hashes: np.ndarray, heads: np.ndarray) -> np.ndarray:
@@ -100,15 +101,38 @@ def classes_of(hashes: np.ndarray, heads: np.ndarray) -> np.ndarray:
     return np.where(hashes == END, 0, out)
 
 
-def _class_logs(prior: np.ndarray, weights: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
-    logits = np.broadcast_to(prior, (len(features[0]), len(prior))).copy()
-    for rows in features:
-        logits += weights[rows]
-    logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+def _logits(prior: np.ndarray, weights: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+    """Scores of all classes for each history, shifted so that the largest is 0."""
+    logits = weights.take(features[0], axis=0)
+    for rows in features[1:]:
+        logits += weights.take(rows, axis=0)
+    logits += prior
+    largest = logits
+    while largest.shape[1] > 1:
+        # Halves against each other: far faster than a maximum along short rows.
+        half = (largest.shape[1] + 1) // 2
+        largest = np.maximum(largest[:, :half], largest[:, -half:])
+    logits -= largest
     return logits
 
 
+def class_probabilities(
+    prior: np.ndarray, weights: np.ndarray, features: list[np.ndarray]
+) -> np.ndarray:
+    odds = np.exp(_logits(prior, weights, features))
+    odds /= odds.sum(axis=1, keepdims=True)
+    return odds
+
+
+def class_logs(
+    prior: np.ndarray, weights: np.ndarray, features: list[np.ndarray], kind: np.ndarray
+) -> np.ndarray:
+    """Log probability of one class for each history."""
+    logits = _logits(prior, weights, features)
+    wanted = logits[np.arange(len(kind)), kind]
+    return wanted - np.log(np.exp(logits, out=logits).sum(axis=1))
+
+
 class BlockWords:
     """Tokens of a block by parts, and its distinct words sorted by hash."""
 
@@ -202,7 +226,7 @@ class Statistics:
     """Counts of the training texts: fixed in size, whatever the corpus."""
 
     def __init__(self, messages: DataFrame, documents: int) -> None:
-        totals = messages.groupBy("bucket").applyInArrow(
+        totals = messages.where("bucket >= 0").groupBy("bucket").applyInArrow(
             _bucket_totals,
             "classes array<struct<tokens:bigint,words:bigint>>, "
             "top array<struct<count:bigint,word:binary>>",
@@ -236,20 +260,16 @@ class Statistics:
         self.prior = np.log((counts + SMOOTH) / (counts + SMOOTH).sum()).astype(np.float32)
 
 
-def _train(weights: np.ndarray, statistics: Statistics, turn: int):
+def _train(weights: np.ndarray, statistics: Statistics):
     """Gradient steps of one task; its change of each row, times how often it met the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = weights.copy()
         met = np.zeros(ROWS, np.float32)
         for batch in batches:
-            for payload in batch["payload"]:
-                columns = unpacked(payload.as_py())
-                rest = remainders(columns)
-                chosen = (rest % 5 != 1) & (rest // 5 % ROUNDS == turn)
-                texts = [t for t, c in zip(columns[2], chosen.tolist(), strict=True) if c]
-                for _, some in gathered(texts):
-                    _steps(mine, met, statistics, Tokens(some))
+            texts = batch["text"].cast(pa.binary())
+            for _, some in gathered(t.as_py() or b"" for t in texts):
+                _steps(mine, met, statistics, Tokens(some))
         change = (mine - weights) * met[:, None]
         group = TaskContext.get().partitionId() // TASKS_AT_ONCE
         for number, part in enumerate(zip(np.split(change, SLICES), np.split(met, SLICES), strict=True)):
@@ -270,15 +290,25 @@ def _steps(weights: np.ndarray, met: np.ndarray, statistics: Statistics, tokens:
     features = tokens.features()
     for a in range(0, len(kind), BATCH):
         some = [f[a : a + BATCH] for f in features]
-        gradient = np.exp(_class_logs(statistics.prior, weights, some))
+        gradient = class_probabilities(statistics.prior, weights, some)
         gradient[np.arange(len(gradient)), kind[a : a + BATCH]] -= 1
         for rows in some:
             order = np.argsort(rows, kind="stable")
-            first = np.flatnonzero(np.diff(rows[order], prepend=-1))
-            touched = rows[order][first]
-            met[touched] += np.diff(np.append(first, len(rows)))
-            total = np.add.reduceat(gradient[order], first, axis=0)
-            weights[touched] -= STEP / np.sqrt(1 + met[touched])[:, None] * total
+            ordered = rows[order]
+            first = np.flatnonzero(np.diff(ordered.astype(np.int64), prepend=-1))
+            times = np.diff(np.append(first, len(rows)))
+            touched = ordered[first]
+            met[touched] += times
+            # Most rows are met once in a batch; only the others need sums.
+            total = gradient.take(order[first], axis=0)
+            several = times > 1
+            if several.any():
+                size = times[several]
+                begin = np.cumsum(size) - size
+                inside = np.repeat(first[several] - begin, size) + np.arange(int(size.sum()))
+                total[several] = np.add.reduceat(gradient.take(order[inside], axis=0), begin, axis=0)
+            total *= (STEP / np.sqrt(1 + met[touched]))[:, None]
+            weights[touched] -= total
 
 
 def _summed(rows: pa.Table) -> pa.Table:
@@ -295,12 +325,14 @@ def _summed(rows: pa.Table) -> pa.Table:
     )
 
 
-def trained(blocks: DataFrame, statistics: Statistics) -> np.ndarray:
-    """Weights of the class factor (ROWS x CLASSES)."""
+def trained(texts: DataFrame, statistics: Statistics) -> np.ndarray:
+    """Weights of the class factor (ROWS x CLASSES) from (remainder, text) of the training
+    texts; a round takes those whose remainder div 5 falls to it."""
     schema = "slice bigint, tasks bigint, payload binary"
     weights = np.zeros((ROWS, CLASSES), np.float32)
     for turn in range(ROUNDS):
-        parts = blocks.mapInArrow(_train(weights, statistics, turn), schema)
+        mine = texts.where(F.expr(f"remainder div 5 % {ROUNDS} = {turn}")).select("text")
+        parts = mine.mapInArrow(releasing(_train(weights, statistics)), schema)
         parts = parts.groupBy("slice", "tasks").applyInArrow(_summed, schema)
         parts = parts.groupBy("slice").applyInArrow(_summed, schema)
         size = ROWS // SLICES
@@ -331,8 +363,9 @@ def _score(weights: np.ndarray, statistics: Statistics, buckets: int):
             features = tokens.features()
             for a in range(0, len(kind), BATCH):
                 some = [f[a : a + BATCH] for f in features]
-                known = _class_logs(statistics.prior, weights, some)
-                logs[a : a + BATCH] += known[np.arange(len(known)), kind[a : a + BATCH]]
+                logs[a : a + BATCH] += class_logs(
+                    statistics.prior, weights, some, kind[a : a + BATCH]
+                )
             n = tokens.words.n_docs
             out[0] += np.bincount(tokens.doc, minlength=n).tolist()
             out[1] += np.bincount(tokens.doc, count > 0, n).astype(np.int64).tolist()
@@ -359,10 +392,14 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     score. Texts whose crc32(doc_id as text) leaves 1 modulo 5 are held out."""
     buckets = max(1, -(-text_bytes(docs, text) // WORD_BUCKET_BYTES))
     name = F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit(""))
-    documents = docs.where(F.crc32(name.cast("binary")) % 5 != 1).count()
-    blocks = blocks_of(docs, doc_id, text)
+    training = docs.select(
+        F.crc32(name.cast("binary")).alias("remainder"), F.col(text).cast("string").alias("text")
+    ).where("remainder % 5 <> 1")
+    documents = training.count()
+    # Answers outlive the job that asks: the blocks must be the same ones.
+    blocks = checkpointed(blocks_of(docs, doc_id, text))
     messages = stored(sent(blocks, _word_counts(buckets)), "word_counts")
     statistics = Statistics(messages, documents)
-    weights = trained(blocks, statistics)
+    weights = trained(training, statistics)
     answers = answered(messages, _told_counts)
     return finished(shuffled(blocks), answers, _score(weights, statistics, buckets), RESULT)

@@ -9,11 +9,13 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionloom.llm import (
+    blocks,
     decontaminate,
     line_dedup,
     lm_scoring,
@@ -519,8 +521,11 @@ def test_class_probabilities_add_up():
     assert sorted(kinds.tolist()) == [0, 1, 2]
     weights = np.random.default_rng(1).normal(size=(lm_scoring.ROWS, lm_scoring.CLASSES)).astype(np.float32)
     prior = np.zeros(lm_scoring.CLASSES, np.float32)
-    logs = lm_scoring._class_logs(prior, weights, [np.array([1, 2]), np.array([3, 4])])
-    assert np.allclose(np.exp(logs).sum(axis=1), 1, atol=1e-5)
+    features = [np.array([1, 2]), np.array([3, 4])]
+    odds = lm_scoring.class_probabilities(prior, weights, features)
+    assert np.allclose(odds.sum(axis=1), 1, atol=1e-5)
+    logs = lm_scoring.class_logs(prior, weights, features, np.array([5, 7]))
+    assert np.allclose(np.exp(logs), odds[[0, 1], [5, 7]], atol=1e-6)
 
 
 # Substring dedup ---------------------------------------------------------------------------
@@ -630,3 +635,18 @@ def test_thresholds_reject_bad_texts_and_keep_good_ones(spark):
     assert sum(kept[i] for i in range(0, 3000, 5)) < 0.02 * 600
     # No label in that stratum: nothing is certified there.
     assert kept[9001] and not kept[9002]
+
+
+def test_answers_for_other_documents_end_the_job(spark):
+    rows = [(i, prose(i, 30), "", "", 0) for i in range(4)]
+    asked = blocks.blocks_of(table(spark, rows).coalesce(1), "doc_id", "text")
+    other = blocks.blocks_of(table(spark, rows[1:]).coalesce(1), "doc_id", "text")
+    notes = blocks.answered(blocks.sent(asked, lambda columns: []), lambda bucket, values: values)
+
+    def finish(columns, answers):
+        return pa.table({"n": pa.array([len(columns[0])], pa.int64())})
+
+    done = blocks.finished(blocks.shuffled(asked), notes, finish, "n bigint")
+    assert done.collect()[0]["n"] == 4
+    with pytest.raises(Exception, match="split anew"):
+        blocks.finished(blocks.shuffled(other), notes, finish, "n bigint").collect()
