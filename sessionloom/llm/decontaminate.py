@@ -18,10 +18,12 @@ from uuid import uuid4
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sessionloom.llm.common import releasing
+
 WINDOW = 10
 # Text of one automaton; a larger benchmark is cut into several, each scanned in turn.
 AUTOMATON_BYTES = 16 << 20
@@ -131,17 +133,20 @@ def scan(
         F.array().cast("array<string>").alias("items"),
     )
     out_type = state.schema
-    for number in range(parts):
-        rows = [(r["item"], r["text"]) for r in items.where(part == number).collect()]
-        state = state.mapInArrow(_scanner(docs.sparkSession, rows, window), out_type)
     found = T.StructType.fromDDL(
         "n_words bigint, n_hit bigint, item_ids array<string>, spans array<struct<start:int,end:int>>"
     )
     closed = T.StructType([state.schema["row"], *found.fields])
-    return state.mapInArrow(_closer, closed)
+    for number in range(parts):
+        rows = [(r["item"], r["text"]) for r in items.where(part == number).collect()]
+        # The last scan also closes: with one automaton a task needs one Python worker.
+        last = number == parts - 1
+        run = _scanner(docs.sparkSession, rows, window, last)
+        state = state.mapInArrow(releasing(run), closed if last else out_type)
+    return state
 
 
-def _scanner(spark, rows, window):
+def _scanner(spark: SparkSession, rows: list[tuple[str, str]], window: int, last: bool):
     shared, key = spark.sparkContext.broadcast(rows), uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +163,7 @@ def _scanner(spark, rows, window):
                 runs = merged(runs + [(h["first"], h["last"]) for h in hits]) if runs else None
                 all_hits.append([{"first": a, "last": b} for a, b in runs] if runs else hits)
                 all_items.append(sorted(found.union(items)) if found else items)
-            yield pa.RecordBatch.from_arrays(
+            scanned = pa.RecordBatch.from_arrays(
                 [
                     batch["row"],
                     batch["doc_text"],
@@ -168,26 +173,26 @@ def _scanner(spark, rows, window):
                 ],
                 names=batch.schema.names,
             )
+            yield _closed(scanned) if last else scanned
 
     return run
 
 
-def _closer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _closed(batch: pa.RecordBatch) -> pa.RecordBatch:
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    for batch in batches:
-        n_hit, spans = [], []
-        for i, hits in enumerate(batch["hits"].to_pylist()):
-            runs = [(h["first"], h["last"]) for h in hits]
-            n_hit.append(sum(b - a + 1 for a, b in runs))
-            places = original_spans(batch["doc_text"][i].as_py(), runs) if runs else []
-            spans.append([{"start": a, "end": b} for a, b in places])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch["row"],
-                batch["n_words"],
-                pa.array(n_hit, pa.int64()),
-                batch["items"],
-                pa.array(spans, span),
-            ],
-            names=["row", "n_words", "n_hit", "item_ids", "spans"],
-        )
+    n_hit, spans = [], []
+    for i, hits in enumerate(batch["hits"].to_pylist()):
+        runs = [(h["first"], h["last"]) for h in hits]
+        n_hit.append(sum(b - a + 1 for a, b in runs))
+        places = original_spans(batch["doc_text"][i].as_py(), runs) if runs else []
+        spans.append([{"start": a, "end": b} for a, b in places])
+    return pa.RecordBatch.from_arrays(
+        [
+            batch["row"],
+            batch["n_words"],
+            pa.array(n_hit, pa.int64()),
+            batch["items"],
+            pa.array(spans, span),
+        ],
+        names=["row", "n_words", "n_hit", "item_ids", "spans"],
+    )

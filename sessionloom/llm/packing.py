@@ -25,12 +25,14 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sessionloom.llm.common import releasing
+
 SEQUENCE = 2048
 END_ID = 1
 # Pieces packed together by one task.
 GROUP_PIECES = 20_000
-# Distinct words whose ids a Python worker remembers (a few hundred MB at most).
-CACHED_WORDS = 1_000_000
+# Distinct words whose ids a Python worker remembers (some 100 MB).
+CACHED_WORDS = 500_000
 DOCS_AT_ONCE = 256
 
 PIECES = (
@@ -225,7 +227,7 @@ def cut(docs: DataFrame, tokenizer_path: str, doc_id: str, text: str, size: int,
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(releasing(run), PIECES)
 
 
 def _pack_group(size: int):

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sessionloom.llm.common import releasing
+
 # Kinds in the order spans at one place are listed; the first three are the base.
 KINDS = ["assign", "access", "hex", "github", "npm", "iban", "card"]
 
@@ -152,7 +154,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """(row struct of the input row, spans: array of kind, start, end). No shuffle."""
     rows = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("doc_text"))
     found = T.StructType.fromDDL("spans array<struct<kind:string,start:int,end:int>>")
-    return rows.mapInArrow(_scan, T.StructType([rows.schema["row"], *found.fields]))
+    return rows.mapInArrow(releasing(_scan), T.StructType([rows.schema["row"], *found.fields]))
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
