@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from sessionloom.llm.textscan import equal_ranges, mixed, prefix_hash, range_hash
+from sessionloom.llm.textscan import equal_ranges, prefix_hash, range_hash
 
 TRIGGER = 12
 # One place in so many is a trigger.

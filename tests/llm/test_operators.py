@@ -12,7 +12,6 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sessionloom.llm import (
     blocks,
