@@ -44,7 +44,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     and text are one document; rows without an id all stay."""
     ship(spark)
     found = near_dedup.near_duplicates(docs)
-    kept = found.where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = found.where("kept and doc_id is not null").select("doc_id").distinct().hint("merge")
     named = docs.withColumns(
         {"_text_a": F.xxhash64("text"), "_text_b": F.xxhash64(F.lit(1), "text")}
     )

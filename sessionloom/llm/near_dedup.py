@@ -313,7 +313,8 @@ def near_duplicates(
         .distinct(),
         "pairs",
     )
-    wanted = members.select("id").distinct()
+    # Dealt by id at every size, not sent to all while it happens to be small.
+    wanted = members.select("id").distinct().hint("merge")
     bodies = (
         plain.select(F.col("doc_id").alias("id"), "text")
         .join(wanted, "id", "left_semi")
@@ -344,10 +345,12 @@ def near_duplicates(
             .union(merged.join(found, "id", "left_anti")),
             "components",
         )
-    # Back to every document by its class.
-    classes = classes.select(*whole_set, "rep").join(
-        found.withColumnRenamed("id", "rep"), "rep", "left"
-    ).select(*whole_set, F.coalesce("component", "rep").alias("component_id"))
+    # Back to every document by its class. Stored, so that both sides of the join are dealt by
+    # set and a class with very many copies is split by the skew join.
+    named = classes.select(*whole_set, "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left")
+    classes = stored(
+        named.select(*whole_set, F.coalesce("component", "rep").alias("component_id")), "classes"
+    )
     own = sketched.where("n_shingles > 0 and doc_id is not null").drop("bands")
     alone = sketched.where("n_shingles = 0 or doc_id is null")
     return (
