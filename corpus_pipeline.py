@@ -29,9 +29,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many pages of their source share; every document
-    stays, with ``n_chars`` of its new text."""
+    stays, with ``n_chars`` of its new text. Copies are still in: they count as one page, or
+    the lines of a text with many copies would be dropped from all of them."""
     ship(spark)
-    cleaned = line_dedup.drop_boilerplate(docs)
+    cleaned = line_dedup.drop_boilerplate(docs, copies_once=True)
     changed = {
         "text": F.col("clean_text"),
         "n_chars": F.length("clean_text").cast("long"),

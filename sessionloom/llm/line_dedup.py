@@ -8,6 +8,11 @@ Defined results: a null text stays null and counts as a page without lines; a nu
 host of its own; repeated rows are pages of their own; hosts with fewer than ``min_pages``
 pages lose nothing, as a share of two or three pages says little; an empty table gives an
 empty table. Input columns may have any names: a row travels as one struct.
+
+With ``copies_once`` equal texts of one host are one page wherever pages are counted: what a
+page shares with its own copies alone is no boilerplate, so where copies are still to be
+removed, the one to be kept keeps its text. Texts are told apart by 128 bits. All null texts
+of a host are then one page.
 """
 
 from __future__ import annotations
@@ -35,9 +40,15 @@ def _line_key(line: Column) -> Column:
     return F.when(bare != "", key)
 
 
+def _text_key(text: Column) -> Column:
+    body = text.cast("string")
+    return F.struct(F.xxhash64(body).alias("a"), F.xxhash64(F.lit(1), body).alias("b"))
+
+
 def _lines(docs: DataFrame, host: str, text: str) -> DataFrame:
     return docs.select(
         F.struct("*").alias("row"),
+        _text_key(F.col(text)).alias("text_key"),
         F.col(host).cast("string").alias("host"),
         F.split(F.col(text).cast("string"), "\n", -1).alias("lines"),
     ).withColumn("keys", F.transform("lines", _line_key))
@@ -49,18 +60,24 @@ def boilerplate(
     text: str = "text",
     max_ratio: float = MAX_RATIO,
     min_pages: int = MIN_PAGES,
+    copies_once: bool = False,
 ) -> DataFrame:
     """(host, line_key, pages_with, pages) of every boilerplate line.
 
     At most mean lines per page / ``max_ratio`` rows per host: each takes up more than
     ``max_ratio`` of the host's pages.
     """
+    lines = _lines(docs, host, text)
+    owners = lines.select("host", "text_key")
+    if copies_once:
+        # Combined before the shuffle, so a text with very many copies is no hot key.
+        owners = owners.distinct()
+        lines = lines.select("host", "text_key", "keys").dropDuplicates(["host", "text_key"])
     pages = (
-        docs.groupBy(F.col(host).cast("string").alias("host"))
+        owners.groupBy("host")
         .agg(F.count("*").alias("pages"))
         .where(F.col("pages") >= min_pages)
     )
-    lines = _lines(docs, host, text)
     counts = (
         lines.select("host", F.explode(F.array_distinct("keys")).alias("line_key"))
         .where(F.col("line_key").isNotNull())
@@ -84,6 +101,7 @@ def drop_boilerplate(
     min_pages: int = MIN_PAGES,
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
+    copies_once: bool = False,
 ) -> DataFrame:
     """(row struct of the input row, n_lines, n_removed, clean_text).
 
@@ -92,7 +110,7 @@ def drop_boilerplate(
     joined by host with the rows of a host dealt over ``salts`` tasks.
     """
     per_host = stored(
-        boilerplate(docs, host, text, max_ratio, min_pages)
+        boilerplate(docs, host, text, max_ratio, min_pages, copies_once)
         .groupBy("host")
         .agg(F.collect_list("line_key").alias("drop")),
         "boilerplate",

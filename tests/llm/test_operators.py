@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sessionloom.llm import (
     blocks,
     decontaminate,
@@ -155,6 +156,21 @@ def test_lines(spark, empty):
     assert line_dedup.drop_boilerplate(empty).count() == 0
 
 
+def test_copies_are_one_page(spark):
+    """In the pipeline a text with many copies keeps its lines; what its host shares goes."""
+    copied = "first line of the copied text\nsecond line of it"
+    rows = [(i, f"page {i}\nfooter", "en", "h", 1) for i in range(89)]
+    rows += [(100 + i, f"{copied}\nfooter", "en", "h", 1) for i in range(11)]
+    rows += [(200 + i, copied, "en", "copies", 1) for i in range(300)]
+    rows += [(600 + i, f"own {i}", "en", "copies", 1) for i in range(25)]
+    docs = table(spark, rows)
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()}
+    assert left == {d: t.removesuffix("\nfooter") for d, t, *_ in rows}
+    # The query counts rows, as its SQL does.
+    cleaned = line_dedup.drop_boilerplate(docs).where("row.doc_id = 100")
+    assert cleaned.first()["clean_text"] == ""
+
+
 # Passage dedup -----------------------------------------------------------------------------
 
 
