@@ -6,12 +6,18 @@ class factor is log-linear in hashed features of the history (previous word, the
 both, and a skip pair) on top of the class prior; the word factor is log-linear in the word
 alone, whose best weights are its smoothed log count, with one share left for unseen words.
 
+On top stand the exact counts of all word pairs and triples of the training texts, dealt over
+buckets by 56 bits of their hash; they grow with the corpus and none is left out. For the pair,
+then the triple: P_n(token | history) = (count of the n-gram + MU * P_below) / (count of its
+history + MU), which adds up to 1 over all tokens whenever P_below does. A training text is
+scored without its own share of these counts, or it would find itself in them.
+
 Training. Counts of all training words are summed exactly in buckets of words. The class
 factor is trained by distributed gradient updates: in each round every task runs gradient
 steps over its part of the training texts from the weights of the round before, and rows of
 weights are averaged by how often each task met them. A round takes its own share of the
 documents, so that all rounds together read every training text once. The weights have a fixed
-size, set by parameters; what is gathered to make them grows with the corpus.
+size, set by parameters; the n-gram counts above them grow with the corpus.
 
 A null text is empty and is scored as its end alone; a null id counts as the text ''; repeated
 rows count each; without training texts every token is unseen; an empty table gives an empty
@@ -41,6 +47,10 @@ ROUNDS = 2
 STEP = 0.3
 BATCH = 4096
 SMOOTH = 0.5
+# Weight of the lower order, in tokens, for pairs and triples: the best of a grid on sf0.01
+# training texts, each scored without itself.
+MU = (100.0, 30.0)
+GRAM_BITS = 56
 WORD_BUCKET_BYTES = 8 << 20
 CLASSES = 1 + HEADS + HASHED
 # Parts in which weights are summed, and tasks summed together first.
@@ -92,6 +102,13 @@ class Tokens:
         return [(mixed(k) % np.uint64(ROWS)).astype(np.uint16) for k in keys]
 
 
+    def grams(self) -> np.ndarray:
+        """Hashes of the pair and of the triple that ends at each token, a row each."""
+        pairs = mixed(self.history(1) * _PAIRS[1] + self.hashes)
+        triples = mixed(self.history(2) * _PAIRS[2] + pairs)
+        return np.stack([pairs, triples]) >> np.uint64(64 - GRAM_BITS)
+
+
 def classes_of(hashes: np.ndarray, heads: np.ndarray) -> np.ndarray:
     """0: end; 1..HEADS: the frequent words, by sorted hash; above: hashed classes."""
     out = (mixed(hashes) % np.uint64(HASHED)).astype(np.int64) + 1 + HEADS
@@ -182,6 +199,64 @@ def _word_counts(buckets: int):
     return send
 
 
+class BlockGrams:
+    """Distinct n-grams of a block, sorted by hash, and their numbers at each token."""
+
+    def __init__(self, parts: list[tuple[int, Tokens]]) -> None:
+        found = [tokens.grams() for _, tokens in parts]
+        every = np.concatenate([f.ravel() for f in found]) if found else np.zeros(0, np.uint64)
+        self.hashes, number = np.unique(every, return_inverse=True)
+        cuts = np.cumsum([f.size for f in found])[:-1]
+        split = np.split(number, cuts) if found else []
+        self.numbers = [n.reshape(f.shape) for n, f in zip(split, found, strict=True)]
+
+    def routes(self, buckets: int) -> list[tuple[int, slice]]:
+        """(bucket, its n-grams): a bucket holds a range of hashes."""
+        edges = np.array([(b << GRAM_BITS) // buckets for b in range(buckets)], np.uint64)
+        cuts = [*np.searchsorted(self.hashes, edges).tolist(), len(self.hashes)]
+        return [(b, slice(cuts[b], cuts[b + 1])) for b in range(buckets) if cuts[b] < cuts[b + 1]]
+
+
+def planes(values: np.ndarray) -> bytes:
+    """64-bit numbers by byte planes: high bytes of small numbers compress to nothing."""
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def _gram_counts(buckets: int):
+    """Distinct n-grams of a block with their counts in its training texts. Buckets stand
+    behind those of the words."""
+
+    def send(columns: tuple) -> list[tuple[int, object]]:
+        train = remainders(columns) % 5 != 1
+        parts = [(at, Tokens(some)) for at, some in gathered(columns[2])]
+        grams = BlockGrams(parts)
+        counts = np.zeros(len(grams.hashes), np.int64)
+        for (at, tokens), number in zip(parts, grams.numbers, strict=True):
+            counted = number[:, train[at + tokens.doc]].ravel()
+            counts += np.bincount(counted, minlength=len(counts))
+        return [
+            (buckets + b, (planes(np.diff(grams.hashes[mine], prepend=np.uint64(0))), planes(counts[mine])))
+            for b, mine in grams.routes(buckets)
+        ]
+
+    return send
+
+
+def _told_gram_counts(_: int, messages: list) -> list:
+    """Counts in all training texts, to every block for its n-grams."""
+    hashes = [np.cumsum(from_planes(h, np.uint64), dtype=np.uint64) for h, _ in messages]
+    counts = np.concatenate([from_planes(c, np.int64) for _, c in messages])
+    cuts = np.cumsum([len(h) for h in hashes])[:-1]
+    _, number = np.unique(np.concatenate(hashes), return_inverse=True)
+    # Sums below 2 ** 53 are exact.
+    totals = np.bincount(number, counts).astype(np.int64)[number]
+    return [planes(told) for told in np.split(totals, cuts)]
+
+
 def _totals(messages: list) -> dict[bytes, int]:
     totals: dict[bytes, int] = {}
     for text, counts in messages:
@@ -343,15 +418,40 @@ def trained(texts: DataFrame, statistics: Statistics) -> np.ndarray:
     return weights
 
 
+def _others(tokens: Tokens, train: np.ndarray, number: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Counts without those of the token's own text, where that is a training text."""
+    pairs = tokens.doc * (int(number.max(initial=0)) + 1) + number
+    _, at, times = np.unique(pairs, return_inverse=True, return_counts=True)
+    return count - np.where(train, times[at], 0)
+
+
+def with_grams(
+    below: np.ndarray, tokens: Tokens, starts: np.ndarray, counts: list[np.ndarray]
+) -> np.ndarray:
+    """P(token | history) from the probabilities of the model below and the counts of the
+    word, the pair and the triple at each token. A history is the n-gram one shorter at the
+    token before, a text's begin as often as there are texts (``starts``)."""
+    out = below
+    for mu, shorter, count in zip(MU, counts, counts[1:]):
+        history = np.where(tokens.step == 0, starts, np.roll(shorter, 1))
+        out = (count + mu * out) / (history + mu)
+    return out
+
+
 def _score(weights: np.ndarray, statistics: Statistics, buckets: int):
     def finish(columns: tuple, answers: dict[int, object]) -> pa.Table:
         block = BlockWords(columns[2])
         counts = np.zeros(len(block.hashes), np.int64)
         for bucket, mine in block.routes(buckets):
             counts[mine] = np.frombuffer(answers[bucket], np.int64)
+        grams = BlockGrams(block.parts)
+        gram_counts = np.zeros(len(grams.hashes), np.int64)
+        for bucket, mine in grams.routes(buckets):
+            gram_counts[mine] = from_planes(answers[buckets + bucket], np.int64)
+        training = remainders(columns) % 5 != 1
         room = statistics.tokens + SMOOTH * (statistics.distinct + 1)
         out: list[list] = [[], [], [], []]
-        for (_, tokens), number in zip(block.parts, block.numbers, strict=True):
+        for (first, tokens), number, gram in zip(block.parts, block.numbers, grams.numbers, strict=True):
             count = np.empty(len(tokens.hashes), np.int64)
             count[tokens.word_at] = counts[number]
             count[tokens.end_at] = statistics.documents
@@ -366,6 +466,12 @@ def _score(weights: np.ndarray, statistics: Statistics, buckets: int):
                 logs[a : a + BATCH] += class_logs(
                     statistics.prior, weights, some, kind[a : a + BATCH]
                 )
+            train = training[first + tokens.doc]
+            names = np.full(len(count), len(block.hashes))
+            names[tokens.word_at] = number
+            others = [_others(tokens, train, names, count)]
+            others += [_others(tokens, train, g, gram_counts[g]) for g in gram]
+            logs = np.log(with_grams(np.exp(logs), tokens, statistics.documents - train, others))
             n = tokens.words.n_docs
             out[0] += np.bincount(tokens.doc, minlength=n).tolist()
             out[1] += np.bincount(tokens.doc, count > 0, n).astype(np.int64).tolist()
@@ -401,5 +507,6 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     messages = stored(sent(blocks, _word_counts(buckets)), "word_counts")
     statistics = Statistics(messages, documents)
     weights = trained(training, statistics)
-    answers = answered(messages, _told_counts)
+    grams = sent(blocks, _gram_counts(buckets)).where("bucket >= 0")
+    answers = answered(messages, _told_counts).union(answered(grams, _told_gram_counts))
     return finished(shuffled(blocks), answers, _score(weights, statistics, buckets), RESULT)

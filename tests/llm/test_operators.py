@@ -530,6 +530,51 @@ def test_model_learns_word_order(spark):
     assert gain > 0.2
 
 
+def test_every_pair_and_triple_counts(spark, monkeypatch):
+    """N-grams of far more words than the weight table has rows keep counts of their own."""
+    follow = [random.Random(i).sample(range(6000), 2) for i in range(6000)]
+    r = random.Random(12)
+    rows = []
+    for i in range(600):
+        word, out = r.randrange(6000), []
+        for _ in range(300):
+            word = follow[word][r.randrange(2)]
+            out.append(word)
+        rows.append((i, " ".join(f"v{w}" for w in out), "", "", 0))
+    rows.append((None, None, "", "", 0))
+    monkeypatch.setattr(lm_scoring, "WORD_BUCKET_BYTES", 1 << 18)
+    found = lm_scoring.scored(table(spark, rows).repartition(3)).collect()
+    for held in (True, False):
+        # A training text does not profit from its own counts: both kinds score alike.
+        some = [x for x in found if x["held_out"] == held]
+        gain = sum(x["score"] - x["base_score"] for x in some) / sum(x["n_tokens"] for x in some)
+        assert 1.0 < gain < 3.5
+
+
+def test_n_gram_probabilities_from_counts():
+    texts = [b"a b a b", b"a b c", b"b"]
+    tokens = lm_scoring.Tokens(texts)
+    train = np.array([True, True, False])[tokens.doc]
+    words = [["<", "<", *t.decode().split(), ">"] for t in texts]
+    seen = [collections.Counter(tuple(w[i - n + 1 : i + 1]) for w in words[:2] for i in range(2, len(w)))
+            for n in (1, 2, 3)]
+    want, counts = [], [[], [], []]
+    for j, w in enumerate(words):
+        for i in range(2, len(w)):
+            p = 0.1
+            for n, mu in zip((2, 3), lm_scoring.MU):
+                others = [v for k, v in enumerate(words[:2]) if k != j]
+                grams = [tuple(v[k - n + 1 : k + 1]) for v in others for k in range(2, len(v))]
+                here = tuple(w[i - n + 1 : i + 1])
+                p = (grams.count(here) + mu * p) / (sum(g[:-1] == here[:-1] for g in grams) + mu)
+            want.append(p)
+            for n in (1, 2, 3):
+                counts[n - 1].append(seen[n - 1][tuple(w[i - n + 1 : i + 1])])
+    names = [np.unique(tokens.hashes, return_inverse=True)[1], *lm_scoring.BlockGrams([(0, tokens)]).numbers[0]]
+    others = [lm_scoring._others(tokens, train, n, np.array(c)) for n, c in zip(names, counts, strict=True)]
+    assert np.allclose(lm_scoring.with_grams(np.full(len(want), 0.1), tokens, 2 - train, others), want)
+
+
 def test_class_probabilities_add_up():
     heads = np.sort(lm_scoring.word_hashes([b"a", b"b"]))
     kinds = lm_scoring.classes_of(np.append(heads, lm_scoring.END), heads)
