@@ -697,6 +697,28 @@ def test_thresholds_reject_bad_texts_and_keep_good_ones(spark):
     assert kept[9001] and not kept[9002]
 
 
+def test_few_labels_certify_in_sequence(spark):
+    """A stratum among four with 217 to 305 good texts held out gets its rules."""
+    r = random.Random(13)
+    rows, labels = [], []
+    for i in range(430):
+        words = prose(i, 40).split()
+        bad = i % 4 == 0
+        if bad:
+            for _ in range(4):
+                words[r.randrange(40)] = r.choice(["vile", "nasty", "rotten"])
+        rows.append((i, " ".join(words), "es" if i >= 3 else "abc"[i], "", 0))
+        labels.append((i, 1, int(bad)))
+    docs = table(spark, rows)
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    abusive, fitted = quality_rules.abusive_words(docs, labels)
+    found = quality_rules.thresholds(quality_rules.measured(docs, abusive), labels, fitted).collect()
+    assert [(x["stratum"], x["rule"], x["n_wrong"]) for x in found] == [("es", "abuse", 0)]
+    assert 217 <= found[0]["n_good"] < 306
+    kept = {x["doc_id"]: x["kept"] for x in quality_rules.judged(docs, labels).collect()}
+    assert all(kept[i] == (i % 4 != 0) for i in range(4, 430))
+
+
 def test_answers_for_other_documents_end_the_job(spark):
     rows = [(i, prose(i, 30), "", "", 0) for i in range(4)]
     asked = blocks.blocks_of(table(spark, rows).coalesce(1), "doc_id", "text")
