@@ -483,6 +483,24 @@ def test_checksums():
     assert secrets.find(None) == secrets.find("") == []
 
 
+def test_numbers_among_other_words():
+    def found(text):
+        return [(kind, text[a:b]) for kind, a, b in secrets.find(text)]
+
+    card, spain, belgium = "4111 1111 1111 1111", "ES91 2100 0418 4502 0005 1332", "BE68 5390 0754 7034"
+    for text in (f"card {card} 12/26", f"visa card number ending soon: {card} 123", f"{card} (mastercard)",
+                 f"mastercard, as printed there: {card}.", f"card 2 {card}"):
+        assert found(text) == [("card", card)], text
+    assert found("card 4111111111111111 123") == [("card", "4111111111111111")]
+    assert found("card 371449635398431 1234") == [("card", "371449635398431")]
+    assert found(f"IBAN {spain} EUR") == [("iban", spain)]
+    assert found(f"IBAN {belgium} BIC") == [("iban", belgium)]
+    assert found(f"{spain} EUR is the IBAN; pay to {belgium} X") == [("iban", spain), ("iban", belgium)]
+    # Not the length of the country, a wrong checksum, too far from the word.
+    assert found(f"IBAN {belgium}7") == [] and found("IBAN ES92 2100 0418 4502 0005 1332 EUR") == []
+    assert found(f"card {'x' * 30} {card}") == [] and found(f"{card} {'x' * 30} card") == []
+
+
 def test_secret_scan(docs, empty):
     found = secrets.scan(docs)
     assert found.count() == len(corpus())
