@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.llm import (
     decontaminate,
+    fill_middle,
     line_dedup,
     lm_scoring,
     near_dedup,
@@ -19,6 +20,7 @@ from sessionloom.llm import (
     secrets,
     sharding,
     substring_dedup,
+    topk_search,
 )
 from sessionloom.llm.common import ship, table
 
@@ -226,6 +228,64 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % topk_search.QUERY_EVERY == 0))
+
+
+OP11_SQL = f"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({topk_search.SCALE} * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM (SELECT * FROM v WHERE vec_id % {topk_search.QUERY_EVERY} = 0) q JOIN v c ON c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= {topk_search.K}
+"""
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.cut(fill_middle.framed(table(spark, sf_dir, "documents")), with_frames=False)
+    return found.withColumn("doc_id", F.col("doc_id").cast("long")).drop("frames")
+
+
+OP13_SQL = f"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    sha256('{fill_middle.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hx,
+    regexp_extract_all(coalesce(text, ''),
+      '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents
+), h AS (
+  SELECT *, len(u) AS n, CAST('0x' || hx[1:8] AS BIGINT) AS h1, CAST('0x' || hx[9:16] AS BIGINT) AS h2,
+    CAST('0x' || hx[17:24] AS BIGINT) AS h3, CAST('0x' || hx[25:32] AS BIGINT) AS h4
+  FROM t
+), c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR h3 % 100 >= {fill_middle.PLAIN} THEN 'plain'
+      WHEN h4 % 100 < {fill_middle.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+  FROM h
+), p AS (
+  SELECT *, array_to_string(list_slice(u, 1, a), '') AS pre,
+    array_to_string(list_slice(u, a + 1, b), '') AS mid, array_to_string(list_slice(u, b + 1, n), '') AS suf
+  FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+    ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
 def _shipping(query: Callable[[SparkSession, str], DataFrame]):
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,6 +308,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_scoring,
         op9_substring_dedup,
         op10_quality_rules,
+        op11_topk_search,
+        op13_fill_middle,
     )
 }
 
@@ -256,4 +318,6 @@ ORACLES: dict[str, str] = {
     "op4_near_dedup": OP4_SQL,
     "op5_decontaminate": OP5_SQL,
     "op9_substring_dedup": OP9_SQL,
+    "op11_topk_search": OP11_SQL,
+    "op13_fill_middle": OP13_SQL,
 }

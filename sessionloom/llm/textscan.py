@@ -66,6 +66,11 @@ def gathered(texts: Iterable[bytes], limit: int = AT_ONCE) -> Iterator[tuple[int
         yield first, run
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes are white space."""
+    return _SPACE[data]
+
+
 class Words:
     """Words of several texts, joined by one space each.
 

@@ -22,17 +22,15 @@ def sql():
     return connection
 
 
-def comparable(frame):
-    frame = frame[sorted(frame.columns)].astype(object)
-    frame = frame.where(frame.notna(), None)
-    return sorted(map(repr, frame.itertuples(index=False, name=None)))
+def comparable(found):
+    return sorted(repr(sorted(row.items())) for row in found.to_pylist())
 
 
 @pytest.mark.parametrize("name", ORACLES)
 def test_query(spark, sql, name):
-    ours = QUERIES[name](spark, SF_DIR).toPandas()
-    theirs = sql.execute(ORACLES[name]).df()
-    assert sorted(ours.columns) == sorted(theirs.columns)
+    ours = QUERIES[name](spark, SF_DIR).toArrow()
+    theirs = sql.execute(ORACLES[name]).to_arrow_table()
+    assert sorted(ours.column_names) == sorted(theirs.column_names)
     assert comparable(ours) == comparable(theirs)
 
 
