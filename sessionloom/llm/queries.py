@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.llm import (
+    collocations,
     decontaminate,
     fill_middle,
     line_dedup,
@@ -248,6 +249,51 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= {to
 """
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = f"""
+WITH p AS (
+  SELECT coalesce(lang, '{collocations.NO_LANG}') AS lang,
+    unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p
+), z AS (
+  SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM w, range(1, {collocations.LONGEST + 1}) AS r(k) WHERE len(ws) >= k)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f, string_split(phrase, ' ') AS ws FROM g
+  GROUP BY lang, k, phrase HAVING count(*) >= {collocations.MIN_COUNT}
+), x AS (
+  SELECT lang, k, phrase, f AS a, cut, array_to_string(list_slice(ws, 1, cut), ' ') AS pre,
+    array_to_string(list_slice(ws, cut + 1, k), ' ') AS suf
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM f WHERE k > 1)
+), s AS (
+  SELECT x.lang, x.phrase, x.a, l.f AS l, r.f AS r, x.cut,
+    CAST(({collocations.MILLIONTHS}::HUGEINT * x.a) // (l.f::HUGEINT + r.f) AS BIGINT) AS score
+  FROM x JOIN f l ON l.lang = x.lang AND l.phrase = x.pre JOIN f r ON r.lang = x.lang AND r.phrase = x.suf
+), b AS (
+  SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), o AS (
+  SELECT DISTINCT lang, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS phrase, f AS longer
+  FROM (SELECT lang, ws, f, m, unnest(range(1, k - m + 2)) AS i
+        FROM f, range(2, {collocations.LONGEST}) AS r(m) WHERE k > m)
+), c AS (SELECT lang, phrase, max(longer) AS longer FROM o GROUP BY lang, phrase), t AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN c USING (lang, phrase)
+  WHERE 100::HUGEINT * coalesce(longer, 0) < {collocations.COVERED}::HUGEINT * a
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+  CAST(r AS BIGINT) AS r, n, score
+FROM t JOIN z USING (lang) WHERE rank <= {collocations.TOP}
+"""
+
+
 def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_middle.cut(fill_middle.framed(table(spark, sf_dir, "documents")), with_frames=False)
     return found.withColumn("doc_id", F.col("doc_id").cast("long")).drop("frames")
@@ -309,6 +355,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_substring_dedup,
         op10_quality_rules,
         op11_topk_search,
+        op12_collocations,
         op13_fill_middle,
     )
 }
@@ -319,5 +366,6 @@ ORACLES: dict[str, str] = {
     "op5_decontaminate": OP5_SQL,
     "op9_substring_dedup": OP9_SQL,
     "op11_topk_search": OP11_SQL,
+    "op12_collocations": OP12_SQL,
     "op13_fill_middle": OP13_SQL,
 }
