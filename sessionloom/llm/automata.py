@@ -21,7 +21,14 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 def in_order(phrases: np.ndarray) -> np.ndarray:
     """Order of the rows, a beginning before what it begins."""
-    return np.lexsort(phrases.T[::-1])
+    bits = int(phrases.max(initial=0)).bit_length()
+    if bits * phrases.shape[1] > 63:
+        return np.lexsort(phrases.T[::-1])
+    key = np.zeros(len(phrases), np.int64)
+    for column in phrases.T:
+        key = (key << bits) + column
+    # Stable sorting merges what is in order already.
+    return np.argsort(key, kind="stable")
 
 
 def new_rows(phrases: np.ndarray) -> np.ndarray:
@@ -53,6 +60,11 @@ class CountAutomaton:
     root: int
     width: int
 
+    def __reduce__(self):
+        """Small numbers, most of them the same: they compress well."""
+        arcs = (np.diff(self.first), _turned(np.diff(self.label, prepend=0)), self.weight, self.target)
+        return _read, (tuple(map(planes, arcs)), self.root, self.width)
+
     @classmethod
     def of(cls, phrases: np.ndarray, counts: np.ndarray) -> CountAutomaton:
         """Automaton of distinct phrases that come in order. A state is complete when the phrases
@@ -122,6 +134,9 @@ class CountAutomaton:
             ends = self.weight[arc] > 0
             found.append((path[ends], self.weight[arc][ends], count[ends]))
         phrases, here, count = (np.concatenate([f[i] for f in found]) for i in range(3))
+        if sum(len(f[0]) > 0 for f in found) < 2:
+            # Phrases of one length come in order.
+            return phrases, here, count
         order = in_order(phrases)
         return phrases[order], here[order], count[order]
 
@@ -142,6 +157,33 @@ class CountAutomaton:
         return np.where(hit, self.target[arc], 0), np.where(hit, self.weight[arc], 0)
 
 
+def _turned(steps: np.ndarray) -> np.ndarray:
+    """Steps up and down as even and odd numbers."""
+    return np.where(steps < 0, -2 * steps - 1, 2 * steps)
+
+
+def planes(values: np.ndarray) -> tuple[int, bytes]:
+    """Numbers of 0 or more in as few bytes each as the largest needs, by byte planes."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    parts = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return width, np.ascontiguousarray(parts.T).tobytes()
+
+
+def from_planes(data: tuple[int, bytes]) -> np.ndarray:
+    width, body = data
+    parts = np.frombuffer(body, np.uint8).reshape(width, -1)
+    out = np.zeros((parts.shape[1], 8), np.uint8)
+    out[:, :width] = parts.T
+    return out.view("<i8").ravel()
+
+
+def _read(arcs: tuple, root: int, width: int) -> CountAutomaton:
+    size, turned, weight, target = map(from_planes, arcs)
+    step = np.where(turned % 2, -(turned + 1) // 2, turned // 2)
+    first = np.append(0, np.cumsum(size))
+    return CountAutomaton(first, np.cumsum(step), weight, target, root, width)
+
+
 class _Register:
     """States so far, each once."""
 
