@@ -112,7 +112,7 @@ def funnel_report(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.format == "delta":
         table = DeltaTableStore(spark, layout.table("gold"), GOLD_SCHEMA)
     else:
-        table = gold_table(spark, layout).create()
+        table = gold_table(spark, layout)
     version = table.latest_version()
     for key, value in funnel(table.snapshot(version), version).first().asDict().items():
         print(f"{key}={value}")
@@ -202,7 +202,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     layout = Layout(args.base)
     layer, make = REPORTS[args.report]
     if layer == "gold":
-        rows = gold_table(spark, layout).create().snapshot(None, args.since, args.until)
+        rows = gold_table(spark, layout).snapshot(None, args.since, args.until)
     else:
         rows = read_layer(
             spark, layout, layer, SILVER_SCHEMA, args.since, args.until, args.format
@@ -216,8 +216,13 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     """Rewrite what is closed: dates of silver, blocks of gold batches."""
     layout = Layout(args.base)
     dates = compact_silver(spark, layout)
-    blocks = gold_table(spark, layout).create().compact(["session_id", "window_start"])
-    print(f"{dates} date(s) of silver, {blocks} block(s) of gold")
+    folds = gold_table(spark, layout).compact(["session_id", "window_start"])
+    print(f"{dates} date(s) of silver, {len(folds)} block(s) of gold")
+    for fold in folds:
+        print(
+            f"level {fold.level}, block {fold.number}: {fold.files_before} file(s), {fold.bytes_before} bytes "
+            f"-> {fold.files_after} file(s), {fold.bytes_after} bytes"
+        )
 
 
 def audit(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -225,7 +230,7 @@ def audit(spark: SparkSession, args: argparse.Namespace) -> None:
     layout = Layout(args.base)
     raw = read_layer(spark, layout, "bronze", BRONZE_SCHEMA, fmt=args.format)
     clean = read_layer(spark, layout, "silver", SILVER_SCHEMA, fmt=args.format)
-    metrics = gold_table(spark, layout).create().snapshot()
+    metrics = gold_table(spark, layout).snapshot()
     audits = {
         "offsets": quality.offset_audit(raw),
         "missing": quality.silver_audit(raw, clean),

@@ -40,7 +40,10 @@ def funnel(gold: DataFrame, version: int | None = None) -> DataFrame:
 def funnel_of_sessions(sessions: DataFrame, version: int | None = None) -> DataFrame:
     """Funnel over one row per session."""
     members = [F.count_if(F.col(count) > 0).alias(stage) for stage, count in STAGES.items()]
+    return funnel_of_counts(sessions.agg(*members), version)
+
+
+def funnel_of_counts(counts: DataFrame, version: int | None = None) -> DataFrame:
+    """Funnel of the sessions per stage, one row."""
     rates = [ratio_or_zero(*stages).alias(name) for name, stages in RATES.items()]
-    return sessions.agg(*members).select(
-        F.lit(version).cast("long").alias("gold_version"), *STAGES, *rates
-    )
+    return counts.select(F.lit(version).cast("long").alias("gold_version"), *STAGES, *rates)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from sessionloom.functions.scalar import event_clock, micros
@@ -10,6 +10,8 @@ from sessionloom.functions.scalar import event_clock, micros
 # Metric columns and the event type each one counts.
 COUNTED = {"page_views": "page_view", "cart_adds": "add_to_cart", "purchases": "purchase"}
 METRICS = [*COUNTED, "revenue"]
+# Slots of a key that are put in order together.
+SEGMENT = 1024
 
 
 def metric_aggregates() -> list[Column]:
@@ -49,6 +51,7 @@ def activity_windows(
     gap: str = "30 minutes",
     delay: str = "2 minutes",
     key: str = "user_id",
+    segment: int = SEGMENT,
 ) -> DataFrame:
     """Metrics per key and session window: events belong together while no pause between them
     is longer than ``gap``. A window ends ``gap`` after its last event; a pause of exactly
@@ -68,7 +71,7 @@ def activity_windows(
                 *METRICS,
             )
         )
-    return _merge_slots(_slot_totals(timed, gap, key), gap, key)
+    return _merge_slots(_slot_totals(timed, gap, key), gap, key, segment)
 
 
 def _slot_totals(timed: DataFrame, gap: str, key: str) -> DataFrame:
@@ -90,19 +93,36 @@ def _slot_totals(timed: DataFrame, gap: str, key: str) -> DataFrame:
     )
 
 
-def _merge_slots(slots: DataFrame, gap: str, key: str) -> DataFrame:
+def _merge_slots(slots: DataFrame, gap: str, key: str, segment: int = SEGMENT) -> DataFrame:
+    """Slots into windows. The slots of a key are put in order segment by segment, so a key with
+    very many spreads over tasks. A window is whole where its segment ends, unless it is the first
+    or last one there: those, at most two per segment, are then joined across segments."""
     length = micros(gap)
-    by_time = Window.partitionBy(key).orderBy("_first")
+    by_time = ["_first"]
+    segmented = slots.withColumn("_segment", F.expr(f"floor(_slot / {segment})"))
+    inside = Window.partitionBy(key, "_segment").orderBy(*by_time)
+    pieces = _runs(segmented, inside, length, [key, "_segment"])
+    of_segment = Window.partitionBy(key, "_segment")
+    # Pieces at a border go together per key, the others stay with their segment.
+    nth, last = F.col("_nth"), F.max("_nth").over(Window.partitionBy(key, "_segment"))
+    pieces = pieces.withColumn("_part", F.when((nth > 1) & (nth < last), F.col("_segment")))
+    across = Window.partitionBy(key, "_part").orderBy(*by_time)
+    return _runs(pieces, across, length, [key, "_part"]).select(
+        key,
+        F.timestamp_micros("_first").alias("window_start"),
+        F.timestamp_micros(F.col("_last") + F.lit(length)).alias("window_end"),
+        *["events", *METRICS],
+    )
+
+
+def _runs(rows: DataFrame, by_time: WindowSpec, length: int, keys: list[str]) -> DataFrame:
+    """Rows no further apart than ``length`` folded into one, numbered in order as ``_nth``."""
     pause = F.col("_first") - F.lag("_last").over(by_time)
-    numbered = slots.withColumn("_starts", F.when(pause <= length, 0).otherwise(1)).withColumn(
+    numbered = rows.withColumn("_starts", F.when(pause <= length, 0).otherwise(1)).withColumn(
         "_nth", F.sum("_starts").over(by_time)
     )
-    return (
-        numbered.groupBy(key, "_nth")
-        .agg(
-            F.timestamp_micros(F.min("_first")).alias("window_start"),
-            F.timestamp_micros(F.max("_last") + F.lit(length)).alias("window_end"),
-            *[F.sum(name).alias(name) for name in ["events", *METRICS]],
-        )
-        .drop("_nth")
+    return numbered.groupBy(*keys, "_nth").agg(
+        F.min("_first").alias("_first"),
+        F.max("_last").alias("_last"),
+        *[F.sum(name).alias(name) for name in ["events", *METRICS]],
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionloom.functions.contract import EVENT_FIELDS, FIELDS, all_present, known_type
@@ -30,6 +30,53 @@ def offset_audit(bronze: DataFrame) -> DataFrame:
     )
 
 
+# Offsets looked at together for gaps.
+SPAN = 1 << 16
+
+
+def offset_gaps(bronze: DataFrame, span: int = SPAN) -> DataFrame:
+    """Every missing range of offsets and every repeated offset: kind, kafka_partition,
+    first_offset, last_offset, records (how often a repeated offset was received, 0 for a gap).
+
+    Offsets are taken in stretches of ``span``: gaps inside one are found there, so a huge
+    partition spreads over as many tasks as it has stretches, and gaps between stretches from the
+    first and last offset of each, one row per stretch.
+    """
+    offsets = (
+        bronze.groupBy("kafka_partition", "kafka_offset")
+        .agg(F.count("*").alias("records"))
+        .withColumn("_stretch", F.expr(f"floor(kafka_offset / {span})"))
+    )
+    inside = Window.partitionBy("kafka_partition", "_stretch").orderBy("kafka_offset")
+    followed = offsets.withColumn("_next", F.lead("kafka_offset").over(inside))
+    repeated = followed.where("records > 1").select(
+        F.lit("repeated").alias("kind"),
+        "kafka_partition",
+        F.col("kafka_offset").alias("first_offset"),
+        F.col("kafka_offset").alias("last_offset"),
+        "records",
+    )
+    ends = followed.groupBy("kafka_partition", "_stretch").agg(
+        F.min("kafka_offset").alias("_first"), F.max("kafka_offset").alias("kafka_offset")
+    )
+    stretches = Window.partitionBy("kafka_partition").orderBy("_stretch")
+    between = ends.withColumn("_next", F.lead("_first").over(stretches))
+    pairs = ["kafka_partition", "kafka_offset", "_next"]
+    missing = (
+        followed.select(*pairs)
+        .unionByName(between.select(*pairs))
+        .where("_next > kafka_offset + 1")
+        .select(
+            F.lit("missing").alias("kind"),
+            "kafka_partition",
+            (F.col("kafka_offset") + 1).alias("first_offset"),
+            (F.col("_next") - 1).alias("last_offset"),
+            F.lit(0).cast("long").alias("records"),
+        )
+    )
+    return missing.unionByName(repeated)
+
+
 def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows the two tables do not hold equally often, with ``surplus`` = times in left minus
     times in right. Both directions of EXCEPT ALL in one aggregate, combined before its shuffle.
@@ -45,24 +92,77 @@ def row_differences(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def compare_tables(left: DataFrame, right: DataFrame) -> DataFrame:
-    """One row: row count of each table and how many rows only one of them has."""
-    columns = left.columns
-    # Rows travel as 128 bits of their content: long texts stay where they are. The hash passes
-    # over nulls, so which columns are null is hashed too.
+# Buckets of a digest tree.
+BUCKETS = 4096
+
+
+def _hashed(table: DataFrame, columns: list[str], buckets: int) -> DataFrame:
+    """128 bits of every row's content, and its bucket: long texts stay where they are. The hash
+    passes over nulls, so which columns are null is hashed too."""
     content = [*map(F.col, columns), *[F.col(c).isNull() for c in columns]]
-    row = [F.xxhash64(*content).alias("_a"), F.xxhash64(F.lit(1), *content).alias("_b")]
-    marked = left.select(*row, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
-        right.select(columns).select(*row, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
-    )
-    per_row = marked.groupBy("_a", "_b").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
-    zero = F.lit(0)
-    return per_row.agg(
-        F.coalesce(F.sum("_l"), zero).alias("rows_left"),
-        F.coalesce(F.sum("_r"), zero).alias("rows_right"),
-        F.coalesce(F.sum(F.greatest(F.col("_l") - F.col("_r"), zero)), zero).alias("only_left"),
-        F.coalesce(F.sum(F.greatest(F.col("_r") - F.col("_l"), zero)), zero).alias("only_right"),
+    hashed = table.withColumns(
+        {"_a": F.xxhash64(*content), "_b": F.xxhash64(F.lit(1), *content)}
     )
+    return hashed.withColumn("_bucket", F.pmod("_a", F.lit(buckets)))
+
+
+def table_digests(table: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(_bucket, _rows, _digest): what the rows of a hash bucket add up to, whatever their order
+    and however often each is there. Combined before its shuffle, which moves a row per task and
+    bucket. Halves of the hashes are summed, so that 64 bits hold 2 ** 31 rows."""
+    hashed = _hashed(table, table.columns, buckets)
+    halves = [h for c in ("_a", "_b") for h in (F.shiftright(c, 32), F.col(c).bitwiseAND(0xFFFFFFFF))]
+    sums = [F.sum(half).alias(f"_{i}") for i, half in enumerate(halves)]
+    digests = hashed.groupBy("_bucket").agg(F.count("*").alias("_rows"), *sums)
+    return digests.select("_bucket", "_rows", F.array(*[f"_{i}" for i in range(len(sums))]).alias("_digest"))
+
+
+def _compared(left: DataFrame, right: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Digests of both tables side by side, and the rows of the buckets in which they differ, with
+    ``_side`` 1 or -1. Of equal tables no row goes any further."""
+    columns = left.columns
+    digests = [table_digests(t.select(columns), buckets) for t in (left, right)]
+    both = digests[0].join(
+        digests[1].withColumnsRenamed({"_rows": "_rows_right", "_digest": "_digest_right"}),
+        "_bucket",
+        "full",
+    )
+    differ = both.where("not _digest <=> _digest_right").select("_bucket")
+    marked = left.select(*columns, F.lit(1).alias("_side")).unionByName(
+        right.select(*columns, F.lit(-1).alias("_side"))
+    )
+    # At most a row per bucket is sent to all tasks.
+    opened = _hashed(marked, columns, buckets).join(F.broadcast(differ), "_bucket", "left_semi")
+    return both, opened
+
+
+def compare_tables(left: DataFrame, right: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """One row: row count of each table and how many rows only one of them has. Digests are
+    compared first; only buckets that differ are opened."""
+    both, opened = _compared(left, right, buckets)
+    per_row = opened.groupBy("_a", "_b").agg(F.sum("_side").alias("_surplus"))
+    zero = F.lit(0).cast("long")
+    only = per_row.agg(
+        F.coalesce(F.sum(F.greatest("_surplus", zero)), zero).alias("only_left"),
+        F.coalesce(F.sum(F.greatest(-F.col("_surplus"), zero)), zero).alias("only_right"),
+    )
+    sizes = both.agg(
+        F.coalesce(F.sum("_rows"), zero).alias("rows_left"),
+        F.coalesce(F.sum("_rows_right"), zero).alias("rows_right"),
+    )
+    return sizes.select(
+        "rows_left",
+        "rows_right",
+        only.select("only_left").scalar().alias("only_left"),
+        only.select("only_right").scalar().alias("only_right"),
+    )
+
+
+def changed_rows(left: DataFrame, right: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``row_differences`` by way of digests: only buckets that differ are opened."""
+    _, opened = _compared(left, right, buckets)
+    per_row = opened.groupBy(*left.columns).agg(F.sum("_side").alias("surplus"))
+    return per_row.where(F.col("surplus") != 0)
 
 
 def missing_values(df: DataFrame) -> DataFrame:

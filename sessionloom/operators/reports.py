@@ -48,15 +48,20 @@ def session_durations(spans: DataFrame) -> DataFrame:
     return spans.withColumn("duration_s", elapsed)
 
 
-def duration_buckets(durations: DataFrame, bucket: str = "5 minutes") -> DataFrame:
-    """Sessions per duration bucket, named by the bucket's lower bound in seconds."""
+def duration_bucket(bucket: str = "5 minutes") -> Column:
+    """Lower bound, in seconds, of the bucket a session's duration is in."""
     width = micros(bucket) // 1_000_000
-    floor = F.expr(f"duration_s - duration_s % {width}")
-    return durations.groupBy(floor.alias("bucket_start_s")).agg(F.count("*").alias("sessions"))
+    seconds = F.timestamp_diff("SECOND", F.col("first_event"), F.col("last_event"))
+    return (seconds - seconds % width).alias("bucket_start_s")
+
+
+def duration_buckets(spans: DataFrame, bucket: str = "5 minutes") -> DataFrame:
+    """Sessions per duration bucket."""
+    return spans.groupBy(duration_bucket(bucket)).agg(F.count("*").alias("sessions"))
 
 
 def duration_histogram(silver: DataFrame, bucket: str = "5 minutes") -> DataFrame:
-    return duration_buckets(session_durations(session_spans(silver)), bucket)
+    return duration_buckets(session_spans(silver), bucket)
 
 
 # Durations per coarse bucket of the first pass over them.
@@ -66,7 +71,14 @@ COARSE = 1 << 16
 def duration_quantiles(
     silver: DataFrame, at: tuple[float, ...] = (0.5, 0.9, 0.99)
 ) -> DataFrame:
-    """Exact interpolated quantiles of the session durations, one row.
+    """Exact interpolated quantiles of the session durations, one row."""
+    return exact_quantiles(session_durations(session_spans(silver)), at)
+
+
+def exact_quantiles(
+    durations: DataFrame, at: tuple[float, ...] = (0.5, 0.9, 0.99)
+) -> DataFrame:
+    """Exact interpolated quantiles of ``duration_s``, one row.
 
     Sessions are counted per second. A first pass sums them by coarse bucket and finds, per
     quantile, the buckets that hold the two ranks it lies between; a second reads the seconds
@@ -74,8 +86,7 @@ def duration_quantiles(
     of a few of them.
     """
     seconds = (
-        session_durations(session_spans(silver))
-        .where("duration_s is not null")
+        durations.where("duration_s is not null")
         .groupBy("duration_s")
         .agg(F.count("*").alias("sessions"))
         .withColumn("coarse", F.expr(f"duration_s div {COARSE}"))

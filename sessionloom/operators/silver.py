@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,6 +67,8 @@ def _first_arrivals(events: DataFrame) -> DataFrame:
     return events.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
 
 
-def to_silver(bronze: DataFrame, **dedupe_options) -> DataFrame:
-    """Bronze rows to silver rows, batch or stream."""
-    return dedupe(clean(bronze), **dedupe_options).select(*FIELDS, "event_time")
+def to_silver(bronze: DataFrame, extra: Sequence[str] = (), **dedupe_options) -> DataFrame:
+    """Bronze rows to silver rows, batch or stream. ``extra``: fields the contract has gained; they
+    are carried along, required of no event and no part of the dedupe's state, so a stream takes
+    them on without a new checkpoint."""
+    return dedupe(clean(bronze), **dedupe_options).select(*FIELDS, *extra, "event_time")

@@ -27,6 +27,7 @@ from sessionloom.plans import sql
 from sessionloom.plans.feed import clean_records, faulty_records, product_catalog, source_events
 from sessionloom.plans.runs import (
     Run,
+    arriving,
     bronze_batch,
     clean_silver,
     first_half,
@@ -47,8 +48,10 @@ from sessionloom.sources.tables import (
     registered,
     replace_table,
 )
-from sessionloom.streaming import refresh
+from sessionloom.streaming import progress, refresh
+from sessionloom.streaming import state as state_tables
 from sessionloom.streaming.layers import start, start_bronze, stream_layer
+from sessionloom.streaming.progress import ProgressLog
 from sessionloom.streaming.publish import (
     publish_checked,
     read_published,
@@ -56,6 +59,7 @@ from sessionloom.streaming.publish import (
     start_publish,
 )
 from sessionloom.streaming.refresh import start_refresh
+from sessionloom.streaming.state import state_audit
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -289,6 +293,31 @@ def offset_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.offset_audit(run.into_bronze().land(rest).into_bronze().bronze())
 
 
+# What does not arrive, and what arrives twice.
+_LOST = "({o} % 500 BETWEEN 100 AND 102 OR {o} % 777 = 5)"
+_TWICE = "{o} % 321 = 7"
+
+
+@query(
+    f"""WITH {_FEED}, got AS (
+        SELECT p, o FROM sent WHERE NOT {_LOST.format(o='o')}
+        UNION ALL SELECT p, o FROM sent WHERE NOT {_LOST.format(o='o')} AND {_TWICE.format(o='o')}
+    ), places AS (SELECT p, o, count(*) AS n FROM got GROUP BY p, o), followed AS (
+        SELECT *, lead(o) OVER (PARTITION BY p ORDER BY o) AS next FROM places
+    )
+    SELECT 'missing' AS kind, p AS kafka_partition, o + 1 AS first_offset, next - 1 AS last_offset,
+           CAST(0 AS BIGINT) AS records FROM followed WHERE next > o + 1
+    UNION ALL SELECT 'repeated', p, o, o, n FROM places WHERE n > 1"""
+)
+def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where records are missing in bronze, and which came twice."""
+    records = faulty_records(source_events(spark, sf_dir))
+    records = records.where("not " + _LOST.format(o="`offset`"))
+    records = records.unionByName(records.where(_TWICE.format(o="`offset`")))
+    run = Run(spark, "offset_gaps").land(records).into_bronze()
+    return quality.offset_gaps(run.bronze(), span=64)
+
+
 @query(
     f"""WITH {_FEED}
     SELECT {_EVENT_COLUMNS}, CASE WHEN early THEN NULL ELSE 'web' END AS channel FROM feed"""
@@ -310,6 +339,29 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, run.layout, "bronze", grown)
 
 
+_CHANNEL = [T.StructField("channel", T.StringType())]
+
+
+@query(
+    f"""WITH {_FEED}
+    SELECT {_EVENT_COLUMNS}, CASE WHEN early THEN NULL ELSE 'web' END AS channel, event_time
+    FROM faulty_silver"""
+)
+def schema_evolution_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The new field reaches silver on the checkpoints both queries had before. The second arrival
+    also has all records of the first once more, now with the field: the dedupe still knows their
+    ids or they are late, so none of them comes in."""
+    source = source_events(spark, sf_dir)
+    early = first_half(source, F.col("timestamp"))
+    records = faulty_records(source)
+    body = F.regexp_replace(F.col("value").cast("string"), r"\}$", ',"channel":"web"}')
+    grown = records.withColumn("value", body.cast("binary"))
+    run = Run(spark, "schema_evolution_silver").land(records.where(early))
+    run.into_bronze().into_silver()
+    run.land(grown).into_bronze(extra=_CHANNEL).into_silver(extra=_CHANNEL)
+    return presented(run.silver(extra=_CHANNEL))
+
+
 # -- Contract ------------------------------------------------------------------------------
 
 _VALID_NAMES = "[''add_to_cart'', ''page_view'', ''purchase'', ''remove_from_cart'', ''search'']"
@@ -555,11 +607,11 @@ def session_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
            round(revenue, 2) AS revenue FROM state"""
 )
 def session_state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Session table after two arrivals, the first one folded in between."""
+    """Session table after two arrivals: its stored rows, none grouped."""
     run, rest = two_halves(spark, sf_dir, "session_state")
-    run.into_bronze().into_silver().into_sessions(fold_every=1).compact()
+    run.into_bronze().into_silver().into_sessions()
     run.land(rest).into_bronze().into_silver()
-    return presented(run.into_sessions(fold_every=1).current())
+    return presented(run.into_sessions().current())
 
 
 # -- Funnel --------------------------------------------------------------------------------
@@ -664,7 +716,7 @@ def snapshot_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
 def version_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the newest batch has that an earlier one had not."""
     gold, pinned = _two_versions(spark, sf_dir, "version_diff")
-    return presented(quality.row_differences(gold.snapshot(), gold.snapshot(pinned)))
+    return presented(quality.changed_rows(gold.snapshot(), gold.snapshot(pinned)))
 
 
 @query(
@@ -801,6 +853,62 @@ def scheduled_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.shown()
 
 
+def _session_reports(spark: SparkSession, sf_dir: str, name: str) -> refresh.SessionReports:
+    """Reports of sessions after three arrivals; many sessions are in more than one."""
+    run, arrivals = arriving(spark, sf_dir, name, 3)
+    for arrival in arrivals:
+        run.land(arrival).into_bronze().into_silver()
+        kept, live = refresh.start_session_reports(
+            spark,
+            run.layout,
+            {"histogram": refresh.HISTOGRAM, "funnel": refresh.FUNNEL},
+            **run.run,
+        )
+        live.awaitTermination()
+    return kept
+
+
+@query(f"WITH {_FEED}{_DURATIONS.format(silver='faulty_silver')}{_HISTOGRAM}")
+def live_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of durations kept by retractions: a session that grows leaves its bucket."""
+    return _session_reports(spark, sf_dir, "live_histogram").shown("histogram")
+
+
+@query(
+    f"""WITH {_FEED}{_DURATIONS.format(silver='faulty_silver')}
+    SELECT unnest([0.5, 0.9, 0.99])::DOUBLE AS quantile,
+           unnest(quantile_cont(duration_s, [0.5, 0.9, 0.99])) AS exact, true AS within
+    FROM durations"""
+)
+def sketch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles by sketches of the session table's buckets after three arrivals, held against
+    the exact ones: whether each lies within the sketch's bound."""
+    kept = _session_reports(spark, sf_dir, "sketch_quantiles")
+    return kept.sketches.checked(reports.session_durations(kept.state.current()))
+
+
+@query(f"""WITH {_FEED}, {_gold('faulty_silver')}{_funnel_sql('gold')}""")
+def live_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Funnel kept by retractions: from counts of sessions, not from sessions."""
+    return _session_reports(spark, sf_dir, "live_funnel").shown("funnel").drop("gold_version")
+
+
+@query(f"WITH {_FEED}, {_gold('faulty_silver')}{_HOURLY}")
+def live_hourly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly revenue kept up with silver, without waiting for windows of gold to close."""
+    run, rest = two_halves(spark, sf_dir, "live_hourly_revenue")
+    for arrival in (None, rest):
+        if arrival is not None:
+            run.land(arrival)
+        run.into_bronze().into_silver()
+        silver = stream_layer(spark, run.layout, "silver", SILVER_SCHEMA)
+        report, live = start_refresh(
+            spark, silver, "hourly", refresh.HOURLY_REVENUE, run.layout, **run.run
+        )
+        live.awaitTermination()
+    return presented(report.shown())
+
+
 # -- Tables and audits ---------------------------------------------------------------------
 
 
@@ -886,3 +994,64 @@ def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = Run(spark, "layer_counts").land(records.where("partition <> 2")).into_bronze()
     run.into_silver().land(records.where("partition = 2")).into_bronze().into_silver().into_gold()
     return quality.layer_counts(run.bronze(), run.silver(), run.gold().snapshot())
+
+
+def _lagging(spark: SparkSession, sf_dir: str, name: str) -> Run:
+    """Layers of a feed whose partition 2 comes last, their progress recorded."""
+    records = faulty_records(source_events(spark, sf_dir))
+    run = Run(spark, name)
+    with ProgressLog(spark, run.layout):
+        run.land(records.where("partition <> 2")).into_bronze().into_silver(name="silver")
+        run.land(records.where("partition = 2")).into_bronze().into_silver(name="silver").into_gold()
+    return run
+
+
+@query(
+    f"""WITH {_FEED}{_LAGGING}, late AS (
+        SELECT event_id, event_id IN (SELECT event_id FROM seen) AS known FROM sent
+        WHERE p = 2 AND fault = 0 AND event_type <> 'error'
+          AND epoch_us(event_time) <= (SELECT us FROM edge)
+    )
+    SELECT (SELECT count(*) FROM sent) AS rows_in, count(*) AS dropped,
+           count(*) FILTER (WHERE known) AS copies, (SELECT count(*) FROM lost) AS lost
+    FROM late"""
+)
+def late_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows the running dedupe refused as late, by the engine's count. Some are copies of events
+    that silver has; the others are lost, and are the step ``5_late`` of ``layer_counts``."""
+    run = _lagging(spark, sf_dir, "late_drops")
+    engine = progress.late_drops(spark, run.layout, "silver")
+    counts = quality.layer_counts(run.bronze(), run.silver(), run.gold().snapshot())
+    lost = counts.where("step = '5_late'").select("rows").scalar()
+    found = engine.withColumn("lost", lost)
+    return found.select("rows_in", "dropped", F.expr("dropped - lost").alias("copies"), "lost")
+
+
+@query(
+    f"""WITH {_FEED}{_LAGGING}, {_gold('lagging_silver')}, open AS (
+        SELECT * FROM gold
+        WHERE window_end > (SELECT max(event_time) FROM lagging_silver) - INTERVAL '2 minutes'
+    )
+    SELECT count(*) AS open_windows,
+           CAST(coalesce(sum(page_views + cart_adds + purchases), 0) AS BIGINT)
+               AS events_in_open_windows,
+           (SELECT count(*) FROM lagging_silver) AS remembered_ids
+    FROM open"""
+)
+def open_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the queries hold in their state: the events in open windows are the step
+    ``8_in_open_windows`` of ``layer_counts``, which is a difference there."""
+    return state_audit(spark, _lagging(spark, sf_dir, "open_state").layout)
+
+
+@query(
+    f"""WITH {_FEED}{_LAGGING}, {_gold('lagging_silver')}
+    SELECT session_id, window_start, window_end, page_views, cart_adds, purchases,
+           round(revenue, 2) AS revenue
+    FROM gold
+    WHERE window_end > (SELECT max(event_time) FROM lagging_silver) - INTERVAL '2 minutes'"""
+)
+def open_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows gold has not emitted, with their metrics so far."""
+    run = _lagging(spark, sf_dir, "open_windows")
+    return presented(state_tables.open_windows(spark, run.layout))

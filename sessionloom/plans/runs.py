@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionloom.functions.scalar import utc_instant
 from sessionloom.operators.bronze import decode_records
@@ -18,7 +19,7 @@ from sessionloom.plans.feed import clean_feed, faulty_records, source_events
 from sessionloom.session import scratch_dir
 from sessionloom.sources.broker import stream_record_files
 from sessionloom.sources.batches import BatchTable
-from sessionloom.sources.tables import BRONZE_SCHEMA, SILVER_SCHEMA, Layout, read_layer
+from sessionloom.sources.tables import BRONZE_SCHEMA, Layout, read_layer, silver_schema
 from sessionloom.streaming.layers import ONCE, gold_table, start_bronze, start_gold, start_silver
 from sessionloom.streaming.sessions import MergedSessionState, SessionState, start_session_state
 
@@ -68,8 +69,13 @@ class Run:
     def bronze(self) -> DataFrame:
         return read_layer(self.spark, self.layout, "bronze", BRONZE_SCHEMA)
 
-    def silver(self, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
-        return read_layer(self.spark, self.layout, "silver", SILVER_SCHEMA, since, until)
+    def silver(
+        self,
+        since: datetime | None = None,
+        until: datetime | None = None,
+        extra: list[T.StructField] | None = None,
+    ) -> DataFrame:
+        return read_layer(self.spark, self.layout, "silver", silver_schema(extra), since, until)
 
     def gold(self) -> BatchTable:
         return gold_table(self.spark, self.layout)
@@ -84,6 +90,16 @@ def first_half(source: DataFrame, column: Column) -> Column:
     return F.coalesce(F.unix_micros(column) <= middle, F.lit(True))
 
 
+def parts_of(source: DataFrame, column: Column, parts: int) -> list[Column]:
+    """Conditions that split instants into equal parts of the time the source covers; what is
+    none, is in the first."""
+    span = F.unix_micros(utc_instant(F.col("ts")))
+    ends = source.agg(F.min(span).alias("first"), F.max(span).alias("last")).first()
+    first, length = ends["first"] or 0, (ends["last"] or 0) - (ends["first"] or 0) + 1
+    part = F.coalesce(F.floor((F.unix_micros(column) - first) * parts / length), F.lit(0))
+    return [part == i for i in range(parts)]
+
+
 def streamed(spark: SparkSession, sf_dir: str, name: str) -> Run:
     """The faulty feed, arrived at once."""
     return Run(spark, name).land(faulty_records(source_events(spark, sf_dir)))
@@ -95,3 +111,11 @@ def two_halves(spark: SparkSession, sf_dir: str, name: str) -> tuple[Run, DataFr
     records = faulty_records(source)
     early = first_half(source, F.col("timestamp"))
     return Run(spark, name).land(records.where(early)), records.where(~early)
+
+
+def arriving(spark: SparkSession, sf_dir: str, name: str, parts: int) -> tuple[Run, list[DataFrame]]:
+    """A run without records, and the faulty feed in arrivals that follow each other in time."""
+    source = source_events(spark, sf_dir)
+    records = faulty_records(source)
+    conditions = parts_of(source, F.col("timestamp"), parts)
+    return Run(spark, name), [records.where(condition) for condition in conditions]

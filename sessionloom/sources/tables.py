@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sessionloom.functions.contract import event_schema
 from sessionloom.functions.scalar import utc_date
-from sessionloom.sources.batches import DATE, cluster, in_range, stored_bytes
+from sessionloom.sources.batches import DATE, cluster, in_range
 from sessionloom.sources.broker import MAX_FILE_AGE
+from sessionloom.sources.files import read_if_there, stored_size
 
 BRONZE_SCHEMA = T.StructType(
     [
@@ -25,9 +27,20 @@ BRONZE_SCHEMA = T.StructType(
         *event_schema(strict=False).fields,
     ]
 )
-SILVER_SCHEMA = T.StructType(
-    [*event_schema(strict=False).fields, T.StructField("event_time", T.TimestampType())]
-)
+
+
+def bronze_schema(extra: list[T.StructField] | None = None) -> T.StructType:
+    """Columns of bronze under a contract that has gained fields."""
+    return T.StructType([*BRONZE_SCHEMA.fields, *(extra or [])])
+
+
+def silver_schema(extra: list[T.StructField] | None = None) -> T.StructType:
+    """Columns of silver under a contract that has gained fields; rows from before have none."""
+    time = T.StructField("event_time", T.TimestampType())
+    return T.StructType([*event_schema(strict=False, extra=extra).fields, time])
+
+
+SILVER_SCHEMA = silver_schema()
 GOLD_SCHEMA = T.StructType(
     [
         T.StructField("session_id", T.StringType()),
@@ -98,24 +111,50 @@ def read_layer(
     Dates of silver that were compacted are read from their compacted files."""
     rows = read_table(spark, layout.table(layer), with_date(schema), fmt)
     if fmt == "parquet" and layer == "silver":
-        done = compacted_until(spark, layout)
-        if done is not None:
-            rest = rows.where((F.col(DATE) > F.lit(done)) | F.col(DATE).isNull())
-            rows = _compacted(spark, layout).unionByName(rest)
+        marks = silver_marks(spark, layout)
+        if marks:
+            done = F.lit(marks[-1]["last"])
+            rest = rows.where((F.col(DATE) > done) | F.col(DATE).isNull())
+            rows = _compacted(spark, layout, marks, schema).unionByName(rest)
     return in_range(rows, CLOCKS[layer], since, until).select(schema.fieldNames())
 
 
-def _compacted(spark: SparkSession, layout: Layout) -> DataFrame:
-    stored = with_date(SILVER_SCHEMA)
-    path = layout.compacted("silver")
-    empty = spark.createDataFrame([], stored)
-    empty.write.mode("ignore").partitionBy(DATE).parquet(path)
-    return read_table(spark, path, stored)
+SILVER_MARKS = T.StructType(
+    [
+        T.StructField("first", T.DateType()),
+        T.StructField("last", T.DateType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("dates", T.LongType()),
+        T.StructField("files_before", T.LongType()),
+        T.StructField("bytes_before", T.LongType()),
+        T.StructField("files_after", T.LongType()),
+        T.StructField("bytes_after", T.LongType()),
+    ]
+)
 
 
-def compacted_until(spark: SparkSession, layout: Layout) -> date | None:
-    """Last date of silver that was compacted."""
-    return _compacted(spark, layout).agg(F.max(DATE)).first()[0]
+def silver_marks(spark: SparkSession, layout: Layout) -> list[Row]:
+    """Complete compaction runs in the order of their dates: the dates ``(first, last]`` each
+    holds (no first: all before) and the files and bytes it read and wrote. Of two runs that began
+    at the same date, as compactions at once do, the longer one counts."""
+    rows = read_if_there(spark, f"{layout.compacted('silver')}/marks", SILVER_MARKS).collect()
+    chain: list[Row] = []
+    while True:
+        at = chain[-1]["last"] if chain else None
+        following = [row for row in rows if row["first"] == at]
+        if not following:
+            return chain
+        chain.append(max(following, key=lambda row: (row["last"], row["run"])))
+
+
+def _compacted(
+    spark: SparkSession, layout: Layout, marks: list[Row], schema: T.StructType
+) -> DataFrame:
+    base = f"{layout.compacted('silver')}/runs"
+    stored = T.StructType([*with_date(schema).fields, T.StructField("run", T.StringType())])
+    paths = [f"{base}/run={mark['run']}" for mark in marks]
+    rows = spark.read.schema(stored).option("basePath", base).parquet(*paths)
+    return rows.drop("run")
 
 
 def compact_silver(
@@ -124,36 +163,46 @@ def compact_silver(
     cluster_by: tuple[str, ...] = ("session_id", "event_time"),
     file_bytes: int = 256 * 1024 * 1024,
     delay_days: int = 1,
+    extra: list[T.StructField] | None = None,
 ) -> int:
     """Rewrite the closed dates of silver as sorted files of about ``file_bytes``, beside the
-    stream that writes it; returns how many dates.
+    stream that writes it; returns how many dates. ``silver_marks`` tells files and bytes.
+    ``extra``: fields the contract has gained, as for the stream.
 
     Silver takes no rows behind its watermark, so a date is closed once the newest row is
-    ``delay_days`` whole days past it (give more than the watermark's delay). A date is written
-    once; the stream's own files are not touched, so neither it nor its readers notice.
+    ``delay_days`` whole days past it (give more than the watermark's delay). A run is written
+    under a name of its own and read only once its marker, one file written last, is there: one
+    that is stopped half-way is not read, and its dates are done by the next. The stream's own
+    files are not touched, so neither it nor its readers notice.
     """
-    done = compacted_until(spark, layout)
-    rows = read_table(spark, layout.table("silver"), with_date(SILVER_SCHEMA))
+    marks = silver_marks(spark, layout)
+    done = marks[-1]["last"] if marks else None
+    schema = with_date(silver_schema(extra))
+    rows = read_table(spark, layout.table("silver"), schema)
     closed = F.date_sub(utc_date(F.max("event_time")), delay_days + 1).alias("closed")
     last = rows.agg(closed).first()["closed"]
-    if last is None:
+    if last is None or (done is not None and last <= done):
         return 0
     rows = rows.where(F.col(DATE) <= F.lit(last))
     if done is not None:
         rows = rows.where(F.col(DATE) > F.lit(done))
     dates = rows.select(DATE).distinct().count()
     if dates:
-        files = max(dates, -(-stored_bytes(rows) // file_bytes))
-        (
-            cluster(rows, [DATE, *cluster_by], files)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DATE)
-            .parquet(layout.compacted("silver"))
-        )
+        files_before, bytes_before = stored_size(rows)
+        run = uuid.uuid4().hex
+        path = f"{layout.compacted('silver')}/runs/run={run}"
+        files = max(dates, -(-bytes_before // file_bytes))
+        cluster(rows, [DATE, *cluster_by], files).write.partitionBy(DATE).parquet(path)
+        after = stored_size(spark.read.schema(schema).parquet(path))
+        _mark(spark, layout, (done, last, run, dates, files_before, bytes_before, *after))
     return dates
 
 
+def _mark(spark: SparkSession, layout: Layout, mark: tuple) -> None:
+    row = spark.createDataFrame([mark], SILVER_MARKS).coalesce(1)
+    row.write.mode("append").parquet(f"{layout.compacted('silver')}/marks")
+
+
 def stream_table(
     spark: SparkSession,
     path: str,

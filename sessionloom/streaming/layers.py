@@ -8,17 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from sessionloom.functions.contract import event_schema
 from sessionloom.operators.bronze import decode_records
 from sessionloom.operators.gold import session_metrics
 from sessionloom.operators.silver import to_silver
 from sessionloom.session import STATE_DEFAULTS, conf_overrides
 from sessionloom.sources.batches import DATE, BatchTable
 from sessionloom.sources.tables import (
-    BRONZE_SCHEMA,
     CLOCKS,
     GOLD_SCHEMA,
     SILVER_SCHEMA,
     Layout,
+    bronze_schema,
     dated,
     stream_table,
     with_date,
@@ -73,9 +74,12 @@ def start_bronze(
     records: DataFrame,
     layout: Layout,
     schema: T.StructType | None = None,
+    extra: list[T.StructField] | None = None,
     **run,
 ) -> StreamingQuery:
-    """Broker records into bronze. ``records`` is a Kafka or record-file stream."""
+    """Broker records into bronze. ``records`` is a Kafka or record-file stream; ``extra`` are
+    fields the contract has gained."""
+    schema = schema or event_schema(strict=False, extra=extra)
     return start(
         dated(decode_records(records, schema), CLOCKS["bronze"]),
         layout.checkpoint("bronze"),
@@ -90,13 +94,16 @@ def start_silver(
     layout: Layout,
     dedupe: Mapping | None = None,
     max_files_per_trigger: int | None = None,
+    extra: list[T.StructField] | None = None,
     **run,
 ) -> StreamingQuery:
-    """Bronze into silver; ``dedupe`` holds options of ``operators.silver.dedupe``."""
+    """Bronze into silver; ``dedupe`` holds options of ``operators.silver.dedupe``, ``extra`` the
+    fields the contract has gained. A query may be restarted on its checkpoint with more."""
     fmt = run.get("fmt", "parquet")
-    bronze = stream_layer(spark, layout, "bronze", BRONZE_SCHEMA, fmt, max_files_per_trigger)
+    schema = bronze_schema(extra)
+    bronze = stream_layer(spark, layout, "bronze", schema, fmt, max_files_per_trigger)
     with conf_overrides(spark, state_settings(run.get("state_partitions"))):
-        silver = to_silver(bronze, **(dedupe or {}))
+        silver = to_silver(bronze, [field.name for field in extra or []], **(dedupe or {}))
     return start(
         dated(silver, CLOCKS["silver"]),
         layout.checkpoint("silver"),

@@ -155,6 +155,38 @@ def test_session_windows_equal_the_built_in(spark, events):
     assert rows(ours) == rows(theirs)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(-9, 60)), min_size=1, max_size=60))
+def test_session_windows_over_segments(spark, events):
+    """Windows that end inside, begin in, span or touch any number of segments."""
+    made = [silver_row(600 * s + 300 * (s % 2), user=u, kind="purchase", price=2.0) for u, s in events]
+    layer = silver(spark, *made)
+    whole = rows(activity_windows(layer, gap="10 minutes", segment=10_000))
+    for segment in (1, 2, 5):
+        assert rows(activity_windows(layer, gap="10 minutes", segment=segment)) == whole
+
+
+def test_hot_user_is_ordered_in_segments(spark):
+    """A user with a third of all slots: no task orders more than a segment of them."""
+    slots = 9_000
+    events = spark.range(0, 3 * slots).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), F.col("id") % 1000)).alias("user_id"),
+        F.lit("page_view").alias("event_type"),
+        F.lit(1.0).alias("price"),
+        # Every fourth slot of ten minutes without an event.
+        F.timestamp_seconds(F.lit(T0) + F.expr("(id div 3) * 600 + (id div 9) * 1300")).alias("event_time"),
+    )
+    windows = activity_windows(events, gap="10 minutes", segment=100)
+    assert windows.where("user_id = 'hot'").count() == slots / 3
+    text = plan(windows)
+    ordered = [line for line in text.splitlines() if "Window [lag(" in line]
+    assert any("_segment" in line.split("], [")[1] for line in ordered)
+    # What is ordered by user alone are the borders of segments.
+    totals = _slot_totals(events, "10 minutes", "user_id").where("user_id = 'hot'")
+    per_segment = totals.groupBy(F.expr("floor(_slot / 100)")).count()
+    assert per_segment.agg(F.max("count")).first()[0] <= 100 and per_segment.count() > 90
+
+
 def test_hot_user_is_totalled_before_it_is_ordered(spark):
     """However many events a user has, the ordering step gets a row per slot of the gap."""
     hot = spark.range(0, 60_000, 1, 8).select(
@@ -170,7 +202,8 @@ def test_hot_user_is_totalled_before_it_is_ordered(spark):
     assert slots.count() == 4
     text = plan(windows)
     below_order = text[text.index("Sort [user_id") :]
-    assert below_order.count("Exchange") == 2
+    # By border or segment, by segment, and the totals.
+    assert below_order.count("Exchange") == 3
     assert "partial_count" in below_order[below_order.rindex("Exchange") :]
 
 

@@ -28,6 +28,7 @@ from sessionloom.operators.enrich import enrich, enrich_batches
 from sessionloom.operators.funnel import funnel
 from sessionloom.operators.gold import activity_windows, session_metrics
 from sessionloom.operators.quality import compare_tables, layer_counts, lost_events
+from sessionloom.operators.reports import duration_histogram, hourly_revenue
 from sessionloom.operators.silver import dedupe, to_silver
 from sessionloom.plans.runs import first_half
 from sessionloom.sources.batches import BatchTable
@@ -49,10 +50,19 @@ from sessionloom.streaming.layers import (
     start_bronze,
     start_gold,
     start_silver,
+    stream_layer,
 )
 from sessionloom.streaming.publish import read_published, start_publish
-from sessionloom.streaming.refresh import DURATIONS, TOP_PRODUCTS, start_refresh
-from sessionloom.streaming.sessions import start_session_state
+from sessionloom.streaming.refresh import (
+    DURATIONS,
+    FUNNEL,
+    HISTOGRAM,
+    HOURLY_REVENUE,
+    TOP_PRODUCTS,
+    start_refresh,
+    start_session_reports,
+)
+from sessionloom.streaming.sessions import SessionState, start_session_state
 
 # (id, seconds after T0), one micro-batch per list.
 ARRIVALS = [
@@ -254,23 +264,101 @@ def test_session_state_is_kept_once(spark, base):
     layout = Layout(base)
     for i, session in enumerate(["s1", "s2", "s1", "s1", "s3"]):
         land_silver(silver(spark, silver_row(i * 60, session, "purchase", 2.0, f"e{i}")), layout)
-    run = {"trigger": ONCE, "fold_every": 2, "max_files_per_trigger": 1}
+    run = {"trigger": ONCE, "buckets": 8, "max_files_per_trigger": 1}
     state, query = start_session_state(spark, layout, **run)
     query.awaitTermination()
     expected = [("s1", 3, 3, 6.0), ("s2", 1, 1, 2.0), ("s3", 1, 1, 2.0)]
     shown = ("session_id", "events", "purchases", "revenue")
     assert rows(state.current().select(*shown)) == expected
-    # A batch wrote the sessions it touched and nothing else.
-    assert rows(state.table.growth()) == [(i, 1) for i in range(5)]
-    assert state.compact() == 2
-    assert rows(state.current().select(*shown)) == expected
+    # The stored rows are the sessions: reading groups nothing.
+    assert "Exchange" not in plan(state.current()) and "Aggregate" not in plan(state.current())
+    # A batch wrote the bucket it touched and no other.
+    for i in range(5):
+        assert state.versions(i)[1].count(i) == 1
+    assert state.versions()[1].count(-1) >= 5
 
     # A batch handed over again, as after a crash before its checkpoint, changes nothing.
+    files = sorted(f for _, _, names in os.walk(f"{base}/tables/sessions") for f in names)
     again = silver(spark, silver_row(240, "s3", "purchase", 2.0, "e4"))
-    state.upsert(again, 4)
-    assert rows(state.current().select(*shown)) == expected
+    for kept in (state, SessionState(spark, layout.table("sessions"))):
+        kept.upsert(again, 4)
+        assert rows(kept.current().select(*shown)) == expected
+    assert files == sorted(f for _, _, names in os.walk(f"{base}/tables/sessions") for f in names)
     assert state.funnel().first()["purchased_sessions"] == 3
     assert state.funnel(0).first()["purchased_sessions"] == 1
+    assert rows(state.current(2).select(*shown)) == [("s1", 2, 2, 4.0), ("s2", 1, 1, 2.0)]
+
+
+def test_session_batch_that_was_stopped(spark, base):
+    """Data without a manifest is not read; the retry replaces it."""
+    state = SessionState(spark, f"{base}/sessions", buckets=4)
+    assert state.latest_version() is None and state.current().count() == 0
+    state.upsert(silver(spark, silver_row(0, "s1"), silver_row(0, "s2", id="e2")), 0)
+    note = state._note
+    state._note = lambda *_: 1 / 0
+    more = silver(spark, silver_row(60, "s1", id="e3"), silver_row(60, "s3", id="e4"))
+    with pytest.raises(ZeroDivisionError):
+        state.upsert(more, 1)
+    before = [("s1", 1), ("s2", 1)]
+    assert rows(state.current().select("session_id", "events")) == before
+    os.makedirs(f"{base}/sessions/manifests/batch_id=1")
+    state._note = note
+    state = SessionState(spark, f"{base}/sessions")
+    assert rows(state.current().select("session_id", "events")) == before
+    state.upsert(more, 1)
+    assert rows(state.current().select("session_id", "events")) == [("s1", 2), ("s2", 1), ("s3", 1)]
+    state.upsert(silver(spark), 2)
+    changed = state.changes(1).select("session_id", "before.events", F.col("after.events").alias("now"))
+    assert rows(changed) == [("s1", 1, 2), ("s3", None, 1)]
+    assert state.changes(2).count() == 0
+    state.expire(1)
+    assert rows(state.current().select("session_id", "events")) == [("s1", 2), ("s2", 1), ("s3", 1)]
+    assert rows(state.current(1).select("session_id", "events")) == [("s1", 2), ("s2", 1), ("s3", 1)]
+    assert state.versions(0)[0] == -1
+
+
+def test_reports_of_sessions_by_retractions(spark, base):
+    """A session that grows leaves the count it was in; a retried batch counts once."""
+    layout = Layout(base)
+    reports = {"histogram": HISTOGRAM, "funnel": FUNNEL}
+    arrivals = [
+        [(0, "s1", "page_view"), (0, "s2", "page_view"), (10, "s3", "purchase")],
+        [(400, "s1", "add_to_cart"), (20, "s3", "page_view")],
+        [(700, "s1", "purchase"), (900, "s2", "page_view"), (5, "s4", "search")],
+    ]
+    seen = []
+    for i, arrival in enumerate(arrivals):
+        made = [silver_row(s, session, kind, 1.0, f"e{i}{n}") for n, (s, session, kind) in enumerate(arrival)]
+        land_silver(silver(spark, *made), layout)
+        kept, query = start_session_reports(spark, layout, reports, buckets=4, fold_every=2, trigger=ONCE)
+        query.awaitTermination()
+        seen.append(query.lastProgress["numInputRows"])
+        batch = silver(spark, *made)
+        kept.refresh(batch, i)
+    assert seen == [3, 2, 3]
+    layer = silver(spark, *[silver_row(s, x, k, 1.0, "e") for a in arrivals for s, x, k in a])
+    assert rows(kept.shown("histogram")) == rows(duration_histogram(layer)) == [(0, 2), (600, 1), (900, 1)]
+    wanted = funnel(session_metrics(layer))
+    assert rows(kept.shown("funnel")) == rows(wanted)
+    assert rows(kept.shown("histogram", 0)) == [(0, 3)]
+    # What the second batch wrote: s1 out of one bucket and into the next. s3 stayed where it was.
+    added = kept.tables["histogram"].added_rows(0, 1)
+    assert rows(added) == [(0, -1), (300, 1)]
+    kept.tables["histogram"].compact(["bucket_start_s"])
+    assert rows(kept.shown("histogram")) == [(0, 2), (600, 1), (900, 1)]
+
+
+def test_hourly_revenue_is_kept(spark, base):
+    layout = Layout(base)
+    for i in range(2):
+        made = [silver_row(s, "s", k, 3.0, f"e{i}{s}") for s, k in [(10, "purchase"), (3700 + i, "purchase"), (7300, "page_view"), (None, "purchase")]]
+        land_silver(silver(spark, *made), layout)
+        changes = stream_layer(spark, layout, "silver", SILVER_SCHEMA)
+        table, query = start_refresh(spark, changes, "hourly", HOURLY_REVENUE, layout, trigger=ONCE)
+        query.awaitTermination()
+    layer = read_layer(spark, layout, "silver", SILVER_SCHEMA)
+    assert rows(table.shown()) == rows(hourly_revenue(session_metrics(layer)))
+    assert len(rows(table.shown())) == 3
 
 
 def test_reports_refresh(spark, base):

@@ -1,4 +1,5 @@
 import os
+import shutil
 import threading
 from types import SimpleNamespace
 
@@ -18,6 +19,7 @@ from sessionloom.operators.reports import (
 from sessionloom.plans.sql import FUNNEL, HOURLY_REVENUE, TOP_PRODUCTS, run_sql
 from sessionloom.session import scratch_dir
 from sessionloom.sources.batches import BatchTable, cluster
+from sessionloom.sources import tables
 from sessionloom.sources.tables import (
     GOLD_SCHEMA,
     SILVER_SCHEMA,
@@ -29,8 +31,11 @@ from sessionloom.sources.tables import (
     register_table,
     registered,
     replace_table,
+    silver_marks,
 )
 
+DAY = 86_400
+
 
 def gold(spark, *sessions, seconds=0):
     made = [(s, at(seconds), at(seconds + 300), 1, 0, 0, 0.0) for s in sessions]
@@ -65,7 +70,7 @@ def test_empty_table(table):
     assert table.latest_version() is None
     assert table.snapshot().count() == 0
     assert table.growth().count() == 0
-    assert table.compact(["session_id"]) == 0
+    assert table.compact(["session_id"]) == []
     with pytest.raises(ValueError):
         table.snapshot(0)
 
@@ -137,13 +142,76 @@ def test_compaction_keeps_rows_and_sorts(spark, table, base):
     for i in range(5):
         table.write(gold(spark, f"s{i}", f"t{9 - i}"), i)
     before = {v: rows(table.snapshot(v)) for v in range(5)}
-    assert table.compact(["session_id"]) == 2
-    assert table.compact(["session_id"]) == 0
+    made = table.compact(["session_id"])
+    # Two folds of two batches, and one of the two.
+    assert [(f.level, f.number) for f in made] == [(1, 0), (1, 1), (2, 0)]
+    assert all(f.files_after == 1 and f.bytes_after > 0 for f in made)
+    assert made[2].files_before == 2
+    assert made[2].bytes_before == made[0].bytes_after + made[1].bytes_after
+    assert table.compact(["session_id"]) == []
     assert {v: rows(table.snapshot(v)) for v in range(5)} == before
-    blocks = [d for d in os.listdir(f"{base}/gold/folded") if d.startswith("block=")]
-    assert sorted(blocks) == ["block=0", "block=1"]
-    folded = [f for f in files_read(table.snapshot()) if "/folded/" in f]
-    assert len(folded) == 2
+    assert len([f for f in files_read(table.snapshot()) if "/folded/" in f]) == 1
+    assert [f for f in files_read(table.snapshot(1)) if "/folded/" not in f] == []
+
+
+def test_folded_batches_are_not_listed(spark, table, base):
+    for i in range(5):
+        table.write(gold(spark, f"s{i}"), i)
+    table.compact(["session_id"])
+    listed = []
+    read = table._read
+    table._read = lambda folder, part, values, *more: (
+        listed.extend(f"{part}={v}" for v in values), read(folder, part, values, *more))[1]
+    assert names(table.snapshot(4)) == [f"s{i}" for i in range(5)]
+    assert [v for v in listed if v.startswith("block")] == ["block=2", "block=2"]
+
+
+class Stopped(Exception):
+    pass
+
+
+def test_a_fold_that_was_stopped_is_not_read(spark, table, base):
+    """Stopped with some date folders of a fold in place, and with all but the marker."""
+    for i in range(4):
+        table.write(gold(spark, f"a{i}"), i)
+        table.write(gold(spark, f"a{i}").unionByName(gold(spark, f"b{i}", seconds=DAY * (i + 1))), i)
+    before = {v: rows(table.snapshot(v)) for v in range(4)}
+    mark = table._mark
+
+    def stop(fold):
+        folder = f"{base}/gold/folded/fold={fold.fold}"
+        dates = sorted(d for d in os.listdir(folder) if d.startswith("event_date="))
+        assert len(dates) > 1
+        shutil.rmtree(f"{folder}/{dates[0]}")
+        raise Stopped
+
+    table._mark = stop
+    for _ in range(2):
+        with pytest.raises(Stopped):
+            table.compact(["session_id"])
+        assert table.marks() == []
+        assert {v: rows(table.snapshot(v)) for v in range(4)} == before
+    table._mark = mark
+    assert len(table.compact(["session_id"])) == 3
+    assert {v: rows(table.snapshot(v)) for v in range(4)} == before
+    table.expire(0, orphans=True)
+    assert len([d for d in os.listdir(f"{base}/gold/folded") if d.startswith("fold=")]) == 3
+    assert {v: rows(table.snapshot(v)) for v in range(4)} == before
+
+
+def test_reading_beside_a_compaction(spark, table):
+    """At every step of a compaction a reader finds all rows, once."""
+    for i in range(4):
+        table.write(gold(spark, f"a{i}").unionByName(gold(spark, f"b{i}", seconds=DAY)), i)
+    before = rows(table.snapshot())
+    seen = []
+    mark = table._mark
+    table._mark = lambda fold: (seen.append(rows(table.snapshot())), mark(fold), seen.append(rows(table.snapshot())))
+    held = table.snapshot()
+    table.compact(["session_id"])
+    assert len(seen) == 6 and all(found == before for found in seen)
+    # A plan made before keeps its files.
+    assert rows(held) == before
 
 
 def test_compaction_while_the_stream_goes_on(spark, table):
@@ -158,21 +226,41 @@ def test_compaction_while_the_stream_goes_on(spark, table):
     assert names(table.snapshot()) == ["a0", "a1", "b"]
     # A batch commits while compaction writes, and another compaction folds the same block.
     table.write(gold(spark, "c"), 3)
-    inner = table._replace
+    mark = table._mark
 
-    def replace(part_rows, part, number, path):
-        if part == "block":
-            table._replace = inner
-            table.write(gold(spark, "d"), 4)
-            table.compact(["session_id"])
-        inner(part_rows, part, number, path)
+    def beside(fold):
+        table._mark = mark
+        table.write(gold(spark, "d"), 4)
+        table.compact(["session_id"])
+        mark(fold)
 
-    table._replace = replace
+    table._mark = beside
     table.compact(["session_id"])
     assert names(table.snapshot()) == ["a0", "a1", "b", "c", "d"]
     assert names(table.snapshot(3)) == ["a0", "a1", "b", "c"]
 
 
+def test_expired_batches_are_refused_not_answered_short(spark, table, base):
+    for i in range(7):
+        table.write(gold(spark, f"s{i}"), i)
+    table.compact(["session_id"])
+    assert table.expire(5) == 4
+    assert names(table.snapshot()) == [f"s{i}" for i in range(7)]
+    assert names(table.snapshot(3)) == [f"s{i}" for i in range(4)]
+    assert names(table.added_rows(3)) == ["s4", "s5", "s6"]
+    assert rows(table.growth()) == [(4, 1), (5, 1), (6, 1)]
+    for refused in (lambda: table.snapshot(0), lambda: table.snapshot(2), lambda: table.snapshot(1),
+                    lambda: table.added_rows(2), lambda: table.growth(3)):
+        with pytest.raises(ValueError, match="removed"):
+            refused()
+    assert sorted(d for d in os.listdir(f"{base}/gold/batches") if d.startswith("block=")) == ["block=2", "block=3"]
+    # What is not folded yet stays, whatever is asked for.
+    assert table.expire(100) == 6
+    table.write(gold(spark, "s7"), 7)
+    table.compact(["session_id"])
+    assert names(table.snapshot()) == [f"s{i}" for i in range(8)]
+
+
 def test_hot_value_is_split_over_files(spark):
     hot = spark.range(9_000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
@@ -226,8 +314,6 @@ def test_limit_of_the_sql_report(spark):
 
 # Silver by date ----------------------------------------------------------------------------
 
-DAY = 86_400
-
 
 def land_silver(spark, layout, *seconds):
     made = [silver_row(s, f"s{s}", "purchase", 2.0, f"e{s}") for s in seconds]
@@ -287,6 +373,52 @@ def test_silver_compaction_leaves_open_dates(spark, base):
     assert {"/compacted/" in f for f in files_read(old)} == {True}
 
 
+def test_a_silver_run_that_was_stopped_is_not_read(spark, base, monkeypatch):
+    layout = Layout(base)
+    land_silver(spark, layout, 0, 10, DAY, 2 * DAY, 4 * DAY, None)
+    before = rows(read(spark, layout))
+
+    def stop(_spark, _layout, mark):
+        folder = f"{base}/compacted/silver/runs/run={mark[2]}"
+        dates = sorted(d for d in os.listdir(folder) if d.startswith("event_date="))
+        assert len(dates) == 3
+        shutil.rmtree(f"{folder}/{dates[-1]}")
+        raise Stopped
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "_mark", stop)
+        with pytest.raises(Stopped):
+            compact_silver(spark, layout)
+    assert silver_marks(spark, layout) == []
+    assert rows(read(spark, layout)) == before
+    assert compact_silver(spark, layout) == 3
+    assert rows(read(spark, layout)) == before
+    (mark,) = silver_marks(spark, layout)
+    assert (mark["files_before"], mark["files_after"]) == (4, 3) and mark["bytes_before"] > 0
+    # Two runs at once: the one that reaches further counts, no row twice.
+    land_silver(spark, layout, 6 * DAY)
+    before = rows(read(spark, layout))
+    mark_of = tables._mark
+
+    def beside(_spark, _layout, mark):
+        monkeypatch.setattr(tables, "_mark", mark_of)
+        land_silver(spark, layout, 8 * DAY)
+        assert compact_silver(spark, layout) == 2
+        mark_of(_spark, _layout, mark)
+
+    monkeypatch.setattr(tables, "_mark", beside)
+    assert compact_silver(spark, layout) == 1
+    assert len(silver_marks(spark, layout)) == 2
+    assert len(rows(read(spark, layout))) == len(before) + 1
+
+
+def test_reading_silver_makes_nothing(spark, base):
+    layout = Layout(base)
+    land_silver(spark, layout, 0)
+    assert read(spark, layout).count() == 1
+    assert sorted(os.listdir(base)) == ["tables"]
+
+
 def session_with(master, **settings):
     conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
