@@ -28,7 +28,7 @@ from sessionloom.operators.enrich import enrich, enrich_batches
 from sessionloom.operators.funnel import funnel
 from sessionloom.operators.gold import activity_windows, session_metrics
 from sessionloom.operators.quality import compare_tables, layer_counts, lost_events
-from sessionloom.operators.reports import duration_histogram, hourly_revenue
+from sessionloom.operators.reports import duration_histogram, hourly_revenue, session_durations
 from sessionloom.operators.silver import dedupe, to_silver
 from sessionloom.plans.runs import first_half
 from sessionloom.sources.batches import BatchTable
@@ -37,9 +37,11 @@ from sessionloom.sources.tables import (
     BRONZE_SCHEMA,
     SILVER_SCHEMA,
     Layout,
+    compact_silver,
     dated,
     read_layer,
     read_table,
+    silver_schema,
     stream_table,
 )
 from sessionloom.streaming.layers import (
@@ -52,6 +54,7 @@ from sessionloom.streaming.layers import (
     start_silver,
     stream_layer,
 )
+from sessionloom.streaming.progress import ProgressLog, late_drops, progress_row, read_progress
 from sessionloom.streaming.publish import read_published, start_publish
 from sessionloom.streaming.refresh import (
     DURATIONS,
@@ -59,10 +62,12 @@ from sessionloom.streaming.refresh import (
     HISTOGRAM,
     HOURLY_REVENUE,
     TOP_PRODUCTS,
+    DurationSketches,
     start_refresh,
     start_session_reports,
 )
 from sessionloom.streaming.sessions import SessionState, start_session_state
+from sessionloom.streaming.state import open_windows, state_audit
 
 # (id, seconds after T0), one micro-batch per list.
 ARRIVALS = [
@@ -568,3 +573,104 @@ def test_layout(layer):
     layout = Layout("/x")
     assert layout.table(layer) == f"/x/tables/{layer}"
     assert layout.checkpoint(layer) == f"/x/checkpoints/{layer}"
+
+
+def test_new_field_reaches_silver_on_the_same_checkpoint(spark, base):
+    """Older rows have none, the dedupe still knows their ids, and compaction keeps the field."""
+    layout = Layout(base)
+    extra = [T.StructField("channel", T.StringType())]
+    known, late = event(0, event_id="a"), event(60, event_id="b")
+    land(spark.createDataFrame([record(known, 0, 0)], BROKER_SCHEMA), f"{base}/in")
+    start_bronze(stream_records(spark, f"{base}/in"), layout, trigger=ONCE).awaitTermination()
+    start_silver(spark, layout, trigger=ONCE).awaitTermination()
+    again = [{**known, "channel": "web"}, {**late, "channel": "app"}, event(3 * 86_400, event_id="c")]
+    rows_in = [record(e, 0, i + 1) for i, e in enumerate(again)]
+    land(spark.createDataFrame(rows_in, BROKER_SCHEMA), f"{base}/in")
+    start_bronze(stream_records(spark, f"{base}/in"), layout, extra=extra, trigger=ONCE).awaitTermination()
+    start_silver(spark, layout, extra=extra, trigger=ONCE).awaitTermination()
+    wanted = [("a", None), ("b", "app"), ("c", None)]
+
+    def read():
+        return read_layer(spark, layout, "silver", silver_schema(extra))
+
+    assert rows(read().select("event_id", "channel")) == wanted
+    # Readers of the old contract see what they saw.
+    assert read_layer(spark, layout, "silver", SILVER_SCHEMA).count() == 3
+    assert compact_silver(spark, layout, extra=extra) == 1
+    assert rows(read().select("event_id", "channel")) == wanted
+
+
+def test_progress_and_state_of_the_layers(spark, base):
+    layout = Layout(base)
+    land(sends(spark, [("a", 0, 0, 0), ("b", 7200, 0, 1)]), f"{base}/in")
+    with ProgressLog(spark, layout, every=1):
+        for arrival in (None, [("a", 0, 0, 2), ("x", 30, 0, 3), ("c", 7210, 0, 4)]):
+            if arrival:
+                land(sends(spark, arrival), f"{base}/in")
+            run = {"trigger": ONCE, "state_partitions": 2}
+            start_bronze(stream_records(spark, f"{base}/in"), layout, **run).awaitTermination()
+            start_silver(spark, layout, name="silver", **run).awaitTermination()
+    start_gold(spark, layout, trigger=ONCE, state_partitions=2).awaitTermination()
+    seen = read_progress(spark, layout)
+    assert seen.where("name = 'silver'").agg(F.sum("rows_in")).first()[0] == 5
+    (found,) = rows(late_drops(spark, layout, "silver"))
+    # Both the copy of "a" and "x" are behind the watermark.
+    assert found[1:] == (5, 2)
+    assert late_drops(spark, layout, "nothing").first()["rows_in"] == 0
+    audit = state_audit(spark, layout).first()
+    counts = {r["step"]: r["rows"] for r in layer_counts(
+        read_layer(spark, layout, "bronze", BRONZE_SCHEMA),
+        read_layer(spark, layout, "silver", SILVER_SCHEMA),
+        gold_table(spark, layout).snapshot()).collect()}
+    assert counts["5_late"] == 1
+    assert audit["events_in_open_windows"] == counts["8_in_open_windows"] > 0
+    assert audit["remembered_ids"] == counts["6_silver"] == 3
+    windows = open_windows(spark, layout).select("session_id", "page_views")
+    assert sum(r["page_views"] for r in windows.collect()) == audit["events_in_open_windows"]
+
+
+def test_a_batch_run_again_is_reported_once(spark, base):
+    layout = Layout(base)
+    log = ProgressLog(spark, layout)
+    report = {"id": "q", "runId": "r", "name": "n", "batchId": 3, "timestamp": "2024-01-01T00:00:00Z",
+              "sources": [{"numInputRows": 5}], "stateOperators": [{"numRowsDroppedByWatermark": 2}]}
+    log._held = [progress_row(report), progress_row({**report, "timestamp": "2024-01-01T00:00:09Z", "sources": []})]
+    log.flush()
+    log.flush()
+    (row,) = read_progress(spark, layout).collect()
+    assert (row["batch_id"], row["rows_in"], row["dropped_by_watermark"]) == (3, 0, 2)
+    assert read_progress(spark, Layout(f"{base}/none")).count() == 0
+
+
+def test_sketches_of_skewed_durations(spark, base):
+    """Most sessions of one length, a long tail, sketches far smaller than the sessions; a
+    session that grows is in the sketch with its new length alone."""
+    state = SessionState(spark, f"{base}/sessions", buckets=4)
+    sketches = DurationSketches(spark, f"{base}/sketches", state, k=50, fold_every=2)
+    events = spark.range(12_000).select(
+        F.col("id").cast("string").alias("session_id"),
+        F.expr("if(id % 10 < 7, 60, cast(pow(1.0009, id) as bigint))").alias("length"),
+    )
+
+    def silver_of(part, seconds):
+        timed = part.select("session_id", F.explode(F.array(F.lit(0), seconds)).alias("s"))
+        return timed.select(
+            "session_id", F.lit("page_view").alias("event_type"), F.lit(1.0).alias("price"),
+            F.timestamp_seconds(F.lit(T0) + F.col("s")).alias("event_time"),
+        )
+
+    state.upsert(silver_of(events.where("id % 2 = 0"), F.lit(5)), 0)
+    sketches.refresh(0)
+    state.upsert(silver_of(events, F.col("length")), 1)
+    sketches.refresh(1)
+    durations = session_durations(state.current())
+    found = sketches.checked(durations, at=(0.1, 0.5, 0.75, 0.9, 0.99))
+    assert [r["within"] for r in found.collect()] == [True] * 5
+    row = sketches.merged().first()
+    assert row["sessions"] == 12_000 and len(row["sketch"]) < 8_000
+    assert sketches.quantiles(version=0).first()["p99"] == 5
+    sketches.table.compact(["bucket"])
+    assert rows(sketches.checked(durations)) == rows(sketches.checked(durations))
+    assert sketches.merged().first()["sessions"] == 12_000
+    # A wrong sketch is told.
+    assert not all(r["within"] for r in sketches.checked(durations, version=0).collect())
