@@ -5,7 +5,10 @@ Queries named ``*_stream`` run streaming queries to their end and return the res
 
 from __future__ import annotations
 
+import io
 from collections.abc import Callable
+from contextlib import redirect_stdout
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,12 +40,14 @@ from sessionloom.plans.runs import (
 from sessionloom.session import scratch_dir
 from sessionloom.sources.batches import DATE, BatchTable
 from sessionloom.sources.broker import BROKER_SCHEMA, stream_record_files
+from sessionloom.sources.files import children
 from sessionloom.sources.tables import (
     GOLD_SCHEMA,
     SILVER_SCHEMA,
     Layout,
     compact_silver,
     dated,
+    publish as publish_view,
     read_layer,
     read_table,
     registered,
@@ -96,13 +101,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return read_table(df.sparkSession, path, df.schema)
 
 
-_silvers: dict[tuple[str, str], str] = {}
+_silvers: dict[tuple, str] = {}
 
 
 def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver of the clean feed as a stored, dated table, made once per application: what a
-    report reads."""
-    key = (spark.conf.get("spark.app.id"), sf_dir)
+    """Silver of the clean feed as a stored, dated table, made once per application and state of
+    the events' files: what a report reads."""
+    parts = ("file_path", "file_size", "file_modification_time")
+    files = source_events(spark, sf_dir).select(*[f"_metadata.{part}" for part in parts])
+    found = sorted(map(tuple, files.distinct().collect()))
+    key = (spark.conf.get("spark.app.id"), sf_dir, *found)
     if key not in _silvers:
         layout = Layout(scratch_dir(spark, "silver"))
         rows = dated(clean_silver(spark, sf_dir), "event_time")
@@ -677,6 +685,66 @@ def layers_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
 
+@query(
+    f"""{_CLOSED_GOLD}
+    SELECT (SELECT count(*) FROM closed) AS windows,
+           (SELECT round(sum(revenue), 2) FROM closed) AS gold_revenue,
+           count(DISTINCT session_id) AS sessions, count(*) AS events,
+           round(sum(CASE WHEN event_type = 'purchase' THEN price ELSE 0.0 END), 2) AS revenue
+    FROM faulty_silver"""
+)
+def published_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold and the session table as views of the catalogue, given anew after each arrival; plain
+    SQL reads what the last one published."""
+    run, rest = two_halves(spark, sf_dir, "published_views")
+    for arrival in (None, rest):
+        if arrival is not None:
+            run.land(arrival)
+        run.into_bronze().into_silver().into_gold()
+        publish_view(spark, "published_gold", run.gold().query())
+        publish_view(spark, "published_sessions", run.into_sessions().query())
+    return spark.sql(
+        """
+        SELECT g.*, s.* FROM
+          (SELECT count(*) AS windows, round(sum(revenue), 2) AS gold_revenue FROM published_gold) g,
+          (SELECT count(*) AS sessions, sum(events) AS events, round(sum(revenue), 2) AS revenue
+           FROM published_sessions) s"""
+    )
+
+
+@query(
+    f"""{_CLOSED_GOLD}{_funnel_sql('closed').replace('SELECT *,', 'SELECT viewed_sessions, carted_sessions, purchased_sessions,')}"""
+)
+def funnel_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the command line's funnel prints over streamed layers, read back from its lines."""
+    from sessionloom import __main__ as jobs
+
+    run = streamed(spark, sf_dir, "funnel_job").into_bronze().into_silver().into_gold()
+    out = io.StringIO()
+    with redirect_stdout(out):
+        jobs.funnel_report(spark, jobs.parse(["funnel", "--base", run.layout.base]))
+    lines = dict(line.split("=", 1) for line in out.getvalue().splitlines())
+    numbers = {name: F.lit(text).cast("double" if name.endswith("rate") else "long") for name, text in lines.items()}
+    return spark.range(1).select(*[value.alias(name) for name, value in numbers.items() if name != "gold_version"])
+
+
+@query(
+    f"""{_CLOSED_GOLD}
+    SELECT 'bronze' AS layer, count(*) AS rows FROM sent
+    UNION ALL SELECT 'silver', count(*) FROM faulty_silver
+    UNION ALL SELECT 'gold', count(*) FROM closed"""
+)
+def layer_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each layer where the layout says it lies, and nothing beside them."""
+    run = streamed(spark, sf_dir, "layer_paths").into_bronze().into_silver().into_gold()
+    found = []
+    for layer in children(spark, f"{run.layout.base}/tables"):
+        folder = run.layout.table(layer) + ("/batches" if layer == "gold" else "")
+        rows = spark.read.parquet(folder)
+        found.append(rows.agg(F.lit(layer).alias("layer"), F.count("*").alias("rows")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _two_versions(spark: SparkSession, sf_dir: str, name: str) -> tuple[BatchTable, int]:
     """Gold after both halves, and its newest batch after the first."""
     run, rest = two_halves(spark, sf_dir, name)

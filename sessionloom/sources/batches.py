@@ -170,6 +170,23 @@ class BatchTable:
             rows = in_range(rows, self.clock, since, until)
         return rows.select(self.schema.fieldNames())
 
+    def query(self, version: int | None = None) -> str:
+        """SQL for the rows of all batches up to one, over the stored files: what ``publish`` makes
+        a view of. It stays as it is until the files it names expire."""
+        version = self.latest_version() if version is None else version
+        if version is None:
+            raise ValueError(f"no batch in {self.path}")
+        folds, ranges = self._plan(0, version)
+        columns = ", ".join(f"`{name}`" for name in self.schema.fieldNames())
+        parts = []
+        if folds:
+            names = ", ".join(f"'{fold}'" for fold in folds)
+            parts.append(f"SELECT {columns} FROM parquet.`{self._folded}` WHERE {FOLD} IN ({names})")
+        if ranges:
+            inside = " OR ".join(f"{BATCH} BETWEEN {low} AND {high}" for low, high in ranges)
+            parts.append(f"SELECT {columns} FROM parquet.`{self._batches}` WHERE {inside}")
+        return " UNION ALL ".join(parts)
+
     def added_rows(self, after: int, until: int | None = None) -> DataFrame:
         """Rows of the batches after one, up to another."""
         until = self.latest_version() if until is None else until

@@ -13,6 +13,12 @@ def _opened(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the file system it is on, as the catalogue notes it."""
+    system, place = _opened(spark, path)
+    return system.makeQualified(place).toString()
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names in a directory; none if it does not exist. For directories of bounded width."""
     system, place = _opened(spark, path)

@@ -16,7 +16,7 @@ from sessionloom.functions.contract import event_schema
 from sessionloom.functions.scalar import utc_date
 from sessionloom.sources.batches import DATE, cluster, in_range
 from sessionloom.sources.broker import MAX_FILE_AGE
-from sessionloom.sources.files import read_if_there, stored_size
+from sessionloom.sources.files import qualified, read_if_there, stored_size
 
 BRONZE_SCHEMA = T.StructType(
     [
@@ -227,13 +227,29 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
     """Make a table directory queryable by name, its partitions included. The data stays where
-    it is. For layers and snapshots use ``registered``."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    it is. A name that is taken is given anew only if it stands for the same directory: dropping
+    anything else might drop data. For layers and snapshots use ``registered`` or ``publish``."""
+    if spark.catalog.tableExists(name):
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+        detail = {row["col_name"]: row["data_type"] for row in described}
+        same = detail.get("Location") == qualified(spark, path)
+        if detail.get("Type") != "EXTERNAL" or not same:
+            raise ValueError(f"{name} is there already and is not an external table at {path}")
+        spark.sql(f"DROP TABLE {name}")
     spark.catalog.createTable(name, path=path, source=fmt)
     if any(column.isPartition for column in spark.catalog.listColumns(name)):
         spark.catalog.recoverPartitions(name)
 
 
+def publish(spark: SparkSession, name: str, query: str) -> None:
+    """Make a query over stored files a view of the catalogue. It outlives the session as far as
+    the catalogue does, and giving it anew is one step: who reads it sees the old one or the new.
+    A table of that name is refused."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        raise ValueError(f"{name} is a table, not a view")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+
+
 @contextmanager
 def registered(spark: SparkSession, **tables: DataFrame) -> Iterator[None]:
     """Tables as temporary views for SQL, a pinned snapshot among them, dropped at the end."""

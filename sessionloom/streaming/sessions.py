@@ -157,11 +157,6 @@ class SessionState:
 
     # -- reading ---------------------------------------------------------------------------
 
-    def paths(self, version: int | None = None) -> dict[int, str]:
-        """Directory of each bucket that has rows, as of a batch."""
-        versions = self.versions(version)[1]
-        return {b: self._path(b, v) for b, v in enumerate(versions) if v >= 0}
-
     def _path(self, bucket: int, version: int) -> str:
         return f"{self._data}/{BUCKET}={bucket}/{VERSION}={version}"
 
@@ -176,6 +171,16 @@ class SessionState:
         found = dict(enumerate(self.versions(version)[1]))
         return self._read(found).select(STATE_SCHEMA.fieldNames())
 
+    def query(self, version: int | None = None) -> str:
+        """SQL for the current rows as of a batch, over the stored files: what
+        ``sources.tables.publish`` makes a view of."""
+        found = [(b, v) for b, v in enumerate(self.versions(version)[1]) if v >= 0]
+        if not found:
+            raise ValueError(f"no session in {self.path}")
+        columns = ", ".join(STATE_SCHEMA.fieldNames())
+        current = " OR ".join(f"{BUCKET} = {b} AND {VERSION} = {v}" for b, v in found)
+        return f"SELECT {columns} FROM parquet.`{self._data}` WHERE {current}"
+
     def touched(self, batch_id: int) -> DataFrame:
         """All rows, with their bucket, of the buckets a batch has rewritten."""
         found, versions = self.versions(batch_id)

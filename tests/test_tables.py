@@ -287,6 +287,37 @@ def test_registered_table_in_sql(spark, base):
     spark.sql("DROP TABLE gold_t")
 
 
+def test_registering_drops_no_other_table(spark, base):
+    spark.sql("CREATE TABLE kept (a int) USING parquet")
+    spark.sql("INSERT INTO kept VALUES (1)")
+    replace_table(gold(spark, "a"), f"{base}/gold")
+    replace_table(gold(spark, "b"), f"{base}/other")
+    with pytest.raises(ValueError):
+        register_table(spark, "kept", f"{base}/gold")
+    register_table(spark, "gold_here", f"{base}/gold")
+    with pytest.raises(ValueError):
+        register_table(spark, "gold_here", f"{base}/other")
+    with pytest.raises(ValueError):
+        tables.publish(spark, "kept", "SELECT 1 AS a")
+    assert spark.sql("SELECT count(*) FROM kept").first()[0] == 1
+    for name in ("kept", "gold_here"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_published_view_is_given_anew(spark, table):
+    with pytest.raises(ValueError):
+        table.query()
+    for i in range(5):
+        table.write(gold(spark, f"s{i}"), i)
+    table.compact(["session_id"])
+    tables.publish(spark, "gold_view", table.query(2))
+    assert names(spark.table("gold_view")) == ["s0", "s1", "s2"]
+    tables.publish(spark, "gold_view", table.query())
+    assert names(spark.sql("SELECT * FROM gold_view")) == [f"s{i}" for i in range(5)]
+    assert spark.table("gold_view").schema.fieldNames() == GOLD_SCHEMA.fieldNames()
+    spark.sql("DROP VIEW gold_view")
+
+
 def test_registered_partitions_are_found(spark, base):
     table = gold_batches(spark, base)
     table.write(gold(spark, "a"), 0)
