@@ -13,7 +13,7 @@ an empty table.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from uuid import uuid4
 
 import ahocorasick
@@ -22,37 +22,67 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sessionloom.llm.common import releasing
+from sessionloom.llm.common import releasing, stored
 
 WINDOW = 10
-# Text of one automaton; a larger benchmark is cut into several, each scanned in turn.
-AUTOMATON_BYTES = 16 << 20
+# Text of one automaton, which takes up to 200 times as much memory in each Python worker; a
+# larger benchmark is cut into several, each scanned in turn.
+AUTOMATON_BYTES = 2 << 20
 
 _LOWERED = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
     for b in range(256)
 )
 
-_built: dict[str, tuple] = {}
+_built: dict[str, Machine] = {}
 
 
 def words(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_LOWERED).split()
 
 
-def automaton(items: list[tuple[str, str]], window: int) -> tuple:
-    """(automaton or None, pattern number -> words in it, pattern number -> item ids)."""
-    owners: dict[bytes, set[str]] = defaultdict(set)
-    for item, text in items:
-        found = words(text)
-        for i in range(max(len(found) - window, 0) + 1 if found else 0):
-            owners[b" " + b" ".join(found[i : i + window]) + b" "].add(item)
-    machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for number, pattern in enumerate(owners):
-        machine.add_word(pattern.decode("latin-1"), number)
-    machine.make_automaton()
-    sizes = [pattern.count(b" ") - 1 for pattern in owners]
-    return (machine if owners else None), sizes, list(owners.values())
+class Machine:
+    """Automaton over words written as a few symbols each, as many as the number of different words
+    of the items takes: a pattern has fewer nodes than it has letters. All words have the same
+    number of symbols; a match that begins inside one is none."""
+
+    def __init__(self, items: Iterable[tuple[str, str]], window: int) -> None:
+        texts = [(item, words(text)) for item, text in items]
+        known = list(dict.fromkeys(w for _, found in texts for w in found))
+        self.width = max(1, -(-len(known).bit_length() // 8))
+        self.symbols = {w: self._written(n) for n, w in enumerate(known, 1)}
+        # Not written by any word of the items.
+        self.other = self._written(0)
+        owners: dict[str, set[str]] = defaultdict(set)
+        for item, found in texts:
+            line = self._line(found)
+            for i in range(max(len(found) - window, 0) + 1 if found else 0):
+                owners[line[i * self.width : (i + window) * self.width]].add(item)
+        self.sizes = [len(pattern) // self.width for pattern in owners]
+        self.owners = [tuple(ids) for ids in owners.values()]
+        self.found = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for number, pattern in enumerate(owners):
+            self.found.add_word(pattern, number)
+        self.found.make_automaton()
+
+    def _written(self, number: int) -> str:
+        return number.to_bytes(self.width, "little").decode("latin-1")
+
+    def _line(self, found: list[bytes]) -> str:
+        symbols, other = self.symbols, self.other
+        return "".join([symbols.get(w, other) for w in found])
+
+    def find(self, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
+        """(words, runs of hit words, ids of the items found)."""
+        got = words(text)
+        intervals, items = [], set()
+        if self.sizes and got:
+            for place, number in self.found.iter(self._line(got)):
+                end, inside = divmod(place + 1, self.width)
+                if not inside:
+                    intervals.append((end - self.sizes[number], end - 1))
+                    items.update(self.owners[number])
+        return len(got), merged(intervals), items
 
 
 def merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -66,22 +96,6 @@ def merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(first, last) for first, last in runs]
 
 
-def find(text: str | None, machine, sizes, owners) -> tuple[int, list[tuple[int, int]], set[str]]:
-    """(words, runs of hit words, ids of the items found)."""
-    found = words(text)
-    if machine is None or not found:
-        return len(found), [], set()
-    line = (b" " + b" ".join(found) + b" ").decode("latin-1")
-    intervals, items = [], set()
-    seen, upto = 0, 0
-    for end, number in machine.iter(line):
-        seen += line.count(" ", upto, end)
-        upto = end
-        intervals.append((seen - sizes[number], seen - 1))
-        items |= owners[number]
-    return len(found), merged(intervals), items
-
-
 def original_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Code point offsets (start, end) of runs of words in the text as given."""
     if not runs:
@@ -143,6 +157,9 @@ def scan(
         last = number == parts - 1
         run = _scanner(docs.sparkSession, rows, window, last)
         state = state.mapInArrow(releasing(run), closed if last else out_type)
+        if not last:
+            # Of its own in time, too: scans of one stage would hold all automata at once.
+            state = stored(state, f"scanned_{number}")
     return state
 
 
@@ -152,13 +169,13 @@ def _scanner(spark: SparkSession, rows: list[tuple[str, str]], window: int, last
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _built:
             _built.clear()
-            _built[key] = automaton(shared.value, window)
+            _built[key] = Machine(shared.value, window)
         for batch in batches:
             n_words, all_hits, all_items = [], [], []
             for text, hits, items in zip(
                 batch["doc_text"], batch["hits"].to_pylist(), batch["items"].to_pylist(), strict=True
             ):
-                n, runs, found = find(text.as_py(), *_built[key])
+                n, runs, found = _built[key].find(text.as_py())
                 n_words.append(n)
                 runs = merged(runs + [(h["first"], h["last"]) for h in hits]) if runs else None
                 all_hits.append([{"first": a, "last": b} for a, b in runs] if runs else hits)

@@ -1,18 +1,17 @@
 """Line dedup by site-relative frequency.
 
-A line is boilerplate of a host if more than ``max_ratio`` of the host's pages contain it; it
-is then dropped wherever it stands on that host. Lines are compared after cutting white space
-off both ends; blank lines are never boilerplate.
-
-Defined results: a null text stays null and counts as a page without lines; a null host is a
-host of its own; repeated rows are pages of their own; hosts with fewer than ``min_pages``
-pages lose nothing, as a share of two or three pages says little; an empty table gives an
-empty table. Input columns may have any names: a row travels as one struct.
-
-With ``copies_once`` equal texts of one host are one page wherever pages are counted: what a
-page shares with its own copies alone is no boilerplate, so where copies are still to be
-removed, the one to be kept keeps its text. Texts are told apart by 128 bits. All null texts
-of a host are then one page.
+A line is boilerplate of a host if more than ``max_ratio`` of the host's pages contain it, and
+``min_with`` pages at least; it is then dropped wherever it stands on that host. The floor is on
+the evidence, the same for hosts of any size. Lines are compared after cutting white space off
+both ends; blank lines are never boilerplate.
+
+Equal texts of one host are one page wherever pages are counted: what a page shares with its own
+copies alone is no boilerplate, so where copies are still to be removed, the one to be kept keeps
+its text. Texts are told apart by 128 bits.
+
+Defined results: a null text stays null, and all null texts of a host are one page without
+lines; a null host is a host of its own; repeated rows are copies; an empty table gives an empty
+table. Input columns may have any names: a row travels as one struct.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from sessionloom.llm.common import SPACES, stored
 
 MAX_RATIO = 0.1
-MIN_PAGES = 20
+MIN_WITH = 3
 # Boilerplate of all hosts together up to which the list is broadcast; beyond, it is joined.
 BROADCAST_BYTES = 8 << 20
 SALTS = 32
@@ -59,8 +58,7 @@ def boilerplate(
     host: str = "source",
     text: str = "text",
     max_ratio: float = MAX_RATIO,
-    min_pages: int = MIN_PAGES,
-    copies_once: bool = False,
+    min_with: int = MIN_WITH,
 ) -> DataFrame:
     """(host, line_key, pages_with, pages) of every boilerplate line.
 
@@ -68,21 +66,16 @@ def boilerplate(
     ``max_ratio`` of the host's pages.
     """
     lines = _lines(docs, host, text)
-    owners = lines.select("host", "text_key")
-    if copies_once:
-        # Combined before the shuffle, so a text with very many copies is no hot key.
-        owners = owners.distinct()
-        lines = lines.select("host", "text_key", "keys").dropDuplicates(["host", "text_key"])
-    pages = (
-        owners.groupBy("host")
-        .agg(F.count("*").alias("pages"))
-        .where(F.col("pages") >= min_pages)
-    )
+    # Combined before the shuffle, so a text with very many copies is no hot key.
+    owners = lines.select("host", "text_key").distinct()
+    pages = owners.groupBy("host").agg(F.count("*").alias("pages"))
+    once = lines.select("host", "text_key", "keys").dropDuplicates(["host", "text_key"])
     counts = (
-        lines.select("host", F.explode(F.array_distinct("keys")).alias("line_key"))
+        once.select("host", F.explode(F.array_distinct("keys")).alias("line_key"))
         .where(F.col("line_key").isNotNull())
         .groupBy("host", "line_key")
         .agg(F.count("*").alias("pages_with"))
+        .where(F.col("pages_with") >= min_with)
     )
     return (
         counts.alias("c")
@@ -98,10 +91,9 @@ def drop_boilerplate(
     host: str = "source",
     text: str = "text",
     max_ratio: float = MAX_RATIO,
-    min_pages: int = MIN_PAGES,
+    min_with: int = MIN_WITH,
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
-    copies_once: bool = False,
 ) -> DataFrame:
     """(row struct of the input row, n_lines, n_removed, clean_text).
 
@@ -110,7 +102,7 @@ def drop_boilerplate(
     joined by host with the rows of a host dealt over ``salts`` tasks.
     """
     per_host = stored(
-        boilerplate(docs, host, text, max_ratio, min_pages, copies_once)
+        boilerplate(docs, host, text, max_ratio, min_with)
         .groupBy("host")
         .agg(F.collect_list("line_key").alias("drop")),
         "boilerplate",

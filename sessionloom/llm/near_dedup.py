@@ -202,7 +202,10 @@ def _settled(rest: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
         "component",
         "body",
     )
-    return tasks.groupBy("cluster", "low", "high").applyInArrow(
+    # Rows are dealt by cluster here, which would do for the groups: deal them by pair of tiles,
+    # or all tiles of a cluster were compared in one task.
+    dealt = tasks.repartition("cluster", "low", "high")
+    return dealt.groupBy("cluster", "low", "high").applyInArrow(
         _compare_tiles(shingle, percent), "a bigint, b bigint"
     )
 

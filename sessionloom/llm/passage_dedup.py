@@ -20,6 +20,7 @@ own; texts shorter than ``span`` lose nothing; an empty table gives an empty tab
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from sessionloom.llm.blocks import OWN, answered, blocks_of, finished, sent, sen
 from sessionloom.llm.common import text_bytes
 from sessionloom.llm.prefix_free import SPACING, TRIGGER, repeated, triggers
 from sessionloom.llm.textscan import (
+    AT_ONCE,
     covered,
     gathered,
     mixed,
@@ -70,6 +72,25 @@ class Phrases:
         self.hashes = range_hash(self.sums, begin, end) >> np.uint64(1)
 
 
+def _runs(texts: list[bytes], span: int) -> Iterator[tuple[int, int, Phrases]]:
+    """(where it begins among all bytes, places it stands for, phrases) of runs of texts. A long
+    text comes in windows that overlap by less than a string: each string is whole in the one
+    its place is in, with all phrases inside it."""
+    offset = 0
+    for _, some in gathered(texts):
+        size = sum(map(len, some))
+        if size <= 2 * AT_ONCE:
+            yield offset, size, Phrases(some)
+        else:
+            for one in some:
+                for a in range(0, len(one), AT_ONCE):
+                    window = one[a : a + AT_ONCE + span - 1]
+                    yield offset + a, min(AT_ONCE, len(one) - a), Phrases([window])
+                offset += len(one)
+            continue
+        offset += size
+
+
 def _directory(hashes: np.ndarray, buckets: int):
     """Distinct hashes by (bucket, rest): (hashes, rest as 32 bits, bounds, bucket numbers)."""
     bucket = hashes % np.uint64(buckets)
@@ -81,9 +102,9 @@ def _directory(hashes: np.ndarray, buckets: int):
     return hashes[order], rest[order], bounds, bucket[bounds[:-1]].tolist()
 
 
-def _send_phrases(buckets: int):
+def _send_phrases(buckets: int, span: int):
     def send(columns: tuple) -> list[tuple[int, object]]:
-        found = [Phrases(some).hashes for _, some in gathered(columns[2])]
+        found = [phrases.hashes for _, _, phrases in _runs(columns[2], span)]
         hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]))
         _, rest, bounds, numbers = _directory(hashes, buckets)
         out = []
@@ -168,8 +189,9 @@ def _keys(phrases: Phrases, kind: np.ndarray, span: int) -> tuple[np.ndarray, np
 
 def _send_pieces(phrase_buckets: int, piece_buckets: int, span: int):
     def send(columns: tuple, answers: dict[int, object]) -> list[tuple[int, object]]:
-        runs = [Phrases(some) for _, some in gathered(columns[2])]
-        every = np.concatenate([np.zeros(0, np.uint64), *[r.hashes for r in runs]])
+        # Made anew below: a long text's are too many to hold.
+        found = [phrases.hashes for _, _, phrases in _runs(columns[2], span)]
+        every = np.concatenate([np.zeros(0, np.uint64), *found])
         distinct, local = np.unique(every, return_counts=True)
         hashes, _, bounds, numbers = _directory(distinct, phrase_buckets)
         kind = np.zeros(len(hashes), np.uint8)
@@ -180,9 +202,9 @@ def _send_pieces(phrase_buckets: int, piece_buckets: int, span: int):
         kind = np.maximum(kind[by_value], local > 1)
         starts, counts, keys, numbers_of = [], [], [], []
         strings: dict[bytes, int] = {}
-        offset = 0
-        for run in runs:
+        for offset, places, run in _runs(columns[2], span):
             may, key = _keys(run, kind[np.searchsorted(distinct, run.hashes)], span)
+            may[places:] = False
             new = may.copy()
             doc_start = np.zeros(len(may) + 1, bool)
             doc_start[run.stops] = True
@@ -199,7 +221,6 @@ def _send_pieces(phrase_buckets: int, piece_buckets: int, span: int):
             starts.append(first + offset)
             counts.append(count)
             keys.append(key[first])
-            offset += len(run.data)
         of = np.array(numbers_of, np.int64)
         none = np.zeros(0, np.int64)
         start, count = np.concatenate([none, *starts]), np.concatenate([none, *counts])
@@ -323,7 +344,7 @@ def dedup(
     phrase_buckets = max(1, -(-4 * size // (SPACING * PHRASE_BUCKET_BYTES)))
     piece_buckets = max(1, -(-3 * size // PIECE_BUCKET_BYTES))
     blocks = shuffled(blocks_of(docs, doc_id, text))
-    kinds = answered(sent(blocks, _send_phrases(phrase_buckets)), _answer_phrases)
+    kinds = answered(sent(blocks, _send_phrases(phrase_buckets, span)), _answer_phrases)
     pieces = sent_on(blocks, kinds, _send_pieces(phrase_buckets, piece_buckets, span))
     answers = answered(pieces, _answer_pieces(span))
     return finished(blocks, answers, _finish(span, with_text), RESULT)

@@ -48,13 +48,17 @@ WITH l AS (
 ), k AS (
   SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM l
 ), p AS (
-  SELECT source, count(*) AS pages FROM documents GROUP BY source
+  SELECT source, count(DISTINCT text) + count(DISTINCT CASE WHEN text IS NULL THEN 0 END) AS pages
+  FROM documents GROUP BY source
+), o AS (
+  SELECT source, text, min(doc_id) AS doc_id FROM documents GROUP BY source, text
 ), b AS (
   SELECT k.source, k.bare
   FROM k JOIN p ON k.source IS NOT DISTINCT FROM p.source
-  WHERE k.bare <> '' AND p.pages >= {line_dedup.MIN_PAGES}
+  WHERE k.bare <> '' AND k.doc_id IN (SELECT doc_id FROM o)
   GROUP BY k.source, k.bare, p.pages
   HAVING count(DISTINCT k.doc_id) > {line_dedup.MAX_RATIO} * p.pages
+    AND count(DISTINCT k.doc_id) >= {line_dedup.MIN_WITH}
 ), m AS (
   SELECT k.*, b.bare IS NOT NULL AS dropped
   FROM k LEFT JOIN b ON k.source IS NOT DISTINCT FROM b.source AND k.bare = b.bare

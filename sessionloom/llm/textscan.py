@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-# Bytes scanned at once; one longer text is scanned alone, at about 60 times its size in memory.
+# Bytes scanned at once; one longer text is scanned alone.
 AT_ONCE = 1 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -17,21 +17,30 @@ _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.u
 # An odd multiplier has an inverse modulo 2**64; 3 modulo 8 keeps powers apart longest.
 _BASE = 0x9E3779B97F4A7C13
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_powers: dict[int, np.ndarray] = {}
+# Powers are made of two tables of this size: base ** (i mod LOW) and base ** (LOW * (i div LOW)).
+LOW = 1 << 18
+_tables: dict[tuple[int, int], np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    """base ** 0 .. base ** (n - 1), kept for later calls up to a few times AT_ONCE."""
-    have = _powers.get(base)
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** 0 .. base ** (n - 1), kept for later calls; n is a multiple of 1024."""
+    have = _tables.get((base, 0))
     if have is None or len(have) < n:
-        have = np.ones(max(n, 2 * AT_ONCE), np.uint64)
+        have = np.ones(n, np.uint64)
         have[1:] = np.uint64(base)
-        have = np.multiply.accumulate(have)
-        if len(have) <= 4 * AT_ONCE:
-            _powers[base] = have
+        _tables[base, 0] = have = np.multiply.accumulate(have)
     return have[:n]
 
 
+def _power_at(base: int, places: np.ndarray) -> np.ndarray:
+    """base ** place for each place."""
+    low = _powers(base, LOW)
+    if not len(places) or int(places.max()) < LOW:
+        return low[places]
+    high = _powers(pow(base, LOW, 1 << 64), ((int(places.max()) // LOW) | 1023) + 1)
+    return low[places % LOW] * high[places // LOW]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Bijective scrambling of 64-bit numbers, so that low bits and order are random."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -42,14 +51,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """H with H[i] = sum of code(byte j) * base ** j over j < i, modulo 2**64."""
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * _power(_BASE, len(data)), out=sums[1:])
+    low = _powers(_BASE, LOW)
+    for a in range(0, len(data), LOW):
+        some = _BYTE[data[a : a + LOW]]
+        some *= low[: len(some)]
+        np.cumsum(some, out=some)
+        some *= np.uint64(pow(_BASE, a, 1 << 64))
+        np.add(some, sums[a], out=sums[a + 1 : a + 1 + len(some)])
     return sums
 
 
 def range_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hash of the bytes in [start, end), the same wherever they stand."""
-    back = _power(_INVERSE, len(sums))
-    return mixed((sums[ends] - sums[starts]) * back[starts])
+    return mixed((sums[ends] - sums[starts]) * _power_at(_INVERSE, starts))
 
 
 def gathered(texts: Iterable[bytes], limit: int = AT_ONCE) -> Iterator[tuple[int, list[bytes]]]:
@@ -117,8 +131,11 @@ def equal_ranges(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndar
 
 def covered(starts: np.ndarray, size: int, n: int) -> np.ndarray:
     """Which of n places lie in [start, start + size) of any start."""
-    change = np.bincount(starts, minlength=n + 1) - np.bincount(starts + size, minlength=n + 1)
-    return np.cumsum(change)[:n] > 0
+    upto = np.bincount(starts, minlength=n)[:n]
+    np.cumsum(upto, out=upto)
+    out = upto > 0
+    out[size:] = upto[size:] > upto[: max(n - size, 0)]
+    return out
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

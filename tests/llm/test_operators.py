@@ -35,7 +35,10 @@ from sessionloom.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators use inside must not disturb a table that has them.
-CLASHING = SCHEMA + ", row string, kept boolean, n_words string, key int, component_id int, spans int"
+CLASHING = (
+    SCHEMA + ", row string, kept boolean, n_words string, key int, component_id int, spans int, "
+    "toxic string, quality string, fit_id int, given_id int, text_a int, _text_a int"
+)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -69,7 +72,7 @@ def table(spark, rows, schema=SCHEMA):
 
 
 def clashing(spark, rows):
-    return table(spark, [(*r, "r", True, "n", 1, 2, 3) for r in rows], CLASHING)
+    return table(spark, [(*r, "r", True, "n", 1, 2, 3, "t", "q", 4, 5, 6, 7) for r in rows], CLASHING)
 
 
 def got(df, *columns):
@@ -141,13 +144,16 @@ def test_suffix_ranks():
 def test_lines(spark, empty):
     boiler = "  All rights reserved "
     rows = [(i, f"page {i}\n{boiler}\n\n\nend {i}", "en", "h", 1) for i in range(30)]
-    rows += [(100 + i, f"other {i}\nAll rights reserved", "en", "small", 1) for i in range(3)]
+    rows += [(100 + i, f"other {i}\nAll rights reserved", "en", "small", 1) for i in range(5)]
+    rows += [(110 + i, f"two {i}\nAll rights reserved", "en", "smaller", 1) for i in range(2)]
     rows += [(200 + i, f"{boiler.strip()}\nmine {i}" if i == 0 else f"mine {i}", "en", None, 1) for i in range(40)]
     rows += [(300, None, "en", "h", 1), (301, "", "en", "h", 1), (302, boiler, "en", "h", 1)]
     found = line_dedup.drop_boilerplate(clashing(spark, [r for r in rows]))
     kept = {r[0]: tuple(r)[1:] for r in found.select("row.doc_id", "n_lines", "n_removed", "clean_text").collect()}
     assert kept[3] == (5, 1, "page 3\n\n\nend 3")
-    assert kept[100] == (2, 0, "other 0\nAll rights reserved")
+    # The floor is three pages with the line, whatever the size of the host.
+    assert kept[100] == (2, 1, "other 0")
+    assert kept[110] == (2, 0, "two 0\nAll rights reserved")
     # One page in 40 of the null host has the line: no boilerplate there.
     assert kept[200] == (2, 0, "All rights reserved\nmine 0")
     assert kept[300] == (0, 0, None) and kept[301] == (1, 0, "") and kept[302] == (1, 1, "")
@@ -157,7 +163,7 @@ def test_lines(spark, empty):
 
 
 def test_copies_are_one_page(spark):
-    """In the pipeline a text with many copies keeps its lines; what its host shares goes."""
+    """A text with many copies keeps its lines; what its host shares goes."""
     copied = "first line of the copied text\nsecond line of it"
     rows = [(i, f"page {i}\nfooter", "en", "h", 1) for i in range(89)]
     rows += [(100 + i, f"{copied}\nfooter", "en", "h", 1) for i in range(11)]
@@ -166,9 +172,24 @@ def test_copies_are_one_page(spark):
     docs = table(spark, rows)
     left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_boilerplate(spark, docs, "").collect()}
     assert left == {d: t.removesuffix("\nfooter") for d, t, *_ in rows}
-    # The query counts rows, as its SQL does.
-    cleaned = line_dedup.drop_boilerplate(docs).where("row.doc_id = 100")
-    assert cleaned.first()["clean_text"] == ""
+
+
+def test_powers_do_not_depend_on_the_length():
+    data = np.frombuffer(random.Random(3).randbytes(700_000), np.uint8)
+    sums = textscan.prefix_hash(data)
+    a = np.array([0, 5, 262_143, 262_144, 262_145, 524_288, 699_000])
+    far = textscan.range_hash(sums, a, a + 900)
+    for place, value in zip(a.tolist(), far.tolist(), strict=True):
+        near = textscan.prefix_hash(data[place : place + 900])
+        assert textscan.range_hash(near, np.array([0]), np.array([len(near) - 1]))[0] == value
+
+
+def test_covered_places():
+    r = random.Random(4)
+    for size in (1, 3, 50):
+        starts = np.array([r.randrange(40) for _ in range(6)])
+        want = [any(s <= i < s + size for s in starts) for i in range(40)]
+        assert textscan.covered(starts, size, 40).tolist() == want
 
 
 # Passage dedup -----------------------------------------------------------------------------
@@ -715,6 +736,26 @@ def test_thresholds_reject_bad_texts_and_keep_good_ones(spark):
     assert kept[9001] and not kept[9002]
 
 
+def test_capitals_of_any_language_are_lowered(spark):
+    rows = [(i, t, "de", "", 0) for i, t in enumerate(["über uns", "Über uns", "ÜBER über überall", "uber"])]
+    found = quality_rules.measured(table(spark, rows), ["über"]).select("doc_id", "measures.abuse")
+    assert got(found, "doc_id", "abuse") == [(0, 1.0), (1, 1.0), (2, 2.0), (3, 0.0)]
+
+
+def test_levels_go_where_labels_can_certify(spark):
+    """173 good texts certify beside strata that could certify nothing in any case."""
+    counts = [("en", 173), ("de", 40), ("fr", 40), (None, 0)]
+    rows = spark.createDataFrame(counts, "stratum string, n_good long")
+    for name, value in quality_rules._levels(0.02, 0.05).items():
+        rows = rows.withColumn(name, value)
+    levels = {r["stratum"]: r["level"] for r in rows.collect()}
+    assert levels["en"] == pytest.approx(0.05) and sum(levels.values()) == pytest.approx(0.05)
+    rows = spark.createDataFrame([(str(i), 300) for i in range(4)], "stratum string, n_good long")
+    for name, value in quality_rules._levels(0.02, 0.05).items():
+        rows = rows.withColumn(name, value)
+    assert [r["level"] for r in rows.collect()] == [pytest.approx(0.0125)] * 4
+
+
 def test_few_labels_certify_in_sequence(spark):
     """A stratum among four with 217 to 305 good texts held out gets its rules."""
     r = random.Random(13)
