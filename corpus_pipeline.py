@@ -32,7 +32,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     stays, with ``n_chars`` of its new text. Copies are still in: they count as one page, or
     the lines of a text with many copies would be dropped from all of them."""
     ship(spark)
-    cleaned = line_dedup.drop_boilerplate(docs, copies_once=True)
+    cleaned = line_dedup.drop_boilerplate(docs)
     changed = {
         "text": F.col("clean_text"),
         "n_chars": F.length("clean_text").cast("long"),
@@ -46,11 +46,15 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     found = near_dedup.near_duplicates(docs)
     kept = found.where("kept and doc_id is not null").select("doc_id").distinct().hint("merge")
-    named = docs.withColumns(
-        {"_text_a": F.xxhash64("text"), "_text_b": F.xxhash64(F.lit(1), "text")}
+    body = F.col("text")
+    named = docs.select(
+        F.struct("*").alias("row"),
+        "doc_id",
+        F.xxhash64(body).alias("text_a"),
+        F.xxhash64(F.lit(1), body).alias("text_b"),
     )
-    one = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "_text_a", "_text_b"])
-    return one.select(*docs.columns).union(docs.where("doc_id is null"))
+    one = named.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text_a", "text_b"])
+    return one.select("row.*").union(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
