@@ -1,33 +1,41 @@
 """Language-model scores: a hashed maximum-entropy model with a class-factored softmax.
 
-P(token | history) = P(class of token | history) * P(token | class). The most frequent words
-and the end of a text are classes of their own, all other words fall into hashed classes. The
-class factor is log-linear in hashed features of the history (previous word, the word before,
-both, and a skip pair) on top of the class prior; the word factor is log-linear in the word
-alone, whose best weights are its smoothed log count, with one share left for unseen words.
-
-On top stand the exact counts of all word pairs and triples of the training texts, dealt over
-buckets by 56 bits of their hash; they grow with the corpus and none is left out. For the pair,
-then the triple: P_n(token | history) = (count of the n-gram + MU * P_below) / (count of its
-history + MU), which adds up to 1 over all tokens whenever P_below does. A training text is
-scored without its own share of these counts, or it would find itself in them.
-
-Training. Counts of all training words are summed exactly in buckets of words. The class
-factor is trained by distributed gradient updates: in each round every task runs gradient
-steps over its part of the training texts from the weights of the round before, and rows of
-weights are averaged by how often each task met them. A round takes its own share of the
-documents, so that all rounds together read every training text once. The weights have a fixed
-size, set by parameters; the n-gram counts above them grow with the corpus.
+P(token | history) = P(class of token | history) * P(token | class, history). The most frequent
+words and the end of a text are classes of their own, all other words fall into hashed classes.
+Both factors are log-linear.
+
+The class factor has hashed features of the history (previous word, the word before, both, and
+a skip pair) on top of the class prior. In each round every task runs gradient steps over its
+part of the training texts from the weights of the round before, and rows of weights are averaged
+by how often each task met them. A round takes its own share of the documents, so that all rounds
+together read every training text once. This table has a fixed size, set by parameters.
+
+The word factor has a feature per pair of previous word (hashed to rows four times as many as the
+vocabulary has words) and word of a training text, on top of the word's share of its class:
+
+  P(w | c, v) = P(w | c) exp(u[v, w]) / Z(v, c),  Z(v, c) = 1 + sum of P(w | c) (exp(u[v, w]) - 1)
+
+where the sum runs over the words of the class seen behind v alone, so it is sparse and exact.
+These weights grow with the corpus. They are dealt over buckets by v: a block of documents sends
+each bucket its distinct pairs with their counts in training texts, the bucket fits the weights of
+its rows by gradient ascent on the likelihood with a Gaussian prior, and answers u - ln Z for each
+pair asked for. All texts, training or held out, are scored by the one model so made.
+
+Counts of all training words are summed exactly in buckets of words. A word that no training text
+has, shares one word's room in its class with all others of the kind.
 
 A null text is empty and is scored as its end alone; a null id counts as the text ''; repeated
 rows count each; without training texts every token is unseen; an empty table gives an empty
-table.
+table. Words are told apart by 64 bits of their hash, and behind one row of v by 16 bits and their
+count.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +43,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.llm.blocks import answered, blocks_of, finished, sent, shuffled
+from sessionloom.llm.automata import from_planes, planes
+from sessionloom.llm.blocks import (
+    BLOCK_BYTES,
+    BLOCKS,
+    NO_ID,
+    OWN,
+    answered,
+    finished,
+    sent,
+    sent_on,
+    shuffled,
+)
 from sessionloom.llm.common import checkpointed, packed, releasing, stored, text_bytes, unpacked
-from sessionloom.llm.textscan import Words, gathered, mixed, prefix_hash, range_hash
+from sessionloom.llm.textscan import AT_ONCE, Words, mixed, prefix_hash, range_hash
 
 HEADS = 15
 HASHED = 16
@@ -47,11 +66,13 @@ ROUNDS = 2
 STEP = 0.3
 BATCH = 4096
 SMOOTH = 0.5
-# Weight of the lower order, in tokens, for pairs and triples: the best of a grid on sf0.01
-# training texts, each scored without itself.
-MU = (100.0, 30.0)
-GRAM_BITS = 56
+# Precision of the Gaussian prior of pair weights (the best of a grid on held-out texts of sf0.01 and
+# sf0.1), and gradient steps to fit them.
+PRIOR = 0.1
+FIT_STEPS = 12
 WORD_BUCKET_BYTES = 8 << 20
+# Text whose pairs make up a bucket.
+PAIR_BUCKET_BYTES = 16 << 20
 CLASSES = 1 + HEADS + HASHED
 # Parts in which weights are summed, and tasks summed together first.
 SLICES = 16
@@ -73,40 +94,128 @@ def remainders(columns: tuple) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, names), np.int64, len(columns[0]))
 
 
+def coded_blocks(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(block, payload): documents of a few MB of text as columns (ids, which are null, [words,
+    places], tokens per document). ``places`` are the numbers of the words of all documents, the
+    most frequent first, 0 for the end of each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        number = 0
+        coded = _Coded()
+        for batch in batches:
+            for row in range(batch.num_rows):
+                coded.add(batch["doc_id"][row].as_py(), batch["text"][row].as_py())
+                if coded.size >= block_bytes:
+                    yield coded.block(first + number)
+                    coded, number = _Coded(), number + 1
+        if coded.ids:
+            yield coded.block(first + number)
+
+    rows = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"),
+    )
+    return rows.mapInArrow(releasing(run), BLOCKS)
+
+
+class _Coded:
+    def __init__(self) -> None:
+        self.ids: list[int | None] = []
+        self.tokens: list[int] = []
+        self.places: list[np.ndarray] = []
+        # Number 0 is the end of a text.
+        self.numbers: dict[bytes, int] = defaultdict(count(1).__next__)
+        self.size = 0
+
+    def add(self, doc_id: int | None, text: bytes) -> None:
+        n = 1
+        for part in _parts(text.lower()):
+            words = part.split()
+            self.places.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+            n += len(words)
+        self.places.append(np.zeros(1, np.int64))
+        self.ids.append(doc_id)
+        self.tokens.append(n)
+        self.size += len(text) + 16
+
+    def block(self, number: int) -> pa.RecordBatch:
+        at = np.concatenate(self.places)
+        order = np.argsort(-np.bincount(at, minlength=len(self.numbers) + 1)[1:], kind="stable")
+        rank = np.zeros(len(order) + 1, np.int64)
+        rank[order + 1] = np.arange(1, len(order) + 1)
+        words = list(self.numbers)
+        width, body = planes(rank[at])
+        columns = (
+            [NO_ID if doc is None else doc for doc in self.ids],
+            [doc is None for doc in self.ids],
+            [b" ".join([words[i] for i in order.tolist()]), body],
+            (width, self.tokens),
+        )
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), pa.array([packed(columns)], pa.binary())],
+            ["block", "payload"],
+        )
+
+
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A long text in parts of about AT_ONCE bytes that end at a space."""
+    at = 0
+    while len(text) - at > 2 * AT_ONCE:
+        end = text.find(b" ", at + AT_ONCE)
+        if end < 0:
+            break
+        yield text[at:end]
+        at = end
+    yield text[at:] if at else text
+
+
 class Tokens:
-    """Word hashes of some texts with an end behind each, and features of their histories."""
-
-    def __init__(self, texts: list[bytes]) -> None:
-        self.words = words = Words([t.lower() for t in texts])
-        hashes = range_hash(prefix_hash(words.data), words.starts, words.ends)
-        n = words.per_doc()
-        stops = np.cumsum(n + 1)
-        self.word_at = np.arange(len(hashes)) + words.doc
-        self.end_at = stops - 1
-        self.hashes = np.empty(len(hashes) + len(texts), np.uint64)
-        self.hashes[self.word_at] = hashes
-        self.hashes[self.end_at] = END
-        self.doc = np.repeat(np.arange(len(texts)), n + 1)
-        self.step = np.arange(len(self.hashes)) - np.repeat(stops - n - 1, n + 1)
-
-    def history(self, back: int) -> np.ndarray:
-        out = np.full(len(self.hashes), _BEGIN)
-        out[back:] = self.hashes[:-back] if back < len(out) else out[back:]
-        out[self.step < back] = _BEGIN
+    """Tokens of a block. ``at``: number of each token's word, 0 for an end; ``doc``: its document;
+    ``words``, ``hashes``: words and hashes by number, that of the end first and that of what stands
+    before a text last."""
+
+    def __init__(self, columns: tuple) -> None:
+        body, places = columns[2]
+        width, sizes = columns[3]
+        self.words = body.split(b" ") if body else []
+        self.hashes = np.concatenate(([END], word_hashes(self.words), [_BEGIN]))
+        self.at = from_planes((width, places))
+        self.sizes = np.array(sizes, np.int64)
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def back(self, steps: int) -> np.ndarray:
+        """Numbers of the words some steps before each token."""
+        begin = len(self.hashes) - 1
+        out = np.full(len(self.at), begin)
+        out[steps:] = self.at[: max(len(self.at) - steps, 0)]
+        for step in range(steps):
+            early = self.starts[self.sizes > step] + step
+            out[early] = begin
         return out
 
     def features(self) -> list[np.ndarray]:
-        one, two, three = self.history(1), self.history(2), self.history(3)
-        keys = [one, two ^ _PAIRS[0], one * _PAIRS[1] + two, one * _PAIRS[2] + three]
+        """Rows of the class factor's weights for each token."""
+        rows = np.uint64(ROWS)
+        one, two, three = self.back(1), self.back(2), self.back(3)
+        first = (mixed(self.hashes) % rows).astype(np.uint16)
+        second = (mixed(self.hashes ^ _PAIRS[0]) % rows).astype(np.uint16)
+        pair, skip = self.hashes * _PAIRS[1], self.hashes * _PAIRS[2]
         # 16 bits sort fastest.
-        return [(mixed(k) % np.uint64(ROWS)).astype(np.uint16) for k in keys]
-
+        return [
+            first[one],
+            second[two],
+            (mixed(pair[one] + self.hashes[two]) % rows).astype(np.uint16),
+            (mixed(skip[one] + self.hashes[three]) % rows).astype(np.uint16),
+        ]
 
-    def grams(self) -> np.ndarray:
-        """Hashes of the pair and of the triple that ends at each token, a row each."""
-        pairs = mixed(self.history(1) * _PAIRS[1] + self.hashes)
-        triples = mixed(self.history(2) * _PAIRS[2] + pairs)
-        return np.stack([pairs, triples]) >> np.uint64(64 - GRAM_BITS)
+    def routes(self, buckets: int) -> list[tuple[int, np.ndarray]]:
+        """(bucket, numbers of its words less one)."""
+        bucket = (mixed(self.hashes[1:-1]) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+        return [(int(bucket[part[0]]), part) for part in np.split(order, cuts) if len(part)]
 
 
 def classes_of(hashes: np.ndarray, heads: np.ndarray) -> np.ndarray:
@@ -150,117 +259,25 @@ def class_logs(
     return wanted - np.log(np.exp(logits, out=logits).sum(axis=1))
 
 
-class BlockWords:
-    """Tokens of a block by parts, and its distinct words sorted by hash."""
-
-    def __init__(self, texts: list[bytes]) -> None:
-        self.parts = [(at, Tokens(some)) for at, some in gathered(texts)]
-        hashes, words, numbers = [np.zeros(0, np.uint64)], [], []
-        for _, tokens in self.parts:
-            found, first, number = np.unique(
-                tokens.hashes[tokens.word_at], return_index=True, return_inverse=True
-            )
-            body = tokens.words.data.tobytes()
-            places = zip(
-                tokens.words.starts[first].tolist(), tokens.words.ends[first].tolist(), strict=True
-            )
-            numbers.append(number + sum(map(len, hashes)))
-            hashes.append(found)
-            words += [body[a:b] for a, b in places]
-        self.hashes, first, number = np.unique(
-            np.concatenate(hashes), return_index=True, return_inverse=True
-        )
-        self.words = [words[i] for i in first.tolist()]
-        self.numbers = [number[part] for part in numbers]
-
-    def routes(self, buckets: int) -> list[tuple[int, np.ndarray]]:
-        """(bucket, its words as places in ``hashes``)."""
-        bucket = (mixed(self.hashes) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-        return [(int(bucket[part[0]]), part) for part in np.split(order, cuts) if len(part)]
-
-
 def _word_counts(buckets: int):
     """Distinct words of a block with their counts in its training texts."""
 
     def send(columns: tuple) -> list[tuple[int, object]]:
-        train = remainders(columns) % 5 != 1
-        block = BlockWords(columns[2])
-        counts = np.zeros(len(block.hashes), np.int64)
-        for (at, tokens), number in zip(block.parts, block.numbers, strict=True):
-            counted = number[train[at + tokens.words.doc]]
-            counts += np.bincount(counted, minlength=len(counts))
+        tokens = Tokens(columns)
+        train = (remainders(columns) % 5 != 1)[tokens.doc]
+        counts = np.bincount(tokens.at[train], minlength=len(tokens.hashes) - 1)[1:]
         return [
-            (bucket, (b" ".join([block.words[i] for i in mine.tolist()]), counts[mine].tobytes()))
-            for bucket, mine in block.routes(buckets)
+            (bucket, (b" ".join([tokens.words[i] for i in mine.tolist()]), planes(counts[mine])))
+            for bucket, mine in tokens.routes(buckets)
         ]
 
     return send
 
 
-class BlockGrams:
-    """Distinct n-grams of a block, sorted by hash, and their numbers at each token."""
-
-    def __init__(self, parts: list[tuple[int, Tokens]]) -> None:
-        found = [tokens.grams() for _, tokens in parts]
-        every = np.concatenate([f.ravel() for f in found]) if found else np.zeros(0, np.uint64)
-        self.hashes, number = np.unique(every, return_inverse=True)
-        cuts = np.cumsum([f.size for f in found])[:-1]
-        split = np.split(number, cuts) if found else []
-        self.numbers = [n.reshape(f.shape) for n, f in zip(split, found, strict=True)]
-
-    def routes(self, buckets: int) -> list[tuple[int, slice]]:
-        """(bucket, its n-grams): a bucket holds a range of hashes."""
-        edges = np.array([(b << GRAM_BITS) // buckets for b in range(buckets)], np.uint64)
-        cuts = [*np.searchsorted(self.hashes, edges).tolist(), len(self.hashes)]
-        return [(b, slice(cuts[b], cuts[b + 1])) for b in range(buckets) if cuts[b] < cuts[b + 1]]
-
-
-def planes(values: np.ndarray) -> bytes:
-    """64-bit numbers by byte planes: high bytes of small numbers compress to nothing."""
-    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
-
-
-def from_planes(data: bytes, kind: type) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
-
-
-def _gram_counts(buckets: int):
-    """Distinct n-grams of a block with their counts in its training texts. Buckets stand
-    behind those of the words."""
-
-    def send(columns: tuple) -> list[tuple[int, object]]:
-        train = remainders(columns) % 5 != 1
-        parts = [(at, Tokens(some)) for at, some in gathered(columns[2])]
-        grams = BlockGrams(parts)
-        counts = np.zeros(len(grams.hashes), np.int64)
-        for (at, tokens), number in zip(parts, grams.numbers, strict=True):
-            counted = number[:, train[at + tokens.doc]].ravel()
-            counts += np.bincount(counted, minlength=len(counts))
-        return [
-            (buckets + b, (planes(np.diff(grams.hashes[mine], prepend=np.uint64(0))), planes(counts[mine])))
-            for b, mine in grams.routes(buckets)
-        ]
-
-    return send
-
-
-def _told_gram_counts(_: int, messages: list) -> list:
-    """Counts in all training texts, to every block for its n-grams."""
-    hashes = [np.cumsum(from_planes(h, np.uint64), dtype=np.uint64) for h, _ in messages]
-    counts = np.concatenate([from_planes(c, np.int64) for _, c in messages])
-    cuts = np.cumsum([len(h) for h in hashes])[:-1]
-    _, number = np.unique(np.concatenate(hashes), return_inverse=True)
-    # Sums below 2 ** 53 are exact.
-    totals = np.bincount(number, counts).astype(np.int64)[number]
-    return [planes(told) for told in np.split(totals, cuts)]
-
-
 def _totals(messages: list) -> dict[bytes, int]:
     totals: dict[bytes, int] = {}
     for text, counts in messages:
-        pairs = zip(text.split(b" "), np.frombuffer(counts, np.int64).tolist(), strict=True)
+        pairs = zip(text.split(b" "), from_planes(counts).tolist(), strict=True)
         for word, count in pairs:
             totals[word] = totals.get(word, 0) + count
     return totals
@@ -269,7 +286,7 @@ def _totals(messages: list) -> dict[bytes, int]:
 def _told_counts(_: int, messages: list) -> list:
     """Counts in all training texts, to every block for its words."""
     totals = _totals(messages)
-    return [np.array([totals[w] for w in t.split(b" ")], np.int64).tobytes() for t, _ in messages]
+    return [planes(np.array([totals[w] for w in t.split(b" ")], np.int64)) for t, _ in messages]
 
 
 def _bucket_totals(rows: pa.Table) -> pa.Table:
@@ -298,7 +315,7 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 class Statistics:
-    """Counts of the training texts: fixed in size, whatever the corpus."""
+    """Counts of the training texts by class: fixed in size, whatever the corpus."""
 
     def __init__(self, messages: DataFrame, documents: int) -> None:
         totals = messages.where("bucket >= 0").groupBy("bucket").applyInArrow(
@@ -324,6 +341,8 @@ class Statistics:
         self.documents = documents
         self.tokens = int(tokens.sum()) + documents
         self.distinct = int(words.sum()) + (documents > 0)
+        # Rows of the word factor, for previous words.
+        self.rows = 1 << min(27, max(10, 2 + int(self.distinct).bit_length()))
         # The frequent words leave their hashed classes.
         hashed = classes_of(self.heads, np.zeros(0, np.uint64))
         np.subtract.at(tokens, hashed, head_counts)
@@ -335,16 +354,22 @@ class Statistics:
         self.prior = np.log((counts + SMOOTH) / (counts + SMOOTH).sum()).astype(np.float32)
 
 
-def _train(weights: np.ndarray, statistics: Statistics):
-    """Gradient steps of one task; its change of each row, times how often it met the row."""
+def _train(weights: np.ndarray, statistics: Statistics, turn: int):
+    """Gradient steps of one task over the training texts of a round; its change of each row,
+    times how often it met the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = weights.copy()
         met = np.zeros(ROWS, np.float32)
         for batch in batches:
-            texts = batch["text"].cast(pa.binary())
-            for _, some in gathered(t.as_py() or b"" for t in texts):
-                _steps(mine, met, statistics, Tokens(some))
+            for payload in batch["payload"]:
+                columns = unpacked(payload.as_py())
+                left = remainders(columns)
+                taken = (left % 5 != 1) & (left // 5 % ROUNDS == turn)
+                tokens = Tokens(columns)
+                some = np.flatnonzero(taken[tokens.doc])
+                kind = classes_of(tokens.hashes, statistics.heads)[tokens.at[some]]
+                _steps(mine, met, statistics, kind, [f[some] for f in tokens.features()])
         change = (mine - weights) * met[:, None]
         group = TaskContext.get().partitionId() // TASKS_AT_ONCE
         for number, part in enumerate(zip(np.split(change, SLICES), np.split(met, SLICES), strict=True)):
@@ -360,9 +385,13 @@ def _train(weights: np.ndarray, statistics: Statistics):
     return run
 
 
-def _steps(weights: np.ndarray, met: np.ndarray, statistics: Statistics, tokens: Tokens) -> None:
-    kind = classes_of(tokens.hashes, statistics.heads)
-    features = tokens.features()
+def _steps(
+    weights: np.ndarray,
+    met: np.ndarray,
+    statistics: Statistics,
+    kind: np.ndarray,
+    features: list[np.ndarray],
+) -> None:
     for a in range(0, len(kind), BATCH):
         some = [f[a : a + BATCH] for f in features]
         gradient = class_probabilities(statistics.prior, weights, some)
@@ -400,14 +429,12 @@ def _summed(rows: pa.Table) -> pa.Table:
     )
 
 
-def trained(texts: DataFrame, statistics: Statistics) -> np.ndarray:
-    """Weights of the class factor (ROWS x CLASSES) from (remainder, text) of the training
-    texts; a round takes those whose remainder div 5 falls to it."""
+def trained(blocks: DataFrame, statistics: Statistics) -> np.ndarray:
+    """Weights of the class factor (ROWS x CLASSES) from the training texts of all blocks."""
     schema = "slice bigint, tasks bigint, payload binary"
     weights = np.zeros((ROWS, CLASSES), np.float32)
     for turn in range(ROUNDS):
-        mine = texts.where(F.expr(f"remainder div 5 % {ROUNDS} = {turn}")).select("text")
-        parts = mine.mapInArrow(releasing(_train(weights, statistics)), schema)
+        parts = blocks.mapInArrow(releasing(_train(weights, statistics, turn)), schema)
         parts = parts.groupBy("slice", "tasks").applyInArrow(_summed, schema)
         parts = parts.groupBy("slice").applyInArrow(_summed, schema)
         size = ROWS // SLICES
@@ -418,75 +445,154 @@ def trained(texts: DataFrame, statistics: Statistics) -> np.ndarray:
     return weights
 
 
-def _others(tokens: Tokens, train: np.ndarray, number: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """Counts without those of the token's own text, where that is a training text."""
-    pairs = tokens.doc * (int(number.max(initial=0)) + 1) + number
-    _, at, times = np.unique(pairs, return_inverse=True, return_counts=True)
-    return count - np.where(train, times[at], 0)
+# -- word factor ---------------------------------------------------------------------------------
+
+
+class Pairs:
+    """Distinct pairs of previous and present word in a block, for words in classes of several.
+    ``key``: row of the previous word, class, 16 bits of the word; in order, and with it ``count``,
+    the word's count in all training texts, and ``seen``, the pair's in those of the block.
+    ``number``: the pair of each token, or -1."""
+
+    def __init__(self, tokens: Tokens, kind: np.ndarray, counts: np.ndarray, train: np.ndarray, rows: int) -> None:
+        begin = len(tokens.hashes)
+        several = kind[tokens.at] > HEADS
+        before = tokens.back(1)[several]
+        pair = before * begin + tokens.at[several]
+        pairs, at, seen = np.unique(pair, return_inverse=True, return_counts=True)
+        previous, word = pairs // begin, pairs % begin
+        code = mixed(tokens.hashes ^ _PAIRS[2])
+        row = (code % np.uint64(rows))[previous]
+        short = code >> np.uint64(48)
+        key = (row * np.uint64(CLASSES) + kind[word].astype(np.uint64)) << np.uint64(16) | short[word]
+        order = np.lexsort((counts[word], key))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.key, self.count = key[order].astype(np.int64), counts[word][order]
+        times = np.bincount(at[train[several]], minlength=len(pairs))
+        self.seen = times[order]
+        self.number = np.full(len(tokens.at), -1)
+        self.number[several] = place[at]
+
+    def routes(self, buckets: int, rows: int) -> list[tuple[int, slice]]:
+        """(bucket, its pairs): a bucket holds a range of rows."""
+        edges = [-(-b * rows // buckets) * CLASSES << 16 for b in range(buckets)]
+        cuts = [*np.searchsorted(self.key, edges).tolist(), len(self.key)]
+        return [(b, slice(cuts[b], cuts[b + 1])) for b in range(buckets) if cuts[b] < cuts[b + 1]]
 
 
-def with_grams(
-    below: np.ndarray, tokens: Tokens, starts: np.ndarray, counts: list[np.ndarray]
-) -> np.ndarray:
-    """P(token | history) from the probabilities of the model below and the counts of the
-    word, the pair and the triple at each token. A history is the n-gram one shorter at the
-    token before, a text's begin as often as there are texts (``starts``)."""
-    out = below
-    for mu, shorter, count in zip(MU, counts, counts[1:]):
-        history = np.where(tokens.step == 0, starts, np.roll(shorter, 1))
-        out = (count + mu * out) / (history + mu)
-    return out
+def _block_pairs(columns: tuple, statistics: Statistics, counts: np.ndarray) -> tuple[Tokens, np.ndarray, Pairs]:
+    tokens = Tokens(columns)
+    kind = classes_of(tokens.hashes, statistics.heads)
+    train = (remainders(columns) % 5 != 1)[tokens.doc]
+    return tokens, kind, Pairs(tokens, kind, counts, train, statistics.rows)
+
+
+def _counts_of(columns: tuple, answers: dict[int, object], buckets: int) -> np.ndarray:
+    """Counts in all training texts by word number; those of the end and the beginning are 0."""
+    tokens = Tokens(columns)
+    counts = np.zeros(len(tokens.hashes), np.int64)
+    for bucket, mine in tokens.routes(buckets):
+        counts[mine + 1] = from_planes(answers[bucket])
+    return counts
+
+
+def _send_pairs(statistics: Statistics, buckets: int, pair_buckets: int):
+    def send(columns: tuple, answers: dict[int, object]) -> list[tuple[int, object]]:
+        counts = _counts_of(columns, answers, buckets)
+        _, _, pairs = _block_pairs(columns, statistics, counts)
+        out: list[tuple[int, object]] = [(OWN, planes(counts))]
+        for bucket, mine in pairs.routes(pair_buckets, statistics.rows):
+            steps = np.diff(pairs.key[mine], prepend=0)
+            out.append((bucket, tuple(map(planes, (steps, pairs.count[mine], pairs.seen[mine])))))
+        return out
+
+    return send
 
 
-def _score(weights: np.ndarray, statistics: Statistics, buckets: int):
+def fitted(share: np.ndarray, seen: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, ln Z of each pair's group) of pairs in order of their groups: ``share`` is P(w | c),
+    ``seen`` the pair's count. Pairs that no training text has get no weight."""
+    begin = np.flatnonzero(np.append(True, group[1:] != group[:-1])) if len(group) else np.zeros(0, np.int64)
+    if not len(begin):
+        return np.zeros(0), np.zeros(0)
+    of = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(group))))
+    total = np.add.reduceat(seen, begin)[of].astype(float)
+    weight = np.zeros(len(share))
+    there = (seen > 0).astype(float)
+    for _ in range(FIT_STEPS):
+        grown = share * np.exp(weight)
+        room = 1 + np.add.reduceat(grown - share, begin)
+        chance = there * grown / room[of]
+        gradient = there * (seen - total * chance - PRIOR * weight)
+        # Newton's step: the curvature is a diagonal less one product per group.
+        scale = total * chance + PRIOR
+        along = np.add.reduceat(chance * gradient / scale, begin)
+        across = 1 - np.add.reduceat(total * chance**2 / scale, begin)
+        step = (gradient + total * chance * (along / across)[of]) / scale
+        weight += np.clip(step, -1.5, 1.5)
+    room = 1 + np.add.reduceat(share * np.expm1(weight), begin)
+    return weight, np.log(room)[of]
+
+
+def _answer_pairs(statistics: Statistics):
+    """u - ln Z of every pair of every message."""
+
+    def answer(_: int, messages: list) -> list:
+        keys = [np.cumsum(from_planes(steps)) for steps, _, _ in messages]
+        key = np.concatenate(keys)
+        counts = np.concatenate([from_planes(c) for _, c, _ in messages])
+        seen = np.concatenate([from_planes(n) for _, _, n in messages])
+        # Words of one key are told apart by their count.
+        names = key.astype(np.uint64) << np.uint64(16) ^ mixed(counts.astype(np.uint64)) >> np.uint64(48)
+        names, first, number = np.unique(names, return_index=True, return_inverse=True)
+        group = key[first] >> 16
+        order = np.argsort(group, kind="stable")
+        # Names of one group are next to each other as far as 64 bits hold a row.
+        kind = group[order] % CLASSES
+        share = (counts[first][order] + SMOOTH) / statistics.word_total[kind]
+        times = np.bincount(number, seen)[order]
+        weight, room = fitted(share, times, group[order])
+        told = np.empty(len(order), np.float32)
+        told[order] = weight - room
+        cuts = np.cumsum([len(k) for k in keys])[:-1]
+        return [part.tobytes() for part in np.split(told[number], cuts)]
+
+    return answer
+
+
+def _score(weights: np.ndarray, statistics: Statistics, pair_buckets: int):
     def finish(columns: tuple, answers: dict[int, object]) -> pa.Table:
-        block = BlockWords(columns[2])
-        counts = np.zeros(len(block.hashes), np.int64)
-        for bucket, mine in block.routes(buckets):
-            counts[mine] = np.frombuffer(answers[bucket], np.int64)
-        grams = BlockGrams(block.parts)
-        gram_counts = np.zeros(len(grams.hashes), np.int64)
-        for bucket, mine in grams.routes(buckets):
-            gram_counts[mine] = from_planes(answers[buckets + bucket], np.int64)
-        training = remainders(columns) % 5 != 1
+        counts = from_planes(answers[OWN])
+        tokens, kinds, pairs = _block_pairs(columns, statistics, counts)
+        told = np.zeros(len(pairs.key) + 1)
+        for bucket, mine in pairs.routes(pair_buckets, statistics.rows):
+            told[mine] = np.frombuffer(answers[bucket], np.float32)
+        counts[0] = statistics.documents
         room = statistics.tokens + SMOOTH * (statistics.distinct + 1)
-        out: list[list] = [[], [], [], []]
-        for (first, tokens), number, gram in zip(block.parts, block.numbers, grams.numbers, strict=True):
-            count = np.empty(len(tokens.hashes), np.int64)
-            count[tokens.word_at] = counts[number]
-            count[tokens.end_at] = statistics.documents
-            base = np.log10((count + SMOOTH) / room)
-            kind = classes_of(tokens.hashes, statistics.heads)
-            logs = np.where(
-                kind > HEADS, np.log((count + SMOOTH) / statistics.word_total[kind]), 0.0
-            )
-            features = tokens.features()
-            for a in range(0, len(kind), BATCH):
-                some = [f[a : a + BATCH] for f in features]
-                logs[a : a + BATCH] += class_logs(
-                    statistics.prior, weights, some, kind[a : a + BATCH]
-                )
-            train = training[first + tokens.doc]
-            names = np.full(len(count), len(block.hashes))
-            names[tokens.word_at] = number
-            others = [_others(tokens, train, names, count)]
-            others += [_others(tokens, train, g, gram_counts[g]) for g in gram]
-            logs = np.log(with_grams(np.exp(logs), tokens, statistics.documents - train, others))
-            n = tokens.words.n_docs
-            out[0] += np.bincount(tokens.doc, minlength=n).tolist()
-            out[1] += np.bincount(tokens.doc, count > 0, n).astype(np.int64).tolist()
-            out[2] += np.bincount(tokens.doc, base, n).tolist()
-            out[3] += (np.bincount(tokens.doc, logs, n) / np.log(10)).tolist()
+        base = np.log10((counts + SMOOTH) / room)
+        own = np.where(kinds > HEADS, np.log((counts + SMOOTH) / statistics.word_total[kinds]), 0.0)
+        kind = kinds[tokens.at]
+        # Tokens in classes of one get the 0 behind all pairs.
+        logs = own[tokens.at] + told[pairs.number]
+        features = tokens.features()
+        for a in range(0, len(kind), BATCH):
+            some = [f[a : a + BATCH] for f in features]
+            logs[a : a + BATCH] += class_logs(statistics.prior, weights, some, kind[a : a + BATCH])
         n = len(columns[0])
+
+        def per_doc(values: np.ndarray) -> np.ndarray:
+            return np.bincount(tokens.doc, values, n)
+
         return pa.table(
             {
                 "doc_id": pa.array(columns[0], pa.int64(), mask=np.array(columns[1], bool)),
                 "held_out": remainders(columns) % 5 == 1,
-                "n_tokens": pa.array(out[0], pa.int64()),
-                "n_known": pa.array(out[1], pa.int64()),
+                "n_tokens": tokens.sizes,
+                "n_known": per_doc((counts > 0)[tokens.at]).astype(np.int64),
                 "train_tokens": pa.array([statistics.tokens] * n, pa.int64()),
-                "base_score": pa.array(out[2], pa.float64()),
-                "score": pa.array(out[3], pa.float64()),
+                "base_score": per_doc(base[tokens.at]),
+                "score": per_doc(logs) / np.log(10),
             }
         )
 
@@ -496,17 +602,17 @@ def _score(weights: np.ndarray, statistics: Statistics, buckets: int):
 def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score. Texts whose crc32(doc_id as text) leaves 1 modulo 5 are held out."""
-    buckets = max(1, -(-text_bytes(docs, text) // WORD_BUCKET_BYTES))
+    size = text_bytes(docs, text)
+    buckets = max(1, -(-size // WORD_BUCKET_BYTES))
+    pair_buckets = max(1, -(-size // PAIR_BUCKET_BYTES))
     name = F.coalesce(F.col(doc_id).cast("long").cast("string"), F.lit(""))
-    training = docs.select(
-        F.crc32(name.cast("binary")).alias("remainder"), F.col(text).cast("string").alias("text")
-    ).where("remainder % 5 <> 1")
-    documents = training.count()
+    documents = docs.where(F.crc32(name.cast("binary")) % 5 != 1).count()
     # Answers outlive the job that asks: the blocks must be the same ones.
-    blocks = checkpointed(blocks_of(docs, doc_id, text))
+    blocks = checkpointed(coded_blocks(docs, doc_id, text))
     messages = stored(sent(blocks, _word_counts(buckets)), "word_counts")
     statistics = Statistics(messages, documents)
-    weights = trained(training, statistics)
-    grams = sent(blocks, _gram_counts(buckets)).where("bucket >= 0")
-    answers = answered(messages, _told_counts).union(answered(grams, _told_gram_counts))
-    return finished(shuffled(blocks), answers, _score(weights, statistics, buckets), RESULT)
+    weights = trained(blocks, statistics)
+    dealt = shuffled(blocks)
+    asked = sent_on(dealt, answered(messages, _told_counts), _send_pairs(statistics, buckets, pair_buckets))
+    answers = answered(asked, _answer_pairs(statistics))
+    return finished(dealt, answers, _score(weights, statistics, pair_buckets), RESULT)

@@ -569,8 +569,96 @@ def test_model_learns_word_order(spark):
     assert gain > 0.2
 
 
-def test_every_pair_and_triple_counts(spark, monkeypatch):
-    """N-grams of far more words than the weight table has rows keep counts of their own."""
+def brute_scores(texts, weights, statistics):
+    """Log10 probability of each (id, words) by the model, in plain Python."""
+    m64 = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & m64
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB & m64
+        return x ^ (x >> 31)
+
+    begin, end = int(lm_scoring._BEGIN), int(lm_scoring.END)
+    one, two, skip = (int(x) for x in lm_scoring._PAIRS)
+    words = sorted({w for _, ws in texts for w in ws})
+    hashes = dict(zip(words, lm_scoring.word_hashes([w.encode() for w in words]).tolist(), strict=True)) | {None: end}
+    kinds = {w: int(lm_scoring.classes_of(np.array([h], np.uint64), statistics.heads)[0]) for w, h in hashes.items()}
+    train = [zlib.crc32(b"" if d is None else str(d).encode()) % 5 != 1 for d, _ in texts]
+    counts = collections.Counter(w for (_, ws), t in zip(texts, train, strict=True) if t for w in ws)
+
+    def row(h):
+        return mixed(h ^ skip) % statistics.rows
+
+    seen = collections.defaultdict(collections.Counter)
+    for (_, ws), t in zip(texts, train, strict=True):
+        for before, w in zip([begin, *[hashes[x] for x in ws]], ws):
+            if t and kinds[w] > lm_scoring.HEADS:
+                seen[row(before), kinds[w]][w] += 1
+    share = {w: (counts[w] + 0.5) / statistics.word_total[kinds[w]] for w in words}
+    pair = {}
+    for key, group in seen.items():
+        u = dict.fromkeys(group, 0.0)
+        total = sum(group.values())
+        for _ in range(lm_scoring.FIT_STEPS):
+            room = 1 + sum(share[w] * math.expm1(u[w]) for w in group)
+            p = {w: share[w] * math.exp(u[w]) / room for w in group}
+            g = {w: n - total * p[w] - lm_scoring.PRIOR * u[w] for w, n in group.items()}
+            d = {w: total * p[w] + lm_scoring.PRIOR for w in group}
+            common = sum(p[w] * g[w] / d[w] for w in group) / (1 - sum(total * p[w] ** 2 / d[w] for w in group))
+            for w in group:
+                u[w] += min(1.5, max(-1.5, (g[w] + total * p[w] * common) / d[w]))
+        pair[key] = u, math.log(1 + sum(share[w] * math.expm1(u[w]) for w in group))
+    out = []
+    for _, ws in texts:
+        total = 0.0
+        back = [begin, begin, begin]
+        for w in [*ws, None]:
+            x, y, z = back
+            rows = [mixed(x), mixed(y ^ one), mixed((x * two + y) & m64), mixed((x * skip + z) & m64)]
+            logits = statistics.prior.astype(float) + sum(weights[r % lm_scoring.ROWS].astype(float) for r in rows)
+            logits -= logits.max()
+            total += logits[kinds[w]] - math.log(np.exp(logits).sum())
+            if kinds[w] > lm_scoring.HEADS:
+                u, room = pair.get((row(x), kinds[w]), ({}, 0.0))
+                total += math.log(share[w]) + u.get(w, 0.0) - room
+            back = [hashes[w], x, y]
+        out.append(total / math.log(10))
+    return out
+
+
+def test_scores_equal_the_model_in_plain_python(docs, spark, monkeypatch):
+    made = []
+    train = lm_scoring.trained
+    monkeypatch.setattr(lm_scoring, "trained", lambda blocks, st: made.append((train(blocks, st), st)) or made[0][0])
+    monkeypatch.setattr(lm_scoring, "PAIR_BUCKET_BYTES", 1 << 14)
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    texts = [(d, WORD.findall((t or "").translate(lower))) for d, t, *_ in corpus()]
+    found = got(lm_scoring.scored(docs), "doc_id", "score")
+    want = sorted(zip([d for d, _ in texts], brute_scores(texts, *made[0]), strict=True), key=repr)
+    key = lambda r: (r[0] is None, r[0] or 0, round(r[1], 2))
+    for (a, x), (b, y) in zip(sorted(found, key=key), sorted(want, key=key), strict=True):
+        assert a == b and x == pytest.approx(y, rel=1e-4, abs=1e-3)
+
+
+def test_words_of_a_class_add_up_behind_any_word():
+    """Over a whole class, words seen behind a row or not, and the room of unseen words."""
+    r = np.random.default_rng(3)
+    share = r.dirichlet(np.ones(50))
+    seen = np.append(r.integers(0, 9, 20), np.zeros(30, np.int64))
+    u, room = lm_scoring.fitted(share, seen, np.zeros(50, np.int64))
+    assert np.sum(share * np.exp(u - room)) == pytest.approx(1)
+    # At the optimum the prior holds what counts and expectations differ by.
+    expected = seen.sum() * share * np.exp(u - room)
+    assert np.allclose((seen - expected)[seen > 0], lm_scoring.PRIOR * u[seen > 0], atol=1e-3)
+    assert (u[seen == 0] == 0).all()
+    # Several groups at once are as each alone.
+    two = lm_scoring.fitted(np.tile(share, 2), np.append(seen, seen[::-1]), np.repeat([3, 8], 50))
+    assert np.allclose(two[0][:50], u) and np.allclose(two[1][:50], room)
+
+
+def test_pair_weights_grow_with_the_words(spark, monkeypatch):
+    """Pairs of far more words than the class factor has rows keep weights of their own, and
+    held-out texts profit."""
     follow = [random.Random(i).sample(range(6000), 2) for i in range(6000)]
     r = random.Random(12)
     rows = []
@@ -582,38 +670,14 @@ def test_every_pair_and_triple_counts(spark, monkeypatch):
         rows.append((i, " ".join(f"v{w}" for w in out), "", "", 0))
     rows.append((None, None, "", "", 0))
     monkeypatch.setattr(lm_scoring, "WORD_BUCKET_BYTES", 1 << 18)
+    monkeypatch.setattr(lm_scoring, "PAIR_BUCKET_BYTES", 1 << 18)
     found = lm_scoring.scored(table(spark, rows).repartition(3)).collect()
     for held in (True, False):
-        # A training text does not profit from its own counts: both kinds score alike.
         some = [x for x in found if x["held_out"] == held]
         gain = sum(x["score"] - x["base_score"] for x in some) / sum(x["n_tokens"] for x in some)
         assert 1.0 < gain < 3.5
 
 
-def test_n_gram_probabilities_from_counts():
-    texts = [b"a b a b", b"a b c", b"b"]
-    tokens = lm_scoring.Tokens(texts)
-    train = np.array([True, True, False])[tokens.doc]
-    words = [["<", "<", *t.decode().split(), ">"] for t in texts]
-    seen = [collections.Counter(tuple(w[i - n + 1 : i + 1]) for w in words[:2] for i in range(2, len(w)))
-            for n in (1, 2, 3)]
-    want, counts = [], [[], [], []]
-    for j, w in enumerate(words):
-        for i in range(2, len(w)):
-            p = 0.1
-            for n, mu in zip((2, 3), lm_scoring.MU):
-                others = [v for k, v in enumerate(words[:2]) if k != j]
-                grams = [tuple(v[k - n + 1 : k + 1]) for v in others for k in range(2, len(v))]
-                here = tuple(w[i - n + 1 : i + 1])
-                p = (grams.count(here) + mu * p) / (sum(g[:-1] == here[:-1] for g in grams) + mu)
-            want.append(p)
-            for n in (1, 2, 3):
-                counts[n - 1].append(seen[n - 1][tuple(w[i - n + 1 : i + 1])])
-    names = [np.unique(tokens.hashes, return_inverse=True)[1], *lm_scoring.BlockGrams([(0, tokens)]).numbers[0]]
-    others = [lm_scoring._others(tokens, train, n, np.array(c)) for n, c in zip(names, counts, strict=True)]
-    assert np.allclose(lm_scoring.with_grams(np.full(len(want), 0.1), tokens, 2 - train, others), want)
-
-
 def test_class_probabilities_add_up():
     heads = np.sort(lm_scoring.word_hashes([b"a", b"b"]))
     kinds = lm_scoring.classes_of(np.append(heads, lm_scoring.END), heads)
