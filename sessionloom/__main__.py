@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionloom.operators import quality, reports
 from sessionloom.operators.enrich import enrich, enrich_batches
@@ -14,7 +15,12 @@ from sessionloom.operators.funnel import funnel
 from sessionloom.operators.gold import activity_windows
 from sessionloom.session import build_session
 from sessionloom.sources.batches import BatchTable
-from sessionloom.sources.broker import publish_kafka, stream_kafka, stream_record_files
+from sessionloom.sources.broker import (
+    MAX_FILE_AGE,
+    publish_kafka,
+    stream_kafka,
+    stream_record_files,
+)
 from sessionloom.sources.delta import DeltaTableStore
 from sessionloom.sources.tables import (
     BRONZE_SCHEMA,
@@ -36,7 +42,15 @@ from sessionloom.streaming.layers import (
     stream_layer,
 )
 from sessionloom.streaming.publish import publish_checked, start_publish
-from sessionloom.streaming.refresh import DURATIONS, TOP_PRODUCTS, start_refresh
+from sessionloom.streaming.progress import ProgressLog
+from sessionloom.streaming.refresh import (
+    FUNNEL,
+    HISTOGRAM,
+    HOURLY_REVENUE,
+    TOP_PRODUCTS,
+    start_refresh,
+    start_session_reports,
+)
 from sessionloom.streaming.sessions import start_session_state
 
 
@@ -58,6 +72,12 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--once", action="store_true", help="take in what is there, then end")
     parser.add_argument("--state-partitions", type=int)
     parser.add_argument("--max-per-trigger", type=int, help="offsets, or files, per batch")
+    parser.add_argument(
+        "--max-file-age", default=MAX_FILE_AGE, help="files older than the newest by this are not taken in"
+    )
+    parser.add_argument(
+        "--extra", action="append", default=[], help="field the contract has gained, as name:type"
+    )
     args = parser.parse_args(argv)
     if args.job == "bronze" and not (args.records or args.topic):
         parser.error("bronze reads --records or --topic")
@@ -70,6 +90,10 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
+def _extra(args: argparse.Namespace) -> list[T.StructField]:
+    return [f for text in args.extra for f in T.StructType.fromDDL(text.replace(":", " ", 1)).fields]
+
+
 def _instant(text: str) -> datetime:
     return datetime.fromisoformat(text).replace(tzinfo=timezone.utc)
 
@@ -91,18 +115,27 @@ def bronze(spark: SparkSession, args: argparse.Namespace) -> None:
         records = stream_kafka(
             spark, args.servers, args.topic, max_offsets_per_trigger=args.max_per_trigger
         )
-    start_bronze(records, Layout(args.base), **_run(args)).awaitTermination()
+    start_bronze(records, Layout(args.base), extra=_extra(args), **_run(args)).awaitTermination()
 
 
 def silver(spark: SparkSession, args: argparse.Namespace) -> None:
     start_silver(
-        spark, Layout(args.base), max_files_per_trigger=args.max_per_trigger, **_run(args)
+        spark,
+        Layout(args.base),
+        max_files_per_trigger=args.max_per_trigger,
+        extra=_extra(args),
+        max_file_age=args.max_file_age,
+        **_run(args),
     ).awaitTermination()
 
 
 def gold(spark: SparkSession, args: argparse.Namespace) -> None:
     start_gold(
-        spark, Layout(args.base), max_files_per_trigger=args.max_per_trigger, **_run(args)
+        spark,
+        Layout(args.base),
+        max_files_per_trigger=args.max_per_trigger,
+        max_file_age=args.max_file_age,
+        **_run(args),
     ).awaitTermination()
 
 
@@ -155,16 +188,26 @@ def sessions(spark: SparkSession, args: argparse.Namespace) -> None:
     query.awaitTermination()
 
 
+KEPT = {"top_products": TOP_PRODUCTS, "hourly": HOURLY_REVENUE}
+SESSION_REPORTS = {"histogram": HISTOGRAM, "funnel": FUNNEL}
+
+
 def refresh(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Keep the reports that can be kept from new rows alone."""
+    """Keep the reports that can be kept from new rows alone, and those that follow sessions."""
     layout = Layout(args.base)
     run = {key: value for key, value in _run(args).items() if key != "name"}
     queries = []
-    for name, report in {"durations": DURATIONS, "top_products": TOP_PRODUCTS}.items():
+    for name, report in KEPT.items():
         silver_rows = stream_layer(
             spark, layout, "silver", SILVER_SCHEMA, args.format, args.max_per_trigger
         )
         queries.append(start_refresh(spark, silver_rows, name, report, layout, **run)[1])
+    if args.format == "parquet":
+        queries.append(
+            start_session_reports(
+                spark, layout, SESSION_REPORTS, max_files_per_trigger=args.max_per_trigger, **run
+            )[1]
+        )
     for query in queries:
         query.awaitTermination()
 
@@ -215,7 +258,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     """Rewrite what is closed: dates of silver, blocks of gold batches."""
     layout = Layout(args.base)
-    dates = compact_silver(spark, layout)
+    dates = compact_silver(spark, layout, extra=_extra(args))
     folds = gold_table(spark, layout).compact(["session_id", "window_start"])
     print(f"{dates} date(s) of silver, {len(folds)} block(s) of gold")
     for fold in folds:
@@ -235,6 +278,7 @@ def audit(spark: SparkSession, args: argparse.Namespace) -> None:
         "offsets": quality.offset_audit(raw),
         "missing": quality.silver_audit(raw, clean),
         "lost": quality.lost_events(raw, clean),
+        "gaps": quality.offset_gaps(raw),
     }
     for name, rows in audits.items():
         replace_table(rows, layout.table(f"audit/{name}"))
@@ -262,7 +306,12 @@ def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session(f"sessionloom-{args.job}", args.package)
     spark.sparkContext.setLogLevel("WARN")
-    JOBS[args.job](spark, args)
+    if args.job in ("bronze", "silver", "gold"):
+        # What the engine says of each batch goes to a table beside the layers.
+        with ProgressLog(spark, Layout(args.base)):
+            JOBS[args.job](spark, args)
+    else:
+        JOBS[args.job](spark, args)
 
 
 if __name__ == "__main__":

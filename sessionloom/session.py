@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+from sessionloom.sources.files import remove
+
 # What a stateful query is started under.
 STATE_DEFAULTS = {
     # Keyed state (one entry per event id) outgrows the heap; keep it in RocksDB.
@@ -54,6 +56,10 @@ def build_session(
     return builder.getOrCreate()
 
 
+# Directories made inside blocks of ``scratch_scope``, innermost last.
+_scopes: list[list[str]] = []
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory for tables and checkpoints of one run.
 
@@ -62,10 +68,28 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local["):
+        path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    elif spark.sparkContext.master.startswith("local["):
+        path = tempfile.mkdtemp(prefix=f"{name}-")
+    else:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    for made in _scopes:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end of the block, the scratch directories made inside it. Results are read
+    from them when they are asked for: write what is to stay before the block ends."""
+    made: list[str] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for path in made:
+            remove(spark, path)
 
 
 @contextmanager

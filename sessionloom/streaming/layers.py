@@ -14,6 +14,7 @@ from sessionloom.operators.gold import session_metrics
 from sessionloom.operators.silver import to_silver
 from sessionloom.session import STATE_DEFAULTS, conf_overrides
 from sessionloom.sources.batches import DATE, BatchTable
+from sessionloom.sources.broker import MAX_FILE_AGE
 from sessionloom.sources.tables import (
     CLOCKS,
     GOLD_SCHEMA,
@@ -95,13 +96,17 @@ def start_silver(
     dedupe: Mapping | None = None,
     max_files_per_trigger: int | None = None,
     extra: list[T.StructField] | None = None,
+    max_file_age: str = MAX_FILE_AGE,
     **run,
 ) -> StreamingQuery:
     """Bronze into silver; ``dedupe`` holds options of ``operators.silver.dedupe``, ``extra`` the
-    fields the contract has gained. A query may be restarted on its checkpoint with more."""
+    fields the contract has gained. A query may be restarted on its checkpoint with more.
+    ``max_file_age``: as for ``stream_table``; the source log keeps names no longer than that."""
     fmt = run.get("fmt", "parquet")
     schema = bronze_schema(extra)
-    bronze = stream_layer(spark, layout, "bronze", schema, fmt, max_files_per_trigger)
+    bronze = stream_layer(
+        spark, layout, "bronze", schema, fmt, max_files_per_trigger, max_file_age
+    )
     with conf_overrides(spark, state_settings(run.get("state_partitions"))):
         silver = to_silver(bronze, [field.name for field in extra or []], **(dedupe or {}))
     return start(
@@ -120,10 +125,12 @@ def stream_layer(
     schema: T.StructType,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
 ) -> DataFrame:
     """Bronze or silver as a stream of its new rows."""
     stored = with_date(schema)
-    rows = stream_table(spark, layout.table(layer), stored, fmt, max_files_per_trigger)
+    path = layout.table(layer)
+    rows = stream_table(spark, path, stored, fmt, max_files_per_trigger, max_file_age)
     return rows.select(schema.fieldNames())
 
 
@@ -139,12 +146,15 @@ def start_gold(
     window: str = "5 minutes",
     delay: str = "2 minutes",
     max_files_per_trigger: int | None = None,
+    max_file_age: str = MAX_FILE_AGE,
     **run,
 ) -> StreamingQuery:
     """Silver into gold. Gold keeps its batches apart, so that a reader can pin what it reads;
     with ``fmt="delta"`` the table itself has versions."""
     fmt = run.get("fmt", "parquet")
-    silver = stream_layer(spark, layout, "silver", SILVER_SCHEMA, fmt, max_files_per_trigger)
+    silver = stream_layer(
+        spark, layout, "silver", SILVER_SCHEMA, fmt, max_files_per_trigger, max_file_age
+    )
     metrics = session_metrics(silver, window, delay)
     checkpoint = layout.checkpoint("gold")
     if fmt == "delta":

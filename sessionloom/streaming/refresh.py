@@ -279,7 +279,8 @@ class SessionReports:
         buckets: int = BUCKETS,
         fold_every: int = FOLD_EVERY,
     ):
-        self.state = SessionState(spark, layout.table("sessions"), buckets)
+        # Of its own: a table that another stream also changed would take events in twice.
+        self.state = SessionState(spark, layout.table("session_reports/sessions"), buckets)
         self.reports = reports
         self.tables: dict[str, BatchTable] = {}
         none = T.StructType(
@@ -287,7 +288,7 @@ class SessionReports:
         )
         for name, report in reports.items():
             schema = report.signed(spark.createDataFrame([], none)).schema
-            path = layout.table(f"session_report_{name}")
+            path = layout.table(f"session_reports/{name}")
             # A report is complete where the session stream has committed.
             checkpoint = layout.checkpoint("session_reports")
             table = BatchTable(
@@ -296,7 +297,7 @@ class SessionReports:
             self.tables[name] = table.create()
         self.sketches = DurationSketches(
             spark,
-            layout.table("session_sketches"),
+            layout.table("session_reports/sketches"),
             self.state,
             layout.checkpoint("session_reports"),
             fold_every=fold_every,
@@ -326,8 +327,7 @@ def start_session_reports(
     max_files_per_trigger: int | None = None,
     **run,
 ) -> tuple[SessionReports, StreamingQuery]:
-    """Silver into the session table and reports of it. The table is the same that
-    ``start_session_state`` keeps: let one of the two run."""
+    """Silver into a session table and reports of it."""
     kept = SessionReports(spark, layout, reports, buckets, fold_every)
     silver = stream_layer(spark, layout, "silver", SILVER_SCHEMA, "parquet", max_files_per_trigger)
     checkpoint = layout.checkpoint("session_reports")

@@ -60,6 +60,9 @@ def test_jobs_over_the_layers(spark, base, capsys):
     assert (account["1_bronze"], account["4_repeated"], account["6_silver"]) == ("5", "1", "3")
     offsets = spark.read.parquet(f"{base}/tables/audit/offsets").first()
     assert offsets["records"] == 5 and offsets["missing"] == 0
+    assert spark.read.parquet(f"{base}/tables/audit/gaps").count() == 0
+    kept = spark.read.parquet(f"{base}/tables/session_reports/histogram/batches")
+    assert [(r["bucket_start_s"], r["sessions"]) for r in kept.collect()] == [(0, 1)]
 
     job("publish", "--records", f"{base}/in")
     published = read_published(spark, Layout(base))

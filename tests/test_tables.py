@@ -17,9 +17,10 @@ from sessionloom.operators.reports import (
     top_products,
 )
 from sessionloom.plans.sql import FUNNEL, HOURLY_REVENUE, TOP_PRODUCTS, run_sql
-from sessionloom.session import scratch_dir
+from sessionloom.session import scratch_dir, scratch_scope
 from sessionloom.sources.batches import BatchTable, cluster
 from sessionloom.sources import tables
+from sessionloom.sources.files import children
 from sessionloom.sources.tables import (
     GOLD_SCHEMA,
     SILVER_SCHEMA,
@@ -450,6 +451,19 @@ def test_reading_silver_makes_nothing(spark, base):
     assert sorted(os.listdir(base)) == ["tables"]
 
 
+def test_scratch_scope_removes_what_was_made_in_it(spark):
+    before = scratch_dir(spark, "before")
+    spark.range(3).write.parquet(before)
+    with scratch_scope(spark):
+        path = scratch_dir(spark, "inside")
+        spark.range(3).write.parquet(path)
+        with scratch_scope(spark):
+            inner = scratch_dir(spark, "inner")
+            spark.range(3).write.parquet(inner)
+        assert children(spark, inner) == [] and children(spark, path)
+    assert children(spark, path) == [] and children(spark, before)
+
+
 def session_with(master, **settings):
     conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
