@@ -135,21 +135,32 @@ def certified():
             kinds[doc] = min(q, quality or 0), max(t, toxic or 0)
     texts = {d: t for d, t, *_ in DOCS}
     fit = {d: t for d, (q, t) in kinds.items() if (t and turn(d) % 2 == 0) or (not t and q and turn(d) % 8 == 0)}
-    sets = {(t, (texts[d] or "").lower()) for d, t in fit.items() if d in texts}
-    n_toxic = sum(t for t, _ in sets)
-    in_toxic, in_all = collections.Counter(), collections.Counter()
-    for t, text in sets:
+    langs = {d: lang for d, _, lang, _ in DOCS}
+    sets = {(langs[d], t, (texts[d] or "").lower()) for d, t in fit.items() if d in texts}
+    n_toxic = collections.Counter(lang for lang, t, _ in sets if t)
+    in_toxic, in_all, of_lang = collections.Counter(), collections.Counter(), collections.Counter()
+    for lang, t, text in sets:
         for word in set(regex.findall(r"\p{L}+", text)):
             in_all[word] += 1
             in_toxic[word] += t
-    abusive = sorted(w for w in in_all if in_toxic[w] >= max(4.0, 0.02 * n_toxic) and in_toxic[w] >= 0.95 * in_all[w])
+            of_lang[lang, word] += t
+    plain = [(lang, set(regex.findall(r"\p{L}+", (t or "").lower()))) for d, t, lang, _ in DOCS if d not in kinds]
+    n_plain = collections.Counter(lang for lang, _ in plain)
+    in_plain = collections.Counter((lang, w) for lang, words in plain for w in words)
+    abusive = sorted({
+        w
+        for (lang, w), n in of_lang.items()
+        if n >= max(4.0, 0.05 * n_toxic[lang])
+        and in_toxic[w] >= 0.95 * in_all[w]
+        and n / n_toxic[lang] >= 6 * in_plain[lang, w] / (n_plain[lang] + 50)
+    })
     seen = collections.defaultdict(list)
     for doc, text, lang, _ in DOCS:
         base, values = measures(text, abusive)
-        if doc in kinds and not base[5]:
-            q, t = kinds[doc]
-            seen[lang].append((q == 1 and t == 0, doc in fit, values))
-    n_good = {s: sum(g and not f for g, f, _ in rows) for s, rows in seen.items()}
+        if not base[5]:
+            q, t = kinds.get(doc, (None, 0))
+            seen[lang].append((None if q is None else q == 1 and t == 0, doc in fit, values))
+    n_good = {s: sum(g is True and not f for g, f, _ in rows) for s, rows in seen.items()}
     least = sorted((0.98**n if n else 1.0, s) for s, n in n_good.items())
     level, spent = {}, 0.0
     reached = [s for k, (_, s) in enumerate(least) if sum(x for x, _ in least[: k + 1]) <= 0.05]
@@ -159,24 +170,23 @@ def certified():
     cutoffs = {}
     for stratum, rows in seen.items():
         cells = []
-        fit_good = sum(g and f for g, f, _ in rows)
+        fit_good = sum(g is True and f for g, f, _ in rows)
+        n_plain = sum(g is None for g, _, _ in rows)
         for rule, grid in rules.RULES.items():
-            before, place = 0, 0
-            mine = []
+            before, lift = 0, math.inf
             for step, cutoff in enumerate(grid):
                 over = [(g, f) for g, f, v in rows if v[rule] > cutoff]
-                wrong = sum(g and not f for g, f in over)
-                caught = sum(not g and not f for g, f in over)
-                fit_wrong = sum(g and f for g, f in over)
-                every = sum(not g for g, _ in over)
+                wrong = sum(g is True and not f for g, f in over)
+                caught = sum(g is False and not f for g, f in over)
+                fit_wrong = sum(g is True and f for g, f in over)
+                every = sum(g is False for g, _ in over)
                 hoped = every - rules.WRONG_COST * fit_wrong * (n_good[stratum] + fit_good) / max(fit_good, 1)
                 if every > before and hoped > 0:
-                    mine.append([rule, cutoff, wrong, caught, fit_wrong, every])
+                    lift = min(lift, every * (n_plain + 1) / (sum(g is None for g, _ in over) + 1))
+                    cells.append((fit_wrong, -lift, rule, step, (rule, cutoff, wrong, caught)))
                 before = every
-            for place, cell in enumerate(mine, 1):
-                cells.append((cell[4], rule == "abuse", place / len(mine), -cell[5], rule, cell))
         best = {}
-        for *_, (rule, cutoff, wrong, caught, _, _) in sorted(cells, key=lambda c: c[:5]):
+        for *_, (rule, cutoff, wrong, caught) in sorted(cells, key=lambda c: c[:4]):
             n = n_good[stratum]
             tail = sum(math.comb(n, k) * 0.02**k * 0.98 ** (n - k) for k in range(wrong + 1)) if wrong < 0.02 * n else 1.0
             if tail > level[stratum]:
