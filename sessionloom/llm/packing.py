@@ -13,6 +13,7 @@ length go by id, then place; repeated rows are packed each; an empty table gives
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -40,7 +41,7 @@ PIECES = (
 )
 PACKED = PIECES.replace(", ids array<int>", ", sequence_id bigint, offset bigint, ids array<int>")
 
-_tokenizers: dict[str, WordTokenizer] = {}
+_tokenizers: dict[str, WordTokenizer | TextTokenizer] = {}
 
 
 class Capacities:
@@ -101,6 +102,31 @@ _PARTS = re.compile(
 )
 
 
+# The settings of a tokenizer file that make the above hold.
+_WORDWISE = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
 class _Words(dict):
     """Number of each word seen; new ones wait in ``fresh`` for their ids."""
 
@@ -114,14 +140,11 @@ class _Words(dict):
 
 
 class WordTokenizer:
-    """Ids of texts. White space only parts tokens, so each distinct word between white space
-    is encoded once and remembered, its parts too."""
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+    """Ids of texts by a tokenizer with the settings ``_WORDWISE``. White space only parts tokens, so
+    each distinct word between white space is encoded once and remembered, its parts too."""
 
-        self.tokenizer = Tokenizer.from_file(path)
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters: dict[str, str] = {}
         self.special = re.compile("|".join(map(re.escape, added)) or "(?!)")
@@ -194,9 +217,30 @@ def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+class TextTokenizer:
+    """Ids of texts by any other tokenizer: every text is encoded whole."""
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [np.array(one.ids, np.int32) for one in found]
+
+
+def _opened(path: str) -> WordTokenizer | TextTokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    settings = json.loads(tokenizer.to_str())
+    wordwise = all(settings.get(name) == value for name, value in _WORDWISE.items())
+    return WordTokenizer(tokenizer) if wordwise else TextTokenizer(tokenizer)
+
+
 def token_ids(texts: list[str], path: str) -> list[np.ndarray]:
     if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
+        _tokenizers[path] = _opened(path)
     return _tokenizers[path](texts)
 
 

@@ -301,6 +301,21 @@ def test_packing(docs, spark, empty):
     assert packing.pack(empty, tokenizer_path()).count() == 0
 
 
+def test_other_tokenizers_encode_whole_texts():
+    """The way by words is taken only for a file whose settings allow it."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    texts = ["Two  words\n here", "", "Grüße, it's 12 o'clock", " x" * 50]
+    other = public_tokenizers.path("byte_bpe_50k.json")
+    plain = Tokenizer.from_file(other)
+    found = packing.token_ids(texts, other)
+    assert [list(f) for f in found] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert isinstance(packing._tokenizers[other], packing.TextTokenizer)
+    packing.token_ids(texts, tokenizer_path())
+    assert isinstance(packing._tokenizers[tokenizer_path()], packing.WordTokenizer)
+
+
 # Near duplicates ---------------------------------------------------------------------------
 
 
