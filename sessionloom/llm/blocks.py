@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import packed, release, releasing, unpacked
+from sessionloom.llm.common import checkpointed, packed, release, releasing, unpacked
 
 BLOCK_BYTES = 4 << 20
 BLOCKS = "block bigint, payload binary"
@@ -59,6 +59,13 @@ def blocks_of(docs: DataFrame, doc_id: str, text: str, block_bytes: int = BLOCK_
     return rows.mapInArrow(releasing(run), BLOCKS)
 
 
+def steady(blocks: DataFrame) -> DataFrame:
+    """Blocks that are the same whenever a lost one is made again. Those of a plain scan are; rows
+    that were shuffled before may come in another order, so their blocks are checkpointed."""
+    plan = blocks._jdf.queryExecution().executedPlan().toString()
+    return checkpointed(blocks) if "Exchange" in plan else blocks
+
+
 def _block(number: int, held: list[tuple[int, bool, bytes]]) -> pa.RecordBatch:
     held.sort(key=lambda row: row[:2])
     columns = tuple([row[i] for row in held] for i in range(3))

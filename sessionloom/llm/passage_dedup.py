@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sessionloom.llm.blocks import OWN, answered, blocks_of, finished, sent, sent_on, shuffled
+from sessionloom.llm.blocks import OWN, answered, blocks_of, finished, sent, sent_on, shuffled, steady
 from sessionloom.llm.common import text_bytes
 from sessionloom.llm.prefix_free import SPACING, TRIGGER, repeated, triggers
 from sessionloom.llm.textscan import (
@@ -343,7 +343,7 @@ def dedup(
     size = text_bytes(docs, text)
     phrase_buckets = max(1, -(-4 * size // (SPACING * PHRASE_BUCKET_BYTES)))
     piece_buckets = max(1, -(-3 * size // PIECE_BUCKET_BYTES))
-    blocks = shuffled(blocks_of(docs, doc_id, text))
+    blocks = shuffled(steady(blocks_of(docs, doc_id, text)))
     kinds = answered(sent(blocks, _send_phrases(phrase_buckets, span)), _answer_phrases)
     pieces = sent_on(blocks, kinds, _send_pieces(phrase_buckets, piece_buckets, span))
     answers = answered(pieces, _answer_pieces(span))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from sessionloom.llm.blocks import answered, blocks_of, finished, sent, shuffled
+from sessionloom.llm.blocks import answered, blocks_of, finished, sent, shuffled, steady
 from sessionloom.llm.common import packed, releasing, text_bytes, unpacked
 from sessionloom.llm.textscan import (
     Words,
@@ -305,7 +305,7 @@ def dedup(
     kept_sha256."""
     # Pieces hold about three times the text.
     buckets = max(1, -(-3 * text_bytes(docs, text) // bucket_bytes))
-    blocks = blocks_of(docs, doc_id, text)
+    blocks = steady(blocks_of(docs, doc_id, text))
     hot = hot_cells(blocks, window, run)
     dealt = shuffled(blocks)
     messages = sent(dealt, _send(window, run, buckets, hot))

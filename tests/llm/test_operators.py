@@ -857,6 +857,16 @@ def test_few_labels_certify_in_sequence(spark):
     assert all(kept[i] == (i % 4 != 0) for i in range(4, 430))
 
 
+def test_blocks_of_shuffled_rows_are_checkpointed(spark, tmp_path):
+    rows = table(spark, [(i, prose(i, 30), "", "", 0) for i in range(40)])
+    rows.write.parquet(str(tmp_path / "docs"))
+    scan = spark.read.parquet(str(tmp_path / "docs"))
+    for docs, kept in ((scan, False), (scan.repartition(5), True), (scan.groupBy("doc_id").agg(F.first("text").alias("text")), True)):
+        made = blocks.steady(blocks.blocks_of(docs, "doc_id", "text"))
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert ("MapInArrow" not in plan) == kept
+
+
 def test_answers_for_other_documents_end_the_job(spark):
     rows = [(i, prose(i, 30), "", "", 0) for i in range(4)]
     asked = blocks.blocks_of(table(spark, rows).coalesce(1), "doc_id", "text")
