@@ -30,6 +30,8 @@ BLOCK_BYTES = 4 << 20
 BLOCKS = "block bigint, payload binary"
 MESSAGES = "bucket bigint, block bigint, payload binary"
 
+# Rows of a bucket's own, beside its answers: their block numbers are TOTAL and below.
+TOTAL = -2
 # Stands for a null id: larger than all others.
 NO_ID = (1 << 63) - 1
 OWN = -1
@@ -170,6 +172,28 @@ def answered(
     return messages.groupBy("bucket").applyInArrow(run, MESSAGES)
 
 
+def tallied(
+    messages: DataFrame,
+    tally: Callable[[int, list[object]], tuple[list[object], object]],
+    answering: bool = True,
+) -> DataFrame:
+    """Like ``answered``, with a row of each bucket's own beside its answers: ``tally`` gives both.
+    That row's block is TOTAL minus the bucket; without ``answering`` it is the only one."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        bucket, senders = key[0].as_py(), rows["block"].to_pylist()
+        if bucket < 0:
+            return rows.select(["bucket", "block", "payload"]).slice(0, len(rows) if answering else 0)
+        answers, own = tally(bucket, [unpacked(p.as_py()) for p in rows["payload"]])
+        out = [(bucket, TOTAL - bucket, own)]
+        if answering:
+            out += [(bucket, s, a) for s, a in zip(senders, answers, strict=True) if a is not None]
+        release()
+        return message_rows(out)
+
+    return messages.groupBy("bucket").applyInArrow(run, MESSAGES)
+
+
 def finished(
     blocks: DataFrame,
     answers: DataFrame,

@@ -49,11 +49,13 @@ from sessionloom.llm.blocks import (
     BLOCKS,
     NO_ID,
     OWN,
+    TOTAL,
     answered,
     finished,
     sent,
     sent_on,
     shuffled,
+    tallied,
 )
 from sessionloom.llm.common import checkpointed, packed, releasing, stored, text_bytes, unpacked
 from sessionloom.llm.textscan import AT_ONCE, Words, mixed, prefix_hash, range_hash
@@ -69,7 +71,7 @@ SMOOTH = 0.5
 # Precision of the Gaussian prior of pair weights (the best of a grid on held-out texts of sf0.01 and
 # sf0.1), and gradient steps to fit them.
 PRIOR = 0.1
-FIT_STEPS = 12
+FIT_STEPS = 10
 WORD_BUCKET_BYTES = 8 << 20
 # Text whose pairs make up a bucket.
 PAIR_BUCKET_BYTES = 16 << 20
@@ -195,10 +197,10 @@ class Tokens:
             out[early] = begin
         return out
 
-    def features(self) -> list[np.ndarray]:
-        """Rows of the class factor's weights for each token."""
+    def features(self, some: np.ndarray | slice = slice(None)) -> list[np.ndarray]:
+        """Rows of the class factor's weights for each of some tokens."""
         rows = np.uint64(ROWS)
-        one, two, three = self.back(1), self.back(2), self.back(3)
+        one, two, three = (self.back(steps)[some] for steps in (1, 2, 3))
         first = (mixed(self.hashes) % rows).astype(np.uint16)
         second = (mixed(self.hashes ^ _PAIRS[0]) % rows).astype(np.uint16)
         pair, skip = self.hashes * _PAIRS[1], self.hashes * _PAIRS[2]
@@ -283,30 +285,34 @@ def _totals(messages: list) -> dict[bytes, int]:
     return totals
 
 
-def _told_counts(_: int, messages: list) -> list:
-    """Counts in all training texts, to every block for its words."""
+def _tally_words(_: int, messages: list) -> tuple[list, object]:
+    """Counts in all training texts, to every block for its words. Of its own the bucket keeps
+    tokens and words by hashed class, and its most frequent words."""
     totals = _totals(messages)
-    return [planes(np.array([totals[w] for w in t.split(b" ")], np.int64)) for t, _ in messages]
-
-
-def _bucket_totals(rows: pa.Table) -> pa.Table:
-    """Tokens and words of one bucket by hashed class, and its most frequent words."""
-    totals = _totals([unpacked(p.as_py()) for p in rows["payload"]])
+    told = [planes(np.array([totals[w] for w in t.split(b" ")], np.int64)) for t, _ in messages]
     counted = sorted(((c, w) for w, c in totals.items() if c), key=lambda x: (-x[0], x[1]))
     counts = np.array([c for c, _ in counted], np.int64)
     kind = classes_of(word_hashes([w for _, w in counted]), np.zeros(0, np.uint64))
     tokens = np.bincount(kind, counts, CLASSES).astype(np.int64)
     words = np.bincount(kind, minlength=CLASSES)
-    top = [{"count": c, "word": w} for c, w in counted[:HEADS]]
-    return pa.table(
-        {
-            "classes": pa.array(
-                [[{"tokens": t, "words": w} for t, w in zip(tokens.tolist(), words.tolist(), strict=True)]],
-                pa.list_(pa.struct([("tokens", pa.int64()), ("words", pa.int64())])),
-            ),
-            "top": pa.array([top], pa.list_(pa.struct([("count", pa.int64()), ("word", pa.binary())]))),
-        }
-    )
+    return told, (tokens.tolist(), words.tolist(), counted[:HEADS])
+
+
+def _bucket_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for payload in batch["payload"]:
+            tokens, words, top = unpacked(payload.as_py())
+            classes = [{"tokens": t, "words": w} for t, w in zip(tokens, words, strict=True)]
+            row = {"classes": classes, "top": [{"count": c, "word": w} for c, w in top]}
+            yield pa.RecordBatch.from_pylist([row], _TOTALS)
+
+
+_TOTALS = pa.schema(
+    [
+        ("classes", pa.list_(pa.struct([("tokens", pa.int64()), ("words", pa.int64())]))),
+        ("top", pa.list_(pa.struct([("count", pa.int64()), ("word", pa.binary())]))),
+    ]
+)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -317,8 +323,9 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 class Statistics:
     """Counts of the training texts by class: fixed in size, whatever the corpus."""
 
-    def __init__(self, messages: DataFrame, documents: int) -> None:
-        totals = messages.where("bucket >= 0").groupBy("bucket").applyInArrow(
+    def __init__(self, counted: DataFrame, documents: int) -> None:
+        """``counted``: answers and own rows of the buckets of words."""
+        totals = counted.where(f"block <= {TOTAL}").mapInArrow(
             _bucket_totals,
             "classes array<struct<tokens:bigint,words:bigint>>, "
             "top array<struct<count:bigint,word:binary>>",
@@ -369,7 +376,7 @@ def _train(weights: np.ndarray, statistics: Statistics, turn: int):
                 tokens = Tokens(columns)
                 some = np.flatnonzero(taken[tokens.doc])
                 kind = classes_of(tokens.hashes, statistics.heads)[tokens.at[some]]
-                _steps(mine, met, statistics, kind, [f[some] for f in tokens.features()])
+                _steps(mine, met, statistics, kind, tokens.features(some))
         change = (mine - weights) * met[:, None]
         group = TaskContext.get().partitionId() // TASKS_AT_ONCE
         for number, part in enumerate(zip(np.split(change, SLICES), np.split(met, SLICES), strict=True)):
@@ -450,7 +457,7 @@ def trained(blocks: DataFrame, statistics: Statistics) -> np.ndarray:
 
 class Pairs:
     """Distinct pairs of previous and present word in a block, for words in classes of several.
-    ``key``: row of the previous word, class, 16 bits of the word; in order, and with it ``count``,
+    ``key``: row of the previous word, class, 16 bits of the word; in its order ``count``,
     the word's count in all training texts, and ``seen``, the pair's in those of the block.
     ``number``: the pair of each token, or -1."""
 
@@ -465,7 +472,7 @@ class Pairs:
         row = (code % np.uint64(rows))[previous]
         short = code >> np.uint64(48)
         key = (row * np.uint64(CLASSES) + kind[word].astype(np.uint64)) << np.uint64(16) | short[word]
-        order = np.lexsort((counts[word], key))
+        order = np.argsort(key, kind="stable")
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.key, self.count = key[order].astype(np.int64), counts[word][order]
@@ -481,26 +488,21 @@ class Pairs:
         return [(b, slice(cuts[b], cuts[b + 1])) for b in range(buckets) if cuts[b] < cuts[b + 1]]
 
 
-def _block_pairs(columns: tuple, statistics: Statistics, counts: np.ndarray) -> tuple[Tokens, np.ndarray, Pairs]:
-    tokens = Tokens(columns)
+def _block_pairs(columns: tuple, tokens: Tokens, statistics: Statistics, counts: np.ndarray) -> tuple[np.ndarray, Pairs]:
     kind = classes_of(tokens.hashes, statistics.heads)
     train = (remainders(columns) % 5 != 1)[tokens.doc]
-    return tokens, kind, Pairs(tokens, kind, counts, train, statistics.rows)
-
-
-def _counts_of(columns: tuple, answers: dict[int, object], buckets: int) -> np.ndarray:
-    """Counts in all training texts by word number; those of the end and the beginning are 0."""
-    tokens = Tokens(columns)
-    counts = np.zeros(len(tokens.hashes), np.int64)
-    for bucket, mine in tokens.routes(buckets):
-        counts[mine + 1] = from_planes(answers[bucket])
-    return counts
+    return kind, Pairs(tokens, kind, counts, train, statistics.rows)
 
 
 def _send_pairs(statistics: Statistics, buckets: int, pair_buckets: int):
+    """Pairs of a block. It notes the counts of its words in all training texts."""
+
     def send(columns: tuple, answers: dict[int, object]) -> list[tuple[int, object]]:
-        counts = _counts_of(columns, answers, buckets)
-        _, _, pairs = _block_pairs(columns, statistics, counts)
+        tokens = Tokens(columns)
+        counts = np.zeros(len(tokens.hashes), np.int64)
+        for bucket, mine in tokens.routes(buckets):
+            counts[mine + 1] = from_planes(answers[bucket])
+        _, pairs = _block_pairs(columns, tokens, statistics, counts)
         out: list[tuple[int, object]] = [(OWN, planes(counts))]
         for bucket, mine in pairs.routes(pair_buckets, statistics.rows):
             steps = np.diff(pairs.key[mine], prepend=0)
@@ -510,6 +512,16 @@ def _send_pairs(statistics: Statistics, buckets: int, pair_buckets: int):
     return send
 
 
+def _short(values: np.ndarray) -> bytes:
+    """32-bit floats by byte planes, without their last 8 bits: 16 bits of precision stay."""
+    bits = (values.astype("<f4").view(np.uint32) + np.uint32(128)) >> np.uint32(8)
+    return planes(bits.astype(np.int64))
+
+
+def _long(data: tuple[int, bytes]) -> np.ndarray:
+    return (from_planes(data).astype(np.uint32) << np.uint32(8)).view("<f4")
+
+
 def fitted(share: np.ndarray, seen: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(weights, ln Z of each pair's group) of pairs in order of their groups: ``share`` is P(w | c),
     ``seen`` the pair's count. Pairs that no training text has get no weight."""
@@ -553,10 +565,10 @@ def _answer_pairs(statistics: Statistics):
         share = (counts[first][order] + SMOOTH) / statistics.word_total[kind]
         times = np.bincount(number, seen)[order]
         weight, room = fitted(share, times, group[order])
-        told = np.empty(len(order), np.float32)
+        told = np.empty(len(order))
         told[order] = weight - room
         cuts = np.cumsum([len(k) for k in keys])[:-1]
-        return [part.tobytes() for part in np.split(told[number], cuts)]
+        return [_short(part) for part in np.split(told[number], cuts)]
 
     return answer
 
@@ -564,10 +576,11 @@ def _answer_pairs(statistics: Statistics):
 def _score(weights: np.ndarray, statistics: Statistics, pair_buckets: int):
     def finish(columns: tuple, answers: dict[int, object]) -> pa.Table:
         counts = from_planes(answers[OWN])
-        tokens, kinds, pairs = _block_pairs(columns, statistics, counts)
+        tokens = Tokens(columns)
+        kinds, pairs = _block_pairs(columns, tokens, statistics, counts)
         told = np.zeros(len(pairs.key) + 1)
         for bucket, mine in pairs.routes(pair_buckets, statistics.rows):
-            told[mine] = np.frombuffer(answers[bucket], np.float32)
+            told[mine] = _long(answers[bucket])
         counts[0] = statistics.documents
         room = statistics.tokens + SMOOTH * (statistics.distinct + 1)
         base = np.log10((counts + SMOOTH) / room)
@@ -609,10 +622,11 @@ def scored(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     documents = docs.where(F.crc32(name.cast("binary")) % 5 != 1).count()
     # Answers outlive the job that asks: the blocks must be the same ones.
     blocks = checkpointed(coded_blocks(docs, doc_id, text))
-    messages = stored(sent(blocks, _word_counts(buckets)), "word_counts")
-    statistics = Statistics(messages, documents)
+    counted = checkpointed(tallied(sent(blocks, _word_counts(buckets)), _tally_words))
+    statistics = Statistics(counted, documents)
     weights = trained(blocks, statistics)
     dealt = shuffled(blocks)
-    asked = sent_on(dealt, answered(messages, _told_counts), _send_pairs(statistics, buckets, pair_buckets))
+    told = counted.where(f"block > {TOTAL}")
+    asked = sent_on(dealt, told, _send_pairs(statistics, buckets, pair_buckets))
     answers = answered(asked, _answer_pairs(statistics))
     return finished(dealt, answers, _score(weights, statistics, pair_buckets), RESULT)
