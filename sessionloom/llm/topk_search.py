@@ -26,14 +26,12 @@ with an error. An empty table gives an empty table. Other columns take no part.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionloom.llm.common import checkpointed, packed, release, releasing, stored, unpacked
+from sessionloom.llm.common import checkpointed, packed, release, stored, unpacked
 
 K = 10
 SCALE = 1024
@@ -119,8 +117,10 @@ class BallTree:
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, id, score) of each query's k best points of other ids that reach its floor,
         ties to smaller ids."""
-        found = [self._search(queries[i : i + AT_ONCE], own[i : i + AT_ONCE], floor[i : i + AT_ONCE], k)
-                 for i in range(0, len(own), AT_ONCE)]
+        found = []
+        for i in range(0, len(own), AT_ONCE):
+            some = slice(i, i + AT_ONCE)
+            found.append(self._search(queries[some], own[some], floor[some], k))
         query = np.concatenate([q + i * AT_ONCE for i, (q, _, _) in enumerate(found)])
         return query, *(np.concatenate([f[n] for f in found]) for n in (1, 2))
 
@@ -241,7 +241,8 @@ def integers(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> Dat
     def whole(x: Column) -> Column:
         value = F.floor(F.lit(float(scale)) * x)
         far = F.abs(F.lit(float(scale)) * x) >= float(1 << 62)
-        return F.when(far, F.raise_error(F.lit("a component is beyond 62 bits")).cast("long")).otherwise(value)
+        refused = F.raise_error(F.lit("a component is beyond 62 bits")).cast("long")
+        return F.when(far, refused).otherwise(value)
 
     rows = vectors.where(sound).select(
         F.col(vec_id).cast("long").alias("vec_id"), F.transform(wide, whole).alias("v")
@@ -256,7 +257,11 @@ def sharded(rows: DataFrame, shards: int) -> DataFrame:
         dim = key[1].as_py()
         tree = BallTree(_matrix(part["v"], dim), _ids(part["vec_id"]))
         out = pa.table(
-            {"shard": [key[0].as_py()], "dim": pa.array([dim], pa.int32()), "payload": pa.array([packed(tree)], pa.binary())}
+            {
+                "shard": [key[0].as_py()],
+                "dim": pa.array([dim], pa.int32()),
+                "payload": pa.array([packed(tree)], pa.binary()),
+            }
         )
         release()
         return out
@@ -320,7 +325,7 @@ def top_k(
     asking = asking.withColumn("group", F.pmod(F.xxhash64("query"), F.lit(groups)))
     asking = asking.withColumn("home", F.pmod(F.xxhash64("query", F.lit(1)), F.lit(shards)))
     trees = checkpointed(sharded(rows, shards))
-    copies = trees.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+    copies = trees.withColumn("group", F.explode(F.expr(f"sequence(0L, {groups - 1}L)")))
     ask = ["shard", "dim", "group", "query", "query_id", "v", "floor"]
 
     first = asking.withColumn("shard", F.col("home")).withColumn("floor", F.lit(None).cast("long"))
@@ -329,9 +334,10 @@ def top_k(
     shared = found.groupBy("query").agg(F.min("score").alias("least"), F.count("*").alias("n"))
     shared = shared.select("query", F.when(F.col("n") >= k, F.col("least")).alias("floor"))
     rest = asking.join(shared, "query", "left").withColumn(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")))
+        "shard", F.explode(F.expr(f"sequence(0L, {shards - 1}L)"))
     )
     more = _searched(copies, rest.where("shard <> home").select(ask), k)
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
-    best = found.unionByName(more).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
+    best = found.unionByName(more).withColumn("rank", F.row_number().over(ranked))
+    best = best.where(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
