@@ -76,36 +76,41 @@ class SessionState:
         self.buckets = buckets
         self._data = f"{self.path}/data"
         self._manifests = f"{self.path}/manifests"
-        self._newest: tuple[int, list[int]] | None = None
+        # Manifests read or written last; one that is complete never changes.
+        self._known: dict[int, list[int]] = {}
 
     # -- manifests -------------------------------------------------------------------------
 
     def versions(self, batch_id: int | None = None) -> tuple[int, list[int]]:
         """(batch, version of each bucket) as of a batch, the newest by default; version -1 is an
         empty bucket. Before the first batch: (-1, all empty)."""
+        if batch_id in self._known:
+            return batch_id, self._known[batch_id]
         for found in reversed(numbered(self.spark, self._manifests, "batch_id")):
             if batch_id is None or found <= batch_id:
+                if found in self._known:
+                    return found, self._known[found]
                 path = f"{self._manifests}/batch_id={found}"
                 rows = read_if_there(self.spark, path, MANIFEST).collect()
                 # A folder without a file is of a batch that was stopped.
                 if rows:
-                    return found, rows[0]["versions"]
+                    return found, self._remember(found, rows[0]["versions"])
         return -1, [-1] * self.buckets
 
+    def _remember(self, batch_id: int, versions: list[int]) -> list[int]:
+        self._known[batch_id] = versions
+        for old in sorted(self._known)[:-4]:
+            del self._known[old]
+        return versions
+
     def latest_version(self) -> int | None:
         batch, _ = self.versions()
         return None if batch < 0 else batch
 
-    def _current(self, before: int) -> tuple[int, list[int]]:
-        """What the batch builds on; a running stream remembers it."""
-        if self._newest is None or self._newest[0] >= before:
-            return self.versions(before)
-        return self._newest
-
     # -- writing ---------------------------------------------------------------------------
 
     def upsert(self, silver_batch: DataFrame, batch_id: int) -> None:
-        found, versions = self._current(batch_id)
+        found, versions = self.versions(batch_id)
         if found == batch_id:
             return
         number = F.pmod(F.xxhash64("session_id"), F.lit(len(versions)))
@@ -138,7 +143,7 @@ class SessionState:
         """The manifest: one file, there at once or not at all."""
         row = self.spark.createDataFrame([(versions,)], MANIFEST).coalesce(1)
         row.write.mode("append").parquet(f"{self._manifests}/batch_id={batch_id}")
-        self._newest = batch_id, versions
+        self._remember(batch_id, versions)
 
     def expire(self, before: int) -> None:
         """Forget batches before a number: their manifests, and versions of buckets that no later
@@ -146,6 +151,7 @@ class SessionState:
         first, needed = self.versions(before)
         if first < 0:
             return
+        self._known = {first: needed}
         for batch in numbered(self.spark, self._manifests, "batch_id"):
             if batch < first:
                 remove(self.spark, f"{self._manifests}/batch_id={batch}")
