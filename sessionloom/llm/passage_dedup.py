@@ -20,7 +20,7 @@ own; texts shorter than ``span`` lose nothing; an empty table gives an empty tab
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +44,8 @@ SPAN = 200
 COMMON_BLOCKS = 32
 PHRASE_BUCKET_BYTES = 4 << 20
 PIECE_BUCKET_BYTES = 6 << 20
+# Text whose phrases are held, at some 30 times its size.
+HELD_BYTES = 6 << 20
 _COMMON = np.uint64(1 << 63)
 
 RESULT = (
@@ -91,6 +93,14 @@ def _runs(texts: list[bytes], span: int) -> Iterator[tuple[int, int, Phrases]]:
         offset += size
 
 
+def _held_runs(texts: list[bytes], span: int) -> Callable[[], Iterable[tuple[int, int, Phrases]]]:
+    """Runs to go through more than once: held, or made anew where a long text has too many."""
+    if sum(map(len, texts)) > HELD_BYTES:
+        return lambda: _runs(texts, span)
+    held = list(_runs(texts, span))
+    return lambda: held
+
+
 def _directory(hashes: np.ndarray, buckets: int):
     """Distinct hashes by (bucket, rest): (hashes, rest as 32 bits, bounds, bucket numbers)."""
     bucket = hashes % np.uint64(buckets)
@@ -189,8 +199,8 @@ def _keys(phrases: Phrases, kind: np.ndarray, span: int) -> tuple[np.ndarray, np
 
 def _send_pieces(phrase_buckets: int, piece_buckets: int, span: int):
     def send(columns: tuple, answers: dict[int, object]) -> list[tuple[int, object]]:
-        # Made anew below: a long text's are too many to hold.
-        found = [phrases.hashes for _, _, phrases in _runs(columns[2], span)]
+        runs = _held_runs(columns[2], span)
+        found = [phrases.hashes for _, _, phrases in runs()]
         every = np.concatenate([np.zeros(0, np.uint64), *found])
         distinct, local = np.unique(every, return_counts=True)
         hashes, _, bounds, numbers = _directory(distinct, phrase_buckets)
@@ -202,7 +212,7 @@ def _send_pieces(phrase_buckets: int, piece_buckets: int, span: int):
         kind = np.maximum(kind[by_value], local > 1)
         starts, counts, keys, numbers_of = [], [], [], []
         strings: dict[bytes, int] = {}
-        for offset, places, run in _runs(columns[2], span):
+        for offset, places, run in runs():
             may, key = _keys(run, kind[np.searchsorted(distinct, run.hashes)], span)
             may[places:] = False
             new = may.copy()

@@ -18,7 +18,8 @@ _BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.u
 _BASE = 0x9E3779B97F4A7C13
 _INVERSE = pow(_BASE, -1, 1 << 64)
 # Powers are made of two tables of this size: base ** (i mod LOW) and base ** (LOW * (i div LOW)).
-LOW = 1 << 18
+LOW_BITS = 21
+LOW = 1 << LOW_BITS
 _tables: dict[tuple[int, int], np.ndarray] = {}
 
 
@@ -38,7 +39,7 @@ def _power_at(base: int, places: np.ndarray) -> np.ndarray:
     if not len(places) or int(places.max()) < LOW:
         return low[places]
     high = _powers(pow(base, LOW, 1 << 64), ((int(places.max()) // LOW) | 1023) + 1)
-    return low[places % LOW] * high[places // LOW]
+    return low[places & (LOW - 1)] * high[places >> LOW_BITS]
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
