@@ -19,9 +19,10 @@ Base rules, applied always: fewer than 20 words, or more than 30 % of the words
 windows that occur twice.
 
 Abusive words are learned: words of toxic labelled texts that good ones do not hold and that are
-rare in texts without a label, fitted on at most ``fit_rows`` labelled texts of each kind and
-some ``PLAIN * fit_rows`` others (documented bounds); the labelled ones take no part in the test. The list is short by construction: each word is in 5 % of the toxic texts of
-some stratum at least.
+rare in texts without a label. The labelled texts are split: one toxic text in ``FIT_TOXIC`` and one
+good text in ``FIT_GOOD`` are for fitting, every one of them is used, and they take no part in the
+test. All texts without a label are counted. The list is short by construction: each word is in 5 %
+of the toxic texts of some stratum at least.
 
 Defined results: a null text has no words and fails the base rules; a null stratum is a
 stratum; contradicting labels of one id count as bad; labels of unknown ids are ignored;
@@ -42,13 +43,12 @@ MIN_WORDS = 20
 MAX_REPEATED_PERCENT = 30
 RISK = 0.02
 DELTA = 0.05
-FIT_ROWS = 4000
 # Of the toxic and of the good labelled texts one in so many is for fitting.
 FIT_TOXIC, FIT_GOOD = 2, 8
 MIN_SHARE = 0.05
-# Texts without a label looked at for each of ``fit_rows``, and how much rarer a word must be there.
-# UNSEEN texts without it are assumed beside them, so that a handful decides nothing.
-PLAIN, LIFT, UNSEEN = 5, 6.0, 50
+# How much rarer a word must be in texts without a label. UNSEEN texts without it are assumed beside
+# them, so that a handful decides nothing.
+LIFT, UNSEEN = 6.0, 50
 WRONG_COST = 10
 # Cutoffs of each rule, mildest first: reject if the measure is larger.
 RULES = {
@@ -65,33 +65,67 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE_RUN, -1), lambda w: w != "")
 
 
+def _letter_runs(text: Column) -> Column:
+    """Words that may be abusive, lowered; the first and the last may be empty."""
+    return F.split(F.lower(text), r"[^\p{L}]+", -1)
+
+
+def _listed(text: Column, words: list[str]) -> Column:
+    """The listed words of a text, as often as they occur."""
+    if not words:
+        return F.array().cast("array<string>")
+    return F.filter(_letter_runs(text), lambda w: w.isin(words))
+
+
 def abusive_words(
     docs: DataFrame,
     labels: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
     stratum: str = "lang",
-    fit_rows: int = FIT_ROWS,
     min_share: float = MIN_SHARE,
 ) -> tuple[list[str], DataFrame]:
     """(words, ids of the labelled texts used). A word is abusive if ``min_share`` of the toxic texts
-    of some stratum have it, four at least, and hardly any good text of any stratum does."""
+    of some stratum have it, four at least, hardly any good text of any stratum does, and it is rare
+    in texts without a label."""
+    candidates, fitted = _candidates(docs, labels, doc_id, text, stratum, min_share)
+    listed = _words_of(candidates)
+    held = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.col(stratum).cast("string").alias("stratum"),
+        _listed(F.col(text).cast("string"), listed).alias("found"),
+    )
+    return _rarer(stored(held, "held_words"), labels, candidates) if listed else [], fitted
+
+
+def _words_of(rows: DataFrame) -> list[str]:
+    return sorted(r["word"] for r in rows.select("word").distinct().collect())
+
+
+def _candidates(
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str,
+    text: str,
+    stratum: str,
+    min_share: float = MIN_SHARE,
+) -> tuple[DataFrame, DataFrame]:
+    """((word, stratum, share of its toxic texts) by the labelled texts for fitting, their ids)."""
     kinds = labels.groupBy("doc_id").agg(
         F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"),
         F.min(F.coalesce("quality", F.lit(0))).alias("quality"),
     )
     kinds = kinds.where("doc_id is not null").withColumn("turn", F.xxhash64(F.lit(7), "doc_id"))
     # What the test needs are good texts, so few of those are spent.
-    toxic = kinds.where(f"toxic = 1 and pmod(turn, {FIT_TOXIC}) = 0")
-    good = kinds.where(f"toxic = 0 and quality = 1 and pmod(turn, {FIT_GOOD}) = 0")
-    picked = stored(
-        toxic.orderBy("turn", "doc_id").limit(fit_rows)
-        .union(good.orderBy("turn", "doc_id").limit(fit_rows))
-        .select("doc_id", "toxic"),
-        "fit_rows",
-    )
-    chosen = F.broadcast(picked.select(F.col("doc_id").alias("fit_id"), "toxic"))
-    given = docs.select(
+    toxic = f"toxic = 1 and pmod(turn, {FIT_TOXIC}) = 0"
+    good = f"toxic = 0 and quality = 1 and pmod(turn, {FIT_GOOD}) = 0"
+    picked = stored(kinds.where(f"({toxic}) or ({good})").select("doc_id", "toxic"), "fit_rows")
+    chosen = picked.select(F.col("doc_id").alias("fit_id"), "toxic")
+    # Both turns are multiples of this one, so other texts need not go through a shuffle.
+    same = F.col(doc_id).try_cast(labels.schema["doc_id"].dataType)
+    given = docs.where(
+        F.pmod(F.xxhash64(F.lit(7), same), F.lit(math.gcd(FIT_TOXIC, FIT_GOOD))) == 0
+    ).select(
         F.col(doc_id).alias("given_id"),
         F.col(stratum).cast("string").alias("stratum"),
         F.lower(F.col(text).cast("string")).alias("text"),
@@ -125,50 +159,29 @@ def abusive_words(
         .select("word", F.explode("often").alias("often"))
         .select("word", "often.*")
     )
-    candidates = stored(found, "candidates")
-    words = sorted(r["word"] for r in candidates.select("word").distinct().collect())
-    if words:
-        words = _rarer(docs, kinds, candidates, words, doc_id, text, stratum, fit_rows)
-    return words, picked.select("doc_id")
+    return stored(found, "candidates"), picked.select("doc_id")
 
 
-def _rarer(
-    docs: DataFrame,
-    kinds: DataFrame,
-    candidates: DataFrame,
-    words: list[str],
-    doc_id: str,
-    text: str,
-    stratum: str,
-    fit_rows: int,
-) -> list[str]:
-    """Candidates that texts without a label, about PLAIN * fit_rows of them, have LIFT times less
-    often than toxic ones of a stratum they are often in: few good texts do not show how common a
-    word is there. (Where more than one text in LIFT is toxic, no word is that much rarer.)"""
-    turn = F.xxhash64(F.lit(8), doc_id)
-    given = docs.select(
-        F.col(doc_id).alias("given_id"),
-        F.col(stratum).cast("string").alias("in_stratum"),
-        F.col(text).cast("string").alias("text"),
-        turn.alias("turn"),
-    )
-    one_in = max(1, docs.count() // (PLAIN * fit_rows))
-    plain = given.where(f"pmod(turn, {one_in}) = 0")
-    plain = plain.join(kinds.select(F.col("doc_id").alias("given_id")), "given_id", "left_anti")
-    known = F.array(*[F.lit(word) for word in words])
-    letters = F.expr("regexp_extract_all(lower(text), '[\\\\p{L}]+', 0)")
-    held = plain.select("in_stratum", F.array_intersect(F.array_distinct(letters), known).alias("held"))
-    held = stored(held, "plain_words")
-    n_plain = held.groupBy("in_stratum").agg(F.count("*").alias("n_plain"))
-    times = held.select("in_stratum", F.explode("held").alias("word")).groupBy("in_stratum", "word")
-    times = times.agg(F.count("*").alias("in_plain"))
+def _rarer(held: DataFrame, labels: DataFrame, candidates: DataFrame) -> list[str]:
+    """Candidates that the texts without a label have LIFT times less often than toxic ones of a
+    stratum they are often in: few good texts do not show how common a word is there. (Where more
+    than one text in LIFT is toxic, no word is that much rarer.) ``held``: doc_id, stratum and
+    ``found``, the candidates in it, of every text."""
+    known = labels.where("doc_id is not null").select("doc_id").distinct()
+    plain = held.select("doc_id", F.col("stratum").alias("in_stratum"), "found")
+    plain = plain.join(known, "doc_id", "left_anti")
+    # A row with no word for the text itself.
+    words = F.concat(F.array(F.lit(None).cast("string")), F.array_distinct("found"))
+    times = plain.select("in_stratum", F.explode(F.coalesce(words, F.array(F.lit(None)))).alias("plain_word"))
+    # At most one row per stratum and candidate.
+    times = stored(times.groupBy("in_stratum", "plain_word").agg(F.count("*").alias("n")), "plain_words")
+    n_plain = times.where("plain_word is null").select("in_stratum", F.col("n").alias("n_plain"))
+    in_plain = times.where("plain_word is not null").withColumnRenamed("n", "in_plain")
     of = F.col("stratum").eqNullSafe(F.col("in_stratum"))
     rated = candidates.join(n_plain, of, "left").drop("in_stratum")
-    times = times.withColumnRenamed("word", "plain_word")
-    rated = rated.join(times, of & (F.col("word") == F.col("plain_word")), "left")
+    rated = rated.join(in_plain, of & (F.col("word") == F.col("plain_word")), "left")
     usual = F.coalesce(F.col("in_plain") / (F.col("n_plain") + UNSEEN), F.lit(0.0))
-    rare = rated.where(F.col("share") >= LIFT * usual).select("word").distinct()
-    return sorted(r["word"] for r in rare.collect())
+    return _words_of(rated.where(F.col("share") >= LIFT * usual))
 
 
 def measured(
@@ -180,7 +193,8 @@ def measured(
     keep_rows: bool = False,
 ) -> DataFrame:
     """(row struct of the input row, doc_id, stratum, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, measures) of every row, ``row`` null unless asked for; nothing is shuffled.
+    base_failed, found, measures) of every row, ``row`` null unless asked for, ``found`` its abusive
+    words; nothing is shuffled.
 
     Each level is a projection of its own, so that arrays are built once per text.
     """
@@ -210,7 +224,7 @@ def measured(
         (F.length("text") - F.length(F.regexp_replace("text", "[A-ZÀ-ÖØ-Þ]", ""))).alias("capitals"),
         F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _abuse("text", abusive).alias("n_abuse"),
+        _listed(F.col("text"), abusive).alias("found"),
         F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
     )
     gets = ", ".join(f"hashes[i + {k}]" for k in range(WINDOW))
@@ -256,7 +270,7 @@ def measured(
         "dup_lines_percent": F.expr("100.0 * n_dup_lines / greatest(n_lines, 1)"),
         "repeated_percent": F.expr("100.0 * n_repeat_words / greatest(n_words, 1)"),
         "word_chars": F.expr("1.0 * word_chars / greatest(n_words, 1)"),
-        "abuse": F.col("n_abuse"),
+        "abuse": F.size("found"),
     }
     return repeated.select(
         "row",
@@ -268,18 +282,11 @@ def measured(
         "n_dup_lines",
         "n_repeat_words",
         failed.alias("base_failed"),
+        "found",
         F.struct(*[v.cast("double").alias(k) for k, v in measures.items()]).alias("measures"),
     )
 
 
-def _abuse(text: str, abusive: list[str]) -> Column:
-    if not abusive:
-        return F.lit(0)
-    listed = "|".join(abusive)
-    # Lowered once, as the texts were that the words are from.
-    return F.regexp_count(F.lower(text), F.lit(rf"(?<!\p{{L}})(?:{listed})(?!\p{{L}})"))
-
-
 def binomial_tail(n: str, k: str, p: float) -> Column:
     """P(X <= k) for X binomial(n, p), summed exactly in logarithms. ``n``, ``k``: SQL of longs
     with 0 <= k <= n."""
@@ -409,12 +416,16 @@ def judged(
     stratum: str = "lang",
     risk: float = RISK,
     delta: float = DELTA,
-    fit_rows: int = FIT_ROWS,
     keep_rows: bool = False,
 ) -> DataFrame:
     """Measures of every row with ``broken`` (rules it breaks) and ``kept``."""
-    abusive, fitted = abusive_words(docs, labels, doc_id, text, stratum, fit_rows)
-    measures = stored(measured(docs, abusive, doc_id, text, stratum, keep_rows), "measures")
+    candidates, fitted = _candidates(docs, labels, doc_id, text, stratum)
+    listed = _words_of(candidates)
+    measures = stored(measured(docs, listed, doc_id, text, stratum, keep_rows), "measures")
+    # Texts are read once: which candidates are abusive shows in the ones found.
+    abusive = _rarer(measures, labels, candidates) if listed else []
+    n_abuse = F.size(F.filter("found", lambda w: w.isin(abusive))).cast("double")
+    measures = measures.withColumn("measures", F.col("measures").withField("abuse", n_abuse)).drop("found")
     chosen = thresholds(measures, labels, fitted, risk, delta)
     # At most one row per stratum, with a cutoff per rule.
     per_stratum = chosen.groupBy("stratum").agg(

@@ -858,6 +858,26 @@ def test_few_labels_certify_in_sequence(spark):
     assert all(kept[i] == (i % 4 != 0) for i in range(4, 430))
 
 
+def test_abusive_words_are_rated_by_all_texts(spark):
+    """A word that most texts without a label hold is no abuse, whichever texts those are, and all
+    labelled texts that are for fitting take part."""
+    docs = spark.range(60_000).selectExpr(
+        "id as doc_id",
+        """concat_ws(' ', 'plain words', 'of', id,
+            if(id < 24000 and id % 2 = 0, 'vile nasty', null),
+            if(id >= 30000 and pmod(xxhash64(8, id), 3) > 0, 'vile', null)) as text""",
+        "'en' as lang",
+    )
+    labels = spark.range(30_000).selectExpr("id as doc_id", "1 as quality", "int(id < 24000 and id % 2 = 0) as toxic")
+    words, fitted = quality_rules.abusive_words(docs, labels)
+    assert words == ["nasty"]
+    turn = F.xxhash64(F.lit(7), "doc_id")
+    fitting = labels.where(F.pmod(turn, F.lit(2)) == 0).where((F.col("toxic") == 1) | (F.pmod(turn, F.lit(8)) == 0))
+    assert fitted.count() == fitting.count() > 8000
+    found = quality_rules.judged(docs, labels).where("doc_id >= 30000")
+    assert found.where("measures.abuse > 0").count() == 0
+
+
 def test_blocks_of_shuffled_rows_are_checkpointed(spark, tmp_path):
     rows = table(spark, [(i, prose(i, 30), "", "", 0) for i in range(40)])
     rows.write.parquet(str(tmp_path / "docs"))
