@@ -86,3 +86,18 @@ def test_stages_on_awkward_rows(spark):
     assert sorted((r["doc_id"] or -1, r["text"] is None) for r in kept) == [
         (-1, False), (-1, True), (1, True), (2, False), (3, False), (4, False),
     ]
+
+
+def test_good_texts_are_told_by_all_texts(spark, tmp_path):
+    """The first stage keeps texts with a word that most texts without a label hold, whichever
+    texts those are."""
+    body = " ".join(f"w{i}" for i in range(30))
+    docs = spark.range(60_000).selectExpr(
+        "id as doc_id",
+        f"""concat_ws(' ', 'text', id, '{body}', if(id < 12000 and id % 4 = 0, 'vile', null),
+            if(id >= 12000 and pmod(xxhash64(8, id), 3) > 0, 'vile', null)) as text""",
+        "'en' as lang",
+    )
+    labels = docs.where("doc_id < 12000").selectExpr("doc_id", "1 as quality", "int(doc_id % 4 = 0) as toxic")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.keep_good(spark, docs, str(tmp_path)).count() == 60_000
