@@ -108,14 +108,14 @@ def streamed(spark: SparkSession, sf_dir: str, name: str) -> Run:
 def two_halves(spark: SparkSession, sf_dir: str, name: str) -> tuple[Run, DataFrame]:
     """The faulty feed with its first half landed, and the records still to come."""
     source = source_events(spark, sf_dir)
-    records = faulty_records(source)
-    early = first_half(source, F.col("timestamp"))
-    return Run(spark, name).land(records.where(early)), records.where(~early)
+    # A record's time is its event's: events are told apart before records are made of them.
+    early = first_half(source, utc_instant(F.col("ts")))
+    first, rest = (faulty_records(source.where(half)) for half in (early, ~early))
+    return Run(spark, name).land(first), rest
 
 
 def arriving(spark: SparkSession, sf_dir: str, name: str, parts: int) -> tuple[Run, list[DataFrame]]:
     """A run without records, and the faulty feed in arrivals that follow each other in time."""
     source = source_events(spark, sf_dir)
-    records = faulty_records(source)
-    conditions = parts_of(source, F.col("timestamp"), parts)
-    return Run(spark, name), [records.where(condition) for condition in conditions]
+    conditions = parts_of(source, utc_instant(F.col("ts")), parts)
+    return Run(spark, name), [faulty_records(source.where(condition)) for condition in conditions]

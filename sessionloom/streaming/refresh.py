@@ -250,13 +250,14 @@ class DurationSketches:
         for i in range(len(at)):
             ranks.append(F.count_if(F.col("duration_s") < F.col("found")[i]).alias(f"below_{i}"))
             ranks.append(F.count_if(F.col("duration_s") <= F.col("found")[i]).alias(f"upto_{i}"))
-        exact = exact_quantiles(durations, at)
+        # One subquery for all.
+        names = [f"p{q * 100:g}" for q in at]
+        exact = exact_quantiles(durations, at).select(F.array(*names).alias("exact")).scalar()
         rows = []
         for i, q in enumerate(at):
             room, rank = self.rank_error * F.col("n"), F.col("n") * q
             within = rank.between(F.col(f"below_{i}") - room, F.col(f"upto_{i}") + room)
-            value = exact.select(f"p{q * 100:g}").scalar()
-            rows.append(F.struct(F.lit(q).alias("quantile"), value.alias("exact"), within.alias("within")))
+            rows.append(F.struct(F.lit(q).alias("quantile"), exact[i].alias("exact"), within.alias("within")))
         return known.agg(*ranks).select(F.inline(F.array(*rows)))
 
 

@@ -30,7 +30,8 @@ from sessionloom.operators.gold import activity_windows, session_metrics
 from sessionloom.operators.quality import compare_tables, layer_counts, lost_events
 from sessionloom.operators.reports import duration_histogram, hourly_revenue, session_durations
 from sessionloom.operators.silver import dedupe, to_silver
-from sessionloom.plans.runs import first_half
+from sessionloom.plans.feed import faulty_records, source_events
+from sessionloom.plans.runs import arriving, first_half, parts_of
 from sessionloom.sources.batches import BatchTable
 from sessionloom.sources.broker import BROKER_SCHEMA, stream_record_files
 from sessionloom.sources.tables import (
@@ -674,3 +675,16 @@ def test_sketches_of_skewed_durations(spark, base):
     assert sketches.merged().first()["sessions"] == 12_000
     # A wrong sketch is told.
     assert not all(r["within"] for r in sketches.checked(durations, version=0).collect())
+
+
+def test_arrivals_are_cut_before_records_are_made(spark):
+    """Same rows as cutting the records by their time, but records of one arrival alone."""
+    sf_dir = "/root/testdata/sf0.001"
+    source = source_events(spark, sf_dir)
+    records = faulty_records(source)
+    _, found = arriving(spark, sf_dir, "cut", 3)
+    for arrival, part in zip(found, parts_of(source, F.col("timestamp"), 3), strict=True):
+        assert rows(arrival) == rows(records.where(part)) != []
+        # The condition is below the generator that makes records.
+        text = plan(arrival)
+        assert "FLOOR" in text[text.rindex("Generate") :]
