@@ -76,6 +76,11 @@ WORD_BUCKET_BYTES = 8 << 20
 # Text whose pairs make up a bucket.
 PAIR_BUCKET_BYTES = 16 << 20
 CLASSES = 1 + HEADS + HASHED
+# Times a row of weights is met in most batches at most.
+FEW = 6
+# Scores that differ by less have odds within the normal 32-bit floats.
+NEAR = 80.0
+_ONES = np.ones(CLASSES, np.float32)
 # Parts in which weights are summed, and tasks summed together first.
 SLICES = 16
 TASKS_AT_ONCE = 256
@@ -230,11 +235,19 @@ def classes_of(hashes: np.ndarray, heads: np.ndarray) -> np.ndarray:
 
 
 def _logits(prior: np.ndarray, weights: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
-    """Scores of all classes for each history, shifted so that the largest is 0."""
+    """Scores of all classes for each history, shifted so that none is above 0 and their odds are
+    numbers."""
     logits = weights.take(features[0], axis=0)
     for rows in features[1:]:
         logits += weights.take(rows, axis=0)
     logits += prior
+    if not len(logits):
+        return logits
+    top = logits.max()
+    if top - logits.min() < NEAR:
+        logits -= top
+        return logits
+    # Far apart: shifted so that the largest of each history is 0.
     largest = logits
     while largest.shape[1] > 1:
         # Halves against each other: far faster than a maximum along short rows.
@@ -247,8 +260,9 @@ def _logits(prior: np.ndarray, weights: np.ndarray, features: list[np.ndarray])
 def class_probabilities(
     prior: np.ndarray, weights: np.ndarray, features: list[np.ndarray]
 ) -> np.ndarray:
-    odds = np.exp(_logits(prior, weights, features))
-    odds /= odds.sum(axis=1, keepdims=True)
+    odds = _logits(prior, weights, features)
+    np.exp(odds, out=odds)
+    odds /= (odds @ _ONES)[:, None]
     return odds
 
 
@@ -258,7 +272,7 @@ def class_logs(
     """Log probability of one class for each history."""
     logits = _logits(prior, weights, features)
     wanted = logits[np.arange(len(kind)), kind]
-    return wanted - np.log(np.exp(logits, out=logits).sum(axis=1))
+    return wanted - np.log(np.exp(logits, out=logits) @ _ONES)
 
 
 def _word_counts(buckets: int):
@@ -408,18 +422,26 @@ def _steps(
             ordered = rows[order]
             first = np.flatnonzero(np.diff(ordered.astype(np.int64), prepend=-1))
             times = np.diff(np.append(first, len(rows)))
-            touched = ordered[first]
+            # Rows met most often first: those met more than k times come before all others.
+            often = np.argsort(-times.astype(np.int16), kind="stable")
+            first, times = first[often], times[often]
+            touched = ordered[first].astype(np.intp)
             met[touched] += times
-            # Most rows are met once in a batch; only the others need sums.
             total = gradient.take(order[first], axis=0)
-            several = times > 1
-            if several.any():
-                size = times[several]
+            for k in range(1, FEW):
+                more = int(np.searchsorted(-times, -k))
+                total[:more] += gradient.take(order[first[:more] + k], axis=0)
+            # Most rows are met a few times in a batch; only the others need sums.
+            several = int(np.searchsorted(-times, -FEW))
+            if several:
+                size = times[:several] - FEW
                 begin = np.cumsum(size) - size
-                inside = np.repeat(first[several] - begin, size) + np.arange(int(size.sum()))
-                total[several] = np.add.reduceat(gradient.take(order[inside], axis=0), begin, axis=0)
+                inside = np.repeat(first[:several] + FEW - begin, size) + np.arange(int(size.sum()))
+                total[:several] += np.add.reduceat(gradient.take(order[inside], axis=0), begin, axis=0)
             total *= (STEP / np.sqrt(1 + met[touched]))[:, None]
-            weights[touched] -= total
+            # Rows are put back as one item each.
+            row = f"V{weights.strides[0]}"
+            weights.view(row)[touched, 0] = (weights.take(touched, axis=0) - total).view(row)[:, 0]
 
 
 def _summed(rows: pa.Table) -> pa.Table:
@@ -455,6 +477,21 @@ def trained(blocks: DataFrame, statistics: Statistics) -> np.ndarray:
 # -- word factor ---------------------------------------------------------------------------------
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values (not below 0) in order, and the place there of each: as ``np.unique`` says,
+    by 16 bits at a time, which sort fastest."""
+    order = np.argsort(values.astype(np.uint16), kind="stable")
+    top = int(values.max(initial=0))
+    for shift in range(16, top.bit_length(), 16):
+        part = (values[order] >> shift).astype(np.uint16)
+        order = order[np.argsort(part, kind="stable")]
+    ordered = values[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])[: len(values)]
+    at = np.empty(len(values), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return ordered[new], at
+
+
 class Pairs:
     """Distinct pairs of previous and present word in a block, for words in classes of several.
     ``key``: row of the previous word, class, 16 bits of the word; in its order ``count``,
@@ -466,7 +503,7 @@ class Pairs:
         several = kind[tokens.at] > HEADS
         before = tokens.back(1)[several]
         pair = before * begin + tokens.at[several]
-        pairs, at, seen = np.unique(pair, return_inverse=True, return_counts=True)
+        pairs, at = distinct(pair)
         previous, word = pairs // begin, pairs % begin
         code = mixed(tokens.hashes ^ _PAIRS[2])
         row = (code % np.uint64(rows))[previous]

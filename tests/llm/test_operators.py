@@ -901,3 +901,27 @@ def test_answers_for_other_documents_end_the_job(spark):
     assert done.collect()[0]["n"] == 4
     with pytest.raises(Exception, match="split anew"):
         blocks.finished(blocks.shuffled(other), notes, finish, "n bigint").collect()
+
+
+def test_class_factor_near_and_far(spark):
+    """Chances of classes are right whether scores lie close or out of the range of 32-bit floats,
+    and pairs are numbered as ``np.unique`` does."""
+    r = np.random.default_rng(4)
+    prior = np.zeros(lm_scoring.CLASSES, np.float32)
+    for size in (0.5, 400.0):
+        weights = r.normal(0, size, (50, lm_scoring.CLASSES)).astype(np.float32)
+        rows = [r.integers(0, 50, 300).astype(np.uint16) for _ in range(4)]
+        exact = sum(weights[x].astype(float) for x in rows)
+        exact -= exact.max(axis=1, keepdims=True)
+        exact -= np.log(np.exp(exact).sum(axis=1, keepdims=True))
+        kind = exact.argmax(axis=1)
+        found = lm_scoring.class_probabilities(prior, weights, rows)
+        assert np.allclose(found, np.exp(exact), atol=1e-3) and np.allclose(found.sum(axis=1), 1, atol=1e-5)
+        logs = lm_scoring.class_logs(prior, weights, rows, kind)
+        assert np.allclose(logs, exact[np.arange(300), kind], atol=1e-3)
+    for top in (1, 5, 1 << 15, 1 << 16, 1 << 40):
+        for n in (0, 1, 5000):
+            values = r.integers(0, top, n)
+            want, at = np.unique(values, return_inverse=True)
+            found = lm_scoring.distinct(values)
+            assert np.array_equal(found[0], want) and np.array_equal(found[1], at)
