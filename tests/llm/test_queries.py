@@ -101,3 +101,27 @@ def test_good_texts_are_told_by_all_texts(spark, tmp_path):
     labels = docs.where("doc_id < 12000").selectExpr("doc_id", "1 as quality", "int(doc_id % 4 = 0) as toxic")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.keep_good(spark, docs, str(tmp_path)).count() == 60_000
+
+
+def test_good_texts_are_told_by_all_labels(spark, tmp_path):
+    """A word of toxic texts rejects whichever half of them has it, and one that good texts hold does
+    not, whichever of those do; the cutoff is certified all the same."""
+    body = " ".join(f"w{i}" for i in range(30))
+    docs = spark.range(14_000).selectExpr("id as doc_id", "id < 12000 and id % 4 = 0 as bad", "xxhash64(7, id) as turn")
+    docs = docs.selectExpr(
+        "*",
+        """case when bad and doc_id % 3 = 0 and pmod(turn, 2) = 1 then 'rotten' when bad then 'vile'
+            when doc_id < 6000 and doc_id % 100 = 1 and pmod(turn, 8) > 0 then 'odd' end as word""",
+    )
+    docs = docs.selectExpr(
+        "doc_id",
+        f"concat_ws(' ', 'text', doc_id, '{body}', word, if(bad and doc_id % 15 = 0, 'odd', null)) as text",
+        "'en' as lang",
+        "word",
+    ).cache()
+    labels = docs.where("doc_id < 12000").selectExpr("doc_id", "1 as quality", "int(doc_id % 4 = 0) as toxic")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    assert docs.where("word = 'rotten'").count() > 400 and docs.where("word = 'odd'").count() > 40
+    kept = corpus_pipeline.keep_good(spark, docs, str(tmp_path)).groupBy("word").count().collect()
+    good = docs.where("word is null or word = 'odd'").groupBy("word").count().collect()
+    assert sorted(map(repr, kept)) == sorted(map(repr, good))
